@@ -1,0 +1,26 @@
+"""Top-1 per group over an aggregate."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+
+def top1_per_group(
+    df: DataFrame,
+    group_cols: Sequence[str],
+    count_col: str,
+    value_col: str,
+) -> DataFrame:
+    """``ROW_NUMBER() OVER (PARTITION BY g ORDER BY count DESC) = 1``.
+
+    The reference order is not total; ties are broken by ``value ASC NULLS
+    LAST`` so the result is deterministic.  Applied to an already aggregated
+    frame (one row per group and value), and the ``rn = 1`` filter lets Catalyst
+    insert a ``WindowGroupLimit`` below the shuffle, so each task forwards only
+    its local leader per group.
+    """
+    w = Window.partitionBy(*group_cols).orderBy(F.col(count_col).desc(), F.col(value_col).asc_nulls_last())
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
