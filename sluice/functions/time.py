@@ -43,8 +43,8 @@ def strftime_pattern(fmt: str) -> str:
 
 def parse_datetime(c: str | Column, fmt: str = "%d-%m-%Y %H:%M", lenient: bool = False) -> Column:
     """``pd.to_datetime(c, format=fmt)``; junk raises (ANSI) unless ``lenient``."""
-    pattern = F.lit(strftime_pattern(fmt))
-    return F.try_to_timestamp(_col(c), pattern) if lenient else F.to_timestamp(_col(c), pattern)
+    pattern = strftime_pattern(fmt)
+    return F.try_to_timestamp(_col(c), F.lit(pattern)) if lenient else F.to_timestamp(_col(c), pattern)
 
 
 def parse_iso(c: str | Column, lenient: bool = False) -> Column:

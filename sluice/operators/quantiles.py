@@ -100,42 +100,34 @@ def exact_quantiles(
     brackets = brackets.withColumn("h", F.col("p") * (F.col("n") - F.lit(1)).cast("double"))
     brackets = brackets.withColumn("r0", F.floor("h")).withColumn("r1", F.ceil("h"))
 
-    # k rows, broadcast (bounded by the number of requested probabilities).
-    tagged = vals.crossJoin(F.broadcast(brackets.select("qi", "a", "bb")))
-    below = (
-        tagged.where(F.col("x") < F.col("a"))
-        .groupBy("qi")
-        .agg(F.count(F.lit(1)).alias("n_below"))
+    # One pass over the data joined with the k-row bracket frame (broadcast,
+    # bounded by k): rows above the bracket are dropped, rows below collapse
+    # into a single NULL-keyed count, rows inside are counted per value.
+    tagged = vals.crossJoin(F.broadcast(brackets)).where(F.col("x") <= F.col("bb"))
+    key = F.when(F.col("x") >= F.col("a"), F.col("x"))
+    consts = ["qi", "n", "h", "r0", "r1"]
+    band = tagged.groupBy(*consts, key.alias("key")).agg(F.count(F.lit(1)).alias("c"))
+    # Running count inside each bracket; NULL (= below) sorts first.  A bracket
+    # holds O(n * margin) distinct values, not the column.
+    w = Window.partitionBy("qi").orderBy(F.col("key").asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
-    band = (
-        tagged.where((F.col("x") >= F.col("a")) & (F.col("x") <= F.col("bb")))
-        .groupBy("qi", "x")
-        .agg(F.count(F.lit(1)).alias("c"))
+    ranked = band.withColumn("end", F.sum("c").over(w)).withColumn("start", F.col("end") - F.col("c"))
+    hit0 = F.col("key").isNotNull() & (F.col("start") <= F.col("r0")) & (F.col("r0") < F.col("end"))
+    hit1 = F.col("key").isNotNull() & (F.col("start") <= F.col("r1")) & (F.col("r1") < F.col("end"))
+    picked = ranked.groupBy(*consts).agg(
+        F.max(F.when(hit0, F.col("key"))).alias("v0"),
+        F.max(F.when(hit1, F.col("key"))).alias("v1"),
     )
-    w = Window.partitionBy("qi").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    band = band.withColumn("cum", F.sum("c").over(w))
-    ranked = (
-        band.join(F.broadcast(brackets), "qi")
-        .join(F.broadcast(below), "qi", "left")
-        .withColumn("start", F.coalesce("n_below", F.lit(0)) + F.col("cum") - F.col("c"))
-        .withColumn("end", F.coalesce("n_below", F.lit(0)) + F.col("cum"))
-    )
-    hit0 = (F.col("start") <= F.col("r0")) & (F.col("r0") < F.col("end"))
-    hit1 = (F.col("start") <= F.col("r1")) & (F.col("r1") < F.col("end"))
-    picked = ranked.groupBy("qi").agg(
-        F.max(F.when(hit0, F.col("x"))).alias("v0"),
-        F.max(F.when(hit1, F.col("x"))).alias("v1"),
-    )
-    result = brackets.join(F.broadcast(picked), "qi", "left").withColumn(
-        "v",
-        F.when(F.col("n") == 0, F.lit(None).cast("double"))
-        .when(
+    value = (
+        F.when(
             F.col("v0").isNull() | F.col("v1").isNull(),
             F.raise_error(F.lit("exact_quantiles: bracket missed the target rank")).cast("double"),
         )
-        .otherwise(F.col("v0") + (F.col("v1") - F.col("v0")) * (F.col("h") - F.col("r0"))),
+        .otherwise(F.col("v0") + (F.col("v1") - F.col("v0")) * (F.col("h") - F.col("r0")))
     )
-    # k rows -> one row with a column per probability (tiny, bounded by k).
-    return result.agg(
-        *[F.max(F.when(F.col("qi") == i, F.col("v"))).alias(nm) for i, nm in enumerate(names)]
+    # k rows -> one row with a column per probability.  With no input rows the
+    # band is empty and every column is NULL.
+    return picked.agg(
+        *[F.max(F.when(F.col("qi") == i, value)).alias(nm) for i, nm in enumerate(names)]
     )

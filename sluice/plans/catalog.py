@@ -43,8 +43,9 @@ from sluice.plans.support import (
     support_efficiency_mart,
     user_activity_mart,
 )
-from sluice.schemas import DELIVERY_ORDER_DOC, FOOD_XML, LOAN_MESSAGE_WIDE, PETS_DOCUMENT
+from sluice.schemas import FOOD_XML, LOAN_MESSAGE_WIDE, PETS_DOCUMENT
 from sluice.session import scratch_path
+from sluice.sources.files import read_parquet_spread
 from sluice.streaming.messages import decode_stream, run_available_now
 
 # Fixed parameters of the registered queries.
@@ -58,8 +59,12 @@ DAILY_BATCH_START = "1999-07-01"
 
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A driver table.  ``spread`` is for inputs followed by heavy per-row work
+    (document building/flattening): tiny single-row-group files are spread over
+    the cores; large inputs are untouched (see ``read_parquet_spread``)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return read_parquet_spread(spark, path) if spread else spark.read.parquet(path)
 
 
 # =================================================================== loans
@@ -213,8 +218,7 @@ def q_nutrition_flat(spark, d):
 
 
 def _orders_docs(spark, d):
-    docs = D.delivery_documents_from_lines(table(spark, d, "lineitem"), table(spark, d, "orders"))
-    return docs.select(F.from_json("doc", DELIVERY_ORDER_DOC).alias("doc"))
+    return D.delivery_documents_from_lines(table(spark, d, "lineitem", spread=True), table(spark, d, "orders"))
 
 
 def q_order_items(spark, d):

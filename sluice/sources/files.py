@@ -130,3 +130,47 @@ def rows_frame(spark: SparkSession, rows: Iterable[Row | tuple | dict], schema:
 # S12 — query a named (streaming result) table
 def named_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(f"`{name}`")
+
+
+# Input parallelism guard
+def input_bytes(spark: SparkSession, df: DataFrame) -> int:
+    """Total size of the files behind a file-based DataFrame."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for f in df.inputFiles():
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    return int(total)
+
+
+def read_parquet_spread(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
+    """Parquet scan that still uses every core when the input is tiny.
+
+    A file with a single row group is read by one task no matter how it is
+    split, so per-row work on it would run single-threaded.  When the whole
+    input is at most one split (``spark.sql.files.maxPartitionBytes``) and has
+    fewer files than cores, rows are spread round-robin over the default
+    parallelism — a shuffle of at most one split.  Larger inputs (the normal
+    case at scale: many files, many row groups) are returned untouched, so the
+    guard never adds a shuffle to a big scan.
+    """
+    df = spark.read.parquet(path)
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    if len(files) >= target:
+        return df
+    limit = parse_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    if input_bytes(spark, df) <= limit:
+        return df.repartition(target)
+    return df
+
+
+def parse_bytes(text: str) -> int:
+    """'134217728', '128m', '1g', '64k', '512b' -> bytes."""
+    t = text.strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40}
+    for suffix in sorted(units, key=len, reverse=True):
+        if t.endswith(suffix) and t[: -len(suffix)].strip().isdigit():
+            return int(t[: -len(suffix)]) * units[suffix]
+    return int(t)
