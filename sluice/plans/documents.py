@@ -56,13 +56,19 @@ def nutrition_flat(foods: DataFrame, food_col: str | None = None, lenient: bool
     )
 
 
-def order_headers(orders: DataFrame, doc_col: str = "doc") -> DataFrame:
+def _doc(doc_col: str | None, field: str) -> Column:
+    """A top-level document field; ``doc_col=None`` means the document's fields
+    are the frame's columns (as ``read_json_documents`` returns them)."""
+    return F.col(f"{doc_col}.{field}") if doc_col else F.col(field)
+
+
+def order_headers(orders: DataFrame, doc_col: str | None = "doc") -> DataFrame:
     """One row per order document, nested header fields flattened."""
-    d = F.col(f"{doc_col}.data")
+    d = _doc(doc_col, "data")
     return orders.select(
         d["order_id"].alias("order_id"),
         F.to_date(d["date"]).alias("order_date"),
-        F.col(f"{doc_col}.status").alias("response_status"),
+        _doc(doc_col, "status").alias("response_status"),
         d["customer"]["id"].alias("customer_id"),
         d["customer"]["name"].alias("customer_name"),
         d["customer"]["address"]["city"].alias("customer_city"),
@@ -77,10 +83,10 @@ def order_headers(orders: DataFrame, doc_col: str = "doc") -> DataFrame:
     )
 
 
-def order_items(orders: DataFrame, doc_col: str = "doc") -> DataFrame:
+def order_items(orders: DataFrame, doc_col: str | None = "doc") -> DataFrame:
     """N2 + N3: one row per (item, add-on); an item without add-ons keeps one
     row with NULL add-on (outer explode).  ``"2x"`` -> 2."""
-    d = F.col(f"{doc_col}.data")
+    d = _doc(doc_col, "data")
     items = orders.select(d["order_id"].alias("order_id"), F.posexplode(d["items"]).alias("item_pos", "item"))
     with_addons = items.select(
         "order_id", "item_pos",
@@ -97,10 +103,10 @@ def order_items(orders: DataFrame, doc_col: str = "doc") -> DataFrame:
     )
 
 
-def order_item_totals(orders: DataFrame, doc_col: str = "doc") -> DataFrame:
+def order_item_totals(orders: DataFrame, doc_col: str | None = "doc") -> DataFrame:
     """Per order, items subtotal = sum(quantity * (price + add-on prices)),
     computed per document with higher-order functions (no explode/shuffle)."""
-    d = F.col(f"{doc_col}.data")
+    d = _doc(doc_col, "data")
     per_item = F.transform(
         d["items"],
         lambda it: quantity_to_int(it["quantity"]) * (
@@ -114,12 +120,12 @@ def order_item_totals(orders: DataFrame, doc_col: str = "doc") -> DataFrame:
     )
 
 
-def order_status_steps(orders: DataFrame, doc_col: str = "doc") -> DataFrame:
+def order_status_steps(orders: DataFrame, doc_col: str | None = "doc") -> DataFrame:
     """One row per status step with minutes since the previous step.
 
     The previous step is the previous array element of the same document, so
     this is a per-row ``posexplode`` — no window, no shuffle."""
-    d = F.col(f"{doc_col}.data")
+    d = _doc(doc_col, "data")
     hist = d["status_history"]
     steps = orders.select(
         d["order_id"].alias("order_id"),
