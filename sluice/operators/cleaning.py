@@ -22,7 +22,7 @@ def trim_by_quantiles(
     column: str,
     low: float = 0.05,
     high: float = 0.95,
-    method: str = "bracket",
+    method: str = "sketch",
 ) -> DataFrame:
     """Keep rows with ``q(low) <= column <= q(high)``; NULL values are dropped.
 

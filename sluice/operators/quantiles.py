@@ -2,48 +2,99 @@
 
 Spark's exact ``percentile`` keeps a value -> count map per group and merges all
 maps into ONE task for a global aggregate: memory grows with the number of
-distinct values, which is unbounded at 100 TB.  ``exact_quantiles`` instead:
-
-1. one aggregate pass: ``n = count(x)`` and ``approx_percentile`` at
-   ``p - m`` and ``p + m`` for every requested ``p`` (GK summaries, partial
-   aggregation, rank error <= n/accuracy);
-2. one pass over the data cross-joined with that 1-row frame (broadcast of a
-   single row — a global aggregate is bounded by construction): count rows below
-   each bracket and keep only rows inside a bracket, pre-aggregated to
-   ``(bracket, value) -> count`` so that ties (even a value holding a third of
-   all rows) collapse to one row;
-3. a running count over each bracket (at most ~2*m*n distinct values, not the
-   whole column) locates the values at ranks ``floor(h)`` and ``ceil(h)`` with
-   ``h = p*(n-1)``; the result is ``lo + (hi - lo) * (h - floor(h))`` — the
-   same rule as pandas/numpy ``linear`` and DuckDB ``quantile_cont``.
-
-If the bracket ever missed a target rank the job fails loudly via
-``raise_error`` rather than returning a wrong bound.  Everything stays lazy;
-the result is a 1-row DataFrame meant to be broadcast-joined back.
+distinct values, which is unbounded at 100 TB.  ``exact_quantiles`` narrows in
+on the target ranks with mergeable KLL sketches instead:
+
+* pass 0 — exact ``n`` and a KLL sketch of the column.  Sketches are merged in
+  two levels (per bucket of map partitions, then globally), so the final merge
+  sees at most ``buckets`` sketches, not one per map task;
+* refinement passes — for every requested probability a value bracket
+  ``[a, b]`` is read off the previous sketch with a rank margin several times
+  the sketch error; one pass counts rows below ``a`` exactly and sketches only
+  the rows inside the bracket, so each pass shrinks the bracket by roughly the
+  sketch error (~1e-3 of its rows);
+* final pass — inside the last bracket values are counted per distinct value
+  (ties, even a value holding a third of all rows, collapse to one row) and a
+  running count locates the values at ranks ``floor(h)`` and ``ceil(h)``,
+  ``h = p * (n - 1)``; the answer is ``lo + (hi - lo) * (h - floor(h))`` — the
+  rule of pandas/numpy ``linear`` and DuckDB ``quantile_cont``.
+
+Every step is a partial aggregate or a broadcast of a frame with one row per
+requested probability, so the whole computation is one lazy plan.  If a
+bracket ever missed a target rank the job fails via ``raise_error`` rather than
+return a wrong value.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def kll_rank_error(k: int) -> float:
+    """Conservative normalized rank error of a KLL sketch with parameter ``k``
+    (published single-sided bound ~2.3/k^0.97 at 99% confidence, rounded up)."""
+    return 3.0 / (k ** 0.9)
+
+
+def _sketch(rows: DataFrame, keys: list[str], value: Column, k: int, buckets: int, aggs=()) -> DataFrame:
+    """Two-level KLL sketch (+ extra additive aggregates) per ``keys``."""
+    bucket = (F.spark_partition_id() % F.lit(buckets)).alias("_bucket")
+    lvl1 = rows.groupBy(*keys, bucket).agg(
+        F.kll_sketch_agg_double(value, k).alias("_s"),
+        *[agg.alias(name) for name, agg in aggs],
+    )
+    return lvl1.groupBy(*keys).agg(
+        F.kll_merge_agg_double("_s", k).alias("_s"),
+        *[F.sum(name).alias(name) for name, _ in aggs],
+    )
+
+
+GRID = 512
+
+
+def _bracket(sketch: str, margin_factor: float, k: int, below: Column, n_band: Column) -> tuple[Column, Column]:
+    """Values ``(a, b)`` whose ranks enclose target ranks r0..r1 with
+    ``margin_factor`` times the sketch error plus two ranks to spare.
+
+    The sketch is read at a fixed grid of ranks (the rank argument must be a
+    literal) and the grid points just outside the runtime window are taken.
+    """
+    nb = F.nullif(n_band, F.lit(0)).cast("double")
+    margin = F.lit(margin_factor * kll_rank_error(k)) + F.lit(2.0) / nb
+    lo = (F.col("r0") - below + F.lit(1)).cast("double") / nb - margin
+    hi = (F.col("r1") - below + F.lit(1)).cast("double") / nb + margin
+    lo_i = F.greatest(F.lit(0), F.floor(lo * GRID)).cast("int")
+    hi_i = F.least(F.lit(GRID), F.ceil(hi * GRID)).cast("int")
+    # one array literal (a numpy array becomes a single foldable Literal)
+    grid = F.kll_sketch_get_quantile_double(sketch, F.lit(np.arange(GRID + 1, dtype="float64") / GRID))
+    # element_at is 1-based
+    return F.element_at(grid, lo_i + 1), F.element_at(grid, hi_i + 1)
+
+
 def exact_quantiles(
     df: DataFrame,
     column: str,
     probs: Sequence[float],
     names: Sequence[str] | None = None,
-    accuracy: int = 100_000,
-    margin_factor: float = 8.0,
-    method: str = "bracket",
+    k: int = 4096,
+    refinements: int = 1,
+    buckets: int = 1024,
+    margin_factor: float = 3.0,
+    method: str = "sketch",
+    accuracy: int = 10_000,
 ) -> DataFrame:
     """One row with one double column per probability (NULL if no non-NULL input).
 
-    ``method="bracket"`` (default) is exact and scale-safe; ``"percentile"``
-    uses Spark's exact ``percentile`` (fine when distinct values are few);
-    ``"approx"`` returns ``approx_percentile`` values (rank error n/accuracy).
+    ``method="sketch"`` (default) is exact and scale-safe; the final band holds
+    about ``(2 * margin_factor * kll_rank_error(k)) ** (refinements + 1) * n``
+    distinct values per probability (~5e-5 n with the defaults; raise
+    ``refinements`` for very large n).  ``"percentile"`` uses Spark's exact
+    ``percentile`` (fine when distinct values are few); ``"approx"`` returns
+    ``approx_percentile`` (rank error n/accuracy).
     """
     probs = [float(p) for p in probs]
     names = list(names or [f"q{i}" for i in range(len(probs))])
@@ -55,60 +106,34 @@ def exact_quantiles(
     if method == "approx":
         q = vals.agg(F.percentile_approx("x", probs, accuracy).alias("qs"))
         return q.select(*[F.col("qs")[i].alias(nm) for i, nm in enumerate(names)])
-    if method != "bracket":
+    if method != "sketch":
         raise ValueError(f"unknown method {method!r}")
 
-    eps = 1.0 / accuracy
-    # Ladder of bracket half-widths m_0 < m_1 < ...; the last one covers [0, 1].
-    ladder = []
-    m = margin_factor * eps
-    while True:
-        ladder.append(m)
-        if m >= 1.0:
-            break
-        m *= 4.0
-    pcts: list[float] = []
-    index: dict[tuple[int, int, int], int] = {}
-    for i, p in enumerate(probs):
-        for lvl, m in enumerate(ladder):
-            for side, v in ((0, max(0.0, p - m)), (1, min(1.0, p + m))):
-                index[(i, lvl, side)] = len(pcts)
-                pcts.append(v)
-    stats = vals.agg(F.count("x").alias("n"), F.percentile_approx("x", pcts, accuracy).alias("b"))
-
-    def pick(i: int, side: int):
-        # Narrowest level whose half-width spans >= 4 ranks beyond twice the
-        # approximation error at this n (so the target ranks fall inside).
-        n = F.col("n").cast("double")
-        expr = F.col("b")[index[(i, len(ladder) - 1, side)]]
-        for lvl in range(len(ladder) - 2, -1, -1):
-            ok = F.lit(ladder[lvl]) * n >= F.lit(4.0) + F.lit(2.0 * eps) * n
-            expr = F.when(ok, F.col("b")[index[(i, lvl, side)]]).otherwise(expr)
-        return expr
-
-    brackets = stats.select(
-        F.col("n"),
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(i).alias("qi"), F.lit(p).alias("p"), pick(i, 0).alias("a"), pick(i, 1).alias("bb"))
-                    for i, p in enumerate(probs)
-                ]
-            )
-        ).alias("br"),
-    ).select("n", "br.*")
-    brackets = brackets.withColumn("h", F.col("p") * (F.col("n") - F.lit(1)).cast("double"))
-    brackets = brackets.withColumn("r0", F.floor("h")).withColumn("r1", F.ceil("h"))
-
-    # One pass over the data joined with the k-row bracket frame (broadcast,
-    # bounded by k): rows above the bracket are dropped, rows below collapse
-    # into a single NULL-keyed count, rows inside are counted per value.
-    tagged = vals.crossJoin(F.broadcast(brackets)).where(F.col("x") <= F.col("bb"))
-    key = F.when(F.col("x") >= F.col("a"), F.col("x"))
+    # pass 0: n and a sketch of everything (one row).
+    whole = _sketch(vals, [], F.col("x"), k, buckets, [("n", F.count(F.lit(1)))])
+    per_p = F.explode(F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(p).alias("p")) for i, p in enumerate(probs)]))
+    state = whole.where(F.col("n") > 0).select("n", "_s", per_p.alias("_q")).select("n", "_s", "_q.*")
+    state = state.withColumn("h", F.col("p") * (F.col("n") - F.lit(1)).cast("double"))
+    state = state.withColumn("r0", F.floor("h")).withColumn("r1", F.ceil("h"))
+    a, b = _bracket("_s", margin_factor, k, F.lit(0), F.col("n"))
+    state = state.select("qi", "n", "h", "r0", "r1", a.alias("a"), b.alias("b"))
     consts = ["qi", "n", "h", "r0", "r1"]
+
+    # refinement passes: exact count below a, sketch of [a, b] only.
+    for _ in range(refinements):
+        tagged = vals.crossJoin(F.broadcast(state)).where(F.col("x") <= F.col("b"))
+        inside = F.when(F.col("x") >= F.col("a"), F.col("x"))
+        sk = _sketch(
+            tagged, consts, inside, k, buckets,
+            [("below", F.count_if(F.col("x") < F.col("a"))), ("n_band", F.count(inside))],
+        )
+        a, b = _bracket("_s", margin_factor, k, F.col("below"), F.col("n_band"))
+        state = sk.select(*consts, a.alias("a"), b.alias("b"))
+
+    # final pass: exact running count inside the last bracket.
+    tagged = vals.crossJoin(F.broadcast(state)).where(F.col("x") <= F.col("b"))
+    key = F.when(F.col("x") >= F.col("a"), F.col("x"))
     band = tagged.groupBy(*consts, key.alias("key")).agg(F.count(F.lit(1)).alias("c"))
-    # Running count inside each bracket; NULL (= below) sorts first.  A bracket
-    # holds O(n * margin) distinct values, not the column.
     w = Window.partitionBy("qi").orderBy(F.col("key").asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
@@ -119,15 +144,10 @@ def exact_quantiles(
         F.max(F.when(hit0, F.col("key"))).alias("v0"),
         F.max(F.when(hit1, F.col("key"))).alias("v1"),
     )
-    value = (
-        F.when(
-            F.col("v0").isNull() | F.col("v1").isNull(),
-            F.raise_error(F.lit("exact_quantiles: bracket missed the target rank")).cast("double"),
-        )
-        .otherwise(F.col("v0") + (F.col("v1") - F.col("v0")) * (F.col("h") - F.col("r0")))
-    )
-    # k rows -> one row with a column per probability.  With no input rows the
-    # band is empty and every column is NULL.
-    return picked.agg(
-        *[F.max(F.when(F.col("qi") == i, value)).alias(nm) for i, nm in enumerate(names)]
-    )
+    value = F.when(
+        F.col("v0").isNull() | F.col("v1").isNull(),
+        F.raise_error(F.lit("exact_quantiles: bracket missed the target rank")).cast("double"),
+    ).otherwise(F.col("v0") + (F.col("v1") - F.col("v0")) * (F.col("h") - F.col("r0")))
+    # k rows -> one row with a column per probability.  With no input rows
+    # nothing survives the brackets and every column is NULL.
+    return picked.agg(*[F.max(F.when(F.col("qi") == i, value)).alias(nm) for i, nm in enumerate(names)])

@@ -124,13 +124,13 @@ def q_support_efficiency(spark, d):
 
 
 def q_sessions_dedupe(spark, d):
-    docs = D.session_documents_from_lines(table(spark, d, "lineitem"))
+    docs = D.session_documents_from_lines(table(spark, d, "lineitem", spread=True))
     s = replicate_sessions(docs, order_by=["start_time", "end_time", "user_id", "device", "pages_visited", "actions"])
     return s.select("session_id", "user_id", "start_time", "end_time", "device", "duration")
 
 
 def q_tickets_dedupe(spark, d):
-    docs = D.ticket_documents_from_lines(table(spark, d, "lineitem"), table(spark, d, "orders"))
+    docs = D.ticket_documents_from_lines(table(spark, d, "lineitem", spread=True), table(spark, d, "orders"))
     return replicate_tickets(docs, order_by=["created_at", "updated_at", "status", "issue_type", "user_id"])
 
 
@@ -192,7 +192,7 @@ def q_snapshot_copy(spark, d):
 
 # =================================================================== messages
 def q_message_decode(spark, d):
-    env = D.message_envelopes_from_events(table(spark, d, "events"))
+    env = D.message_envelopes_from_events(table(spark, d, "events", spread=True))
     return decode_messages(env, LOAN_MESSAGE_WIDE)
 
 

@@ -42,17 +42,18 @@ def test_hot_value_third_of_rows(spark):
     _check(spark, vals, probs=(0.05, 0.5, 0.95, 0.0, 1.0))
 
 
-def test_large_many_distinct_small_accuracy(spark):
-    # accuracy 100 -> wide ladder; result must stay exact
+@pytest.mark.parametrize("k,refinements", [(8, 1), (16, 2), (4096, 0)])
+def test_many_distinct_small_sketches(spark, k, refinements):
+    # tiny k -> coarse sketches and wide brackets; the result must stay exact
     rng = np.random.default_rng(3)
     vals = list(rng.uniform(-100, 100, 50_000))
-    _check(spark, vals, probs=(0.05, 0.25, 0.95), accuracy=100)
+    _check(spark, vals, probs=(0.05, 0.25, 0.95), k=k, refinements=refinements)
 
 
 def test_methods_agree(spark):
     rng = np.random.default_rng(11)
     df = spark.createDataFrame([(float(v),) for v in rng.integers(0, 50, 3000)], "x double")
-    a = exact_quantiles(df, "x", [0.05, 0.95], method="bracket").first()
+    a = exact_quantiles(df, "x", [0.05, 0.95], method="sketch").first()
     b = exact_quantiles(df, "x", [0.05, 0.95], method="percentile").first()
     assert tuple(a) == pytest.approx(tuple(b))
 
