@@ -28,6 +28,7 @@ from sluice.plans import derived as D
 from sluice.plans.calls import snapshot_roundtrip, strict_insert_calls
 from sluice.plans.documents import (
     nutrition_flat,
+    order_headers,
     order_item_totals,
     order_items,
     order_status_steps,
@@ -221,6 +222,29 @@ def _orders_docs(spark, d):
     return D.delivery_documents_from_lines(table(spark, d, "lineitem", spread=True), table(spark, d, "orders"))
 
 
+def q_order_headers(spark, d):
+    h = order_headers(_orders_docs(spark, d))
+    return h.withColumn("delivery_eta", F.col("delivery_eta").cast("timestamp_ntz"))
+
+
+def q_synthetic_sessions(spark, d):
+    docs = D.session_documents_from_events(table(spark, d, "events"))
+    return docs.select(
+        "session_id", "user_id", "start_time", "end_time", "device",
+        F.array_join("pages_visited", ",").alias("pages_visited"),
+        F.array_join("actions", ",").alias("actions"),
+    )
+
+
+def q_synthetic_tickets(spark, d):
+    docs = D.ticket_documents_from_orders(table(spark, d, "orders"), table(spark, d, "lineitem"))
+    return docs.select(
+        "ticket_id", "user_id", "status", "issue_type", "created_at", "updated_at",
+        F.size("messages").alias("n_messages"),
+        F.col("messages")[0]["message"].alias("first_message"),
+    )
+
+
 def q_order_items(spark, d):
     return order_items(_orders_docs(spark, d))
 
@@ -269,12 +293,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_daily": q_upsert_daily,
     "strict_insert": q_strict_insert,
     "synthetic_calls": q_synthetic_calls,
+    "synthetic_sessions": q_synthetic_sessions,
+    "synthetic_tickets": q_synthetic_tickets,
     "calls_strict_insert": q_calls_strict_insert,
     "snapshot_copy": q_snapshot_copy,
     "message_decode": q_message_decode,
     "message_decode_stream": q_message_decode_stream,
     "pets_flat": q_pets_flat,
     "nutrition_flat": q_nutrition_flat,
+    "order_headers": q_order_headers,
     "order_items": q_order_items,
     "order_item_totals": q_order_item_totals,
     "order_status_steps": q_order_status_steps,

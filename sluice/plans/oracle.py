@@ -278,6 +278,37 @@ UNION ALL SELECT 'part_name_len', count(*) FROM part WHERE length(p_name) > 10""
 }
 
 
+_ISO_US = "'%Y-%m-%dT%H:%M:%S.%fZ'"
+
+ORACLE_SQL["order_headers"] = f"""WITH {_LINE_DOCS}
+SELECT {_ORDER_ID} AS order_id, CAST(o_orderdate AS DATE) AS order_date, 'success' AS response_status,
+       CAST(o_custkey AS VARCHAR) AS customer_id, 'Customer ' || o_custkey AS customer_name,
+       'City' || (o_custkey % 10) AS customer_city,
+       CAST(l_suppkey AS VARCHAR) AS restaurant_id, 'Supplier ' || l_suppkey AS restaurant_name,
+       'courier' AS delivery_type, l_shipdate + INTERVAL 30 MINUTE AS delivery_eta, l_tax * 100 AS delivery_fee,
+       CASE WHEN starts_with(o_orderpriority, '1') THEN 'card' ELSE 'cash' END AS payment_method,
+       o_totalprice AS payment_total, 'USD' AS currency
+FROM j"""
+
+ORACLE_SQL["synthetic_sessions"] = f"""SELECT 's' || event_id AS session_id, 'user_' || user_id AS user_id,
+       strftime(ts, {_ISO_US}) AS start_time,
+       CASE WHEN event_type = 'error' THEN NULL
+            ELSE strftime(ts + to_microseconds(CAST(round(value * 6000000) AS BIGINT)), {_ISO_US}) END AS end_time,
+       ({_list(["mobile", "desktop"])})[(user_id % 2) + 1] AS device,
+       array_to_string(list_transform(range(1 + event_id % 4), lambda i: '/p/' || ((event_id + i * user_id) % 5)), ',') AS pages_visited,
+       CASE WHEN event_type = 'signup' THEN NULL
+            WHEN value < 20 THEN ''
+            ELSE array_to_string(list_transform(range(1 + user_id % 5),
+                 lambda j: ({_list(ACTIONS)})[((event_id + j) % 5) + 1]), ',') END AS actions
+FROM events"""
+
+ORACLE_SQL["synthetic_tickets"] = f"""WITH ls AS (SELECT l_orderkey, max(l_shipdate) AS last_ship FROM lineitem GROUP BY l_orderkey)
+SELECT 't' || o_orderkey AS ticket_id, 'user_' || o_custkey AS user_id, {_TICKET_STATUS} AS status,
+       o_orderpriority AS issue_type, strftime(o_orderdate, {_ISO_S}) AS created_at,
+       strftime(ls.last_ship, {_ISO_S}) AS updated_at, 2 AS n_messages, 'order ' || o_orderkey AS first_message
+FROM orders LEFT JOIN ls ON o_orderkey = ls.l_orderkey"""
+
+
 def _incremental_sql(days_back: int) -> str:
     return f"""WITH {_READINGS},
 r1 AS (SELECT * FROM r WHERE date <= DATE '{C.READINGS_TARGET_END}'),
