@@ -94,7 +94,12 @@ def q_temp_extremes(spark, d):
 def _incremental(days_back):
     def q(spark, d):
         prepared = _prepared(spark, d)
-        target = temp_daily_full(prepared.where(F.col("date") <= F.lit(READINGS_TARGET_END).cast("date")))
+        # The target plays the stored table: materialise it once (reliable
+        # checkpoint in spark.checkpoint.dir) instead of recomputing its
+        # quantile chain for both the high-water mark and the upsert.
+        target = temp_daily_full(
+            prepared.where(F.col("date") <= F.lit(READINGS_TARGET_END).cast("date"))
+        ).checkpoint(eager=True)
         return temp_daily_incremental(target, prepared, READINGS_AS_OF, days_back)
 
     return q
