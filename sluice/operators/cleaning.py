@@ -26,15 +26,12 @@ def trim_by_quantiles(
 ) -> DataFrame:
     """Keep rows with ``q(low) <= column <= q(high)``; NULL values are dropped.
 
-    The bounds are a 1-row frame joined back with a broadcast — never collected
-    to the driver, so the whole step stays one lazy plan.
+    The bounds are one struct-valued scalar subquery (computed once, inlined
+    into the filter) — never collected by this code, no join, one lazy plan.
     """
-    bounds = exact_quantiles(df, column, [low, high], ["_q_low", "_q_high"], method=method)
-    return (
-        df.crossJoin(F.broadcast(bounds))
-        .where((F.col(column) >= F.col("_q_low")) & (F.col(column) <= F.col("_q_high")))
-        .drop("_q_low", "_q_high")
-    )
+    bounds = exact_quantiles(df, column, [low, high], ["lo", "hi"], method=method)
+    b = bounds.select(F.struct("lo", "hi")).scalar()
+    return df.where((F.col(column) >= b["lo"]) & (F.col(column) <= b["hi"]))
 
 
 def daily_stats(df: DataFrame, date_col: str, value_col: str, digits: int = 2) -> DataFrame:

@@ -19,8 +19,8 @@ on the target ranks with mergeable KLL sketches instead:
   ``h = p * (n - 1)``; the answer is ``lo + (hi - lo) * (h - floor(h))`` — the
   rule of pandas/numpy ``linear`` and DuckDB ``quantile_cont``.
 
-Every step is a partial aggregate or a broadcast of a frame with one row per
-requested probability, so the whole computation is one lazy plan.  If a
+Every step is a partial aggregate or a scalar subquery over a frame with one
+row per requested probability, so the whole computation is one lazy plan.  If a
 bracket ever missed a target rank the job fails via ``raise_error`` rather than
 return a wrong value.
 """
@@ -119,9 +119,16 @@ def exact_quantiles(
     state = state.select("qi", "n", "h", "r0", "r1", a.alias("a"), b.alias("b"))
     consts = ["qi", "n", "h", "r0", "r1"]
 
+    def tag(state: DataFrame) -> DataFrame:
+        # Every value meets the k brackets (k = number of probabilities): the
+        # brackets are one scalar subquery (an array of k structs) expanded per
+        # row — a fixed k-fold generator, no join.
+        brackets = state.agg(F.collect_list(F.struct(*consts, "a", "b")).alias("br")).scalar()
+        return vals.select("x", F.inline(brackets)).where(F.col("x") <= F.col("b"))
+
     # refinement passes: exact count below a, sketch of [a, b] only.
     for _ in range(refinements):
-        tagged = vals.crossJoin(F.broadcast(state)).where(F.col("x") <= F.col("b"))
+        tagged = tag(state)
         inside = F.when(F.col("x") >= F.col("a"), F.col("x"))
         sk = _sketch(
             tagged, consts, inside, k, buckets,
@@ -131,7 +138,7 @@ def exact_quantiles(
         state = sk.select(*consts, a.alias("a"), b.alias("b"))
 
     # final pass: exact running count inside the last bracket.
-    tagged = vals.crossJoin(F.broadcast(state)).where(F.col("x") <= F.col("b"))
+    tagged = tag(state)
     key = F.when(F.col("x") >= F.col("a"), F.col("x"))
     band = tagged.groupBy(*consts, key.alias("key")).agg(F.count(F.lit(1)).alias("c"))
     w = Window.partitionBy("qi").orderBy(F.col("key").asc_nulls_first()).rowsBetween(

@@ -45,15 +45,14 @@ def incremental_batch(target: DataFrame, prepared: DataFrame, as_of: str, days_b
     as_of - days_back)`` (NULL mark -> only the window), trimmed by quantiles of
     that slice alone, aggregated per day.
 
-    The cutoff is a 1-row frame broadcast into the scan filter — no driver
-    round trip, and on a date-partitioned source the filter prunes files.
+    The cutoff is a scalar subquery in the scan filter — no driver code, no
+    join — so on a date-partitioned source it can prune files.
     """
     mark = high_water_mark(target, "date", "_mark")
     cutoff = mark.select(
         F.greatest(F.col("_mark"), F.date_sub(F.to_date(F.lit(as_of)), days_back)).alias("_cutoff")
-    )
-    sliced = prepared.crossJoin(F.broadcast(cutoff)).where(F.col("date") > F.col("_cutoff")).drop("_cutoff")
-    return temp_daily_full(sliced)
+    ).scalar()
+    return temp_daily_full(prepared.where(F.col("date") > cutoff))
 
 
 def temp_daily_incremental(target: DataFrame, prepared: DataFrame, as_of: str, days_back: int = 7) -> DataFrame:
