@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -50,9 +50,23 @@ def insert_if_absent(
 def new_rows_if_absent(
     target: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None
 ) -> DataFrame:
+    """Batch rows (one per key) whose key the target does not hold.
+
+    The target is first semi-joined with the batch keys: for the usual small
+    batch into a large table the optimizer/AQE broadcasts the batch keys
+    (size-checked) and the target is scanned once without a shuffle; only the
+    few matching keys meet the batch in the anti join.
+    """
     keys = list(keys)
     unique_batch = dedupe_first(batch, keys, order_by) if order_by is not None else batch.dropDuplicates(keys)
-    return unique_batch.join(target.select(*keys), keys, "left_anti")
+    existing = existing_keys(target, unique_batch, keys)
+    return unique_batch.join(existing, keys, "left_anti")
+
+
+def existing_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct keys of ``batch`` already present in ``target``."""
+    keys = list(keys)
+    return target.select(*keys).join(batch.select(*keys), keys, "left_semi").distinct()
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -69,7 +83,7 @@ def strict_insert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> D
     the first conflicting row — no separate driver-side action.
     """
     keys = list(keys)
-    hits = target.select(*keys).distinct().withColumn("_in_target", F.lit(True))
+    hits = existing_keys(target, batch, keys).withColumn("_in_target", F.lit(True))
     counts = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n_batch"))
     checked = (
         batch.join(counts, keys, "left")
@@ -91,6 +105,16 @@ def rebuild(query: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- file forms
+def counted(df: DataFrame, name: str = "rows"):
+    """Attach a row counter to ``df``; the count is filled in by whatever
+    action runs next (e.g. the write), so no second scan is needed.  Returns
+    the observed frame and a function that reads the count after the action."""
+    obs = Observation(name)
+    observed = df.observe(obs, F.count(F.lit(1)).alias("n"))
+    return observed, lambda: int(obs.get["n"])
+
+
+
 def _path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -145,7 +169,7 @@ def upsert_to_path(
     touched = batch.select(*partition_by).distinct()
     old = target.join(touched, partition_by, "left_semi")
     merged = upsert(old, batch.select(*target.columns), keys).checkpoint(eager=True)
-    n = merged.count()
+    merged, rows = counted(merged)
     (
         merged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -153,7 +177,7 @@ def upsert_to_path(
         .format("parquet")
         .save(path)
     )
-    return n
+    return rows()
 
 
 def insert_if_absent_to_path(
@@ -167,10 +191,9 @@ def insert_if_absent_to_path(
     """K4 on files: append only rows whose key the table does not hold yet."""
     target = read_or_empty(spark, path, schema)
     new_rows = new_rows_if_absent(target, batch.select(*target.columns), keys, order_by).checkpoint(eager=True)
-    n = new_rows.count()
-    if n:
-        new_rows.write.mode("append").format("parquet").save(path)
-    return n
+    new_rows, rows = counted(new_rows)
+    new_rows.write.mode("append").format("parquet").save(path)
+    return rows()
 
 
 def strict_insert_to_path(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str], schema: StructType) -> int:
@@ -180,8 +203,9 @@ def strict_insert_to_path(spark: SparkSession, batch: DataFrame, path: str, keys
     clash = batch.join(target.select(*keys), keys, "left_semi")
     if not clash.isEmpty() or not duplicate_keys(batch, keys).isEmpty():
         raise ValueError("strict insert: duplicate primary key")
-    batch.select(*target.columns).write.mode("append").format("parquet").save(path)
-    return batch.count()
+    out, rows = counted(batch.select(*target.columns))
+    out.write.mode("append").format("parquet").save(path)
+    return rows()
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, compression: str | None = None) -> None:
