@@ -96,6 +96,8 @@ TEMP_DAILY = _s(
     _f("reading_count", IntegerType()),
 )
 TEMP_EXTREMES = _s(*TEMP_DAILY.fields, _f("type", StringType()))
+# T7 as stored by the incremental load: partitioned by month ("yyyy-MM")
+TEMP_DAILY_BY_MONTH = _s(*TEMP_DAILY.fields, _f("month", StringType()))
 
 # T8 — session documents
 USER_SESSION_DOC = _s(
