@@ -61,9 +61,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/object store)
     folder and is used as is.  Only when nothing is configured — local tests —
-    do we fall back to a fresh folder under the system temp dir.
+    do we fall back to a fresh folder under the system temp dir.  Under Spark
+    Connect (no SparkContext on the client) the server's setting applies.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 — Spark Connect client
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current
