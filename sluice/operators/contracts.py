@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -59,6 +59,35 @@ def length_violations(df: DataFrame, column: str, max_len: int) -> DataFrame:
     return df.where(F.char_length(F.col(column)) > max_len)
 
 
+def not_null_rule(columns: Sequence[str]) -> Column:
+    """C2 as a row predicate (true = violation)."""
+    cond = F.lit(False)
+    for c in columns:
+        cond = cond | F.col(c).isNull()
+    return cond
+
+
+def closed_set_rule(column: str, allowed: Iterable[str]) -> Column:
+    """C5 as a row predicate (true = violation)."""
+    return F.col(column).isNotNull() & ~F.col(column).isin(list(allowed))
+
+
+def length_rule(column: str, max_len: int) -> Column:
+    """C6 as a row predicate (true = violation)."""
+    return F.char_length(F.col(column)) > max_len
+
+
+def rule_counts(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """Row-level rules on one table counted in a single scan:
+    ``(check_name, n_violations)`` per rule."""
+    counts = df.agg(*[F.count_if(F.coalesce(cond, F.lit(False))).alias(name) for name, cond in rules.items()])
+    return counts.select(
+        F.inline(F.array(*[
+            F.struct(F.lit(name).alias("check_name"), F.col(f"`{name}`").alias("n_violations")) for name in rules
+        ]))
+    )
+
+
 def violation_counts(checks: dict[str, DataFrame]) -> DataFrame:
     """One row per check: ``(check_name, n_violations)``."""
     parts = [

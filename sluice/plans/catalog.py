@@ -15,11 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators.contracts import (
-    closed_set_violations,
+    closed_set_rule,
     foreign_key_violations,
-    length_violations,
-    not_null_violations,
+    length_rule,
+    not_null_rule,
     primary_key_violations,
+    rule_counts,
     violation_counts,
 )
 from sluice.operators.dedupe import distinct_keys
@@ -268,17 +269,25 @@ def q_order_status_steps(spark, d):
 def q_contract_violations(spark, d):
     orders, lineitem, customer = table(spark, d, "orders"), table(spark, d, "lineitem"), table(spark, d, "customer")
     events, part = table(spark, d, "events"), table(spark, d, "part")
-    return violation_counts({
+    keyed = violation_counts({
         "lineitem_pk": primary_key_violations(lineitem, ["l_orderkey", "l_linenumber"]),
         "orders_pk": primary_key_violations(orders, ["o_orderkey"]),
-        "orders_not_null": not_null_violations(orders, ["o_orderkey", "o_custkey", "o_orderdate"]),
         "orders_fk_customer": foreign_key_violations(orders, customer, ["o_custkey"], ["c_custkey"]),
         "lineitem_fk_orders": foreign_key_violations(lineitem, orders, ["l_orderkey"], ["o_orderkey"]),
-        "orders_status_set": closed_set_violations(orders, "o_orderstatus", ["O", "F", "P"]),
-        "events_type_set": closed_set_violations(events, "event_type", ["view", "click", "purchase", "signup", "error"]),
-        "customer_name_len": length_violations(customer, "c_name", 25),
-        "part_name_len": length_violations(part, "p_name", 10),
     })
+    # row-level rules: one scan per table
+    rows = (
+        rule_counts(orders, {
+            "orders_not_null": not_null_rule(["o_orderkey", "o_custkey", "o_orderdate"]),
+            "orders_status_set": closed_set_rule("o_orderstatus", ["O", "F", "P"]),
+        })
+        .unionByName(rule_counts(events, {
+            "events_type_set": closed_set_rule("event_type", ["view", "click", "purchase", "signup", "error"]),
+        }))
+        .unionByName(rule_counts(customer, {"customer_name_len": length_rule("c_name", 25)}))
+        .unionByName(rule_counts(part, {"part_name_len": length_rule("p_name", 10)}))
+    )
+    return keyed.unionByName(rows)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

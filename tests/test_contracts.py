@@ -1,5 +1,9 @@
 from sluice.operators.contracts import (
+    closed_set_rule,
     closed_set_violations,
+    length_rule,
+    not_null_rule,
+    rule_counts,
     foreign_key_violations,
     length_violations,
     not_null_violations,
@@ -25,5 +29,11 @@ def test_checks(spark, tmp_dir):
         "fk": foreign_key_violations(sessions, users, ["user_id"], ["user_id"]),
     }).collect()}
     assert summary == {"pk": 2, "fk": 1}
+    rules = {r["check_name"]: r["n_violations"] for r in rule_counts(calls, {
+        "region_set": closed_set_rule("region_code", ["DE-HE", "DE-BY"]),
+        "region_len": length_rule("region_code", 4),
+        "region_nn": not_null_rule(["region_code"]),
+    }).collect()}
+    assert rules == {"region_set": 1, "region_len": 2, "region_nn": 1}
     empty = read_or_empty(spark, f"{tmp_dir}/missing", CALL_LOG)
     assert empty.count() == 0 and empty.schema == CALL_LOG
