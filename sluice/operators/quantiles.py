@@ -56,7 +56,15 @@ def _sketch(rows: DataFrame, keys: list[str], value: Column, k: int, buckets: in
 GRID = 512
 
 
-def _bracket(sketch: str, margin_factor: float, k: int, below: Column, n_band: Column) -> tuple[Column, Column]:
+def _bracket(
+    sketch: str,
+    margin_factor: float,
+    k: int,
+    below: Column,
+    n_band: Column,
+    r0: Column | None = None,
+    r1: Column | None = None,
+) -> tuple[Column, Column]:
     """Values ``(a, b)`` whose ranks enclose target ranks r0..r1 with
     ``margin_factor`` times the sketch error plus two ranks to spare.
 
@@ -65,8 +73,10 @@ def _bracket(sketch: str, margin_factor: float, k: int, below: Column, n_band: C
     """
     nb = F.nullif(n_band, F.lit(0)).cast("double")
     margin = F.lit(margin_factor * kll_rank_error(k)) + F.lit(2.0) / nb
-    lo = (F.col("r0") - below + F.lit(1)).cast("double") / nb - margin
-    hi = (F.col("r1") - below + F.lit(1)).cast("double") / nb + margin
+    r0 = F.col("r0") if r0 is None else r0
+    r1 = F.col("r1") if r1 is None else r1
+    lo = (r0 - below + F.lit(1)).cast("double") / nb - margin
+    hi = (r1 - below + F.lit(1)).cast("double") / nb + margin
     lo_i = F.greatest(F.lit(0), F.floor(lo * GRID)).cast("int")
     hi_i = F.least(F.lit(GRID), F.ceil(hi * GRID)).cast("int")
     # one array literal (a numpy array becomes a single foldable Literal)
@@ -111,12 +121,16 @@ def exact_quantiles(
 
     # pass 0: n and a sketch of everything (one row).
     whole = _sketch(vals, [], F.col("x"), k, buckets, [("n", F.count(F.lit(1)))])
-    per_p = F.explode(F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(p).alias("p")) for i, p in enumerate(probs)]))
-    state = whole.where(F.col("n") > 0).select("n", "_s", per_p.alias("_q")).select("n", "_s", "_q.*")
-    state = state.withColumn("h", F.col("p") * (F.col("n") - F.lit(1)).cast("double"))
-    state = state.withColumn("r0", F.floor("h")).withColumn("r1", F.ceil("h"))
-    a, b = _bracket("_s", margin_factor, k, F.lit(0), F.col("n"))
-    state = state.select("qi", "n", "h", "r0", "r1", a.alias("a"), b.alias("b"))
+    per_p = F.inline(F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(p).alias("p")) for i, p in enumerate(probs)]))
+    expanded = whole.where(F.col("n") > 0).select("n", "_s", per_p)
+    # Everything per probability in one projection: h = p * (n - 1), the two
+    # target ranks and the first bracket.
+    h = F.col("p") * (F.col("n") - F.lit(1)).cast("double")
+    r0, r1 = F.floor(h), F.ceil(h)
+    a, b = _bracket("_s", margin_factor, k, F.lit(0), F.col("n"), r0, r1)
+    state = expanded.select(
+        "qi", "n", h.alias("h"), r0.alias("r0"), r1.alias("r1"), a.alias("a"), b.alias("b")
+    )
     consts = ["qi", "n", "h", "r0", "r1"]
 
     def tag(state: DataFrame) -> DataFrame:
@@ -144,7 +158,8 @@ def exact_quantiles(
     w = Window.partitionBy("qi").orderBy(F.col("key").asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    ranked = band.withColumn("end", F.sum("c").over(w)).withColumn("start", F.col("end") - F.col("c"))
+    end = F.sum("c").over(w)
+    ranked = band.select(*consts, "key", "c", end.alias("end"), (end - F.col("c")).alias("start"))
     hit0 = F.col("key").isNotNull() & (F.col("start") <= F.col("r0")) & (F.col("r0") < F.col("end"))
     hit1 = F.col("key").isNotNull() & (F.col("start") <= F.col("r1")) & (F.col("r1") < F.col("end"))
     picked = ranked.groupBy(*consts).agg(
