@@ -60,7 +60,6 @@ DAILY_TARGET_END = "2000-01-01"
 DAILY_BATCH_START = "1999-07-01"
 
 
-
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """A driver table.  ``spread`` is for inputs followed by heavy per-row work
     (document building/flattening): tiny single-row-group files are spread over

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from sluice.functions.time import hours_between, minutes_between, parse_iso
 from sluice.operators.dedupe import dedupe_first
 from sluice.operators.loads import insert_if_absent
-from sluice.operators.nested import lockstep_unnest
-from sluice.operators.ranking import top1_per_group
 from sluice.sources.files import drop_technical_id
 
 SESSION_COLUMNS = ["session_id", "user_id", "start_time", "end_time", "pages_visited", "device", "actions", "duration"]
@@ -68,44 +66,68 @@ def user_activity_mart(sessions: DataFrame, ignore_padding: bool = False) -> Dat
     """Per (user, day) — distinct session starts, mean duration, most
     visited page and most frequent action.
 
-    Pages and actions are unnested in lockstep (F13, NULL padding as in
-    PostgreSQL), counted per (user, day, kind, item) with partial aggregation,
-    and the leader per (user, day, kind) is chosen with a ``rn = 1`` window
-    (tie: item ASC NULLS LAST).  Nothing is collected per group; the only
-    per-group state is one count per distinct item.
+    One chain, no join, read once:
+
+    1. one generator per session emits a session row (kind ``_s``, item = its
+       start, with its duration) and the page/action rows — pages and actions
+       unnested in lockstep with NULL padding (F13), or separately with
+       ``ignore_padding``;
+    2. one aggregation per (user, day, kind, item): hits, and duration sums
+       for session rows (partial aggregation before the shuffle);
+    3. one final aggregation per (user, day): distinct starts, mean duration,
+       and the leader per kind as ``min(struct(-hits, item IS NULL, item))`` —
+       "hits desc, item asc NULLS LAST" without a window (W1–W3 as an
+       aggregate, partial before the shuffle).  A hot user-day is pre-reduced
+       in every task.
     """
+    start_txt = F.col("start_time").cast("string")
     base = sessions.select(
-        "user_id", "start_time", "duration", "pages_visited", "actions",
+        "user_id", "start_time", "duration",
+        F.coalesce("pages_visited", F.array().cast("array<string>")).alias("_p"),
+        F.coalesce("actions", F.array().cast("array<string>")).alias("_a"),
         F.to_date(F.date_trunc("day", "start_time")).alias("activity_date"),
     )
-    agg = base.groupBy("user_id", "activity_date").agg(
-        F.count_distinct("start_time").alias("session_count"),
-        F.avg("duration").alias("avg_session_min"),
-    )
-    if ignore_padding:
-        items = base.select(
-            "user_id", "activity_date", F.lit("page").alias("kind"), F.explode("pages_visited").alias("item")
-        ).unionByName(
-            base.select("user_id", "activity_date", F.lit("action").alias("kind"), F.explode("actions").alias("item"))
+
+    def row(kind: str, item, dur=None):
+        return F.struct(
+            F.lit(kind).alias("kind"),
+            item.alias("item"),
+            (dur if dur is not None else F.lit(None).cast("double")).alias("dur"),
         )
+
+    session_row = F.array(row("_s", start_txt, F.col("duration")))
+    if ignore_padding:
+        pages = F.transform("_p", lambda x: row("page", x))
+        acts = F.transform("_a", lambda x: row("action", x))
     else:
-        pairs = lockstep_unnest(base, ["user_id", "activity_date"], {"page": "pages_visited", "action": "actions"})
-        items = pairs.select(
-            "user_id", "activity_date",
-            F.inline(F.array(
-                F.struct(F.lit("page").alias("kind"), F.col("page").alias("item")),
-                F.struct(F.lit("action").alias("kind"), F.col("action").alias("item")),
-            )),
-        )
-    counts = items.groupBy("user_id", "activity_date", "kind", "item").agg(F.count(F.lit(1)).alias("hits"))
-    leaders = top1_per_group(counts, ["user_id", "activity_date", "kind"], "hits", "item")
-    wide = leaders.groupBy("user_id", "activity_date").agg(
-        F.max(F.when(F.col("kind") == "page", F.col("item"))).alias("most_popular_page"),
-        F.max(F.when(F.col("kind") == "action", F.col("item"))).alias("most_popular_action"),
-    )
-    return agg.join(wide, ["user_id", "activity_date"], "left").select(
-        "user_id", "session_count", "avg_session_min", "activity_date", "most_popular_page", "most_popular_action"
+        # lockstep: arrays_zip pads the shorter array with NULL
+        zipped = F.arrays_zip(F.col("_p").alias("page"), F.col("_a").alias("action"))
+        pages = F.transform(zipped, lambda z: row("page", z["page"]))
+        acts = F.transform(zipped, lambda z: row("action", z["action"]))
+    rows = base.select("user_id", "activity_date", F.inline(F.concat(session_row, pages, acts)))
+
+    counts = rows.groupBy("user_id", "activity_date", "kind", "item").agg(
+        F.count(F.lit(1)).alias("hits"),
+        F.sum("dur").alias("dsum"),
+        F.count("dur").alias("dcnt"),
     )
+    is_session = F.col("kind") == "_s"
+
+    def leader(kind: str):
+        # top-1 by hits desc, item asc NULLS LAST as a plain aggregate:
+        # the minimum of (-hits, item IS NULL, item) — no window, no sort.
+        ranked = F.struct((-F.col("hits")).alias("h"), F.col("item").isNull().alias("n"), F.col("item").alias("item"))
+        return F.min(F.when(F.col("kind") == kind, ranked))["item"]
+
+    return counts.groupBy("user_id", "activity_date").agg(
+        F.count_if(is_session & F.col("item").isNotNull()).alias("session_count"),
+        (
+            F.sum(F.when(is_session, F.col("dsum")))
+            / F.nullif(F.sum(F.when(is_session, F.col("dcnt"))), F.lit(0)).cast("double")
+        ).alias("avg_session_min"),
+        leader("page").alias("most_popular_page"),
+        leader("action").alias("most_popular_action"),
+    ).select("user_id", "session_count", "avg_session_min", "activity_date", "most_popular_page", "most_popular_action")
 
 
 def support_efficiency_mart(tickets: DataFrame) -> DataFrame:
