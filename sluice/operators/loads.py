@@ -231,4 +231,4 @@ def write_messages(df: DataFrame, options: dict[str, str], fmt: str = "kafka") -
     settings; credentials come from the caller's config, never from code.
     """
     cols = [c for c in ("key", "value", "headers", "topic") if c in df.columns]
-    df.select(*cols).write.format(fmt).options(**options).save()
+    df.select(*cols).write.mode("append").format(fmt).options(**options).save()

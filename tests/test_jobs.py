@@ -86,3 +86,42 @@ def test_decode_jobs(spark, tmp_dir):
     jobs.decode_stream_job(stream, os.path.join(tmp_dir, "sink"), os.path.join(tmp_dir, "ck"), csv)
     assert spark.read.option("header", "true").csv(csv).count() == 1
     assert LOAN_MESSAGE.names[0] == "loan_id"
+
+
+def test_document_appends_double_on_rerun(spark, tmp_dir):
+    from .test_documents import XML
+
+    pets = os.path.join(tmp_dir, "pets.json")
+    with open(pets, "w") as f:
+        json.dump({"pets": [{"name": "Rex", "species": "dog", "favFoods": ["a"]}]}, f)
+    table = os.path.join(tmp_dir, "pets_table")
+    assert jobs.load_pets(spark, pets, table) == 1
+    assert jobs.load_pets(spark, pets, table) == 1
+    assert spark.read.parquet(table).count() == 2  # append is not idempotent (as the original job)
+    xml = os.path.join(tmp_dir, "n.xml")
+    with open(xml, "w") as f:
+        f.write(XML)
+    assert jobs.load_nutrition(spark, xml, os.path.join(tmp_dir, "foods")) == 2
+
+
+def test_replicate_tickets_and_publish(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "tickets.json")
+    docs = [
+        {"ticket_id": "t1", "user_id": "u1", "status": "open", "issue_type": "payment",
+         "messages": [{"sender": "u", "message": "hi", "timestamp": "2024-03-01T10:00:00Z"}],
+         "created_at": "2024-03-01T10:00:00Z", "updated_at": "2024-03-01T13:30:00Z"},
+        {"ticket_id": "t1", "user_id": "u1", "status": "closed", "issue_type": "payment",
+         "created_at": "2024-03-01T10:00:00Z", "updated_at": "2024-03-02T10:00:00Z"},
+    ]
+    with open(src, "w") as f:
+        f.write("\n".join(json.dumps(d) for d in docs))
+    users, tickets = os.path.join(tmp_dir, "users"), os.path.join(tmp_dir, "tickets")
+    assert jobs.replicate_tickets_job(spark, src, users, tickets) == 1
+    from sluice.schemas import SUPPORT_TICKETS
+
+    row = read_or_empty(spark, tickets, SUPPORT_TICKETS).first()
+    assert row["status"] == "closed"  # first by (user_id, status, ...) order: "closed" < "open"
+    assert row["resolution_time_hours"] == 24.0
+    # publish: encoded rows go to the sink as a single `value` column
+    rows = spark.createDataFrame([(1, "Ann", 5, "active")], "loan_id int, borrower string, amount bigint, status string")
+    jobs.publish_messages(rows, {}, fmt="noop")
