@@ -103,3 +103,18 @@ def test_delivery_document(spark, tmp_dir):
     assert tot["n_items"] == 2 and tot["items_subtotal"] == pytest.approx(3 * (10.0 + 1.5) + 2.0)
     steps = sorted((r["step"], r["prev_status"], r["minutes_since_prev"]) for r in order_status_steps(docs, None).collect())
     assert steps == [(0, None, None), (1, "created", 5.5), (2, "cooking", 29.5)]
+
+
+def test_single_step_history_and_empty_addons(spark, tmp_dir):
+    doc = json.loads(json.dumps(ORDER))
+    doc["data"]["status_history"] = [{"status": "created", "time": "2021-05-04T12:00:00Z"}]
+    doc["data"]["items"] = [{"dish_id": "9", "name": "Soup", "quantity": "2x", "price": 4.0, "addons": []}]
+    p = os.path.join(tmp_dir, "one.json")
+    with open(p, "w") as f:
+        json.dump(doc, f)
+    docs = read_json_documents(spark, p, DELIVERY_ORDER_DOC)
+    steps = [tuple(r)[1:] for r in order_status_steps(docs, None).select("order_id", "step", "prev_status", "minutes_since_prev").collect()]
+    assert steps == [(0, None, None)]
+    items = [(r["quantity"], r["addon_name"]) for r in order_items(docs, None).collect()]
+    assert items == [(2, None)]
+    assert order_item_totals(docs, None).first()["items_subtotal"] == 8.0

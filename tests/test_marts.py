@@ -71,3 +71,24 @@ def test_support_efficiency_and_users(spark):
     assert closed["open_tickets"] == 0
     users = spark.createDataFrame([("u1",)], USERS)
     assert sorted(r[0] for r in load_users(users, tickets).collect()) == ["u1", "u2", "u9"]
+
+
+def test_null_start_and_all_ticket_statuses(spark):
+    rows = [
+        ("s9", "u7", None, "2024-03-01T10:30:00Z", ["/a"], "mobile", ["login"]),
+        ("s8", "u7", "2024-03-01T09:00:00Z", "2024-03-01T09:06:00Z", ["/a"], "mobile", ["login"]),
+    ]
+    mart = user_activity_mart(replicate_sessions(spark.createDataFrame(rows, USER_SESSION_DOC))).collect()
+    by_day = {r["activity_date"]: r for r in mart}
+    # a NULL start has no day and no distinct start, but keeps its (user, NULL day) row
+    assert by_day[None]["session_count"] == 0 and by_day[None]["avg_session_min"] is None
+    assert by_day[dt.date(2024, 3, 1)]["session_count"] == 1 and by_day[dt.date(2024, 3, 1)]["avg_session_min"] == 6.0
+    docs = spark.createDataFrame([
+        (f"t{i}", "u1", st, "delivery", None, T0, "2024-03-01T11:00:00Z")
+        for i, st in enumerate(["open", "closed", "in_progress", "in_progress"])
+    ], SUPPORT_TICKET_DOC)
+    mart2 = {r["status"]: r for r in support_efficiency_mart(replicate_tickets(docs)).collect()}
+    assert {k: (v["ticket_count"], v["open_tickets"]) for k, v in mart2.items()} == {
+        "open": (1, 1), "closed": (1, 0), "in_progress": (2, 0)
+    }
+    assert mart2["in_progress"]["avg_resolution_hours"] == 1.0
