@@ -117,7 +117,10 @@ def user_activity_mart(sessions: DataFrame, ignore_padding: bool = False) -> Dat
         # top-1 by hits desc, item asc NULLS LAST as a plain aggregate:
         # the minimum of (-hits, item IS NULL, item) — no window, no sort.
         ranked = F.struct((-F.col("hits")).alias("h"), F.col("item").isNull().alias("n"), F.col("item").alias("item"))
-        return F.min(F.when(F.col("kind") == kind, ranked))["item"]
+        # The reference attaches leaders with an equi-join on (user, day):
+        # a NULL user or day never matches, so its leaders stay NULL.
+        keyed = F.col("user_id").isNotNull() & F.col("activity_date").isNotNull()
+        return F.when(keyed, F.min(F.when(F.col("kind") == kind, ranked))["item"])
 
     return counts.groupBy("user_id", "activity_date").agg(
         F.count_if(is_session & F.col("item").isNotNull()).alias("session_count"),

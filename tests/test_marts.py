@@ -82,6 +82,11 @@ def test_null_start_and_all_ticket_statuses(spark):
     by_day = {r["activity_date"]: r for r in mart}
     # a NULL start has no day and no distinct start, but keeps its (user, NULL day) row
     assert by_day[None]["session_count"] == 0 and by_day[None]["avg_session_min"] is None
+    assert by_day[None]["most_popular_page"] is None  # NULL day never matches the leader join
+    assert by_day[dt.date(2024, 3, 1)]["most_popular_page"] == "/a"
+    nulluser = [("s1", None, T0, None, ["/a"], "mobile", ["login"])]
+    m = user_activity_mart(replicate_sessions(spark.createDataFrame(nulluser, USER_SESSION_DOC))).first()
+    assert m["user_id"] is None and m["session_count"] == 1 and m["most_popular_page"] is None
     assert by_day[dt.date(2024, 3, 1)]["session_count"] == 1 and by_day[dt.date(2024, 3, 1)]["avg_session_min"] == 6.0
     docs = spark.createDataFrame([
         (f"t{i}", "u1", st, "delivery", None, T0, "2024-03-01T11:00:00Z")
