@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -46,13 +48,14 @@ def get_session(
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
-        conf.setdefault("spark.driver.memory", "16g")
+        conf.setdefault("spark.driver.memory", "8g")
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -60,9 +63,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/object store)
-    folder and is used as is.  Only when nothing is configured — local tests —
-    do we fall back to a fresh folder under the system temp dir.  Under Spark
-    Connect (no SparkContext on the client) the server's setting applies.
+    folder and is used as is.  Only when nothing is configured and the master is
+    local — tests — do we fall back to a fresh folder under the system temp dir;
+    with any other master a missing folder is an error, since executors and
+    driver do not share local disks.  Under Spark Connect (no SparkContext on the
+    client) the server's setting applies.
     """
     try:
         sc = spark.sparkContext
@@ -75,11 +80,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
-        configured = tempfile.mkdtemp(prefix="sluice-ckpt-")
+        configured = local_scratch(sc.master)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def local_scratch(master: str) -> str:
+    """A fresh local folder for a ``local[...]`` master; an error for any other."""
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir must name a shared folder when the master is {master}")
+    return tempfile.mkdtemp(prefix="sluice-ckpt-")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the executors' Python once per application, so that
+    functions run there need no installation."""
+    sc = spark.sparkContext
+    if getattr(sc, "_sluice_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="sluice-py-"), "sluice-package.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(archive)
+    sc._sluice_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder.
 
@@ -88,12 +118,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that must touch the local filesystem."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
