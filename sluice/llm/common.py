@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -47,8 +48,6 @@ class Memo(dict):
         return value
 
 
-WORD_HASHES = Memo(xxhash.xxh3_64_intdigest)
-
 _M1 = np.uint64(0xFF51AFD7ED558CCD)
 _M2 = np.uint64(0xC4CEB9FE1A85EC53)
 _S = np.uint64(32)
@@ -61,8 +60,63 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _S)
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(WORD_HASHES.__getitem__, words), np.uint64, len(words))
+_P = 0x9E3779B97F4A7C55  # odd, so that it has an inverse modulo 2**64
+_BLOCK = 1 << 18  # bytes hashed at once; longer texts go block by block
+_BLANK = np.zeros(256, bool)
+_BLANK[[0x20, *range(0x09, 0x0E)]] = True
+_BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+_POW, _INV = _powers(_P, _BLOCK), _powers(pow(_P, -1, 1 << 64), _BLOCK)
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """64-bit hashes of ``blank_words(data)``, in order: a polynomial over each word's
+    bytes from one running sum, then mixed with the word's length."""
+    data = data.lower()
+    if len(data) <= _BLOCK:
+        return _block_hashes(data)
+    out, at = [], 0
+    while at < len(data):
+        end = at + _BLOCK
+        if end < len(data):
+            cut = max(data.rfind(c, at, end) for c in (b" ", b"\n", b"\t", b"\r", b"\v", b"\f"))
+            if cut < 0:  # a word longer than a block
+                stop = re.search(rb"[\x09-\x0d\x20]", data[end:])
+                end = end + stop.start() if stop else len(data)
+                head, _, word = _rsplit(data[at:end])
+                out += [_block_hashes(head), mix64(np.array([xxhash.xxh3_64_intdigest(word)], np.uint64))]
+                at = end
+                continue
+            end = cut + 1
+        out.append(_block_hashes(data[at:end]))
+        at = end
+    return np.concatenate(out)
+
+
+def _rsplit(data: bytes) -> tuple[bytes, bytes, bytes]:
+    """What stands before the last word, nothing, and the last word."""
+    word = data.split()[-1]
+    at = data.rfind(word)
+    return data[:at], b"", word
+
+
+def _block_hashes(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8)
+    edge = np.ones(len(raw) + 2, np.int8)
+    edge[1:-1] = _BLANK[raw]
+    step = np.diff(edge)
+    starts, ends = np.flatnonzero(step == -1), np.flatnonzero(step == 1)
+    total = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_BYTE[raw] * _POW[: len(raw)], out=total[1:])
+    lengths = (ends - starts).astype(np.uint64)
+    return mix64((total[ends] - total[starts]) * _INV[np.minimum(starts, _BLOCK - 1)] + lengths)
 
 
 def ngram_hashes(h: np.ndarray, n: int) -> np.ndarray:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sluice.llm.decontaminate import contamination
+from sluice.llm.jaccard_join import near_duplicates
 from sluice.llm.prefix_bpe import bpe_codec
 from sluice.llm.quality_cascade import quality
 from sluice.llm.token_counts import token_counts
@@ -32,6 +33,10 @@ def byte_bpe() -> tuple[str, str]:
     return tokenizer_file("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op4_jaccard_join(spark, d):
+    return near_duplicates(table(spark, d, "documents"))
+
+
 def op5_prefix_bpe(spark, d):
     return bpe_codec(table(spark, d, "documents"), *byte_bpe())
 
@@ -49,6 +54,7 @@ def op10_quality_cascade(spark, d):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_prefix_bpe": op5_prefix_bpe,
     "op6_decontamination": op6_decontamination,
     "op9_token_counts": op9_token_counts,
