@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sluice.llm.decontaminate import contamination
+from sluice.llm.interpolation_lm import interpolated_scores
 from sluice.llm.jaccard_join import near_duplicates
 from sluice.llm.prefix_bpe import bpe_codec
 from sluice.llm.quality_cascade import quality
 from sluice.llm.token_counts import token_counts
+from sluice.llm.warc import archive_round_trip
 
 WINDOW = 13  # words of a benchmark window
 TOKEN_LIMIT = 2048
@@ -33,6 +35,14 @@ def byte_bpe() -> tuple[str, str]:
     return tokenizer_file("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op1_warc(spark, d):
+    return archive_round_trip(table(spark, d, "pages"))
+
+
+def op3_interpolation_lm(spark, d):
+    return interpolated_scores(table(spark, d, "documents"))
+
+
 def op4_jaccard_join(spark, d):
     return near_duplicates(table(spark, d, "documents"))
 
@@ -54,6 +64,8 @@ def op10_quality_cascade(spark, d):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
+    "op3_interpolation_lm": op3_interpolation_lm,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_prefix_bpe": op5_prefix_bpe,
     "op6_decontamination": op6_decontamination,
