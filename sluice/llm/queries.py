@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from sluice.llm.decontaminate import contamination
 from sluice.llm.interpolation_lm import interpolated_scores
 from sluice.llm.jaccard_join import near_duplicates
+from sluice.llm.mincut_html import extract_main_text
+from sluice.llm.mixture_langid import languages
 from sluice.llm.prefix_bpe import bpe_codec
 from sluice.llm.quality_cascade import quality
 from sluice.llm.token_counts import token_counts
@@ -55,6 +57,14 @@ def op6_decontamination(spark, d):
     return contamination(table(spark, d, "documents"), table(spark, d, "benchmark"), window=WINDOW)
 
 
+def op7_mincut_html(spark, d):
+    return extract_main_text(table(spark, d, "pages"))
+
+
+def op8_mixture_langid(spark, d):
+    return languages(table(spark, d, "documents"))
+
+
 def op9_token_counts(spark, d):
     return token_counts(table(spark, d, "documents"), tokenizer_file("word_bpe_49k.json"), limit=TOKEN_LIMIT)
 
@@ -69,6 +79,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_jaccard_join": op4_jaccard_join,
     "op5_prefix_bpe": op5_prefix_bpe,
     "op6_decontamination": op6_decontamination,
+    "op7_mincut_html": op7_mincut_html,
+    "op8_mixture_langid": op8_mixture_langid,
     "op9_token_counts": op9_token_counts,
     "op10_quality_cascade": op10_quality_cascade,
 }
