@@ -130,10 +130,6 @@ def ngram_hashes(h: np.ndarray, n: int) -> np.ndarray:
     return mix64(out)
 
 
-def column_bytes(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
-    return batch.column(name).to_pylist()
-
-
 def text_input(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the id and the text, as UTF-8 bytes."""
     return df.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
@@ -145,7 +141,7 @@ def id_field(df: DataFrame, id_col: str, name: str | None = None) -> StructField
 
 def map_texts(
     df: DataFrame,
-    make: Callable[[], Callable[[list[bytes]], dict[str, list]]],
+    make: Callable[[], Callable[[list[bytes | None]], dict[str, pa.Array]]],
     fields: list[StructField],
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -163,7 +159,7 @@ def map_texts(
                 continue
             got = fn(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), *(pa.array(got[n]) for n in names)], names=[id_col, *names]
+                [batch.column("id"), *(got[n] for n in names)], names=[id_col, *names]
             )
 
     return text_input(df, id_col, text_col).mapInArrow(run, schema)

@@ -318,13 +318,17 @@ def remove_contamination(
     item_col: str = "item_id",
     item_text_col: str = "text",
     block_words: int = 2_000_000,
+    rounds: int = 2,
 ) -> DataFrame:
     """``docs`` with the hit spans cut out of contaminated texts; a text that has no
     word left goes with its row.  Other rows, null texts too, stay as they are.
 
-    Where cutting brings words together that form a new hit, that is cut as well,
-    while the text still is contaminated by the same rule.  ``chars_col``, if the
-    table has it, gets the new length."""
+    Cutting may bring words together that form a new hit, so the texts are scanned
+    ``rounds`` times.  ``chars_col``, if the table has it, gets the new length."""
+    for _ in range(rounds - 1):
+        docs = remove_contamination(
+            docs, items, text_col, chars_col, window, hits_per_words, item_col, item_text_col, block_words, 1
+        )
     hits = "__hits"
     while hits in docs.columns:
         hits += "_"

@@ -21,8 +21,10 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from array import array
 from collections.abc import Iterable
 from functools import cache
+from itertools import accumulate
 
 import pyarrow as pa
 import regex
@@ -111,14 +113,16 @@ class Vocabulary:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
     # ---- whole texts, by segments that recur
-    def _segment(self, segment: str) -> tuple[str, int, bytes]:
+    def _segment(self, segment: str) -> tuple[str, bytes, bytes]:
         ids = self.encode(segment)
-        return ",".join(map(str, ids)), len(ids), self.decode(ids)
+        return ",".join(map(str, ids)), array("i", ids).tobytes(), self.decode(ids)
 
-    def encode_text(self, text: str) -> tuple[list[str], int, list[bytes]]:
-        """(comma-joined ids, their number, decoded bytes) of the segments of a text."""
+    def encode_text(self, text: str) -> tuple[str, array, bytes]:
+        """Comma-joined ids, the ids, and the bytes they decode to."""
         got = list(map(self.segments.__getitem__, split_segments(text)))
-        return [g[0] for g in got], sum(g[1] for g in got), [g[2] for g in got]
+        ids = array("i")
+        ids.frombytes(b"".join([g[1] for g in got]))
+        return ",".join([g[0] for g in got]), ids, b"".join([g[2] for g in got])
 
 
 class PrefixTable:
@@ -210,21 +214,26 @@ def codec(file: str, pattern: str, outputs: tuple[str, ...]):
 
         def run(texts: list[bytes | None]) -> dict:
             out: dict[str, list] = {n: [] for n in outputs}
+            flat = array("i")
             for data in texts:
-                ids, n, decoded = v.encode_text((data or b"").decode("utf-8", "replace"))
-                joined, plain = ",".join(ids), b"".join(decoded)
+                joined, ids, plain = v.encode_text((data or b"").decode("utf-8", "replace"))
                 if "n_tokens" in out:
-                    out["n_tokens"].append(n)
+                    out["n_tokens"].append(len(ids))
                 if "ids_sha256" in out:
                     out["ids_sha256"].append(hashlib.sha256(joined.encode()).hexdigest())
                 if "decoded_sha256" in out:
                     out["decoded_sha256"].append(hashlib.sha256(plain).hexdigest())
                 if "ids" in out:
-                    out["ids"].append([int(i) for i in joined.split(",")] if joined else [])
+                    out["ids"].append(len(ids))
+                    flat += ids
                 if "decoded" in out:
                     out["decoded"].append(plain)
-            types = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32()), "decoded": pa.binary()}
-            return {n: pa.array(x, types.get(n, pa.string())) for n, x in out.items()}
+            types = {"n_tokens": pa.int64(), "decoded": pa.binary()}
+            got = {n: pa.array(x, types.get(n, pa.string())) for n, x in out.items() if n != "ids"}
+            if "ids" in out:
+                offsets = pa.array([0, *accumulate(out["ids"])], pa.int32())
+                got["ids"] = pa.ListArray.from_arrays(offsets, pa.array(memoryview(flat) if flat else [], pa.int32()))
+            return got
 
         return run
 

@@ -13,11 +13,13 @@ from sluice.llm.mincut_html import extract_main_text
 from sluice.llm.mixture_langid import languages
 from sluice.llm.prefix_bpe import bpe_codec
 from sluice.llm.quality_cascade import quality
+from sluice.llm.surrogates import colliding_surrogates, private_counts
 from sluice.llm.token_counts import token_counts
 from sluice.llm.warc import archive_round_trip
 
 WINDOW = 13  # words of a benchmark window
 TOKEN_LIMIT = 2048
+SURROGATE_KEY = b"key of the registered queries"  # in production from a secret store
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +43,14 @@ def op1_warc(spark, d):
     return archive_round_trip(table(spark, d, "pages"))
 
 
+def op2_surrogates(spark, d):
+    docs = table(spark, d, "documents")
+    faults = colliding_surrogates(docs, SURROGATE_KEY).limit(5).collect()
+    if faults:
+        raise ValueError(f"surrogates collide: {faults}")
+    return private_counts(docs, SURROGATE_KEY)
+
+
 def op3_interpolation_lm(spark, d):
     return interpolated_scores(table(spark, d, "documents"))
 
@@ -75,6 +85,7 @@ def op10_quality_cascade(spark, d):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_surrogates": op2_surrogates,
     "op3_interpolation_lm": op3_interpolation_lm,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_prefix_bpe": op5_prefix_bpe,
