@@ -11,6 +11,7 @@ from sluice.llm.interpolation_lm import interpolated_scores
 from sluice.llm.jaccard_join import near_duplicates
 from sluice.llm.mincut_html import extract_main_text
 from sluice.llm.mixture_langid import languages
+from sluice.llm.oracle import ORACLE_SQL
 from sluice.llm.prefix_bpe import bpe_codec
 from sluice.llm.quality_cascade import quality
 from sluice.llm.surrogates import colliding_surrogates, private_counts
@@ -80,9 +81,12 @@ def op9_token_counts(spark, d):
 
 
 def op10_quality_cascade(spark, d):
-    return quality(table(spark, d, "documents"))
+    # which of several rules rejects first depends on the measured order, the verdict does not
+    return quality(table(spark, d, "documents")).drop("rejected_by")
 
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_surrogates": op2_surrogates,
@@ -95,5 +99,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_quality_cascade": op10_quality_cascade,
 }
-
-ORACLE_SQL: dict[str, str] = {}
