@@ -181,8 +181,9 @@ def _send_sets(buckets: int):
     return run
 
 
-def _shared(buckets: int):
-    """In a bucket of n-grams: those of at least two classes, sent on to their owners."""
+def _shared(buckets: int, of_components: bool = False):
+    """In a bucket of n-grams: those of at least two classes (or of classes from two
+    components, which the signatures' second half then names), sent on to their owners."""
 
     def run(table: pa.Table) -> pa.Table:
         names = _names(PACKED_DF)
@@ -199,9 +200,13 @@ def _shared(buckets: int):
         order = np.argsort(keys, kind="stable")
         keys, owner = keys[order], owner[order]
         starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, int)
-        df = np.diff(np.append(starts, len(keys)))
-        df = np.repeat(df, df)
+        runs = np.diff(np.append(starts, len(keys)))
+        df = np.repeat(runs, runs)
         keep = df > 1
+        if of_components and len(keys):
+            comp = np.frombuffer(sigs.tobytes(), np.int64)[1::2][owner]
+            mixed = np.minimum.reduceat(comp, starts) != np.maximum.reduceat(comp, starts)
+            keep = np.repeat(mixed, runs)
         keys, owner, df = keys[keep], owner[keep], df[keep].astype(U32)
         rows = list(_pack(_sig_bucket(sigs, buckets)[owner], owner, sigs, sizes, keys, df)) if len(keys) else []
         return pa.Table.from_batches([_batch(rows, names)])
@@ -266,19 +271,70 @@ def _prefix_size(shared, n, num: int, den: int):
     return shared - least_overlap(n, num, den) + 1
 
 
-def _prefix_tokens(num: int, den: int):
-    """(token, rep) for each prefix token of the first order."""
+BITS = 16  # words of 64 bits in the parity map of a set
+
+HELD = (
+    "token bigint, at int, rep bigint, comp bigint, n int, shared int, "
+    + ", ".join(f"m{i} bigint" for i in range(BITS))
+)
+
+
+def parity_map(k: np.ndarray) -> np.ndarray:
+    """For each of the map's bits whether an odd number of the set's tokens fall on it:
+    two maps differ in at most as many bits as the sets differ in tokens."""
+    odd = np.bincount((mix64(k) % np.uint64(64 * BITS)).astype(np.int64), minlength=64 * BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _held_tokens(num: int, den: int):
+    """A row for each prefix token of the first order, with its place and the class's map."""
+    names = [c.split()[0] for c in HELD.split(", ")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rep, n, keys in zip(*(batch.column(c).to_pylist() for c in ("rep", "n", "keys"))):
+            for rep, comp, n, keys in zip(*(batch.column(c).to_pylist() for c in ("rep", "comp", "n", "keys"))):
                 k = np.frombuffer(keys, np.int64)
-                k = k[: _prefix_size(len(k), n, num, den)]
-                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array([rep] * len(k), pa.int64())], names=["token", "rep"])
+                size = _prefix_size(len(k), n, num, den)
+                same = [np.full(size, x, np.int64) for x in (rep, comp)]
+                counts = [np.full(size, x, np.int32) for x in (n, len(k))]
+                maps = [np.full(size, x, np.int64) for x in parity_map(k.view(U64))]
+                columns = [k[:size], np.arange(size, dtype=np.int32), *same, *counts, *maps]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
     return run
 
 
+def _pairs_between(held: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of classes from different components that may link, found at a prefix token.
+
+    Kept are pairs whose sizes allow the similarity, whose places at the token leave
+    enough tokens after it (true at the first token that two linked classes share), and
+    whose parity maps do not show too many differing tokens.  Members of the component
+    with most classes at a token are not compared with each other."""
+    groups = held.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("members"))
+    top = groups.groupBy("token").agg(F.max_by("comp", F.struct("members", "comp")).alias("top"), F.count(F.lit(1)).alias("comps"))
+    open_rows = held.join(top.where("comps > 1").select("token", "top"), "token")
+    one = open_rows.where("comp != top").select("token", *(F.col(c).alias(f"{c}_1") for c in held.columns if c != "token"))
+    two = open_rows.select("token", "top", *(F.col(c).alias(f"{c}_2") for c in held.columns if c != "token"))
+    c = F.col
+    both = c("n_1") + c("n_2")
+    # overlap needed: num / (num + den) of the sum of the sizes, rounded up
+    differ = both * (den - num)  # at most this over (num + den) tokens in one set only
+    apart = sum((F.bit_count(c(f"m{i}_1").bitwiseXOR(c(f"m{i}_2"))) for i in range(BITS)), F.lit(0))
+    alone = (c("n_1") - c("shared_1")) + (c("n_2") - c("shared_2"))
+    after = F.least(c("shared_1") - c("at_1"), c("shared_2") - c("at_2"))
+    close = (
+        (c("comp_1") != c("comp_2"))
+        & ((c("comp_2") == c("top")) | (c("rep_1") < c("rep_2")))
+        & (F.least("n_1", "n_2") * den >= F.greatest("n_1", "n_2") * num)
+        & (after * (num + den) >= both * num)
+        & ((apart + alone) * (num + den) <= differ)
+    )
+    return one.join(two, (one["token"] == two["token"]) & close).select(
+        F.least("rep_1", "rep_2").alias("a"), F.greatest("rep_1", "rep_2").alias("b")
+    ).distinct()
+
+
 def _meeting_tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(token, rep): the first token of every order, where classes meet their hub."""
     for batch in batches:
@@ -363,33 +419,55 @@ def _star_pairs(tokens: DataFrame) -> DataFrame:
     return tokens.join(hubs, "token").where("a < rep").select("a", F.col("rep").alias("b")).distinct()
 
 
-def linked_components(spark: SparkSession, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _send_labelled(buckets: int):
+    """Sets of classes whose signature is the class and its component."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sender = _Sender(buckets)
+        for batch in batches:
+            for rep, comp, n, keys in zip(*(batch.column(c).to_pylist() for c in ("rep", "comp", "n", "keys"))):
+                sender.add(np.array([rep, comp], np.int64).tobytes(), n, np.frombuffer(keys, U64))
+                yield from sender.rows()
+        yield from sender.rows(end=True)
+
+    return run
+
+
+def _labelled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        both = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(both[::2]), pa.array(both[1::2]), batch.column("n"), batch.column("keys")],
+            names=["rep", "comp", "n", "keys"],
+        )
+
+
+def _between_components(spark: SparkSession, sets: DataFrame, comps: DataFrame, buckets: int, num: int, den: int) -> DataFrame:
+    """(rep, comp, n, keys) of the classes that may still link to another component: only
+    n-grams that two components have count, and those must be enough for a link."""
+    own = sets.join(comps, sets["rep"] == comps["node"], "left").select("rep", F.coalesce("comp", "rep").alias("comp"), "n", "keys")
+    sent = own.mapInArrow(_send_labelled(buckets), PACKED)
+    found = sent.groupBy("bucket").applyInArrow(_shared(buckets, of_components=True), PACKED_DF)
+    left = _enough(found, num, den).mapInArrow(_labelled, "rep bigint, comp bigint, n int, keys binary")
+    return staged(spark, left, "near-open")
+
+
+def linked_components(spark: SparkSession, sets: DataFrame, num: int, den: int, buckets: int = 1) -> DataFrame:
     """(node, comp) over the classes of ``sets`` (rep, n, keys) that have links."""
     tokens = sets.mapInArrow(_meeting_tokens, "token bigint, rep bigint")
     links = staged(spark, verified(_star_pairs(tokens), sets, num, den), "near-links")
     comps = components(spark, links)
 
-    held = staged(spark, sets.select("rep", "n", "keys").mapInArrow(_prefix_tokens(num, den), "token bigint, rep bigint"), "near-prefixes")
     for last in (False, True):
-        labelled = held.join(comps, held["rep"] == comps["node"], "left").select(
-            "token", "rep", F.coalesce("comp", "rep").alias("comp")
-        )
-        mixed = labelled.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-        mixed = staged(spark, labelled.join(mixed.select("token"), "token"), "near-mixed")
-        groups = mixed.groupBy("token", "comp").agg(F.min("rep").alias("rep"))
+        rest = _between_components(spark, sets, comps, buckets, num, den)
+        if rest.isEmpty():
+            return comps
+        held = staged(spark, rest.mapInArrow(_held_tokens(num, den), HELD), "near-held")
         if not last:  # one class of every component against the token's smallest
-            pairs = _star_pairs(groups.select("token", "rep"))
-        else:  # every pair of classes from different components
-            c1 = groups.select("token", F.col("comp").alias("c1"))
-            c2 = groups.select("token", F.col("comp").alias("c2"))
-            met = c1.join(c2, "token").where("c1 < c2")
-            m1 = mixed.select("token", F.col("comp").alias("c1"), F.col("rep").alias("r1"))
-            m2 = mixed.select("token", F.col("comp").alias("c2"), F.col("rep").alias("r2"))
-            pairs = (
-                met.join(m1, ["token", "c1"]).join(m2, ["token", "c2"])
-                .select(F.least("r1", "r2").alias("a"), F.greatest("r1", "r2").alias("b")).distinct()
-            )
-        more = staged(spark, verified(pairs, sets, num, den), "near-links")
+            pairs = _star_pairs(held.groupBy("token", "comp").agg(F.min("rep").alias("rep")).select("token", "rep"))
+        else:  # all pairs between components that may link
+            pairs = _pairs_between(held, num, den)
+        more = staged(spark, verified(pairs, rest, num, den), "near-links")
         if not more.isEmpty():
             links = links.unionByName(more)
             comps = components(spark, links)
@@ -427,7 +505,7 @@ def near_duplicates(
     sets = staged(
         spark, survivors.join(named.where("rep is not null").select("sig", "rep"), "sig").select("rep", "n", "keys"), "near-sets"
     )
-    comps = linked_components(spark, sets, num, den)
+    comps = linked_components(spark, sets, num, den, buckets)
     of_class = named.join(comps, named["rep"] == comps["node"], "left").select(
         "sig", F.col("n").cast("long").alias("n_shingles"), F.coalesce("comp", "rep").alias("component_id")
     )
