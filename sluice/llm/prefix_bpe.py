@@ -58,7 +58,7 @@ def merge_bytes(data: bytes, ranks: dict[bytes, int], until: int = 1) -> list[in
 class Vocabulary:
     """Ranks of a byte-level BPE with its memos of reachable tokens and compatible pairs."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, memo_pieces: int = 300_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memo_pieces: int = 800_000):
         missing = [b for b in range(256) if bytes([b]) not in ranks]
         if missing:
             raise ValueError(f"single bytes without a token: {missing[:5]}")
@@ -101,7 +101,36 @@ class Vocabulary:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        return PrefixTable(self, piece).ids()
+        if len(piece) > 256:
+            return PrefixTable(self, piece).ids()
+        return self._needed_prefixes(piece)
+
+    def _needed_prefixes(self, piece: bytes) -> list[int]:
+        """The same table, filled from the end: only prefixes are computed that some
+        token leaves over."""
+        usable, pairs, longest, length = self.usable.get, self.pairs, self.longest, self.bytes_of
+        last: dict[int, int] = {}
+
+        def of(end: int) -> int:
+            for start in range(end - longest if end > longest else 0, end):
+                token = usable(piece[start:end])
+                if token is not None:
+                    if start == 0:
+                        break
+                    before = last.get(start)
+                    if pairs[of(start) if before is None else before, token]:
+                        break
+            last[end] = token
+            return token
+
+        end, out = len(piece), []
+        while end:
+            token = last.get(end)
+            if token is None:
+                token = of(end)
+            out.append(token)
+            end -= len(length[token])
+        return out[::-1]
 
     def _piece(self, piece: str) -> tuple[int, ...]:
         return tuple(self.encode_piece(piece.encode("utf-8")))
@@ -113,16 +142,16 @@ class Vocabulary:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
     # ---- whole texts, by segments that recur
-    def _segment(self, segment: str) -> tuple[str, bytes, bytes]:
+    def _segment(self, segment: str) -> tuple[str, bytes]:
         ids = self.encode(segment)
-        return ",".join(map(str, ids)), array("i", ids).tobytes(), self.decode(ids)
+        return ",".join(map(str, ids)), self.decode(ids)
 
-    def encode_text(self, text: str) -> tuple[str, array, bytes]:
-        """Comma-joined ids, the ids, and the bytes they decode to."""
-        got = list(map(self.segments.__getitem__, split_segments(text)))
-        ids = array("i")
-        ids.frombytes(b"".join([g[1] for g in got]))
-        return ",".join([g[0] for g in got]), ids, b"".join([g[2] for g in got])
+    def encode_text(self, text: str) -> tuple[str, bytes]:
+        """Comma-joined ids, and the bytes they decode to."""
+        if not text:
+            return "", b""
+        ids, plain = zip(*map(self.segments.__getitem__, split_segments(text)))
+        return ",".join(ids), b"".join(plain)
 
 
 class PrefixTable:
@@ -216,16 +245,18 @@ def codec(file: str, pattern: str, outputs: tuple[str, ...]):
             out: dict[str, list] = {n: [] for n in outputs}
             flat = array("i")
             for data in texts:
-                joined, ids, plain = v.encode_text((data or b"").decode("utf-8", "replace"))
+                joined, plain = v.encode_text((data or b"").decode("utf-8", "replace"))
+                n = joined.count(",") + 1 if joined else 0
                 if "n_tokens" in out:
-                    out["n_tokens"].append(len(ids))
+                    out["n_tokens"].append(n)
                 if "ids_sha256" in out:
                     out["ids_sha256"].append(hashlib.sha256(joined.encode()).hexdigest())
                 if "decoded_sha256" in out:
                     out["decoded_sha256"].append(hashlib.sha256(plain).hexdigest())
                 if "ids" in out:
-                    out["ids"].append(len(ids))
-                    flat += ids
+                    out["ids"].append(n)
+                    if n:
+                        flat.extend(map(int, joined.split(",")))
                 if "decoded" in out:
                     out["decoded"].append(plain)
             types = {"n_tokens": pa.int64(), "decoded": pa.binary()}
