@@ -343,8 +343,8 @@ def interpolated_scores(
     id_col: str = "doc_id",
     text_col: str = "text",
     folds: int = 10,
-    block_tokens: int = 2_000_000,
-    bucket_keys: int = 3_000_000,
+    block_tokens: int = 1_500_000,
+    bucket_keys: int = 1_500_000,
 ) -> DataFrame:
     """``id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row.
 

@@ -480,7 +480,7 @@ def near_duplicates(
     text_col: str = "text",
     n: int = 5,
     similarity: tuple[int, int] = (3, 4),
-    bucket_keys: int = 3_000_000,
+    bucket_keys: int = 2_000_000,
 ) -> DataFrame:
     """``id, n_shingles, component_id`` for every row of ``docs``; ids are integers.
 
