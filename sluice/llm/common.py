@@ -162,7 +162,25 @@ def map_texts(
                 [batch.column("id"), *(got[n] for n in names)], names=[id_col, *names]
             )
 
-    return text_input(df, id_col, text_col).mapInArrow(run, schema)
+    return text_input(df, id_col, text_col).transform(arrow_map, run, schema)
+
+
+BATCH_BYTES = "16m"
+
+
+def arrow_map(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` in batches of a bounded size, so that a worker
+    holds few texts at a time however long they are; memory that Arrow keeps for
+    later is given back at the end of each task."""
+    spark = df.sparkSession
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") != BATCH_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+    def tidy(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(tidy, schema)
 
 
 def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
-from sluice.llm.common import alnum_words
+from sluice.llm.common import alnum_words, arrow_map
 
 
 class SuffixAutomaton:
@@ -237,7 +237,7 @@ def _scan(spark: SparkSession, df: DataFrame, automaton: SuffixAutomaton, text_c
                 [*(batch.column(n) for n in names), pa.array(hits, arrow)], names=[*names, out_col]
             )
 
-    return df.mapInArrow(run, schema)
+    return df.transform(arrow_map, run, schema)
 
 
 def contamination(
@@ -280,7 +280,7 @@ def contamination(
                 pa.array([h > 0 and hits_per_words * h >= w for h, w in zip(n_hit, words)], pa.bool_()),
             ], names=schema.names)
 
-    return spans.mapInArrow(digest, schema)
+    return spans.transform(arrow_map, digest, schema)
 
 
 # ------------------------------------------------------------------ removal
@@ -363,4 +363,4 @@ def remove_contamination(
             names = [f.name for f in batch.schema if f.name != hits]
             yield pa.RecordBatch.from_arrays(columns, names=names).take(pa.array(keep, pa.int64()))
 
-    return df.mapInArrow(cut, schema)
+    return df.transform(arrow_map, cut, schema)

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
-from sluice.llm.common import mix64, power_of_two, staged, word_hashes
+from sluice.llm.common import arrow_map, mix64, power_of_two, staged, word_hashes
 
 KEPT, HELD, REST = 0, 1, 2  # counts, weights, only scored
 U64, U32 = np.dtype("<u8"), np.dtype("<u4")
@@ -366,13 +366,13 @@ def interpolated_scores(
         StructField("sizes", ArrayType(IntegerType())), StructField("words", BinaryType()),
         StructField("index", BinaryType()),
     ])
-    blocks = staged(spark, texts.mapInArrow(_blocks(block_tokens, arrow_id), block_schema), "lm-blocks")
+    blocks = staged(spark, texts.transform(arrow_map, _blocks(block_tokens, arrow_id), block_schema), "lm-blocks")
     tokens = dict(
         blocks.groupBy("part").agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x - 1))).collect()
     )
     n_kept, n_train = tokens.get(KEPT, 0), tokens.get(KEPT, 0) + tokens.get(HELD, 0)
     buckets = power_of_two(max(1, sum(tokens.values()) // bucket_keys + 1))
-    asked = blocks.mapInArrow(_requests(buckets), REQUEST)
+    asked = blocks.transform(arrow_map, _requests(buckets), REQUEST)
     replies = staged(spark, asked.groupBy("bucket").applyInArrow(_replies, REPLY), "lm-replies")
     n_words = replies.agg(F.sum("distinct")).first()[0] or 0
 

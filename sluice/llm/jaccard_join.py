@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.common import id_field, mix64, ngram_hashes, power_of_two, staged, text_input, word_hashes
+from sluice.llm.common import arrow_map, id_field, mix64, ngram_hashes, power_of_two, staged, text_input, word_hashes
 
 U64, U32 = np.dtype("<u8"), np.dtype("<u4")
 SIG = np.dtype("V16")
@@ -386,7 +386,7 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     """Those of the distinct ``pairs`` (a, b) that are linked."""
     one = sets.select(F.col("rep").alias("a"), F.col("n").alias("n1"), F.col("keys").alias("k1"))
     two = sets.select(F.col("rep").alias("b"), F.col("n").alias("n2"), F.col("keys").alias("k2"))
-    return pairs.join(one, "a").join(two, "b").mapInArrow(_linked(num, den), "a bigint, b bigint")
+    return pairs.join(one, "a").join(two, "b").transform(arrow_map, _linked(num, den), "a bigint, b bigint")
 
 
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
@@ -446,15 +446,15 @@ def _between_components(spark: SparkSession, sets: DataFrame, comps: DataFrame,
     """(rep, comp, n, keys) of the classes that may still link to another component: only
     n-grams that two components have count, and those must be enough for a link."""
     own = sets.join(comps, sets["rep"] == comps["node"], "left").select("rep", F.coalesce("comp", "rep").alias("comp"), "n", "keys")
-    sent = own.mapInArrow(_send_labelled(buckets), PACKED)
+    sent = own.transform(arrow_map, _send_labelled(buckets), PACKED)
     found = sent.groupBy("bucket").applyInArrow(_shared(buckets, of_components=True), PACKED_DF)
-    left = _enough(found, num, den).mapInArrow(_labelled, "rep bigint, comp bigint, n int, keys binary")
+    left = _enough(found, num, den).transform(arrow_map, _labelled, "rep bigint, comp bigint, n int, keys binary")
     return staged(spark, left, "near-open")
 
 
 def linked_components(spark: SparkSession, sets: DataFrame, num: int, den: int, buckets: int = 1) -> DataFrame:
     """(node, comp) over the classes of ``sets`` (rep, n, keys) that have links."""
-    tokens = sets.mapInArrow(_meeting_tokens, "token bigint, rep bigint")
+    tokens = sets.transform(arrow_map, _meeting_tokens, "token bigint, rep bigint")
     links = staged(spark, verified(_star_pairs(tokens), sets, num, den), "near-links")
     comps = components(spark, links)
 
@@ -462,7 +462,7 @@ def linked_components(spark: SparkSession, sets: DataFrame, num: int, den: int,
         rest = _between_components(spark, sets, comps, buckets, num, den)
         if rest.isEmpty():
             return comps
-        held = staged(spark, rest.mapInArrow(_held_tokens(num, den), HELD), "near-held")
+        held = staged(spark, rest.transform(arrow_map, _held_tokens(num, den), HELD), "near-held")
         if not last:  # one class of every component against the token's smallest
             pairs = _star_pairs(held.groupBy("token", "comp").agg(F.min("rep").alias("rep")).select("token", "rep"))
         else:  # all pairs between components that may link
@@ -492,12 +492,12 @@ def near_duplicates(
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = power_of_two(max(1, chars // 6 // bucket_keys + 1))
 
-    members = staged(spark, texts.mapInArrow(_send_docs(pa.int64()), "id bigint, sig binary"), "near-members")
-    sent = texts.mapInArrow(_send_texts(n, buckets), PACKED)
+    members = staged(spark, texts.transform(arrow_map, _send_docs(pa.int64()), "id bigint, sig binary"), "near-members")
+    sent = texts.transform(arrow_map, _send_texts(n, buckets), PACKED)
     found = staged(spark, sent.groupBy("bucket").applyInArrow(_shared(buckets), PACKED_DF), "near-shared")
-    classes = found.where("bucket < 0").mapInArrow(_classes, "sig binary, n int")
+    classes = found.where("bucket < 0").transform(arrow_map, _classes, "sig binary, n int")
     survivors = _enough(found.where("bucket >= 0"), num, den)
-    again = staged(spark, survivors, "near-sets").mapInArrow(_send_sets(buckets), PACKED)
+    again = staged(spark, survivors, "near-sets").transform(arrow_map, _send_sets(buckets), PACKED)
     survivors = _enough(again.groupBy("bucket").applyInArrow(_shared(buckets), PACKED_DF), num, den)
 
     named = members.where("sig is not null").groupBy("sig").agg(F.min("id").alias("rep"))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from sluice.llm.common import id_field
+from sluice.llm.common import arrow_map, id_field
 
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:-->|--!>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -416,4 +416,4 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
         StructField("text", StringType()), StructField("n_chars", LongType()),
     ])
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    return rows.mapInArrow(_extract(schema.names), schema)
+    return rows.transform(arrow_map, _extract(schema.names), schema)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, StringType, StructField, StructType
 
-from sluice.llm.common import id_field, staged
+from sluice.llm.common import arrow_map, id_field, staged
 from sluice.llm.interpolation_lm import remainder
 
 BUCKETS = 1 << 15
@@ -124,7 +124,7 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", most_
     rows = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")
     )
-    counted = rows.mapInArrow(_count, "lang string, bucket int, n bigint")
+    counted = rows.transform(arrow_map, _count, "lang string, bucket int, n bigint")
     sums = staged(docs.sparkSession, counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "lang-counts")
     langs = [r[0] for r in sums.select("lang").distinct().limit(most_languages + 1).collect()]
     if len(langs) > most_languages:
@@ -161,7 +161,7 @@ def predict(
                 pa.array([[{"lang": a, "proportion": p} for a, p in g] for g in got], kind),
             ], names=[id_col, "lang_pred", "score", "languages"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).transform(arrow_map, run, schema)
 
 
 def languages(

@@ -58,7 +58,7 @@ def merge_bytes(data: bytes, ranks: dict[bytes, int], until: int = 1) -> list[in
 class Vocabulary:
     """Ranks of a byte-level BPE with its memos of reachable tokens and compatible pairs."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, memo_pieces: int = 800_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memo_pieces: int = 500_000):
         missing = [b for b in range(256) if bytes([b]) not in ranks]
         if missing:
             raise ValueError(f"single bytes without a token: {missing[:5]}")
@@ -69,8 +69,8 @@ class Vocabulary:
         # tokens that merging can end with
         self.usable = {b: i for b, i in ranks.items() if len(b) < 3 or merge_bytes(b, ranks) == [i]}
         self.halves = Memo(self._halves, 1 << 20)
-        self.pairs = Memo(self._compatible, 1 << 19)
-        self.pieces = Memo(self._piece, memo_pieces)
+        self.pairs = Memo(self._compatible, 300_000)
+        self.pieces = Memo(self._piece, memo_pieces // 2)
         self.segments = Memo(self._segment, memo_pieces)
 
     def _halves(self, token: int) -> tuple[int, int] | None:

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from sluice.llm.common import Memo, id_field
+from sluice.llm.common import arrow_map, id_field, Memo
 
 TYPES = ("email", "phone", "ipv4", "card", "ssn", "iban", "secret", "person")
 
@@ -470,7 +470,7 @@ def replace_private(docs: DataFrame, key: bytes, text_col: str = "text", chars_c
             ]
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(arrow_map, run, docs.schema)
 
 
 def private_counts(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -491,7 +491,7 @@ def private_counts(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col
                 columns.append(pa.array([sum(e[2] == t for e in g[1]) for g in got], pa.int64()))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).transform(arrow_map, run, schema)
 
 
 def entity_fingerprints(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
@@ -513,7 +513,7 @@ def entity_fingerprints(docs: DataFrame, key: bytes, text_col: str = "text") ->
                 names=["kind", "original", "surrogate"],
             )
 
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "kind string, original binary, surrogate binary")
+    return docs.select(F.col(text_col).alias("text")).transform(arrow_map, run, "kind string, original binary, surrogate binary")
 
 
 def colliding_surrogates(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:

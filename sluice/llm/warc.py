@@ -34,7 +34,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.common import staged
+from sluice.llm.common import arrow_map, staged
 from sluice.session import scratch_path
 
 PIECE = 1 << 20
@@ -143,7 +143,7 @@ def write_archives(
         .where("n > 1").select("digest", "first")
     )
     marked = rows.join(repeated, "digest", "left").select("id", "url", "payload", "first")
-    return staged(spark, marked.mapInArrow(_write(folder, date, file_bytes), "path string, records bigint"), "warc-manifest")
+    return staged(spark, marked.transform(arrow_map, _write(folder, date, file_bytes), "path string, records bigint"), "warc-manifest")
 
 
 # ------------------------------------------------------------------ streams
@@ -298,7 +298,7 @@ def normalise(archives: DataFrame, folder: str, path_col: str = "path", level: i
     fs.create_dir(base, recursive=True)
     paths = archives.select(F.col(path_col).alias("path"))
     dealt = paths.repartition(spark.sparkContext.defaultParallelism * 4)
-    return staged(spark, dealt.mapInArrow(_normalise(folder, level), INDEX), "warc-index")
+    return staged(spark, dealt.transform(arrow_map, _normalise(folder, level), INDEX), "warc-index")
 
 
 RECORD = (
@@ -358,7 +358,7 @@ def read_records(index: DataFrame, with_payload: bool = True) -> DataFrame:
     payload.  Every row is fetched by its own offset, so that any split of the index
     can be read by any task."""
     rows = index.select("archive", "offset", "length")
-    return rows.mapInArrow(_fetch(with_payload), RECORD)
+    return rows.transform(arrow_map, _fetch(with_payload), RECORD)
 
 
 def page_of(record_id_col: str) -> Column:
