@@ -1,4 +1,4 @@
-from sluice.functions.numeric import round_half_even_np, round_half_up
+from sluice.functions.numeric import round_half_even_np
 from sluice.functions.text import (
     PY_WHITESPACE,
     blank_to_null,
@@ -8,7 +8,6 @@ from sluice.functions.text import (
     text_to_double,
 )
 from sluice.functions.time import (
-    add_seconds,
     hours_between,
     minutes_between,
     parse_datetime,
@@ -18,7 +17,7 @@ from sluice.functions.time import (
 from sluice.functions.json import from_json_message, to_json_message
 
 __all__ = [
-    "PY_WHITESPACE", "add_seconds", "blank_to_null", "from_json_message", "hours_between",
+    "PY_WHITESPACE", "blank_to_null", "from_json_message", "hours_between",
     "join_list", "minutes_between", "normalized", "parse_datetime", "parse_iso", "py_strip",
-    "round_half_even_np", "round_half_up", "strftime_pattern", "text_to_double", "to_json_message",
+    "round_half_even_np", "strftime_pattern", "text_to_double", "to_json_message",
 ]

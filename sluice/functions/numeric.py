@@ -20,8 +20,3 @@ def round_half_even_np(c: str | Column, digits: int = 2) -> Column:
     """
     scale = float(10 ** digits)
     return F.rint(_col(c) * F.lit(scale)) / F.lit(scale)
-
-
-def round_half_up(c: str | Column, digits: int = 2) -> Column:
-    """Spark ``round``: HALF_UP on the shortest decimal text of the double."""
-    return F.round(_col(c), digits)

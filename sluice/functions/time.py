@@ -48,8 +48,12 @@ def parse_datetime(c: str | Column, fmt: str = "%d-%m-%Y %H:%M", lenient: bool =
 
 
 def parse_iso(c: str | Column, lenient: bool = False) -> Column:
-    """ISO-8601 text with or without fraction and trailing ``Z`` -> timestamp (UTC session)."""
-    return F.try_to_timestamp(_col(c)) if lenient else F.to_timestamp(_col(c))
+    """ISO-8601 text -> UTC wall clock (timestamp without zone), whatever the session's
+    zone.  Text without a zone is UTC."""
+    text = _col(c)
+    zoned = F.when(text.rlike(r"(Z|[+-]\d{2}:?\d{2})\s*$"), text).otherwise(F.concat(text, F.lit("Z")))
+    instant = F.try_to_timestamp(zoned) if lenient else F.to_timestamp(zoned)
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")))
 
 
 def micros_between(start: str | Column, end: str | Column) -> Column:
@@ -64,14 +68,3 @@ def minutes_between(start: str | Column, end: str | Column) -> Column:
 def hours_between(start: str | Column, end: str | Column) -> Column:
     """``(end - start).total_seconds() / 3600``."""
     return micros_between(start, end) / F.lit(3_600_000_000.0)
-
-
-def add_seconds(ts: str | Column, seconds: str | Column) -> Column:
-    """Timestamp plus a whole number of seconds (column or literal)."""
-    secs = seconds if isinstance(seconds, Column) else F.lit(seconds)
-    return F.timestamp_add("SECOND", secs, _col(ts))
-
-
-def days_before(as_of: str, days: int) -> Column:
-    """``as_of - timedelta(days)`` as a date literal expression."""
-    return F.date_sub(F.to_date(F.lit(as_of)), days)

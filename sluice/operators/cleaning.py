@@ -38,7 +38,7 @@ def daily_stats(df: DataFrame, date_col: str, value_col: str, digits: int = 2) -
     """``groupby(date).agg(mean, min, max, count).round(2)`` with numpy rounding.
 
     NULL dates are dropped like pandas ``groupby``; ``reading_count`` counts
-    non-NULL values and stays an int.  Partial aggregation happens map-side, so
+    non-NULL values (64-bit).  Partial aggregation happens map-side, so
     a hot date only ships one partial row per task.
     """
     v = F.col(value_col)
@@ -49,7 +49,7 @@ def daily_stats(df: DataFrame, date_col: str, value_col: str, digits: int = 2) -
             F.avg(v).alias("avg_temp"),
             F.min(v).alias("min_temp"),
             F.max(v).alias("max_temp"),
-            F.count(v).cast("int").alias("reading_count"),
+            F.count(v).alias("reading_count"),
         )
         .select(
             "date",

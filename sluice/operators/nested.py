@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType
+from pyspark.sql.types import DataType
 
 
 def _empty_like(dtype: DataType) -> Column:
@@ -53,7 +53,3 @@ def quantity_to_int(c: str | Column) -> Column:
     """``"2x"`` -> 2 (leading digits); no digits -> NULL."""
     col = F.col(c) if isinstance(c, str) else c
     return F.nullif(F.regexp_extract(col, r"^\s*([0-9]+)", 1), F.lit("")).cast("int")
-
-
-def is_array(df: DataFrame, column: str) -> bool:
-    return isinstance(df.schema[column].dataType, ArrayType)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.operators.loads import snapshot_copy, strict_insert
+from sluice.operators.loads import read_snapshot, snapshot_copy, strict_insert
 from sluice.schemas import CALL_LOG
 
 
@@ -12,14 +12,7 @@ def snapshot_roundtrip(spark: SparkSession, df: DataFrame, path: str) -> DataFra
     """Write ``df`` as an uncompressed CSV snapshot, read it back typed
     with the source schema (row count and values equal the source)."""
     snapshot_copy(df, path)
-    return (
-        spark.read.schema(df.schema)
-        .option("header", "true")
-        .option("mode", "FAILFAST")
-        .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
-        .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-        .csv(path)
-    )
+    return read_snapshot(spark, path, df.schema)
 
 
 def strict_insert_calls(target: DataFrame, batch: DataFrame) -> DataFrame:

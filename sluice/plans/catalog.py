@@ -24,7 +24,19 @@ from sluice.operators.contracts import (
     violation_counts,
 )
 from sluice.operators.dedupe import distinct_keys
-from sluice.operators.loads import insert_if_absent, strict_insert, upsert
+from sluice.operators.loads import (
+    append_load,
+    insert_if_absent,
+    insert_if_absent_to_path,
+    read_or_empty,
+    read_snapshot,
+    replace_load,
+    strict_insert,
+    strict_insert_to_path,
+    upsert,
+    upsert_to_path,
+    write_csv,
+)
 from sluice.plans import derived as D
 from sluice.plans.calls import snapshot_roundtrip, strict_insert_calls
 from sluice.plans.documents import (
@@ -35,8 +47,9 @@ from sluice.plans.documents import (
     order_status_steps,
     pets_flat,
 )
-from sluice.plans.loans import loan_details, loan_region_stats
-from sluice.plans.messages import decode_messages
+from sluice.plans.jobs import decode_stream_job
+from sluice.plans.loans import loan_details, loan_region_stats, read_loans
+from sluice.plans.messages import decode_messages, encode_messages
 from sluice.plans.readings import prepare_readings, temp_daily_full, temp_daily_incremental, temp_extremes
 from sluice.plans.support import (
     load_users,
@@ -44,10 +57,11 @@ from sluice.plans.support import (
     replicate_tickets,
     support_efficiency_mart,
     user_activity_mart,
+    user_ids,
 )
-from sluice.schemas import FOOD_XML, LOAN_MESSAGE_WIDE, PETS_DOCUMENT
+from sluice.schemas import FOOD_XML, LOAN_MESSAGE, PETS_DOCUMENT, TEMP_DAILY, TEMP_READINGS, USERS
 from sluice.session import scratch_path
-from sluice.sources.files import read_parquet_spread
+from sluice.sources.files import read_csv, read_json_documents, read_message_stream, read_messages, read_xml_records
 from sluice.streaming.messages import decode_stream, run_available_now
 
 # Fixed parameters of the registered queries.
@@ -58,14 +72,13 @@ USERS_SPLIT = "1998-01-01"
 TICKETS_SNAPSHOT_END = "1999-01-01"
 DAILY_TARGET_END = "2000-01-01"
 DAILY_BATCH_START = "1999-07-01"
+STREAM_SPLIT = "2024-01-15"
+NULL_TEXT = "\\N"  # how the CSV writer spells NULL
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A driver table.  ``spread`` is for inputs followed by heavy per-row work
-    (document building/flattening): tiny single-row-group files are spread over
-    the cores; large inputs are untouched (see ``read_parquet_spread``)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return read_parquet_spread(spark, path) if spread else spark.read.parquet(path)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # =================================================================== loans
@@ -78,6 +91,21 @@ def q_loan_region_stats(spark, d):
     return loan_region_stats(q_loan_details(spark, d))
 
 
+def q_loan_region_order(spark, d):
+    """O3: the place of every region in the sorted result, as rows carry it."""
+    rows = loan_region_stats(q_loan_details(spark, d)).coalesce(1)  # one row per region, in order
+    return rows.select("region", "total_amount", (F.monotonically_increasing_id() + 1).alias("place"))
+
+
+def q_loans_csv(spark, d):
+    """Loans written as CSV with other columns between and in another order."""
+    loans = D.loans_from_orders(table(spark, d, "orders"), table(spark, d, "customer"), table(spark, d, "nation"))
+    path = scratch_path(spark, "loans-csv")
+    write_csv(loans.select("status", "region", F.lit("x").alias("remark"), "issue_date", "interest_rate", "loan_amount",
+                           "loan_term_months", "borrower_name", "loan_id"), path)
+    return loan_details(read_loans(spark, path, missing=(NULL_TEXT,)), LOANS_AS_OF)
+
+
 # =================================================================== readings
 def _prepared(spark, d):
     return prepare_readings(D.readings_from_events(table(spark, d, "events")), flag_value="view")
@@ -87,6 +115,19 @@ def q_temp_daily_full(spark, d):
     return temp_daily_full(_prepared(spark, d))
 
 
+def q_readings_csv(spark, d):
+    """Readings written as CSV, columns shuffled, times as text, missing values
+    as the reader's tokens."""
+    path = scratch_path(spark, "readings-csv")
+    r = D.readings_from_events(table(spark, d, "events"))
+    token = F.when(F.minute("noted_date") % 2 == 0, F.lit("NA")).otherwise(F.lit("NaN"))
+    write_csv(r.select(
+        F.coalesce(F.col("temp").cast("string"), token).alias("temp"), F.lit(7).alias("room_id/id"),
+        F.date_format("noted_date", "dd-MM-yyyy HH:mm").alias("noted_date"), F.concat(F.lit(" "), F.initcap("out/in")).alias("out/in"),
+    ), path)
+    return temp_daily_full(prepare_readings(read_csv(spark, path, TEMP_READINGS), flag_value="view"))
+
+
 def q_temp_extremes(spark, d):
     return temp_extremes(_prepared(spark, d))
 
@@ -94,13 +135,11 @@ def q_temp_extremes(spark, d):
 def _incremental(days_back):
     def q(spark, d):
         prepared = _prepared(spark, d)
-        # The target plays the stored table: materialise it once (reliable
-        # checkpoint in spark.checkpoint.dir) instead of recomputing its
-        # quantile chain for both the high-water mark and the upsert.
-        target = temp_daily_full(
-            prepared.where(F.col("date") <= F.lit(READINGS_TARGET_END).cast("date"))
-        ).checkpoint(eager=True)
-        return temp_daily_incremental(target, prepared, READINGS_AS_OF, days_back)
+        # The target plays the stored table: it is written first (K2), as the
+        # incremental load finds it.
+        path = scratch_path(spark, "daily-target")
+        replace_load(temp_daily_full(prepared.where(F.col("date") <= F.lit(READINGS_TARGET_END).cast("date"))), path)
+        return temp_daily_incremental(read_or_empty(spark, path, TEMP_DAILY), prepared, READINGS_AS_OF, days_back)
 
     return q
 
@@ -130,13 +169,13 @@ def q_support_efficiency(spark, d):
 
 
 def q_sessions_dedupe(spark, d):
-    docs = D.session_documents_from_lines(table(spark, d, "lineitem", spread=True))
+    docs = D.session_documents_from_lines(table(spark, d, "lineitem"))
     s = replicate_sessions(docs, order_by=["start_time", "end_time", "user_id", "device", "pages_visited", "actions"])
     return s.select("session_id", "user_id", "start_time", "end_time", "device", "duration")
 
 
 def q_tickets_dedupe(spark, d):
-    docs = D.ticket_documents_from_lines(table(spark, d, "lineitem", spread=True), table(spark, d, "orders"))
+    docs = D.ticket_documents_from_lines(table(spark, d, "lineitem"), table(spark, d, "orders"))
     return replicate_tickets(docs, order_by=["created_at", "updated_at", "status", "issue_type", "user_id"])
 
 
@@ -165,9 +204,7 @@ def _daily_orders(orders: DataFrame) -> DataFrame:
 
 def q_upsert_daily(spark, d):
     orders = table(spark, d, "orders")
-    target = _daily_orders(
-        orders.where((F.col("o_orderstatus") == "F") & (F.col("o_orderdate") < F.lit(DAILY_TARGET_END)))
-    )
+    target = _daily_orders(orders.where(F.col("o_orderdate") < F.lit(DAILY_TARGET_END)))
     batch = _daily_orders(orders.where(F.col("o_orderdate") >= F.lit(DAILY_BATCH_START)))
     return upsert(target, batch, ["date"])
 
@@ -179,6 +216,53 @@ def q_strict_insert(spark, d):
     return strict_insert(target, batch, ["date"])
 
 
+def q_upsert_daily_path(spark, d):
+    """K3 on files, month partitions: two loads and the table read back."""
+    orders = table(spark, d, "orders")
+    path = scratch_path(spark, "daily-upsert")
+    for part in (F.col("o_orderdate") < F.lit(DAILY_TARGET_END), F.col("o_orderdate") >= F.lit(DAILY_BATCH_START)):
+        batch = _daily_orders(orders.where(part)).withColumn("month", F.date_format("date", "yyyy-MM"))
+        upsert_to_path(spark, batch, path, ["date"], ["month"], batch.schema)
+    return spark.read.parquet(path).drop("month")
+
+
+def q_strict_insert_path(spark, d):
+    orders = table(spark, d, "orders")
+    path = scratch_path(spark, "daily-strict")
+    for part in (F.col("o_orderdate") < F.lit(DAILY_TARGET_END), F.col("o_orderdate") >= F.lit(DAILY_TARGET_END)):
+        batch = _daily_orders(orders.where(part))
+        strict_insert_to_path(spark, batch, path, ["date"], batch.schema)
+    return spark.read.parquet(path)
+
+
+def q_users_two_feeds_path(spark, d):
+    """U2 + K4 on files: users of tickets and of sessions, loaded twice."""
+    uid = lambda c: F.concat(F.lit("user_"), F.col(c).cast("string")).alias("user_id")
+    feeds = table(spark, d, "orders").select(uid("o_custkey")), table(spark, d, "events").select(uid("user_id"))
+    path = scratch_path(spark, "users")
+    for k in (1, 2):
+        insert_if_absent_to_path(spark, user_ids(*feeds[:k]), path, ["user_id"], USERS, unique=True)
+    return spark.read.parquet(path)
+
+
+def q_append_twice(spark, d):
+    """K1: an append that runs again adds its rows again."""
+    path = scratch_path(spark, "appended")
+    for _ in range(2):
+        append_load(table(spark, d, "customer").select("c_custkey", "c_name"), path)
+    return spark.read.parquet(path).groupBy("c_custkey", "c_name").agg(F.count(F.lit(1)).alias("copies"))
+
+
+def q_replace_round_trip(spark, d):
+    """An absent table reads as empty; replacing drops what was there."""
+    path = scratch_path(spark, "replaced")
+    rows = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
+    before = read_or_empty(spark, path, rows.schema)
+    replace_load(before.unionByName(rows.where("c_custkey % 2 = 0")), path)
+    replace_load(rows, path)
+    return read_or_empty(spark, path, rows.schema)
+
+
 # =================================================================== call log
 def q_synthetic_calls(spark, d):
     return D.calls_from_orders(table(spark, d, "orders"))
@@ -196,19 +280,43 @@ def q_snapshot_copy(spark, d):
     return snapshot_roundtrip(spark, calls, scratch_path(spark, "snapshot-calls"))
 
 
+def q_snapshot_documents(spark, d):
+    """K10 on free text: blanks, quotes and line breaks survive."""
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang", "source")
+    return snapshot_roundtrip(spark, docs, scratch_path(spark, "snapshot-documents"))
+
+
 # =================================================================== messages
+def q_message_encode(spark, d):
+    """Rows as JSON messages."""
+    return encode_messages(table(spark, d, "customer").select("c_custkey", "c_nationkey")).select(F.col("value").cast("string"))
+
+
 def q_message_decode(spark, d):
-    env = D.message_envelopes_from_events(table(spark, d, "events", spread=True))
-    return decode_messages(env, LOAN_MESSAGE_WIDE)
+    env = D.message_envelopes_from_events(table(spark, d, "events"))
+    src = scratch_path(spark, "messages-batch")
+    env.write.parquet(src)
+    return decode_messages(read_messages(spark, {}, "parquet", src, env.schema), LOAN_MESSAGE)
+
+
+def q_stream_csv_restart(spark, d):
+    """A run, more messages, a restart on the same checkpoint, the result
+    table to CSV and back."""
+    env = D.message_envelopes_from_events(table(spark, d, "events"))
+    src, out, ckpt, csv = (scratch_path(spark, f"stream-{n}") for n in ("in", "out", "ckpt", "csv"))
+    for part in (F.col("timestamp") < F.lit(STREAM_SPLIT), F.col("timestamp") >= F.lit(STREAM_SPLIT)):
+        env.where(part).write.mode("append").parquet(src)
+        decode_stream_job(read_message_stream(spark, {}, "parquet", src, env.schema), out, ckpt, csv)
+    return read_snapshot(spark, csv, spark.read.parquet(out).schema)
 
 
 def q_message_decode_stream(spark, d):
     env = D.message_envelopes_from_events(table(spark, d, "events"))
     src = scratch_path(spark, "messages-in")
     env.write.mode("overwrite").parquet(src)
-    stream = spark.readStream.schema(env.schema).parquet(src)
+    stream = read_message_stream(spark, {}, "parquet", src, env.schema)
     out = scratch_path(spark, "messages-out")
-    run_available_now(decode_stream(stream, LOAN_MESSAGE_WIDE), out, scratch_path(spark, "messages-ckpt"))
+    run_available_now(decode_stream(stream, LOAN_MESSAGE), out, scratch_path(spark, "messages-ckpt"))
     return spark.read.parquet(out)
 
 
@@ -223,13 +331,27 @@ def q_nutrition_flat(spark, d):
     return nutrition_flat(xml.select(F.from_xml("xml", FOOD_XML).alias("food")), food_col="food")
 
 
+def q_pets_json_files(spark, d):
+    """The documents as JSON files, one object a line."""
+    path = scratch_path(spark, "pets-json")
+    D.pet_documents_from_parts(table(spark, d, "part")).select(F.col("doc").alias("value")).write.text(path)
+    return pets_flat(read_json_documents(spark, path, PETS_DOCUMENT, multi_line=False))
+
+
+def q_nutrition_xml_files(spark, d):
+    """The records as XML files."""
+    path = scratch_path(spark, "food-xml")
+    foods = D.food_xml_from_parts(table(spark, d, "part")).select(F.from_xml("xml", FOOD_XML).alias("f")).select("f.*")
+    foods.write.format("xml").option("rootTag", "nutrition").option("rowTag", "food").save(path)
+    return nutrition_flat(read_xml_records(spark, path, "food", FOOD_XML))
+
+
 def _orders_docs(spark, d):
-    return D.delivery_documents_from_lines(table(spark, d, "lineitem", spread=True), table(spark, d, "orders"))
+    return D.delivery_documents_from_orders(table(spark, d, "orders"), table(spark, d, "lineitem"))
 
 
 def q_order_headers(spark, d):
-    h = order_headers(_orders_docs(spark, d))
-    return h.withColumn("delivery_eta", F.col("delivery_eta").cast("timestamp_ntz"))
+    return order_headers(_orders_docs(spark, d))
 
 
 def q_synthetic_sessions(spark, d):
@@ -256,12 +378,11 @@ def q_order_items(spark, d):
 
 def q_order_item_totals(spark, d):
     t = order_item_totals(_orders_docs(spark, d))
-    return t.withColumn("items_subtotal", F.round("items_subtotal", 6))
+    return t.withColumn("items_subtotal", F.round("items_subtotal", 4))
 
 
 def q_order_status_steps(spark, d):
-    s = order_status_steps(_orders_docs(spark, d))
-    return s.withColumn("status_time", F.col("status_time").cast("timestamp_ntz"))
+    return order_status_steps(_orders_docs(spark, d))
 
 
 # =================================================================== contracts
@@ -292,6 +413,9 @@ def q_contract_violations(spark, d):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "loan_details": q_loan_details,
     "loan_region_stats": q_loan_region_stats,
+    "loan_region_order": q_loan_region_order,
+    "loans_csv": q_loans_csv,
+    "readings_csv": q_readings_csv,
     "temp_daily_full": q_temp_daily_full,
     "temp_extremes": q_temp_extremes,
     "temp_daily_incremental_7": _incremental(7),
@@ -305,14 +429,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tickets_insert_absent": q_tickets_insert_absent,
     "upsert_daily": q_upsert_daily,
     "strict_insert": q_strict_insert,
+    "upsert_daily_path": q_upsert_daily_path,
+    "strict_insert_path": q_strict_insert_path,
+    "users_two_feeds_path": q_users_two_feeds_path,
+    "append_twice": q_append_twice,
+    "replace_round_trip": q_replace_round_trip,
     "synthetic_calls": q_synthetic_calls,
     "synthetic_sessions": q_synthetic_sessions,
     "synthetic_tickets": q_synthetic_tickets,
     "calls_strict_insert": q_calls_strict_insert,
     "snapshot_copy": q_snapshot_copy,
+    "snapshot_documents": q_snapshot_documents,
+    "message_encode": q_message_encode,
+    "stream_csv_restart": q_stream_csv_restart,
     "message_decode": q_message_decode,
     "message_decode_stream": q_message_decode_stream,
     "pets_flat": q_pets_flat,
+    "pets_json_files": q_pets_json_files,
+    "nutrition_xml_files": q_nutrition_xml_files,
     "nutrition_flat": q_nutrition_flat,
     "order_headers": q_order_headers,
     "order_items": q_order_items,

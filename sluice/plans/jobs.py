@@ -21,12 +21,13 @@ from sluice.operators.loads import (
     upsert_to_path,
     write_csv,
     write_messages,
+    written_once,
 )
 from sluice.plans.documents import nutrition_flat, pets_flat
 from sluice.plans.loans import loan_details, loan_region_stats, read_loans
 from sluice.plans.messages import decode_messages, encode_messages
 from sluice.plans.readings import incremental_batch, prepare_readings, temp_daily_full, temp_extremes
-from sluice.plans.support import replicate_sessions, replicate_tickets, support_efficiency_mart, user_activity_mart
+from sluice.plans.support import replicate_sessions, replicate_tickets, support_efficiency_mart, user_activity_mart, user_ids
 from sluice.schemas import (
     FOOD_XML,
     PETS_DOCUMENT,
@@ -80,10 +81,9 @@ def load_temp_daily_incremental(
     schema = TEMP_DAILY_BY_MONTH
     target = read_or_empty(spark, table_path, schema)
     batch = incremental_batch(target.select(*TEMP_DAILY.names), _readings(spark, csv_path), as_of, days_back)
-    batch = batch.withColumn("month", F.date_format("date", "yyyy-MM")).checkpoint(eager=True)
-    if batch.isEmpty():
-        return 0
-    return upsert_to_path(spark, batch, table_path, ["date"], ["month"], schema)
+    batch = batch.withColumn("month", F.date_format("date", "yyyy-MM"))
+    with written_once(spark, batch, "daily-batch") as batch:
+        return 0 if batch.isEmpty() else upsert_to_path(spark, batch, table_path, ["date"], ["month"], schema)
 
 
 # X6, X7 — document collections -> relational tables (K4), users first
@@ -93,22 +93,23 @@ def replicate_sessions_job(spark: SparkSession, source: str, users_path: str, se
     docs = read_table(spark, fmt, source, USER_SESSION_DOC)
     if docs.isEmpty():
         return 0
-    sessions = replicate_sessions(docs).checkpoint(eager=True)
-    insert_if_absent_to_path(
-        spark, sessions.select("user_id").where(F.col("user_id").isNotNull()).distinct(), users_path, ["user_id"], USERS
-    )
-    return insert_if_absent_to_path(spark, sessions, sessions_path, ["session_id"], USER_SESSIONS_RAW)
+    with written_once(spark, replicate_sessions(docs), "sessions") as sessions:
+        _add_users(spark, users_path, sessions)
+        return insert_if_absent_to_path(spark, sessions, sessions_path, ["session_id"], USER_SESSIONS_RAW, unique=True)
+
+
+def _add_users(spark: SparkSession, users_path: str, *feeds: DataFrame) -> int:
+    """U2 + K4: users of all feeds that the table does not hold yet."""
+    return insert_if_absent_to_path(spark, user_ids(*feeds), users_path, ["user_id"], USERS, unique=True)
 
 
 def replicate_tickets_job(spark: SparkSession, source: str, users_path: str, tickets_path: str, fmt: str = "json") -> int:
     docs = read_table(spark, fmt, source, SUPPORT_TICKET_DOC)
     if docs.isEmpty():
         return 0
-    tickets = replicate_tickets(docs).checkpoint(eager=True)
-    insert_if_absent_to_path(
-        spark, tickets.select("user_id").where(F.col("user_id").isNotNull()).distinct(), users_path, ["user_id"], USERS
-    )
-    return insert_if_absent_to_path(spark, tickets, tickets_path, ["ticket_id"], SUPPORT_TICKETS)
+    with written_once(spark, replicate_tickets(docs), "tickets") as tickets:
+        _add_users(spark, users_path, tickets)
+        return insert_if_absent_to_path(spark, tickets, tickets_path, ["ticket_id"], SUPPORT_TICKETS, unique=True)
 
 
 # X8, X9 — mart rebuilds (K5)
@@ -121,10 +122,10 @@ def rebuild_marts(spark: SparkSession, sessions_path: str, tickets_path: str, ac
 
 # X10, X11 — loans CSV -> details + region stats CSV (K6)
 def loans_job(spark: SparkSession, input_path: str, output_path: str, as_of: str | None = None) -> int:
-    """Details are materialised once (checkpoint in the shared folder), then
-    both outputs are written from them — the input is not re-read per output."""
+    """Two scans of the input, one per output: the details are a projection, so that
+    keeping a full copy of them would cost more than reading the file again."""
     out = output_path.rstrip("/")
-    details = loan_details(read_loans(spark, input_path), as_of).checkpoint(eager=True)
+    details = loan_details(read_loans(spark, input_path), as_of)
     observed, n = counted(details)
     write_csv(observed, f"{out}/details")
     write_csv(loan_region_stats(details), f"{out}/region_stats")

@@ -16,10 +16,10 @@ SMALL_BELOW = 300000
 MEDIUM_BELOW = 700000
 
 
-def read_loans(spark: SparkSession, path: str, lenient: bool = False) -> DataFrame:
+def read_loans(spark: SparkSession, path: str, lenient: bool = False, missing: tuple[str, ...] = ("",)) -> DataFrame:
     """S4 + P9 + P10: header CSV as text, then typed (strict casts raise on
-    junk; ``lenient`` turns junk into NULL)."""
-    raw = read_csv(spark, path, LOANS_INPUT_TEXT, header=True, mode="FAILFAST")
+    junk; ``lenient`` turns junk into NULL).  ``missing``: texts read as NULL."""
+    raw = read_csv(spark, path, LOANS_INPUT_TEXT, missing=missing)
     return type_loans(raw, lenient=lenient)
 
 
@@ -30,7 +30,7 @@ def type_loans(raw: DataFrame, lenient: bool = False) -> DataFrame:
 
     issue = F.trim(F.col("issue_date"))
     return raw.select(
-        num("loan_id", "int").alias("loan_id"),
+        num("loan_id", "bigint").alias("loan_id"),
         F.col("borrower_name"),
         num("loan_amount", "double").alias("loan_amount"),
         num("interest_rate", "double").alias("interest_rate"),

@@ -33,7 +33,7 @@ def _daily(src: str, name: str) -> str:
 {name}_t AS (SELECT s.date, s.temp FROM {src} s, {name}_b b WHERE s.temp >= b.lo AND s.temp <= b.hi),
 {name} AS (
   SELECT date, {_np('avg(temp)')} AS avg_temp, {_np('min(temp)')} AS min_temp, {_np('max(temp)')} AS max_temp,
-         CAST(count(temp) AS INTEGER) AS reading_count
+         count(temp) AS reading_count
   FROM {name}_t WHERE date IS NOT NULL GROUP BY date)"""
 
 
@@ -57,28 +57,42 @@ _SESSIONS = f"""s AS (
               WHEN value < 20 THEN []::VARCHAR[]
               ELSE list_transform(range(1 + user_id % 5), lambda j: ({_list(ACTIONS)})[((event_id + j) % 5) + 1]) END AS actions
   FROM events),
-sess AS (
-  SELECT user_id, start_time, pages_visited, actions, CAST(date_trunc('day', start_time) AS DATE) AS activity_date,
-         CAST(epoch_us(end_time) - epoch_us(start_time) AS DOUBLE) / 60000000.0 AS duration
-  FROM s),
-agg AS (
-  SELECT user_id, activity_date, count(DISTINCT start_time) AS session_count, avg(duration) AS avg_session_min
-  FROM sess GROUP BY user_id, activity_date)"""
+days AS (
+  SELECT user_id, CAST(start_time AS DATE) AS activity_date, start_time, pages_visited, actions,
+         (epoch_us(end_time) - epoch_us(start_time)) / CAST(60000000.0 AS DOUBLE) AS minutes
+  FROM s)"""
 
 
-def _top(src: str, col: str, name: str) -> str:
-    return f"""{name} AS (
-  SELECT user_id, activity_date, {col},
-         row_number() OVER (PARTITION BY user_id, activity_date ORDER BY count(*) DESC, {col} ASC NULLS LAST) AS rn
-  FROM {src} GROUP BY user_id, activity_date, {col})"""
+def _favourite(lists: str, out: str) -> str:
+    """Per user and day the item with most hits in ``lists`` (user_id, activity_date,
+    item): the least of (-hits, item is missing, item)."""
+    return f"""{out} AS (
+  SELECT user_id, activity_date, min({{'h': -hits, 'missing': item IS NULL, 'item': item}}).item AS item FROM (
+    SELECT user_id, activity_date, item, count(*) AS hits FROM {lists} GROUP BY ALL) GROUP BY ALL)"""
 
 
-_MART_SELECT = f"""
-SELECT a.user_id, a.session_count, {_r('a.avg_session_min', 6)} AS avg_session_min, a.activity_date,
-       tp.page AS most_popular_page, ta.action AS most_popular_action
-FROM agg a
-LEFT JOIN tp ON a.user_id = tp.user_id AND a.activity_date = tp.activity_date AND tp.rn = 1
-LEFT JOIN ta ON a.user_id = ta.user_id AND a.activity_date = ta.activity_date AND ta.rn = 1"""
+def _activity(pages: str, actions: str) -> str:
+    """The activity mart from rows of viewed pages and of actions."""
+    return f"""WITH {_SESSIONS},
+pages AS ({pages}),
+acts AS ({actions}),
+{_favourite('pages', 'page_of')},
+{_favourite('acts', 'action_of')}
+SELECT user_id, activity_date, count(DISTINCT start_time) AS session_count, {_r('avg(minutes)', 6)} AS avg_session_min,
+       (SELECT item FROM page_of p WHERE p.user_id = d.user_id AND p.activity_date = d.activity_date) AS most_popular_page,
+       (SELECT item FROM action_of a WHERE a.user_id = d.user_id AND a.activity_date = d.activity_date) AS most_popular_action
+FROM days d GROUP BY user_id, activity_date"""
+
+
+def _padded(own: str, other: str) -> str:
+    """Items of one list; as the other list runs along with it, missing ones up to its length."""
+    return f"""SELECT user_id, activity_date, unnest(list_resize(coalesce({own}, []),
+    greatest(len(coalesce({own}, [])), len(coalesce({other}, []))))) AS item FROM days"""
+
+
+def _bare(own: str) -> str:
+    return f"SELECT user_id, activity_date, unnest({own}) AS item FROM days"
+
 
 _ISO_S = "'%Y-%m-%dT%H:%M:%SZ'"
 
@@ -89,14 +103,14 @@ def _daily_orders(where: str) -> str:
 
 
 def _calls(where: str = "TRUE") -> str:
-    return f"""SELECT printf('call_20260501_%06d', o_orderkey) AS call_id,
-       TIMESTAMP '{C.D.CALL_DAY_START}' + to_seconds((o_orderkey * 7919) % 86401) AS call_time,
-       'client_' || (1000 + (o_custkey * 31) % 9000) AS client_id,
+    return f"""SELECT printf('c-%09d', o_orderkey) AS call_id,
+       TIMESTAMP '{C.D.CALL_DAY_START}' + to_seconds((o_orderkey * 7919) % 80000) AS call_time,
+       'client_' || (20000 + (o_custkey * 31) % 70000) AS client_id,
        ({_list(REGIONS)})[(o_orderkey % 5) + 1] AS region_code,
        ({_list(CAMPAIGNS)})[(o_custkey % 4) + 1] AS campaign_type,
        ({_list(CALL_STATUSES)})[((o_orderkey // 7) % 3) + 1] AS call_status,
        ({_list(CLIENT_RESPONSES)})[((o_orderkey + o_custkey) % 4) + 1] AS client_response,
-       CAST((o_orderkey * 13) % 601 AS INTEGER) AS duration_sec,
+       CAST((o_orderkey * 13) % 900 AS INTEGER) AS duration_sec,
        ((o_orderkey + o_custkey) % 2) = 0 AS follow_up_required
 FROM orders WHERE {where}"""
 
@@ -133,23 +147,18 @@ FROM l""",
 SELECT region, count(*) AS total_loans, {_r('sum(loan_amount)', 2)} AS total_amount,
        {_r('avg(loan_amount)', 2)} AS avg_amount, {_r('avg(interest_rate)', 2)} AS avg_rate,
        CAST(sum(CASE WHEN status = 'overdue' THEN 1 ELSE 0 END) AS BIGINT) AS problem_loans
+FROM l GROUP BY region""",
+    "loan_region_order": f"""WITH {_LOANS}
+SELECT region, {_r('sum(loan_amount)', 2)} AS total_amount,
+       row_number() OVER (ORDER BY {_r('sum(loan_amount)', 2)} DESC, region ASC NULLS LAST) AS place
 FROM l GROUP BY region""",
     "temp_daily_full": f"WITH {_READINGS}, {_daily('r', 'daily')}\nSELECT * FROM daily",
     "temp_extremes": f"""WITH {_READINGS}, {_daily('r', 'daily')}
 (SELECT *, 'hottest' AS type FROM daily ORDER BY avg_temp DESC, date ASC LIMIT 5)
 UNION ALL
 (SELECT *, 'coldest' AS type FROM daily ORDER BY avg_temp ASC, date ASC LIMIT 5)""",
-    "user_activity": f"""WITH {_SESSIONS},
-un AS (SELECT user_id, activity_date, unnest(pages_visited) AS page, unnest(actions) AS action FROM sess),
-{_top('un', 'page', 'tp')},
-{_top('un', 'action', 'ta')}
-{_MART_SELECT}""",
-    "user_activity_unpadded": f"""WITH {_SESSIONS},
-up AS (SELECT user_id, activity_date, unnest(pages_visited) AS page FROM sess),
-ua AS (SELECT user_id, activity_date, unnest(actions) AS action FROM sess),
-{_top('up', 'page', 'tp')},
-{_top('ua', 'action', 'ta')}
-{_MART_SELECT}""",
+    "user_activity": _activity(_padded("pages_visited", "actions"), _padded("actions", "pages_visited")),
+    "user_activity_unpadded": _activity(_bare("pages_visited"), _bare("actions")),
     "support_efficiency": f"""WITH ls AS (SELECT l_orderkey, max(l_shipdate) AS last_ship FROM lineitem GROUP BY l_orderkey),
 t AS (
   SELECT o_orderpriority AS issue_type, {_TICKET_STATUS} AS status,
@@ -193,7 +202,7 @@ new AS ({_TICKET_ROWS.format(status=_TICKET_STATUS, where="o_orderdate >= TIMEST
 SELECT * FROM old
 UNION ALL
 SELECT * FROM new WHERE ticket_id NOT IN (SELECT ticket_id FROM old)""",
-    "upsert_daily": f"""WITH tgt AS ({_daily_orders("o_orderstatus = 'F' AND o_orderdate < TIMESTAMP '" + C.DAILY_TARGET_END + "'")}),
+    "upsert_daily": f"""WITH tgt AS ({_daily_orders("o_orderdate < TIMESTAMP '" + C.DAILY_TARGET_END + "'")}),
 bat AS ({_daily_orders("o_orderdate >= TIMESTAMP '" + C.DAILY_BATCH_START + "'")})
 SELECT * FROM tgt WHERE date NOT IN (SELECT date FROM bat)
 UNION ALL
@@ -234,32 +243,6 @@ SELECT p_name || ' junior', p_type, 2020, 'kibble', NULL FROM part WHERE p_size
        p_retailprice / 100 AS min_ca,
        CAST(p_size % 10 AS DOUBLE) AS min_fe
 FROM part""",
-    "order_items": f"""WITH {_LINE_DOCS},
-m AS (
-  SELECT {_ORDER_ID} AS order_id, 0 AS item_pos, CAST(l_partkey AS VARCHAR) AS dish_id, 'Part ' || l_partkey AS dish_name,
-         CAST(trunc(l_quantity) AS INTEGER) AS quantity, l_extendedprice AS price, l_discount, l_tax, l_returnflag
-  FROM j)
-SELECT order_id, item_pos, dish_id, dish_name, quantity, price, 'Discount' AS addon_name, l_discount AS addon_price
-FROM m WHERE l_discount > 0.05
-UNION ALL
-SELECT order_id, item_pos, dish_id, dish_name, quantity, price, 'Tax', l_tax FROM m WHERE l_discount > 0.02
-UNION ALL
-SELECT order_id, item_pos, dish_id, dish_name, quantity, price, NULL, NULL FROM m WHERE coalesce(l_discount > 0.02, false) = false
-UNION ALL
-SELECT order_id, 1, 'bag', 'Delivery bag', 1, 0.5, NULL, NULL FROM m WHERE l_returnflag = 'R'""",
-    "order_item_totals": f"""WITH {_LINE_DOCS}
-SELECT {_ORDER_ID} AS order_id, CASE WHEN l_returnflag = 'R' THEN 2 ELSE 1 END AS n_items,
-       {_r("CAST(trunc(l_quantity) AS INTEGER) * (l_extendedprice + CASE WHEN l_discount > 0.05 THEN l_discount + l_tax WHEN l_discount > 0.02 THEN l_tax ELSE 0.0 END) + CASE WHEN l_returnflag = 'R' THEN 0.5 ELSE 0.0 END", 6)} AS items_subtotal
-FROM j""",
-    "order_status_steps": f"""WITH {_LINE_DOCS}
-SELECT {_ORDER_ID} AS order_id, 0 AS step, 'created' AS status, o_orderdate AS status_time,
-       CAST(NULL AS VARCHAR) AS prev_status, CAST(NULL AS DOUBLE) AS minutes_since_prev FROM j
-UNION ALL
-SELECT {_ORDER_ID}, 1, 'shipped', l_shipdate, 'created',
-       CAST(epoch_us(l_shipdate) - epoch_us(o_orderdate) AS DOUBLE) / 60000000.0 FROM j
-UNION ALL
-SELECT {_ORDER_ID}, 2, 'delivered', l_shipdate + to_minutes(l_linenumber * 15), 'shipped',
-       CAST(l_linenumber * 15 AS DOUBLE) FROM j""",
     "contract_violations": """SELECT 'lineitem_pk' AS check_name, count(*) AS n_violations FROM (
   SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY l_orderkey, l_linenumber
   HAVING count(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL)
@@ -280,15 +263,52 @@ UNION ALL SELECT 'part_name_len', count(*) FROM part WHERE length(p_name) > 10""
 
 _ISO_US = "'%Y-%m-%dT%H:%M:%S.%fZ'"
 
-ORACLE_SQL["order_headers"] = f"""WITH {_LINE_DOCS}
-SELECT {_ORDER_ID} AS order_id, CAST(o_orderdate AS DATE) AS order_date, 'success' AS response_status,
+_LINES = """l AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS order_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber,
+           CAST(l_partkey AS VARCHAR), CAST(CAST(trunc(l_quantity) AS INTEGER) AS VARCHAR) || 'x', l_extendedprice) - 1 AS item_pos,
+         CAST(l_partkey AS VARCHAR) AS dish_id, 'Part ' || l_partkey AS dish_name, CAST(trunc(l_quantity) AS INTEGER) AS quantity,
+         l_extendedprice AS price, l_discount, l_tax, l_returnflag
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+bags AS (SELECT order_id, count(*) AS item_pos FROM l GROUP BY order_id HAVING bool_or(l_returnflag = 'R')),
+ships AS (SELECT l_orderkey AS k, min(l_shipdate) AS shipped, max(l_shipdate) AS delivered, min(l_suppkey) AS supplier,
+            max(l_tax) AS fee FROM lineitem GROUP BY 1)"""
+
+ORACLE_SQL["order_headers"] = f"""WITH {_LINES}
+SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_orderdate AS DATE) AS order_date, 'success' AS response_status,
        CAST(o_custkey AS VARCHAR) AS customer_id, 'Customer ' || o_custkey AS customer_name,
        'City' || (o_custkey % 10) AS customer_city,
-       CAST(l_suppkey AS VARCHAR) AS restaurant_id, 'Supplier ' || l_suppkey AS restaurant_name,
-       'courier' AS delivery_type, l_shipdate + INTERVAL 30 MINUTE AS delivery_eta, l_tax * 100 AS delivery_fee,
+       CAST(supplier AS VARCHAR) AS restaurant_id, 'Supplier ' || supplier AS restaurant_name,
+       'courier' AS delivery_type, shipped + INTERVAL 30 MINUTE AS delivery_eta, fee * 100 AS delivery_fee,
        CASE WHEN starts_with(o_orderpriority, '1') THEN 'card' ELSE 'cash' END AS payment_method,
        o_totalprice AS payment_total, 'USD' AS currency
-FROM j"""
+FROM orders LEFT JOIN ships ON k = o_orderkey"""
+
+ORACLE_SQL["order_items"] = f"""WITH {_LINES}
+SELECT order_id, CAST(item_pos AS INTEGER) AS item_pos, dish_id, dish_name, quantity, price,
+       CASE WHEN a IS NULL THEN NULL WHEN a = 'd' THEN 'Discount' ELSE 'Tax' END AS addon_name,
+       CASE WHEN a = 'd' THEN l_discount WHEN a = 't' THEN l_tax END AS addon_price
+FROM (SELECT *, unnest(CASE WHEN l_discount > 0.05 THEN ['d', 't'] WHEN l_discount > 0.02 THEN ['t'] ELSE [NULL] END) AS a FROM l)
+UNION ALL
+SELECT order_id, CAST(item_pos AS INTEGER), 'bag', 'Delivery bag', 1, 0.5, NULL, NULL FROM bags"""
+
+ORACLE_SQL["order_item_totals"] = f"""WITH {_LINES}
+SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
+       CAST(count(l.order_id) + count(DISTINCT bags.order_id) AS INTEGER) AS n_items,
+       {_r("coalesce(sum(quantity * (price + CASE WHEN l_discount > 0.05 THEN l_discount + l_tax WHEN l_discount > 0.02 THEN l_tax ELSE 0 END)), 0) + 0.5 * count(DISTINCT bags.order_id)", 4)} AS items_subtotal
+FROM orders LEFT JOIN l ON l.order_id = CAST(o_orderkey AS VARCHAR) LEFT JOIN bags ON bags.order_id = l.order_id
+GROUP BY o_orderkey"""
+
+ORACLE_SQL["order_status_steps"] = """WITH t AS (
+  SELECT o_orderkey, o_orderdate, min(l_shipdate) AS shipped, max(l_shipdate) + INTERVAL 15 MINUTE AS delivered
+  FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2)
+SELECT CAST(o_orderkey AS VARCHAR) AS order_id, 0 AS step, 'created' AS status, o_orderdate AS status_time,
+       CAST(NULL AS VARCHAR) AS prev_status, CAST(NULL AS DOUBLE) AS minutes_since_prev FROM t
+UNION ALL
+SELECT CAST(o_orderkey AS VARCHAR), 1, 'shipped', shipped, 'created',
+       (epoch_us(shipped) - epoch_us(o_orderdate)) / CAST(60000000.0 AS DOUBLE) FROM t WHERE shipped IS NOT NULL
+UNION ALL
+SELECT CAST(o_orderkey AS VARCHAR), 2, 'delivered', delivered, 'shipped',
+       (epoch_us(delivered) - epoch_us(shipped)) / CAST(60000000.0 AS DOUBLE) FROM t WHERE shipped IS NOT NULL"""
 
 ORACLE_SQL["synthetic_sessions"] = f"""SELECT 's' || event_id AS session_id, 'user_' || user_id AS user_id,
        strftime(ts, {_ISO_US}) AS start_time,
@@ -323,3 +343,17 @@ SELECT * FROM bat"""
 
 ORACLE_SQL["temp_daily_incremental_7"] = _incremental_sql(7)
 ORACLE_SQL["temp_daily_incremental_15"] = _incremental_sql(15)
+ORACLE_SQL["readings_csv"] = ORACLE_SQL["temp_daily_full"]
+ORACLE_SQL["loans_csv"] = ORACLE_SQL["loan_details"]
+ORACLE_SQL["upsert_daily_path"] = ORACLE_SQL["upsert_daily"]
+ORACLE_SQL["strict_insert_path"] = ORACLE_SQL["strict_insert"]
+ORACLE_SQL["users_two_feeds_path"] = """SELECT 'user_' || o_custkey AS user_id FROM orders
+UNION SELECT 'user_' || user_id FROM events WHERE user_id IS NOT NULL"""
+ORACLE_SQL["snapshot_documents"] = "SELECT doc_id, text, lang, source FROM documents"
+ORACLE_SQL["append_twice"] = """SELECT c_custkey, c_name, count(*) AS copies FROM (
+  SELECT * FROM customer UNION ALL SELECT * FROM customer) GROUP BY ALL"""
+ORACLE_SQL["replace_round_trip"] = "SELECT c_custkey, c_name, c_nationkey FROM customer"
+ORACLE_SQL["message_encode"] = """SELECT '{"c_custkey":' || c_custkey || ',"c_nationkey":' || c_nationkey || '}' AS value FROM customer"""
+ORACLE_SQL["stream_csv_restart"] = _MESSAGES
+ORACLE_SQL["pets_json_files"] = ORACLE_SQL["pets_flat"]
+ORACLE_SQL["nutrition_xml_files"] = ORACLE_SQL["nutrition_flat"]

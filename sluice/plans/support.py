@@ -20,7 +20,7 @@ def _as_ts(df: DataFrame, c: str):
     """ISO text -> timestamp without zone (UTC wall clock, as the relational
     target stores it); timestamps pass through."""
     if dict(df.dtypes)[c] == "string":
-        return parse_iso(F.col(c)).cast("timestamp_ntz")
+        return parse_iso(F.col(c))
     return F.col(c)
 
 
@@ -42,7 +42,7 @@ def replicate_sessions(docs: DataFrame, order_by: Sequence[str] | None = None) -
 
 def replicate_tickets(docs: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
     """X7 body: P3 -> A14 -> F6 -> P19 -> P2 (``messages`` is dropped)."""
-    docs = drop_technical_id(docs)
+    docs = drop_technical_id(docs).drop("messages")
     unique = dedupe_first(docs, ["ticket_id"], order_by or [c for c in docs.columns if c != "ticket_id"])
     created, updated = _as_ts(unique, "created_at"), _as_ts(unique, "updated_at")
     return unique.select(
@@ -55,11 +55,16 @@ def replicate_tickets(docs: DataFrame, order_by: Sequence[str] | None = None) ->
 def load_users(users: DataFrame, *feeds: DataFrame) -> DataFrame:
     """U2 + K4 on the users dimension: distinct ``user_id`` of all feeds not
     yet present (NULL ids are not keys and are skipped)."""
+    return insert_if_absent(users, user_ids(*feeds), ["user_id"])
+
+
+def user_ids(*feeds: DataFrame) -> DataFrame:
+    """The distinct, non-NULL user ids of all feeds together."""
     incoming = None
     for f in feeds:
         ids = f.select("user_id").where(F.col("user_id").isNotNull())
         incoming = ids if incoming is None else incoming.unionByName(ids)
-    return insert_if_absent(users, incoming.distinct(), ["user_id"])
+    return incoming.distinct()
 
 
 def user_activity_mart(sessions: DataFrame, ignore_padding: bool = False) -> DataFrame:
@@ -85,7 +90,7 @@ def user_activity_mart(sessions: DataFrame, ignore_padding: bool = False) -> Dat
         "user_id", "start_time", "duration",
         F.coalesce("pages_visited", F.array().cast("array<string>")).alias("_p"),
         F.coalesce("actions", F.array().cast("array<string>")).alias("_a"),
-        F.to_date(F.date_trunc("day", "start_time")).alias("activity_date"),
+        F.to_date("start_time").alias("activity_date"),
     )
 
     def row(kind: str, item, dur=None):

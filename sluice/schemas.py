@@ -17,6 +17,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampNTZType,
     TimestampType,
 )
 
@@ -93,7 +94,7 @@ TEMP_DAILY = _s(
     _f("avg_temp", DoubleType()),
     _f("min_temp", DoubleType()),
     _f("max_temp", DoubleType()),
-    _f("reading_count", IntegerType()),
+    _f("reading_count", LongType()),
 )
 TEMP_EXTREMES = _s(*TEMP_DAILY.fields, _f("type", StringType()))
 # T7 as stored by the incremental load: partitioned by month ("yyyy-MM")
@@ -127,8 +128,8 @@ USERS = _s(_f("user_id", StringType(), False))
 USER_SESSIONS_RAW = _s(
     _f("session_id", StringType(), False),
     _f("user_id", StringType()),
-    _f("start_time", TimestampType(), False),
-    _f("end_time", TimestampType()),
+    _f("start_time", TimestampNTZType(), False),
+    _f("end_time", TimestampNTZType()),
     _f("pages_visited", ArrayType(StringType())),
     _f("device", StringType()),
     _f("actions", ArrayType(StringType())),
@@ -139,8 +140,8 @@ SUPPORT_TICKETS = _s(
     _f("user_id", StringType()),
     _f("status", StringType()),
     _f("issue_type", StringType()),
-    _f("created_at", TimestampType()),
-    _f("updated_at", TimestampType()),
+    _f("created_at", TimestampNTZType()),
+    _f("updated_at", TimestampNTZType()),
     _f("resolution_time_hours", DoubleType()),
 )
 
@@ -163,7 +164,7 @@ SUPPORT_EFFICIENCY_MART = _s(
 
 # T15 — loans input (CSV)
 LOANS_INPUT = _s(
-    _f("loan_id", IntegerType()),
+    _f("loan_id", LongType()),
     _f("borrower_name", StringType()),
     _f("loan_amount", DoubleType()),
     _f("interest_rate", DoubleType()),
@@ -177,13 +178,6 @@ LOANS_INPUT_TEXT = _s(*[_f(f.name, StringType()) for f in LOANS_INPUT.fields])
 
 # T18 — loan message value; T19 — message envelope
 LOAN_MESSAGE = _s(
-    _f("loan_id", IntegerType()),
-    _f("borrower", StringType()),
-    _f("amount", LongType()),
-    _f("status", StringType()),
-)
-# Same message with 64-bit ids (event ids outgrow INT at scale).
-LOAN_MESSAGE_WIDE = _s(
     _f("loan_id", LongType()),
     _f("borrower", StringType()),
     _f("amount", LongType()),

@@ -2,20 +2,15 @@ from sluice.sources.files import (
     drop_technical_id,
     high_water_mark,
     kafka_options,
-    named_table,
-    parse_json_documents,
-    parse_xml_records,
     read_csv,
     read_json_documents,
     read_message_stream,
     read_messages,
     read_table,
     read_xml_records,
-    rows_frame,
 )
 
 __all__ = [
-    "drop_technical_id", "high_water_mark", "kafka_options", "named_table", "parse_json_documents",
-    "parse_xml_records", "read_csv", "read_json_documents", "read_message_stream", "read_messages",
-    "read_table", "read_xml_records", "rows_frame",
+    "drop_technical_id", "high_water_mark", "kafka_options", "read_csv", "read_json_documents",
+    "read_message_stream", "read_messages", "read_table", "read_xml_records",
 ]

@@ -4,11 +4,11 @@ that Spark ships (JSON, XML, CSV, Parquet, JDBC, Kafka) go through
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 # S1 / S13 — JSON documents
@@ -17,11 +17,6 @@ def read_json_documents(spark: SparkSession, path: str, schema: StructType, mult
     return spark.read.schema(schema).option("multiLine", str(multi_line).lower()).json(path)
 
 
-def parse_json_documents(text: Column, schema: StructType) -> Column:
-    """Column form of S1: JSON text -> struct."""
-    return F.from_json(text, schema)
-
-
 # S2 — XML records
 def read_xml_records(
     spark: SparkSession, path: str, row_tag: str, schema: StructType, mode: str = "FAILFAST"
@@ -38,29 +33,45 @@ def read_xml_records(
     )
 
 
-def parse_xml_records(text: Column, schema: StructType) -> Column:
-    """Column form of S2: one element's XML text -> struct."""
-    return F.from_xml(text, schema)
+# S3 / S4 — CSV
+# Texts that the pandas reader takes as missing by default.
+MISSING_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
 
 
-# S3 / S4 — CSV
 def read_csv(
     spark: SparkSession,
     path: str,
     schema: StructType,
-    header: bool = True,
     mode: str = "FAILFAST",
     encoding: str = "UTF-8",
+    missing: Sequence[str] = MISSING_TOKENS,
 ) -> DataFrame:
-    """Typed CSV scan (no inference pass).  Read numbers as text and type them
-    afterwards when malformed values must be handled per column."""
-    return (
-        spark.read.schema(schema)
-        .option("header", str(header).lower())
-        .option("mode", mode)
-        .option("encoding", encoding)
-        .csv(path)
-    )
+    """CSV with a header, columns bound by NAME and then typed as ``schema``.
+
+    The header of the first file gives the columns' order (one line is read); the
+    scan itself is all text and each further file's header must agree
+    (``enforceSchema=false``).  Columns that ``schema`` does not name are never
+    parsed beyond splitting; a column that the file lacks is an error.  Texts in
+    ``missing`` become NULL before typing, whatever their column; any other text
+    that is not of its type raises.
+    """
+    opts = {"header": "true", "mode": mode, "encoding": encoding}
+    names = spark.read.options(**opts).csv(path).columns
+    absent = [f.name for f in schema.fields if f.name not in names]
+    if absent:
+        raise ValueError(f"CSV at {path} lacks the columns {absent}")
+    text = StructType([StructField(n, StringType()) for n in names])
+    raw = spark.read.schema(text).options(**opts).option("enforceSchema", "false").csv(path)
+
+    def typed(f: StructField) -> Column:
+        value = F.col(f"`{f.name}`")
+        value = F.when(~value.isin(*missing), value) if missing else value
+        return (value if isinstance(f.dataType, StringType) else F.trim(value).cast(f.dataType)).alias(f.name)
+
+    return raw.select(*[typed(f) for f in schema.fields])
 
 
 # S5 / S7 / S11 — collection / table scans
@@ -111,66 +122,18 @@ def kafka_options(
     return opts
 
 
-def read_messages(spark: SparkSession, options: dict[str, str], fmt: str = "kafka") -> DataFrame:
+def read_messages(
+    spark: SparkSession, options: dict[str, str], fmt: str = "kafka", path: str | None = None, schema: StructType | None = None
+) -> DataFrame:
     """Batch read of a topic -> envelope (``key, value, topic, partition, offset,
-    timestamp, ...``)."""
-    return spark.read.format(fmt).options(**options).load()
+    timestamp, ...``); with ``path`` and ``schema``, of envelopes kept in files."""
+    r = spark.read.format(fmt).options(**options)
+    return (r.schema(schema) if schema is not None else r).load(*([path] if path else []))
 
 
-def read_message_stream(spark: SparkSession, options: dict[str, str], fmt: str = "kafka") -> DataFrame:
-    """Unbounded read of a topic; same envelope as ``read_messages``."""
-    return spark.readStream.format(fmt).options(**options).load()
-
-
-# S10 — in-memory rows
-def rows_frame(spark: SparkSession, rows: Iterable[Row | tuple | dict], schema: StructType | str | None = None) -> DataFrame:
-    return spark.createDataFrame(list(rows), schema)
-
-
-# S12 — query a named (streaming result) table
-def named_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.table(f"`{name}`")
-
-
-# Input parallelism guard
-def input_bytes(spark: SparkSession, df: DataFrame) -> int:
-    """Total size of the files behind a file-based DataFrame."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for f in df.inputFiles():
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        total += p.getFileSystem(conf).getFileStatus(p).getLen()
-    return int(total)
-
-
-def read_parquet_spread(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
-    """Parquet scan that still uses every core when the input is tiny.
-
-    A file with a single row group is read by one task no matter how it is
-    split, so per-row work on it would run single-threaded.  When the whole
-    input is at most one split (``spark.sql.files.maxPartitionBytes``) and has
-    fewer files than cores, rows are spread round-robin over the default
-    parallelism — a shuffle of at most one split.  Larger inputs (the normal
-    case at scale: many files, many row groups) are returned untouched, so the
-    guard never adds a shuffle to a big scan.
-    """
-    df = spark.read.parquet(path)
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if len(files) >= target:
-        return df
-    limit = parse_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    if input_bytes(spark, df) <= limit:
-        return df.repartition(target)
-    return df
-
-
-def parse_bytes(text: str) -> int:
-    """'134217728', '128m', '1g', '64k', '512b' -> bytes."""
-    t = text.strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40}
-    for suffix in sorted(units, key=len, reverse=True):
-        if t.endswith(suffix) and t[: -len(suffix)].strip().isdigit():
-            return int(t[: -len(suffix)]) * units[suffix]
-    return int(t)
+def read_message_stream(
+    spark: SparkSession, options: dict[str, str], fmt: str = "kafka", path: str | None = None, schema: StructType | None = None
+) -> DataFrame:
+    """Unbounded read of a topic or a folder; same envelope as ``read_messages``."""
+    r = spark.readStream.format(fmt).options(**options)
+    return (r.schema(schema) if schema is not None else r).load(*([path] if path else []))

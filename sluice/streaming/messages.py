@@ -29,11 +29,12 @@ def run_available_now(
     checkpoint_path: str,
     fmt: str = "parquet",
     query_name: str | None = None,
-    timeout_sec: float | None = 600,
+    timeout_sec: float | None = None,
 ) -> StreamingQuery:
     """R4 + R6 + R7: drain everything available, append to a file sink, stop.
 
-    The checkpoint records consumed offsets/files, so a rerun emits only what
+    A backlog of any size is drained: there is no time limit unless ``timeout_sec``
+    is given.  The checkpoint records consumed offsets/files, so a rerun emits only what
     arrived since (exactly-once with the file sink's commit log).
     """
     w = (
@@ -45,7 +46,7 @@ def run_available_now(
     if query_name:
         w = w.queryName(query_name)
     q = w.start(sink_path)
-    q.awaitTermination(timeout_sec)
+    q.awaitTermination() if timeout_sec is None else q.awaitTermination(timeout_sec)
     if q.isActive:
         q.stop()
         raise TimeoutError(f"stream {query_name or sink_path} did not finish in {timeout_sec}s")

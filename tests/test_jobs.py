@@ -67,10 +67,10 @@ def test_replication_and_marts(spark, tmp_dir):
 
 def test_loans_job(spark, tmp_dir):
     out = os.path.join(tmp_dir, "loans_out")
-    assert jobs.loans_job(spark, os.path.join(FIXTURES, "loans_sample.csv"), out, "2025-01-01") == 52
+    assert jobs.loans_job(spark, os.path.join(FIXTURES, "loans_sample.csv"), out, "2025-01-01") == 40
     stats = spark.read.option("header", "true").csv(f"{out}/region_stats")
-    assert stats.count() == 14
-    assert spark.read.option("header", "true").csv(f"{out}/details").count() == 52
+    assert stats.count() == 7
+    assert spark.read.option("header", "true").csv(f"{out}/details").count() == 40
 
 
 def test_decode_jobs(spark, tmp_dir):

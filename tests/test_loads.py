@@ -61,7 +61,7 @@ def test_upsert_to_path_dynamic_partitions(spark, tmp_dir):
     # idempotent
     upsert_to_path(spark, b2, path, ["k"], ["part"], schema)
     assert sorted((r["k"], r["v"], r["part"]) for r in read_or_empty(spark, path, schema).collect()) == got
-    with pytest.raises(ValueError):
+    with pytest.raises(Exception, match="duplicate primary key"):
         upsert_to_path(spark, spark.createDataFrame([(9, "x", "p1"), (9, "y", "p1")], schema), path, ["k"], ["part"], schema)
 
 
@@ -73,7 +73,44 @@ def test_insert_if_absent_and_strict_insert_to_path(spark, tmp_dir):
     assert insert_if_absent_to_path(spark, spark.createDataFrame([(1, "a"), (2, "b")], schema), path, ["k"], schema) == 2
     assert insert_if_absent_to_path(spark, spark.createDataFrame([(2, "B"), (3, "c")], schema), path, ["k"], schema) == 1
     assert sorted(tuple(r) for r in read_or_empty(spark, path, schema).collect()) == [(1, "a"), (2, "b"), (3, "c")]
-    with pytest.raises(ValueError):
+    with pytest.raises(Exception, match="duplicate primary key"):
         strict_insert_to_path(spark, spark.createDataFrame([(3, "x")], schema), path, ["k"], schema)
     assert read_or_empty(spark, path, schema).count() == 3  # nothing written
     assert strict_insert_to_path(spark, spark.createDataFrame([(4, "d")], schema), path, ["k"], schema) == 1
+
+
+def test_key_rules_are_in_the_plan(spark, tmp_dir):
+    t = spark.createDataFrame([(1, "a", "x")], SCHEMA)
+    twice = spark.createDataFrame([(5, "a", "z"), (5, "b", "w")], SCHEMA)
+    null = spark.createDataFrame([(None, "a", "z")], SCHEMA)
+    for bad in (twice, null):
+        for empty in (t, t.where("k > 9")):
+            with pytest.raises(Exception, match="duplicate primary key or NULL key"):
+                upsert(empty, bad, ["k"]).collect()
+            with pytest.raises(Exception, match="duplicate primary key or NULL key"):
+                strict_insert(empty, bad, ["k"]).collect()
+    with pytest.raises(Exception, match="NULL key"):
+        insert_if_absent(t, null, ["k"]).collect()
+
+
+def test_upsert_moves_a_key_between_partitions(spark, tmp_dir):
+    schema = spark.createDataFrame([], "k int, v string, p string").schema
+    path = f"{tmp_dir}/moving"
+    upsert_to_path(spark, spark.createDataFrame([(1, "old", "a"), (2, "two", "c x"), (3, "three", "c x"), (4, "four", "d")], schema), path, ["k"], ["p"], schema)
+    upsert_to_path(spark, spark.createDataFrame([(1, "new", "b"), (2, "TWO", "d")], schema), path, ["k"], ["p"], schema)
+    got = sorted(tuple(r) for r in read_or_empty(spark, path, schema).collect())
+    assert got == [(1, "new", "b"), (2, "TWO", "d"), (3, "three", "c x"), (4, "four", "d")]
+    # the partition of spaces and a further move that empties it
+    upsert_to_path(spark, spark.createDataFrame([(3, "THREE", "b")], schema), path, ["k"], ["p"], schema)
+    got = sorted(tuple(r) for r in read_or_empty(spark, path, schema).collect())
+    assert got == [(1, "new", "b"), (2, "TWO", "d"), (3, "THREE", "b"), (4, "four", "d")]
+
+
+def test_snapshot_equals_its_source(spark, tmp_dir):
+    from sluice.operators.loads import read_snapshot, snapshot_copy
+
+    texts = ["  lead", "trail  ", "", None, "a\nb", "a\r\nb", 'q"uo"te', "\\N", "\\n", "\\\\", "back\\", ",", "\u0001", "\u00012", "#c", "é\tb", '"', " "]
+    df = spark.createDataFrame([(i, t, "z") for i, t in enumerate(texts)], "k int, t string, `a.b` string")
+    snapshot_copy(df, f"{tmp_dir}/snap")
+    got = read_snapshot(spark, f"{tmp_dir}/snap", df.schema)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, df.collect()))
