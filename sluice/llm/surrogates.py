@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from sluice.llm.common import arrow_map, id_field, Memo
+from sluice.llm.common import arrow_map, id_field, Memo, staged
 
 TYPES = ("email", "phone", "ipv4", "card", "ssn", "iban", "secret", "person")
 
@@ -519,7 +519,7 @@ def entity_fingerprints(docs: DataFrame, key: bytes, text_col: str = "text") ->
 def colliding_surrogates(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
     """The collision check: surrogates of more than one entity and entities with more
     than one surrogate, over the whole corpus; no rows if all is well."""
-    found = entity_fingerprints(docs, key, text_col)
+    found = staged(docs.sparkSession, entity_fingerprints(docs, key, text_col).distinct(), "surrogate-marks")
     shared = found.groupBy("kind", "surrogate").agg(F.min("original").alias("lo"), F.max("original").alias("hi"))
     split = found.groupBy("kind", "original").agg(F.min("surrogate").alias("lo"), F.max("surrogate").alias("hi"))
     return (
