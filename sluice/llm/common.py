@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from sluice.session import scratch_path
+from sluice.session import delete_at_exit, scratch_path
 
 # Characters that are not part of a word, byte by byte: everything in ASCII but
 # digits and letters becomes a blank, A-Z becomes a-z, bytes of longer UTF-8
@@ -185,9 +185,10 @@ def arrow_map(df: DataFrame, run: Callable, schema) -> DataFrame:
 
 def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` below the shared checkpoint folder and reads it back: cuts the
-    lineage with files that outlive executors."""
+    lineage with files that outlive executors.  They go when the application ends."""
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    delete_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

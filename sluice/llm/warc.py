@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm.common import arrow_map, staged
-from sluice.session import scratch_path
+from sluice.session import delete_at_exit, scratch_path
 
 PIECE = 1 << 20
 END = b"\r\n\r\n"
@@ -372,8 +372,11 @@ def archive_round_trip(
     """Pages to archives, archives normalised, records read back by offset: ``id,
     payload_bytes, payload_digest, record_type, refers_to`` for every page."""
     spark: SparkSession = pages.sparkSession
-    archives = write_archives(pages, scratch_path(spark, "warc-raw"), id_col, url_col, payload_col, min_revisit_bytes)
-    index = normalise(archives, scratch_path(spark, "warc"))
+    raw, packed = scratch_path(spark, "warc-raw"), scratch_path(spark, "warc")
+    archives = write_archives(pages, raw, id_col, url_col, payload_col, min_revisit_bytes)
+    index = normalise(archives, packed)
+    for folder in (raw, packed):
+        delete_at_exit(spark, folder)
     return read_records(index, with_payload=False).select(
         page_of("record_id").alias(id_col),
         "payload_bytes", "payload_digest", "record_type",
