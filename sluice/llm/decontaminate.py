@@ -22,7 +22,7 @@ clashing names of other columns do not matter, as they are not read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -189,57 +189,88 @@ def _merge(old: list, new: list) -> list:
     return out
 
 
-def contamination_spans(
+def _scanned(
     docs: DataFrame,
     items: DataFrame,
-    text_col: str = "text",
-    item_col: str = "item_id",
-    item_text_col: str = "text",
-    window: int = 13,
-    block_words: int = 2_000_000,
-    out_col: str = "hits",
+    text_col: str,
+    item_col: str,
+    item_text_col: str,
+    window: int,
+    block_words: int,
+    finish: Callable[[SuffixAutomaton, bool], Callable[[pa.RecordBatch, list[dict]], pa.RecordBatch]],
+    schema: StructType,
 ) -> DataFrame:
-    """``docs`` with a struct column ``out_col``: ``spans`` of hit words, merged, as
-    [start, stop) over the document's words, and ``items`` found, sorted.
+    """Scans the documents against every block of items, then turns each batch and its
+    hits into rows of ``schema`` by ``finish(last automaton, whether it is the only one)``.
 
-    A column of ``docs`` named ``out_col`` is replaced.  With more than one block of
-    items, what one block found is checkpointed before the next, so that a task holds
-    one automaton at a time."""
+    With several blocks, what one found is kept in a column and checkpointed before
+    the next, so that a task holds one automaton at a time; scan and finish of the
+    last block are one Python step."""
     spark = docs.sparkSession
-    df = docs.drop(out_col)
-    for k, block in enumerate(_blocks(spark, items, item_col, item_text_col, block_words)):
-        if k:
-            df = df.checkpoint()
-        df = _scan(spark, df, SuffixAutomaton(block, window), text_col, out_col)
-    return df
+    found = "__hits"
+    while found in docs.columns:
+        found += "_"
+    blocks = _blocks(spark, items, item_col, item_text_col, block_words)
+    block, df, only = next(blocks), docs, True
+    for following in blocks:
+        only = False
+        kept = StructType([*docs.schema.fields, StructField(found, STATE)])
+        df = _scan(spark, df, SuffixAutomaton(block, window), text_col, found, lambda a: _with_hits(found), kept).checkpoint()
+        block = following
+    return _scan(spark, df, SuffixAutomaton(block, window), text_col, found, lambda a: finish(a, only), schema)
+
+
+def _with_hits(name: str):
+    kind = pa.struct([("spans", pa.list_(pa.list_(pa.int32()))), ("items", pa.list_(pa.string()))])
+
+    def keep(batch: pa.RecordBatch, hits: list[dict]) -> pa.RecordBatch:
+        return batch.append_column(name, pa.array(hits, kind))
 
+    return keep
 
-def _scan(spark: SparkSession, df: DataFrame, automaton: SuffixAutomaton, text_col: str, out_col: str) -> DataFrame:
+
+def _scan(spark: SparkSession, df: DataFrame, automaton: SuffixAutomaton, text_col: str, found: str, finish, schema) -> DataFrame:
     shared = spark.sparkContext.broadcast(automaton)
-    fields = [f for f in df.schema.fields if f.name != out_col]
-    schema = StructType([*fields, StructField(out_col, STATE)])
-    arrow = pa.struct([("spans", pa.list_(pa.list_(pa.int32()))), ("items", pa.list_(pa.string()))])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a = shared.value
+        done = finish(a)
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            before = batch.column(out_col).to_pylist() if out_col in batch.schema.names else [None] * batch.num_rows
+            before = [None] * batch.num_rows
+            if found in batch.schema.names:
+                before = batch.column(found).to_pylist()
+                batch = batch.drop_columns([found])
             hits = []
             for text, old in zip(batch.column(text_col).to_pylist(), before):
-                spans, found = a.matches(alnum_words((text or "").encode()))
+                spans, names = a.matches(alnum_words((text or "").encode()))
                 if old:
-                    spans, found = _merge(old["spans"], spans), found | set(old["items"])
-                hits.append({"spans": [list(s) for s in spans], "items": sorted(found)})
-            names = [f.name for f in fields]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in names), pa.array(hits, arrow)], names=[*names, out_col]
-            )
+                    spans, names = _merge(old["spans"], spans), names | set(old["items"])
+                hits.append({"spans": [list(s) for s in spans], "items": sorted(names)})
+            yield done(batch, hits)
 
     return df.transform(arrow_map, run, schema)
 
 
+def contamination_spans(
+    docs: DataFrame,
+    items: DataFrame,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    window: int = 13,
+    block_words: int = 2_000_000,
+    out_col: str = "hits",
+) -> DataFrame:
+    """``docs`` with a struct column ``out_col``: ``spans`` of hit words, merged, as
+    [start, stop) over the document's words, and ``items`` found, sorted.  A column
+    of ``docs`` named ``out_col`` is replaced."""
+    df = docs.drop(out_col)
+    schema = StructType([*df.schema.fields, StructField(out_col, STATE)])
+    return _scanned(df, items, text_col, item_col, item_text_col, window, block_words, lambda a, only: _with_hits(out_col), schema)
+
+
 def contamination(
     docs: DataFrame,
     items: DataFrame,
@@ -253,10 +284,6 @@ def contamination(
 ) -> DataFrame:
     """``id, n_words, n_hit, n_items, items_sha256, contaminated`` for every document;
     contaminated: ``n_hit > 0`` and ``hits_per_words * n_hit >= n_words``."""
-    spans = contamination_spans(
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")),
-        items, "text", item_col, item_text_col, window, block_words,
-    )
     schema = StructType([
         StructField(id_col, docs.schema[id_col].dataType),
         StructField("n_words", LongType()),
@@ -266,21 +293,20 @@ def contamination(
         StructField("contaminated", BooleanType()),
     ])
 
-    def digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = [len(alnum_words((t or "").encode())) for t in batch.column("text").to_pylist()]
-            hits = batch.column("hits").to_pylist()
-            n_hit = [sum(b - a for a, b in h["spans"]) for h in hits]
-            yield pa.RecordBatch.from_arrays([
-                batch.column("id"),
-                pa.array(words, pa.int64()),
-                pa.array(n_hit, pa.int64()),
-                pa.array([len(h["items"]) for h in hits], pa.int64()),
-                pa.array([hashlib.sha256(",".join(h["items"]).encode()).hexdigest() for h in hits], pa.string()),
-                pa.array([h > 0 and hits_per_words * h >= w for h, w in zip(n_hit, words)], pa.bool_()),
-            ], names=schema.names)
+    def digest(batch: pa.RecordBatch, hits: list[dict]) -> pa.RecordBatch:
+        words = [len(alnum_words((t or "").encode())) for t in batch.column("text").to_pylist()]
+        n_hit = [sum(b - a for a, b in h["spans"]) for h in hits]
+        return pa.RecordBatch.from_arrays([
+            batch.column("id"),
+            pa.array(words, pa.int64()),
+            pa.array(n_hit, pa.int64()),
+            pa.array([len(h["items"]) for h in hits], pa.int64()),
+            pa.array([hashlib.sha256(",".join(h["items"]).encode()).hexdigest() for h in hits], pa.string()),
+            pa.array([h > 0 and hits_per_words * h >= w for h, w in zip(n_hit, words)], pa.bool_()),
+        ], names=schema.names)
 
-    return spans.transform(arrow_map, digest, schema)
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return _scanned(own, items, "text", item_col, item_text_col, window, block_words, lambda a, only: digest, schema)
 
 
 # ------------------------------------------------------------------ removal
@@ -318,39 +344,41 @@ def remove_contamination(
     item_col: str = "item_id",
     item_text_col: str = "text",
     block_words: int = 2_000_000,
-    rounds: int = 2,
 ) -> DataFrame:
     """``docs`` with the hit spans cut out of contaminated texts; a text that has no
     word left goes with its row.  Other rows, null texts too, stay as they are.
 
-    Cutting may bring words together that form a new hit, so the texts are scanned
-    ``rounds`` times.  ``chars_col``, if the table has it, gets the new length."""
-    for _ in range(rounds - 1):
-        docs = remove_contamination(
-            docs, items, text_col, chars_col, window, hits_per_words, item_col, item_text_col, block_words, 1
-        )
-    hits = "__hits"
-    while hits in docs.columns:
-        hits += "_"
-    df = contamination_spans(docs, items, text_col, item_col, item_text_col, window, block_words, hits)
-    schema = docs.schema
-    has_chars = chars_col in docs.columns if chars_col else False
-
-    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, found = batch.column(text_col).to_pylist(), batch.column(hits).to_pylist()
+    Cutting may bring words together that form a new hit: texts are scanned again
+    while they are contaminated (against all items if they fit one block, else
+    against the last block).  ``chars_col``, if the table has it, gets the new length."""
+    has_chars = bool(chars_col) and chars_col in docs.columns
+
+    def finish(automaton: SuffixAutomaton, only: bool):
+        def cut(text: str, spans: list) -> str:
+            """The text without hits; empty if nothing is left."""
+            while spans:
+                data = text.encode()
+                n_words, n_hit = len(alnum_words(data)), sum(b - a for a, b in spans)
+                if hits_per_words * n_hit < n_words:
+                    break
+                if n_hit == n_words:
+                    return ""
+                text = without_spans(data, spans).decode()
+                spans, _ = automaton.matches(alnum_words(text.encode()))
+            return text
+
+        def rows(batch: pa.RecordBatch, hits: list[dict]) -> pa.RecordBatch:
+            texts = batch.column(text_col).to_pylist()
             chars = batch.column(chars_col).to_pylist() if has_chars else None
             keep = []
-            for i, (text, h) in enumerate(zip(texts, found)):
+            for i, h in enumerate(hits):
                 if h["spans"]:
-                    data = text.encode()
-                    n_words, n_hit = len(alnum_words(data)), sum(b - a for a, b in h["spans"])
-                    if hits_per_words * n_hit >= n_words:
-                        if n_hit == n_words:
-                            continue
-                        texts[i] = without_spans(data, h["spans"]).decode()
-                        if chars:
-                            chars[i] = len(texts[i])
+                    text = cut(texts[i], h["spans"])
+                    if not text:
+                        continue
+                    if chars and text != texts[i]:
+                        chars[i] = len(text)
+                    texts[i] = text
                 keep.append(i)
             columns = []
             for f in batch.schema:
@@ -358,9 +386,10 @@ def remove_contamination(
                     columns.append(pa.array(texts, f.type))
                 elif has_chars and f.name == chars_col:
                     columns.append(pa.array(chars, f.type))
-                elif f.name != hits:
+                else:
                     columns.append(batch.column(f.name))
-            names = [f.name for f in batch.schema if f.name != hits]
-            yield pa.RecordBatch.from_arrays(columns, names=names).take(pa.array(keep, pa.int64()))
+            return pa.RecordBatch.from_arrays(columns, names=batch.schema.names).take(pa.array(keep, pa.int64()))
+
+        return rows
 
-    return df.transform(arrow_map, cut, schema)
+    return _scanned(docs, items, text_col, item_col, item_text_col, window, block_words, finish, docs.schema)

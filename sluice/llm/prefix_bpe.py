@@ -58,7 +58,7 @@ def merge_bytes(data: bytes, ranks: dict[bytes, int], until: int = 1) -> list[in
 class Vocabulary:
     """Ranks of a byte-level BPE with its memos of reachable tokens and compatible pairs."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, memo_pieces: int = 500_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memo_pieces: int = 400_000):
         missing = [b for b in range(256) if bytes([b]) not in ranks]
         if missing:
             raise ValueError(f"single bytes without a token: {missing[:5]}")
