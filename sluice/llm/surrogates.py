@@ -198,7 +198,7 @@ GIVEN = {
     "Catherine Cecilia Charlotte Chloé Christine Clara Claire Cristina Diana Dorothy Elena Elisabeth Elizabeth Ella Emily Emma Erika "
     "Eva Florence Frieda Gabriela Greta Hannah Heidi Helen Helga Ingrid Irene Isabel Jane Jennifer Jessica Johanna Julia Julie Karen "
     "Katharina Laura Linda Lisa Lucía Luisa Margaret Maria María Marie Martha Mary Mathilde Monika Nadine Nancy Nicole Nora Olivia "
-    "Patricia Paula Petra Rachel Rebecca Rosa Ruth Sabine Sandra Sarah Silvia Simone Sofía Sophie Susan Teresa Ursula Valérie Victoria",
+    "Patricia Paula Petra Rachel Rebecca Rosa Ruth Sabine Sandra Sarah Silvia Simone Sofía Sophie Susan Teresa Ursula Valérie Vera",
     ("cyrillic", "m"): "Александр Алексей Андрей Антон Борис Виктор Владимир Дмитрий Иван Игорь Михаил Николай Олег Павел Сергей",
     ("cyrillic", "f"): "Александра Анна Вера Галина Дарья Екатерина Елена Ирина Мария Наталья Ольга Светлана София Татьяна Юлия",
     ("greek", "m"): "Αλέξανδρος Ανδρέας Γιώργος Δημήτρης Κώστας Μιχάλης Νίκος Παύλος Πέτρος Σπύρος",
