@@ -165,7 +165,7 @@ def map_texts(
     return text_input(df, id_col, text_col).transform(arrow_map, run, schema)
 
 
-BATCH_BYTES = "16m"
+BATCH_BYTES = "8m"
 
 
 def arrow_map(df: DataFrame, run: Callable, schema) -> DataFrame:

@@ -34,6 +34,9 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Stri
 from sluice.llm.common import Memo, map_texts
 
 
+MEMO_PIECES = 400_000
+
+
 def load_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
@@ -58,7 +61,7 @@ def merge_bytes(data: bytes, ranks: dict[bytes, int], until: int = 1) -> list[in
 class Vocabulary:
     """Ranks of a byte-level BPE with its memos of reachable tokens and compatible pairs."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, memo_pieces: int = 400_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memo_pieces: int = MEMO_PIECES):
         missing = [b for b in range(256) if bytes([b]) not in ranks]
         if missing:
             raise ValueError(f"single bytes without a token: {missing[:5]}")
@@ -69,7 +72,7 @@ class Vocabulary:
         # tokens that merging can end with
         self.usable = {b: i for b, i in ranks.items() if len(b) < 3 or merge_bytes(b, ranks) == [i]}
         self.halves = Memo(self._halves, 1 << 20)
-        self.pairs = Memo(self._compatible, 300_000)
+        self.pairs = Memo(self._compatible, min(300_000, memo_pieces))
         self.pieces = Memo(self._piece, memo_pieces // 2)
         self.segments = Memo(self._segment, memo_pieces)
 
@@ -223,9 +226,9 @@ def split_segments(text: str) -> list[str]:
 
 
 @cache
-def vocabulary(file: str, pattern: str) -> Vocabulary:
+def vocabulary(file: str, pattern: str, memo_pieces: int = MEMO_PIECES) -> Vocabulary:
     """One per worker process."""
-    return Vocabulary(load_ranks(file), pattern)
+    return Vocabulary(load_ranks(file), pattern, memo_pieces)
 
 
 FIELDS = {
@@ -237,9 +240,9 @@ FIELDS = {
 }
 
 
-def codec(file: str, pattern: str, outputs: tuple[str, ...]):
+def codec(file: str, pattern: str, outputs: tuple[str, ...], memo_pieces: int):
     def make():
-        v = vocabulary(file, pattern)
+        v = vocabulary(file, pattern, memo_pieces)
 
         def run(texts: list[bytes | None]) -> dict:
             out: dict[str, list] = {n: [] for n in outputs}
@@ -278,12 +281,14 @@ def bpe_codec(
     id_col: str = "doc_id",
     text_col: str = "text",
     outputs: tuple[str, ...] = ("n_tokens", "ids_sha256", "decoded_sha256"),
+    memo_pieces: int = MEMO_PIECES,
 ) -> DataFrame:
     """The id and the chosen ``outputs`` for every row of ``docs``: token ids and the
     bytes they decode to, or digests of both.  ``ranks_path`` must be readable on
-    every executor."""
+    every executor; ``memo_pieces`` bounds how many recurring segments a worker
+    remembers (about 0.6 kB each)."""
     unknown = set(outputs) - set(FIELDS)
     if unknown:
         raise ValueError(f"unknown outputs: {sorted(unknown)}")
     fields = [StructField(n, FIELDS[n]) for n in outputs]
-    return map_texts(docs, codec(ranks_path, pattern, tuple(outputs)), fields, id_col, text_col)
+    return map_texts(docs, codec(ranks_path, pattern, tuple(outputs), memo_pieces), fields, id_col, text_col)
