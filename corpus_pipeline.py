@@ -17,7 +17,7 @@ from sluice.llm.jaccard_join import keep_one_of_each
 from sluice.llm.prefix_bpe import bpe_codec
 from sluice.llm.quality_cascade import keep_good
 from sluice.llm.queries import SURROGATE_KEY, WINDOW, byte_bpe, table
-from sluice.llm.surrogates import replace_private
+from sluice.llm.surrogates import replace_private, require_distinct
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +36,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data gets surrogates."""
+    """Personal data gets surrogates, if the collision check finds none of them shared or split."""
+    require_distinct(docs, SURROGATE_KEY)
     return replace_private(docs, SURROGATE_KEY)
 
 

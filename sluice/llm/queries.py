@@ -14,7 +14,7 @@ from sluice.llm.mixture_langid import languages
 from sluice.llm.oracle import ORACLE_SQL
 from sluice.llm.prefix_bpe import bpe_codec
 from sluice.llm.quality_cascade import quality
-from sluice.llm.surrogates import colliding_surrogates, private_counts
+from sluice.llm.surrogates import private_counts, require_distinct
 from sluice.llm.token_counts import token_counts
 from sluice.llm.warc import archive_round_trip
 
@@ -46,9 +46,7 @@ def op1_warc(spark, d):
 
 def op2_surrogates(spark, d):
     docs = table(spark, d, "documents")
-    faults = colliding_surrogates(docs, SURROGATE_KEY).limit(5).collect()
-    if faults:
-        raise ValueError(f"surrogates collide: {faults}")
+    require_distinct(docs, SURROGATE_KEY)
     return private_counts(docs, SURROGATE_KEY)
 
 

@@ -165,12 +165,14 @@ def fold(value: str) -> str:
 
 
 def digits_of(value: str) -> str:
-    return "".join(c for c in value if c in DIGITS)
+    """The digits of any script, as ASCII digits."""
+    return "".join(str(int(c)) for c in value if c.isdecimal())
 
 
 def with_digits(model: str, digits: str) -> str:
+    """``model`` with other digits of the same scripts."""
     it = iter(digits)
-    return "".join(next(it) if c in DIGITS else c for c in model)
+    return "".join(chr(ord(c) - int(c) + int(next(it))) if c.isdecimal() else c for c in model)
 
 
 def luhn_digit(digits: str) -> int:
@@ -332,11 +334,22 @@ def _email(key: bytes, value: str) -> str:
     return like_case(permuted(key, "local", local) + "@" + ".".join([*hosts, labels[-1]]), value)
 
 
+# Country calling codes (E.164) by length: 1 and 7 are whole, these have two digits, all others three.
+_CODES_2 = frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+
+
+def phone_parts(value: str) -> tuple[str, str]:
+    """(country code with its plus sign or empty, national digits), however the number is spaced."""
+    digits = digits_of(value)
+    if not value.startswith("+"):
+        return "", digits
+    n = 1 if digits[0] in "017" else 2 if digits[:2] in _CODES_2 else 3
+    return "+" + digits[:n], digits[n:]
+
+
 def _phone(key: bytes, value: str) -> str:
-    m = re.match(r"\+\d{1,3}(?=\D)", value)
-    head = m[0] if m else ""
-    rest = value[len(head) :]
-    return head + with_digits(rest, permuted(key, "phone", digits_of(rest)))
+    code, national = phone_parts(value)
+    return with_digits(value, code[1:] + permuted(key, "phone", national))
 
 
 _PRIVATE = (("10.0.0.0", 24), ("172.16.0.0", 20), ("192.168.0.0", 16), ("127.0.0.0", 24), ("169.254.0.0", 16))
@@ -385,33 +398,34 @@ def _secret(key: bytes, value: str) -> str:
     return head + like_case(lower, tail)
 
 
-def _given(key: bytes, value: str, gender: str) -> str:
-    listed = _KIND_OF.get(value.lower())
+def _person(key: bytes, value: str) -> str:
+    """One permutation for a name, whether it stands as given or as family name: listed
+    names become listed ones of their script and gender, others become others."""
+    low = fold(value)
+    listed = _KIND_OF.get(low)
     if listed is None:
-        return _family(key, value)
+        return like_case(permuted(key, "family", low, None, lambda x: x not in _KIND_OF), value)
     names = _GIVEN[listed[0]]
     new = names[_cycle(key, "given" + "".join(listed[0]), len(names)).next(listed[1])]
     return new.upper() if value.isupper() else new
 
 
-def _family(key: bytes, value: str) -> str:
-    low = fold(value)
-    return like_case(permuted(key, "family", low, None, lambda x: x not in _KIND_OF or x == low), value)
-
-
-_MAKE = {"email": _email, "phone": _phone, "ipv4": _ipv4, "card": _card, "ssn": _ssn, "iban": _iban, "secret": _secret}
+_MAKE = {
+    "email": _email, "phone": _phone, "ipv4": _ipv4, "card": _card, "ssn": _ssn, "iban": _iban, "secret": _secret, "person": _person,
+}
 
 
 def surrogate(key: bytes, kind: str, value: str, note: str = "") -> str:
-    """The replacement of one entity."""
-    if kind == "person":
-        return _given(key, value, note[1:]) if note[:1] == "g" else _family(key, value)
+    """The replacement of one entity; it depends on ``canonical(kind, value)`` but for
+    format, not on the entity's ``note``."""
     return _MAKE[kind](key, value)
 
 
 def canonical(kind: str, value: str) -> str:
     """What makes two spellings the same entity."""
-    if kind in ("phone", "card", "ssn"):
+    if kind == "phone":
+        return "|".join(phone_parts(value))
+    if kind in ("card", "ssn"):
         return digits_of(value)
     if kind == "iban":
         return value.replace(" ", "")
@@ -526,3 +540,10 @@ def colliding_surrogates(docs: DataFrame, key: bytes, text_col: str = "text") ->
         shared.where("lo != hi").select("kind", F.lit("shared").alias("fault"), F.col("surrogate").alias("mark"))
         .unionByName(split.where("lo != hi").select("kind", F.lit("split").alias("fault"), F.col("original").alias("mark")))
     )
+
+
+def require_distinct(docs: DataFrame, key: bytes, text_col: str = "text") -> None:
+    """Raises where ``colliding_surrogates`` finds any."""
+    faults = colliding_surrogates(docs, key, text_col).limit(5).collect()
+    if faults:
+        raise ValueError(f"surrogates collide: {faults}")

@@ -3,6 +3,8 @@
 import random
 import re
 
+import pytest
+
 from sluice.llm.surrogates import (
     CONSONANTS,
     GIVEN,
@@ -128,3 +130,39 @@ def test_collision_check(spark):
     texts = [" ".join(many(k, r) for k in ("email", "phone", "ipv4", "card", "ssn", "secret", "iban") for _ in range(3)) for _ in range(60)]
     assert colliding_surrogates(docs(spark, texts + texts[:20]), KEY).count() == 0
     assert canonical("email", "A@B.c") == canonical("email", "a@b.C")
+
+
+def test_one_surrogate_whatever_the_spelling_or_role(spark):
+    digits = lambda x: re.sub(r"[^\d+]", "", x)
+    for code, spellings in (
+        ("+1", ("+15455559193", "+1 545-555-9193", "+1 (545) 555-9193", "+1545 555 9193")),
+        ("+44", ("+442079460958", "+44 20 7946 0958", "+44 (20) 7946 0958")),
+        ("+420", ("+420212345678", "+420 212 345 678")),
+    ):
+        new = [surrogate(KEY, "phone", x) for x in spellings]
+        assert len(set(map(digits, new))) == 1 and digits(new[0]) != digits(spellings[0]) and new[0].startswith(code)
+        assert len({canonical("phone", x) for x in spellings}) == 1
+    arabic = str.maketrans("0123456789", "٠١٢٣٤٥٦٧٨٩")
+    assert surrogate(KEY, "phone", "+44 20 7946 0958".translate(arabic)) == surrogate(KEY, "phone", "+44 20 7946 0958").translate(arabic)
+    for name in ("Paul", "Anna", "Smith", "Павел"):
+        assert surrogate(KEY, "person", name, "f") == surrogate(KEY, "person", name, "gm")
+    texts = ["Call +15455559193 now", "Call +1 545-555-9193 now", "+442079460958", "+44 20 7946 0958 +545555919 545-555-9193",
+             "Thomas Paul spoke.", "Paul Smith spoke.", "Mr. Smith and Dr. Paul Thomas", "Frau Anna Anna"]
+    assert colliding_surrogates(docs(spark, texts), KEY).count() == 0
+    for a, b in ((0, 1), (2, 3)):
+        phone = [next(e[3] for e in Replacer(KEY).entities(texts[i]) if e[2] == "phone") for i in (a, b)]
+        assert digits(phone[0]) == digits(phone[1])
+    paul = [{t[a:b]: new for a, b, _, new in Replacer(KEY).entities(t)}["Paul"] for t in texts[4:7]]
+    assert len(set(paul)) == 1
+
+
+def test_pipeline_stage_runs_the_check(spark, monkeypatch):
+    import corpus_pipeline
+    import sluice.llm.surrogates as module
+
+    df = docs(spark, [TEXT])
+    assert corpus_pipeline.private_data(spark, df, "").count() == 1
+    fault = spark.createDataFrame([("person", "split", b"x")], "kind string, fault string, mark binary")
+    monkeypatch.setattr(module, "colliding_surrogates", lambda *a: fault)
+    with pytest.raises(ValueError, match="collide"):
+        corpus_pipeline.private_data(spark, df, "")
