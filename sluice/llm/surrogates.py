@@ -230,7 +230,21 @@ def _titlecase(word: str) -> bool:
 _EMAIL = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9._%+\-]*[A-Za-z0-9_%+\-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24}")
 _LOCAL_END = re.compile(r"[A-Za-z0-9._%+\-]*\Z")
 _IPV4 = re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)")
-_CARD = re.compile(r"(?<![\d.+])\d(?:[ \-]?\d){12,18}(?![\d])")
+_NUMBERS = re.compile(r"(?<![\d.+])\d+(?:[ \-]\d+)*")
+_GROUP = re.compile(r"\d+")
+_CARD_GROUPS = frozenset(((4, 4, 4, 4), (4, 4, 4, 4, 3), (4, 6, 5), (4, 6, 4), (4, 5, 6), (4, 3, 3, 3)))
+_CARD_WORD = re.compile(
+    r"(?i)(?<![^\W\d_])(?:(?:credit|debit|kredit)?(?:card|karte)|carte|tarjeta|карт[аыу]|visa|master ?card|amex|american express|maestro|diners"
+    r"|discover|jcb|unionpay|cc)(?![^\W\d_])[^\d\n]{0,16}\Z"
+)
+# (first, last, digits): issuer prefixes of ISO/IEC 7812 in use and the lengths of their cards
+_ISSUERS = [
+    ("4", "4", (13, 16, 19)), ("51", "55", (16,)), ("2221", "2720", (16,)), ("34", "34", (15,)), ("37", "37", (15,)),
+    ("300", "305", (14, 16, 17, 18, 19)), ("3095", "3095", (14, 16, 17, 18, 19)), ("36", "36", (14, 16, 17, 18, 19)),
+    ("38", "39", (14, 16, 17, 18, 19)), ("3528", "3589", (16, 17, 18, 19)), ("50", "50", range(13, 20)), ("56", "58", range(13, 20)),
+    ("6", "6", range(13, 20)), ("2200", "2204", (16, 17, 18, 19)), ("81", "82", (16, 17, 18, 19)), ("9792", "9792", (16,)),
+    ("8600", "8600", (16,)), ("9860", "9860", (16,)), ("1", "1", (15,)),
+]
 _SSN = re.compile(r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])")
 _GAP = r"[\s|!#%$&*]{1,8}"
 _PHONE = re.compile(
@@ -286,9 +300,11 @@ def find_entities(text: str) -> list[tuple[int, int, str, str]]:
             plain = m[0].replace(" ", "")
             if iban_check(plain[:2], plain[4:]) == int(plain[2:4]):
                 take("iban", *m.span())
-        for kind, pattern in (("ipv4", _IPV4), ("ssn", _SSN), ("phone", _PHONE), ("card", _CARD)):
+        for kind, pattern in (("ipv4", _IPV4), ("ssn", _SSN), ("phone", _PHONE)):
             for m in pattern.finditer(text):
                 take(kind, *m.span())
+        for start, end in _find_cards(text):
+            take("card", start, end)
     spans += _find_names(text)
     taken: list[tuple[int, int, str, str]] = []
     for s in spans:
@@ -298,6 +314,43 @@ def find_entities(text: str) -> list[tuple[int, int, str, str]]:
     return taken
 
 
+def issued(digits: str) -> bool:
+    """Whether a card of this prefix and length is issued."""
+    return any(len(digits) in sizes and lo <= digits[: len(lo)] <= hi for lo, hi, sizes in _ISSUERS)
+
+
+def _find_cards(text: str) -> Iterator[tuple[int, int]]:
+    """Numbers of an issuer's prefix and length with a right check digit.  With a wrong
+    one, a number that stands alone in a card's grouping, joined by hyphens or after a
+    word for a card."""
+    for run in _NUMBERS.finditer(text):
+        if run.end() - run.start() < 13:
+            continue
+        groups = [m.span() for m in _GROUP.finditer(text, *run.span())]
+        found, i = [], 0
+        while i < len(groups):
+            for j in range(min(len(groups), i + 5), i, -1):
+                start, end = groups[i][0], groups[j - 1][1]
+                digits = digits_of(text[start:end]) if 13 <= end - start <= 23 else ""
+                if not digits or not issued(digits):
+                    continue
+                alone = j - i == len(groups)
+                usual = j - i == 1 or tuple(b - a for a, b in groups[i:j]) in _CARD_GROUPS
+                if luhn_digit(digits[:-1]) == int(digits[-1]):
+                    take = usual or alone
+                else:
+                    take = alone and usual and j - i > 1 and (" " not in text[start:end] or _CARD_WORD.search(text, max(0, start - 40), start))
+                if take:
+                    found.append((i, j))
+                    i = j - 1
+                    break
+            i += 1
+        # a long row of four-digit numbers is a table, unless all of it is cards
+        if len(groups) > 6 and all(b - a == 4 for a, b in groups) and 4 * len(found) != len(groups):
+            continue
+        yield from ((groups[i][0], groups[j - 1][1]) for i, j in found)
+
+
 def _find_names(text: str) -> list[tuple[int, int, str, str]]:
     out: list[tuple[int, int, str, str]] = []
     family: set[str] = set()

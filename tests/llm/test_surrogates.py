@@ -166,3 +166,22 @@ def test_pipeline_stage_runs_the_check(spark, monkeypatch):
     monkeypatch.setattr(module, "colliding_surrogates", lambda *a: fault)
     with pytest.raises(ValueError, match="collide"):
         corpus_pipeline.private_data(spark, df, "")
+
+
+def test_numbers_that_are_no_cards_stay():
+    table = "\n".join(" ".join(str(n) for n in range(a, a + 900, 100)) for a in range(1000, 9000, 700))
+    for text in ("1999 2000 2001 2002", "10 11 12 13 14 15 16 17", "1 2 3 4 5 6 7 8 9 10 11 12", "ISBN 978-3-16-148410-0", "at 1700000000000 ms",
+                 "9807915762804490", "4529603461135147", "2018 2019 2020 2021 2022 2023", "1700000000000000000", table, "4000 4500 5000 5500"):
+        assert Replacer(KEY).replace(text) == (text, []), text
+
+
+def test_cards_of_all_forms():
+    cards = lambda text: [text[a:b] for a, b, kind, _ in find_entities(text) if kind == "card"]
+    for card in ("4111111111111111", "4111 1111 1111 1111", "4111-1111-1111-1111", "3782 822463 10005", "378282246310005", "3056 930902 5904",
+                 "5500 0000 0000 0004", "2223003122003222", "6011111111111117", "41111111 11111111", "4111-1111-1111-1112"):
+        assert cards(f"see {card}, please") == [card]
+    assert cards("12 4111 1111 1111 1111 and") == ["4111 1111 1111 1111"]
+    assert cards("4111 1111 1111 1111 1225") == ["4111 1111 1111 1111"]
+    assert cards("4417744280351547 4845168114407329") == ["4417744280351547", "4845168114407329"]
+    assert cards("4111 1111 1111 1111 5500 0000 0000 0004") == ["4111 1111 1111 1111", "5500 0000 0000 0004"]
+    assert cards("credit card no. 4111 1111 1111 1112") == ["4111 1111 1111 1112"]
