@@ -75,12 +75,16 @@ BOILER_WORDS = frozenset(
 )
 BOILER_STARTS = ("advert", "sponsor", "cookie", "comment", "breadcrumb", "sidebar", "footer", "subscri", "newsletter", "promo", "navig")
 CONTENT_WORDS = frozenset("article content post entry story main text body prose".split())
+LAYOUT_WORDS = frozenset("has with without".split())  # what follows tells the layout of the element, not its role
+# containers that hold articles of others beside the page's own
+OTHERS = frozenset("comment comments commentlist reply replies respond disqus discussion related recommended recommendation recommendations "
+                   "trending popular teaser".split())
 
 
 class Node:
     """An open element: what its place says about the text in it."""
 
-    __slots__ = ("tag", "up", "depth", "boiler", "content", "silent", "number", "wraps")
+    __slots__ = ("tag", "up", "depth", "boiler", "content", "silent", "number", "wraps", "mark", "lead", "off", "others")
 
     def __init__(self, tag: str, up: Node | None, number: int):
         self.tag, self.up, self.number = tag, up, number
@@ -89,6 +93,10 @@ class Node:
         self.content = up.content if up else False
         self.silent = up.silent if up else False
         self.wraps = False
+        self.mark = ""  # what makes this very element boilerplate: "tag" (or role) or "class"
+        self.lead = 0  # 2: main, 1: article, -1: content by class, -2: h1
+        self.off = False  # a class mark that does not count, as the element wraps the page's content
+        self.others = False
 
 
 def _names(attributes: str) -> tuple[set[str], str, bool]:
@@ -98,7 +106,11 @@ def _names(attributes: str) -> tuple[set[str], str, bool]:
         name = m[1].lower()
         value = m[2] if m[2] is not None else m[3] if m[3] is not None else m[4] or ""
         if name in ("class", "id"):
-            words.update(_NOT_WORD.split(_CAMEL.sub(" ", value).lower()))
+            for part in _CAMEL.sub("-", value).lower().split():
+                for word in _NOT_WORD.split(part):
+                    if word in LAYOUT_WORDS:
+                        break
+                    words.add(word)
         elif name == "role":
             role = value.strip().lower()
         elif name == "hidden" or (name == "aria-hidden" and value == "true") or (
@@ -115,18 +127,23 @@ def _place(node: Node, attributes: str) -> None:
         node.silent = True
     if tag in CONTENT_TAGS or role in ("main", "article"):
         node.content = True
+        node.lead = 2 if "main" in (tag, role) else 1
         return
+    if tag == "h1":
+        node.lead = -2
     if tag in ("body", "html"):
         return
     if tag == "header" and node.content:
         pass  # the heading of an article
     elif tag in BOILER_TAGS or role in BOILER_ROLES:
-        node.boiler = True
+        node.boiler, node.mark = True, "tag"
     if words & BOILER_WORDS or any(w.startswith(BOILER_STARTS) for w in words):
         if not words & CONTENT_WORDS or words & BOILER_WORDS - {"side", "more", "body"}:
-            node.boiler = True
+            node.boiler, node.mark = True, node.mark or "class"
+            node.others = bool(words & OTHERS)
     elif words & CONTENT_WORDS:
         node.content = True
+        node.lead = node.lead or -1
 
 
 class Block:
@@ -147,6 +164,7 @@ def text_blocks(page: str) -> list[Block]:
     pieces: list[str] = []
     linked = links = 0
     block_node = node
+    leads: list[Node] = []
 
     def flush() -> None:
         nonlocal linked
@@ -234,15 +252,76 @@ def text_blocks(page: str) -> list[Block]:
                 if n.tag == "form":
                     n.wraps = True
                 n = n.up
+        if node.lead and not node.silent:
+            leads.append(node)
         if tag == "a":
             links += 1
         if tag in RAW and not m[3].endswith("/"):
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(page, at)
             at = end.start() if end else size
     flush()
+    _take_marks_off(out, leads)
     return out
 
 
+def _path(node: Node) -> Iterator[Node]:
+    n = node
+    while n:
+        yield n
+        n = n.up
+
+
+def _by_tag(node: Node) -> bool:
+    return any(n.mark == "tag" and not (n.tag == "form" and n.wraps) for n in _path(node))
+
+
+def _take_marks_off(blocks: list[Block], leads: list[Node]) -> None:
+    """A class that names boilerplate does not count on a container that wraps the
+    page's own article, main element or heading: it tells the layout then ("has-sidebar").
+    Articles in containers beside the page's own text (comments, related stories)
+    leave the marks as they are."""
+    leads = [n for n in leads if n.boiler or n.lead]
+    if not any(n.up.boiler and any(p.mark == "class" for p in _path(n.up)) for n in leads):
+        return
+    leads = [n for n in leads if not _by_tag(n)]
+    if any(n.lead > 0 for n in leads):
+        ranked = {n: n.lead for n in leads if n.lead > 0}
+        for h in leads:
+            if h.lead == -2:
+                ranked |= {n: 2 for n in _path(h) if n in ranked}
+    else:
+        ranked = {n: 1 for n in leads}
+    size: dict[Node, float] = {}
+    total = 0.0
+    live: set[Node] = set()  # those with text that no mark takes
+    for b in blocks:
+        if _by_tag(b.node):
+            continue
+        own = len(b.text) * (1 - b.link_share)
+        total += own
+        free = not _in_boilerplate(b.node)
+        for n in _path(b.node):
+            size[n] = size.get(n, 0.0) + own
+            if free and n in ranked and own >= 20:
+                live.add(n)
+    caught = [n for n in ranked if any(p.mark == "class" for p in _path(n.up))]
+    for lead in sorted(caught, key=lambda n: (-ranked[n], -size.get(n, 0.0))):
+        marks = [p for p in _path(lead.up) if p.mark == "class"]
+        if all(p.off for p in marks):
+            continue
+        around = set(_path(lead.up))
+        beside = max((ranked[n] for n in live - around), default=0)
+        most = 2 * size.get(marks[-1], 0.0) >= total
+        if live & around:
+            wraps = most and not beside and not any(p.others for p in marks)
+        else:
+            wraps = ranked[lead] == 2 > beside or (most and not beside)
+        if wraps:
+            for p in marks:
+                p.off = True
+            live.add(lead)
+
+
 def _is_open(node: Node, tag: str) -> bool:
     """Whether a ``tag`` is open within the nearest container that bounds it."""
     n = node
@@ -256,15 +335,14 @@ def _is_open(node: Node, tag: str) -> bool:
 
 
 def _in_boilerplate(node: Node) -> bool:
-    """Boilerplate by place; a form around the whole page does not count."""
-    if not node.boiler:
-        return False
-    n, own = node, False
+    """Boilerplate by place; a form around the whole page does not count, nor does the
+    class of an element around its content."""
+    n = node
     while n and n.boiler:
-        if (n.up is None or not n.up.boiler) and not (n.tag == "form" and n.wraps):
-            own = True
+        if n.mark and not n.off and not (n.tag == "form" and n.wraps):
+            return True
         n = n.up
-    return own
+    return False
 
 
 def content_score(block: Block, any_content: bool) -> float:
@@ -278,6 +356,8 @@ def content_score(block: Block, any_content: bool) -> float:
         score += 4.0
     elif any_content:
         score -= 3.0
+    if block.node.boiler and any(n.off for n in _path(block.node)):
+        score -= 0.5
     if block.node.tag in ("p", "blockquote", "pre"):
         score += 1.0
     if block.heading:

@@ -73,3 +73,27 @@ def test_rows(spark):
     want = [(1, "u", MAIN, len(MAIN))] * 2 + [(2, None, "", 0), (None, "v", "", 0), (3, "w", "é é", 3)]
     assert got == sorted(want, key=repr)
     assert extract_main_text(df.limit(0)).count() == 0
+
+
+def test_wrappers_with_boilerplate_words_in_their_class():
+    page = SITE.replace('<body class="home has-sidebar">', "<body>")
+    for name in ("layout has-sidebar", "main-content with-sidebar", "comments-open", "page-with-nav", "promo-page", "hasSidebar", "ads-page no-sidebar"):
+        for opening, closing in (("<article>", "</article>"), ("<main>", "</main>"), ('<div role="main">', "</div>"), ("<div>", "</div>")):
+            assert main_text(page % (f'<div class="{name}">{opening}', f"{closing}</div>")) == MAIN, (name, opening)
+            if name.startswith("main"):
+                continue  # calls itself the content, so a header in it is the article's
+            whole = page.replace("<body>", f'<body><div class="{name}">').replace("</body>", "</div></body>")
+            assert main_text(whole % (opening, closing)) == MAIN, (name, opening)
+        assert main_text(f'<body><main><div class="{name}"><article><p>The text of it is here.</p></article></div></main></body>') == "The text of it is here."
+
+
+def test_articles_beside_the_own_one_stay_out():
+    others = "<article><h2>Other story</h2><p>%s</p></article>" % ("The long text of another story is here. " * 20)
+    for name in ("related-posts", "comments", "recommended", "teaser-list", "sidebar"):
+        for own in ("<article><h1>Title</h1><p>The text of it is here, as it should be.</p></article>",
+                    '<div class="layout has-sidebar"><article><h1>Title</h1><p>The text of it is here, as it should be.</p></article></div>',
+                    '<div class="promo-page"><main><h1>Title</h1><p>The text of it is here, as it should be.</p></main></div>'):
+            got = main_text(f'<body>{own}<div class="{name}">{others * 2}</div></body>')
+            assert got == "Title\nThe text of it is here, as it should be.", (name, own)
+    nav = '<form id="aspnet"><nav><p>Home and all the other sections of it.</p></nav><article><h1>Title</h1><p>The text of it.</p></article></form>'
+    assert main_text(f"<body>{nav}</body>") == "Title\nThe text of it."
