@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from sluice.llm.quality_cascade import Rule, keep_good, measured_order, quality, rejecting_rule
+from sluice.llm.quality_cascade import Rule, drawn, keep_good, measured_order, quality, rejecting_rule
 
 from .frames import AWKWARD, docs, prose
 
@@ -69,3 +69,11 @@ def test_order_by_rejection_per_cost(spark):
 def test_main_path_is_native(spark):
     plan = quality(docs(spark, ["a b c"]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_sample_is_drawn_over_the_whole_table(spark):
+    # the first source, stored first, is unlike the others
+    df = spark.range(0, 8000, 1, 8).select(F.when(F.col("id") < 4000, "hot").otherwise("other").alias("text"))
+    (_, share, _), = measured_order(df, [Rule("hot", F.col("text") == "hot")], sample_rows=400)
+    assert 0.35 < share < 0.65
+    assert drawn(df, 400).count() == 400 and drawn(df.limit(30), 400).count() == 30 and drawn(df.limit(0), 400).count() == 0
