@@ -198,10 +198,11 @@ def _scanned(
     window: int,
     block_words: int,
     finish: Callable[[SuffixAutomaton, bool], Callable[[pa.RecordBatch, list[dict]], pa.RecordBatch]],
-    schema: StructType,
-) -> DataFrame:
+    schema: StructType | Callable[[bool], StructType],
+) -> tuple[DataFrame, bool]:
     """Scans the documents against every block of items, then turns each batch and its
-    hits into rows of ``schema`` by ``finish(last automaton, whether it is the only one)``.
+    hits into rows of ``schema`` by ``finish(last automaton, whether it is the only one)``;
+    returns these rows and whether there was one block only.
 
     With several blocks, what one found is kept in a column and checkpointed before
     the next, so that a task holds one automaton at a time; scan and finish of the
@@ -217,7 +218,8 @@ def _scanned(
         kept = StructType([*docs.schema.fields, StructField(found, STATE)])
         df = _scan(spark, df, SuffixAutomaton(block, window), text_col, found, lambda a: _with_hits(found), kept).checkpoint()
         block = following
-    return _scan(spark, df, SuffixAutomaton(block, window), text_col, found, lambda a: finish(a, only), schema)
+    schema = schema if isinstance(schema, StructType) else schema(only)
+    return _scan(spark, df, SuffixAutomaton(block, window), text_col, found, lambda a: finish(a, only), schema), only
 
 
 def _with_hits(name: str):
@@ -268,7 +270,7 @@ def contamination_spans(
     of ``docs`` named ``out_col`` is replaced."""
     df = docs.drop(out_col)
     schema = StructType([*df.schema.fields, StructField(out_col, STATE)])
-    return _scanned(df, items, text_col, item_col, item_text_col, window, block_words, lambda a, only: _with_hits(out_col), schema)
+    return _scanned(df, items, text_col, item_col, item_text_col, window, block_words, lambda a, only: _with_hits(out_col), schema)[0]
 
 
 def contamination(
@@ -306,7 +308,7 @@ def contamination(
         ], names=schema.names)
 
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return _scanned(own, items, "text", item_col, item_text_col, window, block_words, lambda a, only: digest, schema)
+    return _scanned(own, items, "text", item_col, item_text_col, window, block_words, lambda a, only: digest, schema)[0]
 
 
 # ------------------------------------------------------------------ removal
@@ -349,9 +351,12 @@ def remove_contamination(
     word left goes with its row.  Other rows, null texts too, stay as they are.
 
     Cutting may bring words together that form a new hit: texts are scanned again
-    while they are contaminated (against all items if they fit one block, else
-    against the last block).  ``chars_col``, if the table has it, gets the new length."""
+    against all items while they are contaminated; with several blocks of items, all
+    blocks pass once more over the texts just cut.  ``chars_col``, if the table has it, gets the new length."""
     has_chars = bool(chars_col) and chars_col in docs.columns
+    again = "__again"
+    while again in docs.columns:
+        again += "_"
 
     def finish(automaton: SuffixAutomaton, only: bool):
         def cut(text: str, spans: list) -> str:
@@ -364,19 +369,22 @@ def remove_contamination(
                 if n_hit == n_words:
                     return ""
                 text = without_spans(data, spans).decode()
+                if not only:
+                    break
                 spans, _ = automaton.matches(alnum_words(text.encode()))
             return text
 
         def rows(batch: pa.RecordBatch, hits: list[dict]) -> pa.RecordBatch:
             texts = batch.column(text_col).to_pylist()
             chars = batch.column(chars_col).to_pylist() if has_chars else None
-            keep = []
+            keep, changed = [], [False] * len(hits)
             for i, h in enumerate(hits):
                 if h["spans"]:
                     text = cut(texts[i], h["spans"])
                     if not text:
                         continue
-                    if chars and text != texts[i]:
+                    changed[i] = text != texts[i]
+                    if chars and changed[i]:
                         chars[i] = len(text)
                     texts[i] = text
                 keep.append(i)
@@ -388,8 +396,28 @@ def remove_contamination(
                     columns.append(pa.array(chars, f.type))
                 else:
                     columns.append(batch.column(f.name))
-            return pa.RecordBatch.from_arrays(columns, names=batch.schema.names).take(pa.array(keep, pa.int64()))
+            out = pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+            if not only:
+                out = out.append_column(again, pa.array(changed, pa.bool_()))
+            return out.take(pa.array(keep, pa.int64()))
 
         return rows
 
-    return _scanned(docs, items, text_col, item_col, item_text_col, window, block_words, finish, docs.schema)
+    def schema(only: bool) -> StructType:
+        return docs.schema if only else StructType([*docs.schema.fields, StructField(again, BooleanType())])
+
+    def once(rows: DataFrame) -> tuple[DataFrame, bool]:
+        return _scanned(rows, items, text_col, item_col, item_text_col, window, block_words, finish, schema)
+
+    df, only = once(docs)
+    if only:
+        return df
+    done = None
+    while True:
+        df = df.checkpoint()
+        clean = df.where(~F.col(again)).drop(again)
+        done = clean if done is None else done.unionAll(clean)
+        cut_now = df.where(F.col(again)).drop(again)
+        if cut_now.isEmpty():
+            return done
+        df, _ = once(cut_now)

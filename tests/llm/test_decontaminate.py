@@ -98,3 +98,15 @@ def test_removal_cuts_contaminated_spans_only(spark):
     # wholly contaminated texts go, partly contaminated ones stay shortened
     gone = sum(c.contaminated and c.n_hit == c.n_words for c in judged.values())
     assert len(left) == df.count() - gone and gone >= 3
+
+
+def test_removal_is_the_same_with_any_number_of_blocks(spark):
+    rows = [(1, "a b c"), (2, "x y z"), (3, "k l m"), (4, "u v w")]
+    # cutting 2 forms 1, whose cutting forms 3; 1 is of an earlier block than 2
+    texts = ["a b x y z c", "one k a b x y z c l m two three", "u a x y z b c v w end", "x y z and more", "nothing here", None, "", "a b c"]
+    got = []
+    for block_words in (2_000_000, 3):
+        out = remove_contamination(docs(spark, texts), items_frame(spark, rows), window=3, block_words=block_words)
+        assert out.schema == docs(spark, texts).schema
+        got.append(sorted(map(tuple, out.collect()), key=repr))
+    assert got[0] == got[1] and [r.text.split() for r in out.collect() if r.doc_id == 1] == [["one", "two", "three"]]
