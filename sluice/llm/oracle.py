@@ -98,9 +98,51 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
+def _clustering_sql(k: int = 40, rounds: int = 5) -> str:
+    parts = [
+        f"""kept AS (
+  SELECT row_number() OVER () AS r, vec_id, sha256('2:' || vec_id) AS pick,
+    list_transform(embedding, lambda v: CAST(floor(256 * CAST(v AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+), entries AS MATERIALIZED (
+  SELECT r, unnest(x) AS v, unnest(range(64)) AS d FROM kept
+), first AS (
+  SELECT row_number() OVER (ORDER BY pick, x) - 1 AS k, x FROM kept ORDER BY pick, x LIMIT {k}
+), c0 AS MATERIALIZED (
+  SELECT k, unnest(x) AS v, unnest(range(64)) AS d FROM first
+)"""
+    ]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (
+  SELECT r, min(struct_pack(distance := distance, k := k)) AS near
+  FROM (SELECT r, k, CAST(sum((e.v - c.v) * (e.v - c.v)) AS BIGINT) AS distance
+        FROM entries e JOIN c{i} c ON e.d = c.d GROUP BY r, k)
+  GROUP BY r
+)""")
+        if i < rounds:
+            parts.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT k, d, CAST((s - (s % n + n) % n) // n AS BIGINT) AS v
+  FROM (SELECT near.k AS k, d, sum(v) AS s, count(*) AS n FROM a{i} JOIN entries USING (r) GROUP BY 1, 2)
+  UNION ALL
+  SELECT k, d, v FROM c{i} WHERE k NOT IN (SELECT near.k FROM a{i})
+)""")
+    last = rounds
+    return "WITH " + ", ".join(parts) + f"""
+, named AS (
+  SELECT k, sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM c{last} GROUP BY k
+)
+SELECT vec_id, CAST(near.k AS INTEGER) AS cluster, near.distance AS distance,
+  CAST(sum(near.distance) OVER (PARTITION BY near.k) AS BIGINT) AS cluster_inertia,
+  CAST(sum(near.distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{last} JOIN kept USING (r) JOIN named ON named.k = near.k
+"""
+
+
 ORACLE_SQL = {
     "op1_warc": OP1_WARC,
     "op4_jaccard_join": OP4_JACCARD_JOIN,
     "op6_decontamination": OP6_DECONTAMINATION,
     "op10_quality_cascade": OP10_QUALITY_CASCADE,
+    "op11_bitplane_clusters": _clustering_sql(),
 }

@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sluice.llm.bitplanes import cluster_vectors
 from sluice.llm.decontaminate import contamination
 from sluice.llm.interpolation_lm import interpolated_scores
 from sluice.llm.jaccard_join import near_duplicates
+from sluice.llm.merge_rounds import piece_codec
 from sluice.llm.mincut_html import extract_main_text
 from sluice.llm.mixture_langid import languages
 from sluice.llm.oracle import ORACLE_SQL
@@ -17,6 +19,7 @@ from sluice.llm.quality_cascade import quality
 from sluice.llm.surrogates import private_counts, require_distinct
 from sluice.llm.token_counts import token_counts
 from sluice.llm.warc import archive_round_trip
+from sluice.llm.whitening import whitened
 
 WINDOW = 13  # words of a benchmark window
 TOKEN_LIMIT = 2048
@@ -83,6 +86,18 @@ def op10_quality_cascade(spark, d):
     return quality(table(spark, d, "documents")).drop("rejected_by")
 
 
+def op11_bitplane_clusters(spark, d):
+    return cluster_vectors(table(spark, d, "embeddings"))
+
+
+def op12_qdwh_whitening(spark, d):
+    return whitened(table(spark, d, "embeddings"))
+
+
+def op13_merge_rounds(spark, d):
+    return piece_codec(table(spark, d, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -96,4 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixture_langid": op8_mixture_langid,
     "op9_token_counts": op9_token_counts,
     "op10_quality_cascade": op10_quality_cascade,
+    "op11_bitplane_clusters": op11_bitplane_clusters,
+    "op12_qdwh_whitening": op12_qdwh_whitening,
+    "op13_merge_rounds": op13_merge_rounds,
 }
