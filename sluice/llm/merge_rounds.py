@@ -37,51 +37,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField
 
 from sluice.llm.common import map_texts
+from sluice.llm.flat import Lexicon, PairTable, spell
 
 BLANK = "▁"
 MAX_ROUNDS = 256
 MEMO_BYTES = 96 << 20
 _POINTS = 0x110000
 _NONE = np.int32(2**31 - 1)  # the rank of what is no piece
-_SCATTER = np.uint64(0x9E3779B97F4A7C15)
-
-
-class PairTable:
-    """Integer keys and their values in an open hash table that whole arrays ask at once."""
-
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        bits = max(4, int(2 * len(keys)).bit_length())
-        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
-        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int32)
-        left, probe = np.arange(len(keys)), 0
-        while len(left):
-            slots = (self._home(keys[left]) + probe) & self.mask
-            _, first = np.unique(slots, return_index=True)
-            first = first[self.keys[slots[first]] == -1]
-            self.keys[slots[first]], self.values[slots[first]] = keys[left[first]], values[left[first]]
-            left = np.delete(left, first)
-            probe += 1
-
-    def _home(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * _SCATTER) >> self.shift).astype(np.int64)
-
-    def as_dict(self) -> dict[int, int]:
-        held = self.keys >= 0
-        return dict(zip(self.keys[held].tolist(), self.values[held].tolist()))
-
-    def get(self, keys: np.ndarray) -> np.ndarray:
-        """The values; -1 where a key is not held."""
-        slots = self._home(keys)
-        found = self.keys[slots]
-        out = np.where(found == keys, self.values[slots], np.int32(-1))
-        todo = np.flatnonzero((found != keys) & (found != -1))
-        while len(todo):
-            slots[todo] = (slots[todo] + 1) & self.mask
-            found = self.keys[slots[todo]]
-            hit = found == keys[todo]
-            out[todo[hit]] = self.values[slots[todo[hit]]]
-            todo = todo[~hit & (found != -1)]
-        return out
 
 
 def _key(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -322,6 +284,12 @@ class PieceModel:
             out[place[a:b]] = part
 
     # ---- texts
+    def spelled(self, words: Sequence[str]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+        """Of each word its ids, these as decimals with a blank behind, and the bytes they
+        decode to."""
+        ids, counts = self.encode_words(words)
+        return spell(ids, counts, {"decimals": self.decimal, "decoded": self.surface})
+
     def encode(self, text: str) -> list[int]:
         return self.encode_words(self.words(text))[0].tolist() if text else []
 
@@ -363,95 +331,11 @@ def _utf8(data: bytes) -> str:
     return "".join(out)
 
 
-class Growing:
-    """An array that grows at its end, cut into rows of any length."""
-
-    def __init__(self, kind):
-        self.data, self.ends = np.empty(1 << 12, kind), np.zeros(1 << 10, np.int64)
-        self.used, self.rows = 0, 0
-
-    def add(self, values: np.ndarray, lengths: np.ndarray) -> None:
-        self.data = _room(self.data, self.used + len(values))
-        self.ends = _room(self.ends, self.rows + len(lengths) + 1)
-        self.data[self.used : self.used + len(values)] = values
-        self.ends[self.rows + 1 : self.rows + len(lengths) + 1] = self.used + np.cumsum(lengths)
-        self.used, self.rows = self.used + len(values), self.rows + len(lengths)
-
-    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The rows one after the other, and their lengths."""
-        starts, lengths = self.ends[rows], self.ends[rows + 1] - self.ends[rows]
-        where = np.repeat(starts - np.cumsum(lengths) + lengths, lengths)
-        where += np.arange(len(where))
-        return self.data[where], lengths
-
-
-def _room(data: np.ndarray, size: int) -> np.ndarray:
-    if size <= len(data):
-        return data
-    out = np.zeros(max(size, 2 * len(data)), data.dtype)
-    out[: len(data)] = data
-    return out
-
-
-class Lexicon(dict):
-    """The words met so far, numbered, with their ids as numbers and as decimals
-    with a blank behind, and the bytes the ids decode to."""
-
-    def __init__(self, model: PieceModel, limit: int = MEMO_BYTES):
-        super().__init__()
-        self.model, self.limit = model, limit
-        self._empty()
-
-    def _empty(self) -> None:
-        self.clear()
-        self.fresh: list[str] = []
-        self.parts = {"ids": Growing(np.int32), "decimals": Growing(np.uint8), "decoded": Growing(np.uint8)}
-        self.letters = 0
-
-    def __missing__(self, word: str) -> int:
-        self[word] = number = len(self)
-        self.fresh.append(word)
-        return number
-
-    def numbers(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of the words of all texts, and how many words each text has; words
-        that are new are encoded, all at once."""
-        # about 220 bytes a word besides its letters, ids and decimals
-        if 220 * len(self) + self.letters + sum(g.data.nbytes for g in self.parts.values()) > self.limit:
-            self._empty()
-        split = [self.model.words(t) for t in texts]
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        numbers = np.fromiter(map(self.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
-        if self.fresh:
-            model = self.model
-            ids, each = model.encode_words(self.fresh)
-            self.parts["ids"].add(ids, each)
-            for name, spelled in (("decimals", model.decimal), ("decoded", model.surface)):
-                got = list(map(spelled.__getitem__, ids.tolist()))
-                sizes = np.concatenate([[0], np.cumsum(np.fromiter(map(len, got), np.int64, len(got)))])
-                ends = sizes[np.cumsum(each)]
-                self.parts[name].add(np.frombuffer(b"".join(got), np.uint8), np.diff(ends, prepend=0))
-            self.letters += sum(map(len, self.fresh))
-            self.fresh = []
-        return numbers, counts
-
-    def coded(self, texts: Sequence[str], *names: str) -> list[list[np.ndarray]]:
-        """For each of ``names`` the texts' ids, decimals or decoded bytes (with the blank
-        put before the text, without the end id)."""
-        numbers, counts = self.numbers(texts)
-        ends = np.cumsum(counts)
-        out = []
-        for name in names:
-            flat, sizes = self.parts[name].take(numbers)
-            at = np.concatenate([[0], np.cumsum(sizes)])[ends].tolist()
-            out.append([flat[a:b] for a, b in zip([0, *at], at)])
-        return out
-
-
 @cache
 def lexicon(path: str, memo_bytes: int = MEMO_BYTES) -> Lexicon:
-    """One per worker process."""
-    return Lexicon(PieceModel(path), memo_bytes)
+    """The words one worker process has met, with what they are encoded to."""
+    model = PieceModel(path)
+    return Lexicon(model.words, model.spelled, memo_bytes, model)
 
 
 FIELDS = {

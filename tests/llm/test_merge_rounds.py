@@ -9,7 +9,8 @@ import pytest
 import sentencepiece
 
 from sluice.llm import merge_rounds
-from sluice.llm.merge_rounds import Lexicon, PairTable, PieceModel, piece_codec
+from sluice.llm.flat import Lexicon, PairTable
+from sluice.llm.merge_rounds import PieceModel, piece_codec
 
 from .frames import AWKWARD, docs, prose
 
@@ -39,7 +40,7 @@ def texts(seed, n):
 
 def test_ids_equal_library(model, library):
     data = texts(1, 4000)
-    ids, decimals, decoded = Lexicon(model).coded(data, "ids", "decimals", "decoded")
+    ids, decimals, decoded = Lexicon(model.words, model.spelled, 1 << 26).coded(data, "ids", "decimals", "decoded")
     for t, i, d, plain in zip(data, ids, decimals, decoded):
         want = library.encode(t)
         assert i.tolist() == want == model.encode(t)
@@ -63,7 +64,7 @@ def test_any_ids_decode_as_in_the_library(model, library):
 
 
 def test_small_lexicon_forgets(model, library):
-    words = Lexicon(model, limit=10_000)
+    words = Lexicon(model.words, model.spelled, 10_000)
     for seed in range(20):
         data = [prose(seed, 60), prose(seed + 100, 3)]
         assert [i.tolist() for i in words.coded(data, "ids")[0]] == [library.encode(t) for t in data]

@@ -3,11 +3,12 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
 
-from sluice.llm.prefix_bpe import PrefixTable, bpe_codec, merge_bytes, split_segments, vocabulary
+from sluice.llm.prefix_bpe import PrefixTable, Vocabulary, bpe_codec, lexicon, merge_bytes, split_segments, vocabulary
 from sluice.llm.token_counts import ChunkEncoder, token_counts
 
 from .frames import AWKWARD, docs, prose
@@ -36,13 +37,35 @@ def library(vocab):
 
 def test_encoding_equals_library(vocab, library):
     r = random.Random(5)
-    for _ in range(1500):
-        text = random_text(r)
+    texts = [random_text(r) for _ in range(1500)] + ["x" * 200, "ab" * 150, "é" * 300, " " * 400 + "a", "don't  we'll"]
+    texts += ["".join(r.choices("etaoinshrdlué", k=r.randrange(1, 150))) for _ in range(1000)]
+    ids, decimals, decoded = lexicon(RANKS, P.PATTERN).coded(texts, "ids", "decimals", "decoded")
+    for text, i, d, plain in zip(texts, ids, decimals, decoded):
         want = library.encode_ordinary(text)
-        joined, plain = vocab.encode_text(text)
-        assert vocab.encode(text) == want
-        assert joined == ",".join(map(str, want))
-        assert plain == text.encode() == vocab.decode(want)
+        assert i.tolist() == want
+        assert d.tobytes().decode() == "".join(f"{w}," for w in want)
+        assert plain.tobytes() == text.encode() == vocab.decode(want)
+    assert all(vocab.encode(t) == library.encode_ordinary(t) for t in texts[:60])
+
+
+def test_other_patterns_are_not_cut(vocab):
+    """A pattern whose matches reach across blanks."""
+    pattern = r"\p{L}+ \p{L}+|\s+|\S+"
+    own = Vocabulary(vocab.ranks, pattern)
+    other = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=vocab.ranks, special_tokens={})
+    text = "the theory of the other day. a  b"
+    assert own.segments(text) == [text] and vocab.segments(text) != [text]
+    assert own.encode(text) == other.encode_ordinary(text)
+
+
+def test_what_is_remembered_is_bounded_by_bytes(vocab, library):
+    small = lexicon(RANKS, P.PATTERN, 200_000)
+    r = random.Random(12)
+    for _ in range(8):  # indented lines: blanks beside other white space
+        texts = ["\n    ".join(random_text(r, 5) for _ in range(60)) for _ in range(6)]
+        assert [i.tolist() for i in small.coded(texts, "ids")[0]] == [library.encode_ordinary(t) for t in texts]
+        assert small.used() < 1_500_000
+    assert len(split_segments("if a:\n    b = c d\n    e f")) == 6
 
 
 def test_segments_rejoin():
@@ -71,10 +94,10 @@ def test_prefixes_appends_and_edits(vocab):
 def test_compatible_pairs_by_merging(vocab):
     r = random.Random(8)
     tokens = list(vocab.usable.values())
-    for _ in range(5000):
-        a, b = r.choice(tokens), r.choice(tokens)
+    left, right = r.choices(tokens, k=5000), r.choices(tokens, k=5000)
+    for a, b, fits in zip(left, right, vocab.compatible(np.array(left), np.array(right))):
         joined = vocab.bytes_of[a] + vocab.bytes_of[b]
-        assert vocab.pairs[a, b] == (merge_bytes(joined, vocab.ranks) == [a, b])
+        assert fits == (merge_bytes(joined, vocab.ranks) == [a, b])
 
 
 def test_codec_rows(spark, library):
