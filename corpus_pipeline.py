@@ -45,7 +45,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, with digests of the ids and of what they decode to.  The
     memo is small, as the workers still hold what the stages before left them."""
     outputs = ("n_tokens", "ids", "ids_sha256", "decoded_sha256")
-    return bpe_codec(docs, *byte_bpe(), outputs=outputs, memo_pieces=120_000)
+    return bpe_codec(docs, *byte_bpe(), outputs=outputs, memo_bytes=48 << 20)
 
 
 STAGES = [
