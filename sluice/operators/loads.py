@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from functools import reduce
+from operator import and_
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -106,18 +108,13 @@ def strict_insert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> D
 
 
 def strict_new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The batch, checked: one aggregation over the keys of both sides counts every key
-    and carries the batch row along; the job fails on a key that a batch row shares."""
+    """The batch, checked inside its plan: the job fails on a key that repeats, is NULL
+    or is held by the target.  The target's keys are semi-joined with the batch's, so
+    that a small batch (broadcast by its measured size) moves none of them."""
     keys = list(keys)
-    rest = [c for c in target.columns if c not in keys]
-    row = F.struct(*(rest or [F.lit(1).alias("_one")]))
-    new = batch.select(*keys, row.alias("_row"))
-    old = target.select(*keys, F.lit(None).cast(new.schema["_row"].dataType).alias("_row"))
-    grouped = old.unionByName(new).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.first("_row", ignorenulls=True).alias("_row")
-    )
-    fresh = _checked(grouped.where(F.col("_row").isNotNull()), keys, F.col("_n") == 1, "strict_insert")
-    return fresh.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in target.columns])
+    new = keyed_once(batch.select(*target.columns), keys, "strict_insert")
+    held = existing_keys(target, batch, keys).withColumn("_held", F.lit(True))
+    return _checked(new.join(held, keys, "left"), keys, F.col("_held").isNull(), "strict_insert").select(*target.columns)
 
 
 # ---------------------------------------------------------------- file forms
@@ -131,19 +128,19 @@ def counted(df: DataFrame, name: str = "rows"):
 
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    fs, jpath = _file_system(spark, path)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, jpath = file_system(spark, path)
     return bool(fs.exists(jpath))
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
     """Deletes a scratch folder or an emptied partition through Hadoop's file system."""
-    fs, jpath = _file_system(spark, path)
+    fs, jpath = file_system(spark, path)
     fs.delete(jpath, True)
 
 
@@ -160,7 +157,7 @@ def written_once(spark: SparkSession, df: DataFrame, name: str) -> Iterator[Data
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
     """C4 create-if-missing: the table at ``path`` or an empty frame with ``schema``."""
-    if _path_exists(spark, path):
+    if path_exists(spark, path):
         return spark.read.schema(schema).format(fmt).load(path)
     return spark.createDataFrame([], schema)
 
@@ -208,12 +205,13 @@ def upsert_to_path(
             old = target
             for c in partition_by:
                 lo, hi = touched.select(F.min(c)).scalar(), touched.select(F.max(c)).scalar()
-                old = old.where((F.col(c) >= lo) & (F.col(c) <= hi))
-            old = old.join(touched, partition_by, "left_semi")
+                null_too = touched.select(F.max(F.col(c).isNull())).scalar()
+                old = old.where((F.col(c) >= lo) & (F.col(c) <= hi) | F.col(c).isNull() & null_too)
+            old = _same_partitions(old, touched, partition_by, "left_semi")
             merged = old.join(new.select(*keys), keys, "left_anti").unionByName(new)
             with written_once(spark, merged, "upsert-merged") as merged:
                 # partitions that only lost rows: at most one folder per touched partition
-                gone = touched.join(merged.select(*partition_by).distinct(), partition_by, "left_anti")
+                gone = _same_partitions(touched, merged.select(*partition_by).distinct(), partition_by, "left_anti")
                 emptied = _partition_folders(spark, path, gone, schema)
                 out, rows = counted(merged)
                 (
@@ -228,12 +226,18 @@ def upsert_to_path(
                 return rows()
 
 
+def _same_partitions(rows: DataFrame, partitions: DataFrame, by: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join on the partition columns; a NULL partition is one like any other."""
+    other = partitions.select(*[F.col(c).alias(f"_p{i}") for i, c in enumerate(by)])
+    return rows.join(other, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_p{i}")) for i, c in enumerate(by)]), how)
+
+
 def _partition_folders(spark: SparkSession, path: str, partitions: DataFrame, schema: StructType) -> list[str]:
     """Folders of the table at ``path`` that hold the given partitions."""
-    if partitions.isEmpty() or not _path_exists(spark, path):
+    if partitions.isEmpty() or not path_exists(spark, path):
         return []
     files = spark.read.schema(schema).parquet(path).select(*partitions.columns, F.col("_metadata.file_path").alias("_file"))
-    found = files.join(partitions, partitions.columns, "left_semi")
+    found = _same_partitions(files, partitions, partitions.columns, "left_semi")
     folders = found.select(F.regexp_replace("_file", "/[^/]+$", "").alias("f")).distinct().collect()
     # the path is a URI: one level of percent encoding belongs to it
     return [unquote(r.f) for r in folders]

@@ -10,6 +10,7 @@ cannot change the compared value.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,7 @@ from sluice.operators.loads import (
     upsert_to_path,
     write_csv,
 )
+from sluice.operators.versioned import VersionedTable
 from sluice.plans import derived as D
 from sluice.plans.calls import snapshot_roundtrip, strict_insert_calls
 from sluice.plans.documents import (
@@ -235,6 +237,51 @@ def q_strict_insert_path(spark, d):
     return spark.read.parquet(path)
 
 
+def _versioned_daily(spark, d, name):
+    schema = _daily_orders(table(spark, d, "orders")).schema
+    return VersionedTable(spark, scratch_path(spark, name), schema, ["date"])
+
+
+def q_upsert_daily_versioned(spark, d):
+    """K3 on a versioned table: two loads, of which the second rewrites only the files
+    that hold its keys."""
+    orders, t = table(spark, d, "orders"), _versioned_daily(spark, d, "daily-versioned")
+    for part in (F.col("o_orderdate") < F.lit(DAILY_TARGET_END), F.col("o_orderdate") >= F.lit(DAILY_BATCH_START)):
+        t.upsert(_daily_orders(orders.where(part)))
+    return t.read()
+
+
+def q_strict_insert_indexed(spark, d):
+    """K9, C1 by the key index of a versioned table."""
+    orders, t = table(spark, d, "orders"), _versioned_daily(spark, d, "daily-indexed")
+    for part in (F.col("o_orderdate") < F.lit(DAILY_TARGET_END), F.col("o_orderdate") >= F.lit(DAILY_TARGET_END)):
+        t.strict_insert(_daily_orders(orders.where(part)))
+    return t.read()
+
+
+def q_users_two_feeds_indexed(spark, d):
+    """U2, K4, J2 by the key index: users of tickets, then users of sessions."""
+    uid = lambda c: F.concat(F.lit("user_"), F.col(c).cast("string")).alias("user_id")
+    feeds = table(spark, d, "orders").select(uid("o_custkey")), table(spark, d, "events").select(uid("user_id"))
+    t = VersionedTable(spark, scratch_path(spark, "users-indexed"), USERS, ["user_id"])
+    for feed in feeds:
+        t.insert_if_absent(distinct_keys(feed.where("user_id IS NOT NULL"), ["user_id"]))
+    return t.read()
+
+
+def q_table_versions(spark, d):
+    """Every version of a table after an append, an upsert and a replacement."""
+    rows = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
+    t = VersionedTable(spark, scratch_path(spark, "versions"), rows.schema, ["c_custkey"])
+    t.append(rows.where("c_nationkey < 10"))
+    t.upsert(rows.where("c_nationkey >= 5").withColumn("c_name", F.lower("c_name")))
+    t.replace(t.read().where("c_nationkey < 20"))
+    every = [t.read(v).withColumn("version", F.lit(v)) for v in t.versions()]
+    return reduce(DataFrame.unionByName, every).groupBy("version", "c_nationkey").agg(
+        F.count(F.lit(1)).alias("n"), F.min("c_name").alias("first_name"), F.max("c_name").alias("last_name")
+    )
+
+
 def q_users_two_feeds_path(spark, d):
     """U2 + K4 on files: users of tickets and of sessions, loaded twice."""
     uid = lambda c: F.concat(F.lit("user_"), F.col(c).cast("string")).alias("user_id")
@@ -432,6 +479,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_daily_path": q_upsert_daily_path,
     "strict_insert_path": q_strict_insert_path,
     "users_two_feeds_path": q_users_two_feeds_path,
+    "upsert_daily_versioned": q_upsert_daily_versioned,
+    "strict_insert_indexed": q_strict_insert_indexed,
+    "users_two_feeds_indexed": q_users_two_feeds_indexed,
+    "table_versions": q_table_versions,
     "append_twice": q_append_twice,
     "replace_round_trip": q_replace_round_trip,
     "synthetic_calls": q_synthetic_calls,

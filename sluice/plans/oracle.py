@@ -357,3 +357,17 @@ ORACLE_SQL["message_encode"] = """SELECT '{"c_custkey":' || c_custkey || ',"c_na
 ORACLE_SQL["stream_csv_restart"] = _MESSAGES
 ORACLE_SQL["pets_json_files"] = ORACLE_SQL["pets_flat"]
 ORACLE_SQL["nutrition_xml_files"] = ORACLE_SQL["nutrition_flat"]
+ORACLE_SQL["upsert_daily_versioned"] = ORACLE_SQL["upsert_daily"]
+ORACLE_SQL["strict_insert_indexed"] = ORACLE_SQL["strict_insert"]
+ORACLE_SQL["users_two_feeds_indexed"] = ORACLE_SQL["users_two_feeds_path"]
+ORACLE_SQL["table_versions"] = """
+WITH first AS (SELECT c_custkey, c_name, c_nationkey FROM customer WHERE c_nationkey < 10),
+second AS (
+  SELECT * FROM first WHERE c_nationkey < 5
+  UNION ALL SELECT c_custkey, lower(c_name), c_nationkey FROM customer WHERE c_nationkey >= 5
+), every AS (
+  SELECT 1 AS version, * FROM first UNION ALL SELECT 2, * FROM second
+  UNION ALL SELECT 3, * FROM second WHERE c_nationkey < 20
+)
+SELECT version, c_nationkey, count(*) AS n, min(c_name) AS first_name, max(c_name) AS last_name FROM every GROUP BY ALL
+"""

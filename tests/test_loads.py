@@ -114,3 +114,27 @@ def test_snapshot_equals_its_source(spark, tmp_dir):
     snapshot_copy(df, f"{tmp_dir}/snap")
     got = read_snapshot(spark, f"{tmp_dir}/snap", df.schema)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_upsert_keeps_rows_of_the_null_partition(spark, tmp_dir):
+    schema = spark.createDataFrame([], "k int, v string, p string").schema
+    path = f"{tmp_dir}/nulls"
+
+    def load(*rows):
+        upsert_to_path(spark, spark.createDataFrame(list(rows), schema), path, ["k"], ["p"], schema)
+        return sorted((tuple(r) for r in read_or_empty(spark, path, schema).collect()), key=repr)
+
+    load((1, "x", None), (2, "y", None), (5, "v", "m2"))
+    assert load((3, "z", None)) == [(1, "x", None), (2, "y", None), (3, "z", None), (5, "v", "m2")]
+    assert load((1, "moved", "m1"), (2, "Y", None)) == [(1, "moved", "m1"), (2, "Y", None), (3, "z", None), (5, "v", "m2")]
+    assert load((1, "back", None)) == [(1, "back", None), (2, "Y", None), (3, "z", None), (5, "v", "m2")]
+    assert load((1, "a", "m2"), (2, "b", "m2"), (3, "c", "m2")) == [(1, "a", "m2"), (2, "b", "m2"), (3, "c", "m2"), (5, "v", "m2")]
+
+
+def test_strict_insert_of_few_rows_moves_no_target_keys(spark, tmp_dir):
+    spark.range(100_000).selectExpr("cast(id as int) k", "'v' v").write.parquet(f"{tmp_dir}/big")
+    big = spark.read.parquet(f"{tmp_dir}/big")
+    out = strict_insert(big, spark.createDataFrame([(-1, "new")], big.schema), ["k"])
+    assert out.count() == 100_001
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftSemi") == 1 and "Union" in plan
