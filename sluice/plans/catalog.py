@@ -108,6 +108,15 @@ def q_loans_csv(spark, d):
     return loan_details(read_loans(spark, path, missing=(NULL_TEXT,)), LOANS_AS_OF)
 
 
+def q_documents_csv(spark, d):
+    """S3, K6: free text with quotes, commas and line breaks, written as CSV and read by
+    several tasks a file."""
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    path = scratch_path(spark, "documents-csv")
+    write_csv(docs, path)
+    return read_csv(spark, path, docs.schema, missing=(NULL_TEXT,), quoted_breaks=True)
+
+
 # =================================================================== readings
 def _prepared(spark, d):
     return prepare_readings(D.readings_from_events(table(spark, d, "events")), flag_value="view")
@@ -462,6 +471,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "loan_region_stats": q_loan_region_stats,
     "loan_region_order": q_loan_region_order,
     "loans_csv": q_loans_csv,
+    "documents_csv": q_documents_csv,
     "readings_csv": q_readings_csv,
     "temp_daily_full": q_temp_daily_full,
     "temp_extremes": q_temp_extremes,

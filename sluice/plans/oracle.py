@@ -371,3 +371,4 @@ second AS (
 )
 SELECT version, c_nationkey, count(*) AS n, min(c_name) AS first_name, max(c_name) AS last_name FROM every GROUP BY ALL
 """
+ORACLE_SQL["documents_csv"] = "SELECT doc_id, text, lang, source, n_chars FROM documents"

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from sluice.sources.quoted_csv import read_quoted_text
+
 
 # S1 / S13 — JSON documents
 def read_json_documents(spark: SparkSession, path: str, schema: StructType, multi_line: bool = True) -> DataFrame:
@@ -48,6 +50,7 @@ def read_csv(
     mode: str = "FAILFAST",
     encoding: str = "UTF-8",
     missing: Sequence[str] = MISSING_TOKENS,
+    quoted_breaks: bool = False,
 ) -> DataFrame:
     """CSV with a header, columns bound by NAME and then typed as ``schema``.
 
@@ -56,15 +59,22 @@ def read_csv(
     (``enforceSchema=false``).  Columns that ``schema`` does not name are never
     parsed beyond splitting; a column that the file lacks is an error.  Texts in
     ``missing`` become NULL before typing, whatever their column; any other text
-    that is not of its type raises.
+    that is not of its type raises.  A quote inside a quoted field is doubled.
+
+    ``quoted_breaks``: quoted fields may hold line breaks (UTF-8 only).  Files are
+    then split all the same, at the price of a second scan (``quoted_csv``).
     """
-    opts = {"header": "true", "mode": mode, "encoding": encoding}
+    opts = {"header": "true", "mode": mode, "encoding": encoding, "quote": '"', "escape": '"', "maxCharsPerColumn": "-1"}
+    opts["nullValue"] = missing[0] if missing else ""
     names = spark.read.options(**opts).csv(path).columns
     absent = [f.name for f in schema.fields if f.name not in names]
     if absent:
         raise ValueError(f"CSV at {path} lacks the columns {absent}")
     text = StructType([StructField(n, StringType()) for n in names])
-    raw = spark.read.schema(text).options(**opts).option("enforceSchema", "false").csv(path)
+    if quoted_breaks:
+        raw = read_quoted_text(spark, path, names, opts)
+    else:
+        raw = spark.read.schema(text).options(**opts).option("enforceSchema", "false").csv(path)
 
     def typed(f: StructField) -> Column:
         value = F.col(f"`{f.name}`")
