@@ -51,6 +51,15 @@ def parse_iso(c: str | Column, lenient: bool = False) -> Column:
     """ISO-8601 text -> UTC wall clock (timestamp without zone), whatever the session's
     zone.  Text without a zone is UTC."""
     text = _col(c)
+    # the usual "...Z" is the wall clock itself: one parse, no zone
+    plain = text.try_cast("timestamp_ntz") if lenient else text.cast("timestamp_ntz")
+    return F.when(text.rlike(_UTC_TEXT), plain).otherwise(_with_zone(text, lenient))
+
+
+_UTC_TEXT = r"\A\d{4}-\d\d-\d\d[T ]\d\d:\d\d:\d\d(\.\d{1,6})?Z\z"
+
+
+def _with_zone(text: Column, lenient: bool) -> Column:
     zoned = F.when(text.rlike(r"(Z|[+-]\d{2}:?\d{2})\s*$"), text).otherwise(F.concat(text, F.lit("Z")))
     instant = F.try_to_timestamp(zoned) if lenient else F.to_timestamp(zoned)
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")))

@@ -6,9 +6,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.operators.loads import append_load, remove_path
+from sluice.session import scratch_path
+
 
 def primary_key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that repeat or contain NULL (with their row count)."""
@@ -98,3 +101,53 @@ def violation_counts(checks: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def enforcing_load(
+    spark: SparkSession,
+    df: DataFrame,
+    table_path: str,
+    quarantine_path: str,
+    rules: dict[str, Column],
+    keys: Sequence[str] = (),
+    parents: dict[str, tuple[Sequence[str], DataFrame, Sequence[str]]] | None = None,
+) -> dict[str, int]:
+    """C1-C6 as a load: rows that hold every rule are appended to the table, all others
+    to the quarantine with the names of the rules they break (``reasons``).
+
+    ``rules`` are row predicates (true = broken); ``keys`` a primary key: all rows of a
+    key that repeats, and rows with a NULL in it, break ``primary_key``; ``parents`` maps
+    the name of a foreign key to (own columns, parent rows, parent columns).  The input is
+    judged once, and written once with its verdict; counts of rows loaded, quarantined
+    and broken by each rule come from that write.
+    """
+    broken = dict(rules)
+    judged = df
+    if keys:
+        repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(
+            *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.lit(True).alias("_repeated")
+        )
+        judged = judged.join(repeated, [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)], "left")
+        broken["primary_key"] = F.col("_repeated") | not_null_rule(keys)
+    for i, (name, (own, parent, other)) in enumerate((parents or {}).items()):
+        held = parent.select(*[F.col(c).alias(f"_p{i}_{j}") for j, c in enumerate(other)]).distinct().withColumn(f"_held{i}", F.lit(True))
+        judged = judged.join(held, [F.col(c) == F.col(f"_p{i}_{j}") for j, c in enumerate(own)], "left")
+        broken[name] = F.col(f"_held{i}").isNull() & ~not_null_rule(own)
+    reasons = F.array_compact(F.array(*[F.when(rule, F.lit(name)) for name, rule in broken.items()]))
+    judged = judged.select(*df.columns, reasons.cast("array<string>").alias("reasons")).withColumn("_bad", F.size("reasons") > 0)
+    seen = Observation()
+    judged = judged.observe(
+        seen,
+        F.count_if(~F.col("_bad")).alias("loaded"),
+        F.count_if("_bad").alias("quarantined"),
+        *[F.count_if(F.array_contains("reasons", name)).alias(name) for name in broken],
+    )
+    staging = scratch_path(spark, "enforced")
+    judged.write.partitionBy("_bad").parquet(staging)
+    try:
+        schema = judged.schema
+        for bad, path, columns in ((False, table_path, df.columns), (True, quarantine_path, [*df.columns, "reasons"])):
+            append_load(spark.read.schema(schema).parquet(staging).where(F.col("_bad") == bad).select(*columns), path)
+    finally:
+        remove_path(spark, staging)
+    return dict(seen.get)

@@ -29,6 +29,15 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | N
     return firsts.select(*keys, *[F.col("_first")[c].alias(c) for c in order + rest]).select(*df.columns)
 
 
+def first_read(df: DataFrame, keys: Sequence[str], position: str = "_position") -> DataFrame:
+    """One row per key: the first in read order, which ``position`` carries as a number
+    (``sources.with_read_order``).  The least position of a key is a hash aggregation
+    over keys and positions alone; the whole rows are fetched by a semi join on it.
+    NULL keys are one key, as in the pandas reader's ``drop_duplicates``."""
+    winners = df.groupBy(*keys).agg(F.min(position).alias(position)).select(position)
+    return df.join(winners, position, "left_semi").drop(position)
+
+
 def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``df[keys].drop_duplicates()`` (partial aggregation before the shuffle)."""
     return df.select(*keys).distinct()

@@ -114,6 +114,11 @@ class VersionedTable:
         """The table as of a version (the newest by default)."""
         return self._files([r.file for r in self.manifest(version).select("file").collect()])
 
+    def high_water_mark(self, column: str, version: int | None = None) -> DataFrame:
+        """The largest value of a key column as one row (NULL for an empty table),
+        from the manifest alone: no file of the table is opened."""
+        return self.manifest(version).agg(F.max(F.col("most")[column]).alias("mark"))
+
     def _files(self, names: Sequence[str]) -> DataFrame:
         if not names:
             return self.spark.createDataFrame([], self.schema)

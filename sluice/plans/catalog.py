@@ -14,9 +14,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from sluice.operators.contracts import (
     closed_set_rule,
+    enforcing_load,
     foreign_key_violations,
     length_rule,
     not_null_rule,
@@ -49,7 +51,7 @@ from sluice.plans.documents import (
     order_status_steps,
     pets_flat,
 )
-from sluice.plans.jobs import decode_stream_job
+from sluice.plans.jobs import decode_stream_job, publish_messages
 from sluice.plans.loans import loan_details, loan_region_stats, read_loans
 from sluice.plans.messages import decode_messages, encode_messages
 from sluice.plans.readings import prepare_readings, temp_daily_full, temp_daily_incremental, temp_extremes
@@ -61,9 +63,27 @@ from sluice.plans.support import (
     user_activity_mart,
     user_ids,
 )
-from sluice.schemas import FOOD_XML, LOAN_MESSAGE, PETS_DOCUMENT, TEMP_DAILY, TEMP_READINGS, USERS
+from sluice.schemas import (
+    DELIVERY_ORDER_DOC,
+    FOOD_XML,
+    LOAN_MESSAGE,
+    MESSAGE_ENVELOPE,
+    PETS_DOCUMENT,
+    TEMP_DAILY,
+    TEMP_READINGS,
+    USERS,
+    USER_SESSION_DOC,
+)
 from sluice.session import scratch_path
-from sluice.sources.files import read_csv, read_json_documents, read_message_stream, read_messages, read_xml_records
+from sluice.sources.files import (
+    read_csv,
+    read_json_documents,
+    read_message_stream,
+    read_messages,
+    read_table,
+    read_xml_records,
+    with_read_order,
+)
 from sluice.streaming.messages import decode_stream, run_available_now
 
 # Fixed parameters of the registered queries.
@@ -185,6 +205,18 @@ def q_sessions_dedupe(spark, d):
     return s.select("session_id", "user_id", "start_time", "end_time", "device", "duration")
 
 
+def q_sessions_collection(spark, d):
+    """A collection of documents with technical ids, in files whose order
+    says which of equal keys was read first."""
+    path = scratch_path(spark, "sessions-collection")
+    docs = D.session_documents_from_lines(table(spark, d, "lineitem"))
+    ordered = docs.orderBy("start_time", "end_time", "user_id", "device", "pages_visited", "actions")
+    ordered.withColumn("_id", F.md5("session_id")).write.json(path)
+    schema = StructType([*USER_SESSION_DOC.fields, StructField("_id", StringType())])
+    s = replicate_sessions(with_read_order(read_table(spark, "json", path, schema)))
+    return s.select("session_id", "user_id", "start_time", "end_time", "device", "duration")
+
+
 def q_tickets_dedupe(spark, d):
     docs = D.ticket_documents_from_lines(table(spark, d, "lineitem"), table(spark, d, "orders"))
     return replicate_tickets(docs, order_by=["created_at", "updated_at", "status", "issue_type", "user_id"])
@@ -278,6 +310,16 @@ def q_users_two_feeds_indexed(spark, d):
     return t.read()
 
 
+def q_high_water_mark(spark, d):
+    """S6 from a versioned table's manifest, before and after each load."""
+    orders, t = table(spark, d, "orders"), _versioned_daily(spark, d, "daily-marks")
+    marks = [t.high_water_mark("date").withColumn("version", F.lit(0))]
+    for part in (F.col("o_orderdate") < F.lit(DAILY_TARGET_END), F.col("o_orderdate") >= F.lit(DAILY_BATCH_START)):
+        t.upsert(_daily_orders(orders.where(part)))
+        marks.append(t.high_water_mark("date").withColumn("version", F.lit(t.version())))
+    return reduce(DataFrame.unionByName, marks)
+
+
 def q_table_versions(spark, d):
     """Every version of a table after an append, an upsert and a replacement."""
     rows = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
@@ -348,6 +390,17 @@ def q_message_encode(spark, d):
     return encode_messages(table(spark, d, "customer").select("c_custkey", "c_nationkey")).select(F.col("value").cast("string"))
 
 
+def q_message_publish(spark, d):
+    """Rows published as messages (to files here) and decoded again."""
+    path = scratch_path(spark, "published")
+    c = table(spark, d, "customer")
+    loans = c.select(F.col("c_custkey").cast("int").alias("loan_id"), F.col("c_name").alias("borrower"),
+                     F.floor("c_acctbal").alias("amount"), F.col("c_mktsegment").alias("status"))
+    publish_messages(loans, {"path": path}, "parquet")
+    env = read_messages(spark, {}, "parquet", path, StructType([MESSAGE_ENVELOPE["value"]]))
+    return decode_messages(env.withColumn("timestamp", F.lit(READINGS_AS_OF).cast("timestamp")), LOAN_MESSAGE).drop("timestamp")
+
+
 def q_message_decode(spark, d):
     env = D.message_envelopes_from_events(table(spark, d, "events"))
     src = scratch_path(spark, "messages-batch")
@@ -402,12 +455,19 @@ def q_nutrition_xml_files(spark, d):
     return nutrition_flat(read_xml_records(spark, path, "food", FOOD_XML))
 
 
-def _orders_docs(spark, d):
-    return D.delivery_documents_from_orders(table(spark, d, "orders"), table(spark, d, "lineitem"))
+def _orders_docs(spark, d, items=True):
+    return D.delivery_documents_from_orders(table(spark, d, "orders"), table(spark, d, "lineitem"), items)
 
 
 def q_order_headers(spark, d):
-    return order_headers(_orders_docs(spark, d))
+    return order_headers(_orders_docs(spark, d, items=False))
+
+
+def q_orders_json_files(spark, d):
+    """Order documents as JSON files; only the header's sections are parsed."""
+    path = scratch_path(spark, "orders-json")
+    _orders_docs(spark, d).select("doc.*").write.json(path)
+    return order_headers(read_json_documents(spark, path, DELIVERY_ORDER_DOC, multi_line=False), doc_col=None)
 
 
 def q_synthetic_sessions(spark, d):
@@ -438,7 +498,7 @@ def q_order_item_totals(spark, d):
 
 
 def q_order_status_steps(spark, d):
-    return order_status_steps(_orders_docs(spark, d))
+    return order_status_steps(_orders_docs(spark, d, items=False))
 
 
 # =================================================================== contracts
@@ -466,6 +526,22 @@ def q_contract_violations(spark, d):
     return keyed.unionByName(rows)
 
 
+def q_enforced_lines(spark, d):
+    """Order lines loaded where they hold all rules, else quarantined with
+    the reasons."""
+    good, bad = scratch_path(spark, "lines"), scratch_path(spark, "lines-quarantine")
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", F.concat(F.lit("P"), "l_partkey").alias("code"))
+    parts = table(spark, d, "part").where("p_size > 5")
+    n = enforcing_load(spark, lines, good, bad, {
+        "flag": closed_set_rule("l_returnflag", ["A", "N"]), "code": length_rule("code", 4),
+    }, keys=["l_orderkey", "l_linenumber"], parents={"part": (["l_partkey"], parts, ["p_partkey"])})
+    loaded, held = spark.read.schema(lines.schema).parquet(good), spark.read.parquet(bad)
+    rows = loaded.withColumn("reasons", F.lit("")).unionByName(held.withColumn("reasons", F.array_join("reasons", ",")))
+    return rows.groupBy("l_orderkey", "l_linenumber", "reasons").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "n_loaded", F.lit(n["loaded"])
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "loan_details": q_loan_details,
     "loan_region_stats": q_loan_region_stats,
@@ -481,6 +557,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_activity_unpadded": q_user_activity_unpadded,
     "support_efficiency": q_support_efficiency,
     "sessions_dedupe": q_sessions_dedupe,
+    "sessions_collection": q_sessions_collection,
     "tickets_dedupe": q_tickets_dedupe,
     "users_insert_absent": q_users_insert_absent,
     "tickets_insert_absent": q_tickets_insert_absent,
@@ -493,6 +570,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "strict_insert_indexed": q_strict_insert_indexed,
     "users_two_feeds_indexed": q_users_two_feeds_indexed,
     "table_versions": q_table_versions,
+    "high_water_mark": q_high_water_mark,
     "append_twice": q_append_twice,
     "replace_round_trip": q_replace_round_trip,
     "synthetic_calls": q_synthetic_calls,
@@ -503,6 +581,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_documents": q_snapshot_documents,
     "message_encode": q_message_encode,
     "stream_csv_restart": q_stream_csv_restart,
+    "message_publish": q_message_publish,
     "message_decode": q_message_decode,
     "message_decode_stream": q_message_decode_stream,
     "pets_flat": q_pets_flat,
@@ -510,8 +589,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nutrition_xml_files": q_nutrition_xml_files,
     "nutrition_flat": q_nutrition_flat,
     "order_headers": q_order_headers,
+    "orders_json_files": q_orders_json_files,
     "order_items": q_order_items,
     "order_item_totals": q_order_item_totals,
     "order_status_steps": q_order_status_steps,
     "contract_violations": q_contract_violations,
+    "enforced_lines": q_enforced_lines,
 }

@@ -314,7 +314,7 @@ def food_xml_from_parts(part: DataFrame) -> DataFrame:
     return part.select(F.concat(*parts).alias("xml"))
 
 
-def delivery_documents_from_orders(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+def delivery_documents_from_orders(orders: DataFrame, lineitem: DataFrame, items: bool = True) -> DataFrame:
     """T21 documents (a ``doc`` struct typed as ``DELIVERY_ORDER_DOC``), one per
     order: its lines are the items in line order (add-ons by discount band), an
     order with a returned line adds one bag item, and the status steps are
@@ -322,7 +322,8 @@ def delivery_documents_from_orders(orders: DataFrame, lineitem: DataFrame) -> Da
     without lines keeps its header, no items and the first step.
 
     The lines nested in a document are those of its own order, a bounded list; the
-    two sides meet in one shuffle on the order key."""
+    two sides meet in one shuffle on the order key.  ``items=False`` leaves the items
+    NULL: for readers of the other sections the lines are then only aggregated."""
     disc, tax = F.col("l_discount"), F.col("l_tax")
     addon_t = "array<struct<name:string,price:double>>"
     addons = (
@@ -341,8 +342,9 @@ def delivery_documents_from_orders(orders: DataFrame, lineitem: DataFrame) -> Da
         F.col("l_extendedprice").alias("price"),
         addons.alias("addons"),
     )
+    lines = [F.sort_array(F.collect_list(line)).alias("lines")] if items else []
     per_order = lineitem.groupBy("l_orderkey").agg(
-        F.sort_array(F.collect_list(line)).alias("lines"),
+        *lines,
         F.max(F.col("l_returnflag") == "R").alias("returned"),
         F.min("l_shipdate").alias("shipped"),
         F.max("l_shipdate").alias("delivered"),
@@ -351,12 +353,14 @@ def delivery_documents_from_orders(orders: DataFrame, lineitem: DataFrame) -> Da
     )
     j = orders.join(per_order, orders["o_orderkey"] == per_order["l_orderkey"], "left")
     item_t = DELIVERY_ORDER_DOC["data"].dataType["items"].dataType
-    plain = F.transform(F.coalesce("lines", F.array().cast(per_order.schema["lines"].dataType)), lambda x: x.dropFields("line"))
+    if items:
+        none_yet = F.array().cast(per_order.schema["lines"].dataType)
+        plain = F.transform(F.coalesce("lines", none_yet), lambda x: x.dropFields("line"))
     bag = F.array(F.struct(
         F.lit("bag").alias("dish_id"), F.lit("Delivery bag").alias("name"), F.lit("1x").alias("quantity"),
         F.lit(0.5).alias("price"), F.array().cast(addon_t).alias("addons"),
     )).cast(item_t)
-    items = F.when(F.col("returned"), F.concat(plain, bag)).otherwise(plain)
+    nested = F.when(F.col("returned"), F.concat(plain, bag)).otherwise(plain) if items else F.lit(None).cast(item_t)
 
     def step(status: str, time: Column) -> Column:
         return F.struct(F.lit(status).alias("status"), iso(time, ISO_SECONDS).alias("time"))
@@ -400,7 +404,7 @@ def delivery_documents_from_orders(orders: DataFrame, lineitem: DataFrame) -> Da
             F.col("o_totalprice").alias("total"),
             F.lit("USD").alias("currency"),
         ).alias("payment"),
-        items.alias("items"),
+        nested.alias("items"),
         history.alias("status_history"),
     )
     return j.select(F.struct(F.lit("success").alias("status"), data.alias("data")).alias("doc"))

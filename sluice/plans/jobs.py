@@ -40,7 +40,7 @@ from sluice.schemas import (
     USER_SESSIONS_RAW,
     USERS,
 )
-from sluice.sources.files import read_csv, read_json_documents, read_table, read_xml_records
+from sluice.sources.files import read_csv, read_json_documents, read_table, read_xml_records, with_read_order
 from sluice.streaming.messages import decode_stream, run_available_now
 
 
@@ -93,7 +93,7 @@ def replicate_sessions_job(spark: SparkSession, source: str, users_path: str, se
     docs = read_table(spark, fmt, source, USER_SESSION_DOC)
     if docs.isEmpty():
         return 0
-    with written_once(spark, replicate_sessions(docs), "sessions") as sessions:
+    with written_once(spark, replicate_sessions(with_read_order(docs)), "sessions") as sessions:
         _add_users(spark, users_path, sessions)
         return insert_if_absent_to_path(spark, sessions, sessions_path, ["session_id"], USER_SESSIONS_RAW, unique=True)
 
@@ -107,7 +107,7 @@ def replicate_tickets_job(spark: SparkSession, source: str, users_path: str, tic
     docs = read_table(spark, fmt, source, SUPPORT_TICKET_DOC)
     if docs.isEmpty():
         return 0
-    with written_once(spark, replicate_tickets(docs), "tickets") as tickets:
+    with written_once(spark, replicate_tickets(with_read_order(docs)), "tickets") as tickets:
         _add_users(spark, users_path, tickets)
         return insert_if_absent_to_path(spark, tickets, tickets_path, ["ticket_id"], SUPPORT_TICKETS, unique=True)
 

@@ -372,3 +372,25 @@ second AS (
 SELECT version, c_nationkey, count(*) AS n, min(c_name) AS first_name, max(c_name) AS last_name FROM every GROUP BY ALL
 """
 ORACLE_SQL["documents_csv"] = "SELECT doc_id, text, lang, source, n_chars FROM documents"
+ORACLE_SQL["sessions_collection"] = ORACLE_SQL["sessions_dedupe"]
+ORACLE_SQL["orders_json_files"] = ORACLE_SQL["order_headers"]
+ORACLE_SQL["message_publish"] = """SELECT CAST(c_custkey AS INTEGER) AS loan_id, c_name AS borrower,
+  CAST(floor(c_acctbal) AS BIGINT) AS amount, c_mktsegment AS status FROM customer"""
+ORACLE_SQL["high_water_mark"] = """
+SELECT 0 AS version, CAST(NULL AS DATE) AS mark
+UNION ALL SELECT 1, CAST(max(o_orderdate) AS DATE) FROM orders WHERE o_orderdate < '2000-01-01'
+UNION ALL SELECT 2, CAST(max(o_orderdate) AS DATE) FROM orders"""
+ORACLE_SQL["enforced_lines"] = """
+WITH judged AS (
+  SELECT l_orderkey, l_linenumber, concat_ws(',',
+    CASE WHEN l_returnflag NOT IN ('A', 'N') THEN 'flag' END,
+    CASE WHEN length('P' || l_partkey) > 4 THEN 'code' END,
+    CASE WHEN count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL
+      THEN 'primary_key' END,
+    CASE WHEN l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 5) THEN 'part' END) AS reasons
+  FROM lineitem
+)
+SELECT l_orderkey, l_linenumber, reasons, count(*) AS n,
+  (SELECT count(*) FROM judged WHERE reasons = '') AS n_loaded
+FROM judged GROUP BY ALL
+"""

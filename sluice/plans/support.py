@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.time import hours_between, minutes_between, parse_iso
-from sluice.operators.dedupe import dedupe_first
+from sluice.operators.dedupe import dedupe_first, first_read
 from sluice.operators.loads import insert_if_absent
 from sluice.sources.files import drop_technical_id
 
+POSITION = "_position"
 SESSION_COLUMNS = ["session_id", "user_id", "start_time", "end_time", "pages_visited", "device", "actions", "duration"]
 TICKET_COLUMNS = ["ticket_id", "user_id", "status", "issue_type", "created_at", "updated_at", "resolution_time_hours"]
 
@@ -24,13 +25,19 @@ def _as_ts(df: DataFrame, c: str):
     return F.col(c)
 
 
+def _first(docs: DataFrame, key: str, order_by: Sequence[str] | None) -> DataFrame:
+    if order_by is None and POSITION in docs.columns:
+        return first_read(docs, [key], POSITION)
+    return dedupe_first(docs.drop(POSITION), [key], order_by or [c for c in docs.columns if c not in (key, POSITION)])
+
+
 def replicate_sessions(docs: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
     """X6 body: P3 -> A14 -> F6 -> P18 -> P2 (document rows -> T11 rows).
 
-    ``order_by`` defines which duplicate is "first"; by default all columns.
+    ``order_by`` defines which duplicate is "first"; by default the read order, if the
+    documents carry it (``sources.with_read_order``), else all columns.
     """
-    docs = drop_technical_id(docs)
-    unique = dedupe_first(docs, ["session_id"], order_by or [c for c in docs.columns if c != "session_id"])
+    unique = _first(drop_technical_id(docs), "session_id", order_by)
     start, end = _as_ts(unique, "start_time"), _as_ts(unique, "end_time")
     return unique.select(
         "session_id", "user_id",
@@ -42,8 +49,7 @@ def replicate_sessions(docs: DataFrame, order_by: Sequence[str] | None = None) -
 
 def replicate_tickets(docs: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
     """X7 body: P3 -> A14 -> F6 -> P19 -> P2 (``messages`` is dropped)."""
-    docs = drop_technical_id(docs).drop("messages")
-    unique = dedupe_first(docs, ["ticket_id"], order_by or [c for c in docs.columns if c != "ticket_id"])
+    unique = _first(drop_technical_id(docs).drop("messages"), "ticket_id", order_by)
     created, updated = _as_ts(unique, "created_at"), _as_ts(unique, "updated_at")
     return unique.select(
         "ticket_id", "user_id", "status", "issue_type",

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -105,6 +106,27 @@ def drop_technical_id(df: DataFrame, column: str = "_id") -> DataFrame:
     return df.drop(column) if column in df.columns else df
 
 
+def with_read_order(scan: DataFrame, name: str = "_position") -> DataFrame:
+    """A plain file scan with every row's place in read order as one number: files by
+    name, then rows in the file.  Names of files come to the driver, rows do not.
+
+    Parquet tells a row's index.  Other formats tell where the row's range of the file
+    starts, and a row takes at least a byte of it, so start plus count within the range
+    rises through the file."""
+    spark = scan.sparkSession
+    path = F.col("_metadata.file_path")
+    files = sorted(r.f for r in scan.select(path.alias("f")).distinct().collect())
+    number = spark.createDataFrame(list(zip(files, range(len(files)))), "_file string, _number long")
+    try:
+        index = F.col("_metadata.row_index")
+        scan.select(index)
+    except AnalysisException:
+        index = F.col("_metadata.file_block_start") + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    rows = scan.select("*", path.alias("_file"), index.alias("_index"))
+    placed = rows.join(number, "_file")
+    return placed.withColumn(name, F.shiftleft("_number", 44) + F.col("_index")).drop("_file", "_index", "_number")
+
+
 # S6 — high-water mark
 def high_water_mark(target: DataFrame, column: str = "date", alias: str = "mark") -> DataFrame:
     """``SELECT max(column)`` as a 1-row frame (NULL for an empty table)."""

@@ -37,3 +37,23 @@ def test_checks(spark, tmp_dir):
     assert rules == {"region_set": 1, "region_len": 2, "region_nn": 1}
     empty = read_or_empty(spark, f"{tmp_dir}/missing", CALL_LOG)
     assert empty.count() == 0 and empty.schema == CALL_LOG
+
+
+def test_enforcing_load_splits_rows_by_their_reasons(spark, tmp_dir):
+    from sluice.operators.contracts import closed_set_rule, enforcing_load, length_rule, not_null_rule
+
+    schema = "k int, parent int, kind string"
+    data = [(1, 1, "a"), (2, 9, "a"), (3, None, "b"), (4, 1, "zz"), (4, 1, "a"), (None, 1, "a"), (7, 1, None), (8, 9, "long")]
+    parents = spark.createDataFrame([(1,), (1,)], "id int")
+    rules = {"kind": closed_set_rule("kind", ["a", "b", "zz"]), "length": length_rule("kind", 2), "given": not_null_rule(["kind"])}
+    for _ in range(2):  # a second load is added to both
+        n = enforcing_load(spark, spark.createDataFrame(data, schema), f"{tmp_dir}/t", f"{tmp_dir}/q", rules,
+                           keys=["k"], parents={"fk": (["parent"], parents, ["id"])})
+        assert n == {"loaded": 2, "quarantined": 6, "kind": 1, "length": 1, "given": 1, "primary_key": 3, "fk": 2}
+    good = sorted(map(tuple, spark.read.parquet(f"{tmp_dir}/t").collect()))
+    assert good == sorted(2 * [(1, 1, "a"), (3, None, "b")], key=repr)
+    bad = {(r.k, r.kind): r.reasons for r in spark.read.parquet(f"{tmp_dir}/q").collect()}
+    assert bad == {
+        (2, "a"): ["fk"], (4, "zz"): ["primary_key"], (4, "a"): ["primary_key"], (None, "a"): ["primary_key"],
+        (7, None): ["given"], (8, "long"): ["kind", "length", "fk"],
+    }

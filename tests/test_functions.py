@@ -77,3 +77,24 @@ def test_text_to_double(spark):
     assert [r[0] for r in df.select(text_to_double("s")).collect()] == [0.0, None, None, None, 2.5]
     with pytest.raises(Exception):
         spark.createDataFrame([("abc",)], "s string").select(text_to_double("s")).collect()
+
+
+def test_iso_texts_in_any_session_zone(spark):
+    texts = {
+        "2024-01-02T03:04:05Z": "2024-01-02 03:04:05", "2024-01-02T03:04:05.120000Z": "2024-01-02 03:04:05.12",
+        "2024-01-02 03:04:05.5Z": "2024-01-02 03:04:05.5", "2024-01-02T03:04:05+02:00": "2024-01-02 01:04:05",
+        "2024-01-02T03:04:05": "2024-01-02 03:04:05", "2024-01-02T03:04:05Z ": "2024-01-02 03:04:05",
+    }
+    df = spark.createDataFrame([(k,) for k in [*texts, None]], "t string")
+    from sluice.functions.time import parse_iso
+
+    keep = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = df.select("t", parse_iso("t").cast("string").alias("x"), parse_iso("t", lenient=True).cast("string").alias("y")).collect()
+            assert {r.t: r.x for r in got} == {r.t: r.y for r in got} == texts | {None: None}
+        junk = spark.createDataFrame([("2024-13-02T03:04:05Z",), ("x",)], "t string")
+        assert [r.x for r in junk.select(parse_iso("t", lenient=True).alias("x")).collect()] == [None, None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", keep)

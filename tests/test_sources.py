@@ -67,3 +67,41 @@ def test_scratch_folder_must_be_shared_off_local_masters():
     for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]", "k8s://x"):
         with pytest.raises(ValueError):
             local_scratch(master)
+
+
+def test_first_read_equals_pandas_over_files(spark, tmp_dir):
+    import json
+    import random
+
+    import pandas as pd
+
+    from sluice.operators.dedupe import first_read
+    from sluice.sources.files import with_read_order
+
+    r = random.Random(4)
+    frames = []
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        for f in ("b", "a", "c"):
+            rows = [{"k": r.choice([None, *range(12)]), "v": f"{f}{i}", "doc": "x" * r.randrange(40)} for i in range(40)]
+            with open(f"{tmp_dir}/{f}.json", "w") as out:
+                out.writelines(json.dumps(x) + "\n" for x in rows)
+            frames.append((f, pd.DataFrame(rows)))
+        scan = spark.read.schema("k int, v string, doc string").json(f"{tmp_dir}/*.json")
+        assert scan.rdd.getNumPartitions() > 6
+        every = pd.concat([x for _, x in sorted(frames, key=lambda p: p[0])])
+        want = sorted(every.drop_duplicates("k").v)
+        placed = with_read_order(scan)
+        assert sorted(x.v for x in first_read(placed, ["k"]).collect()) == want
+        assert [x.v for x in placed.orderBy("_position").collect()] == list(every.v)
+        plan = first_read(placed, ["k"])._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan and "SortAggregate" not in plan
+        scan.coalesce(1).write.parquet(f"{tmp_dir}/p")
+        stored = spark.read.parquet(f"{tmp_dir}/p")
+        want = sorted(pd.DataFrame([x.asDict() for x in stored.collect()]).drop_duplicates("k").v)
+        assert sorted(x.v for x in first_read(with_read_order(stored), ["k"]).collect()) == want
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 << 20))
