@@ -55,6 +55,7 @@ from sluice.plans.jobs import decode_stream_job, publish_messages
 from sluice.plans.loans import loan_details, loan_region_stats, read_loans
 from sluice.plans.messages import decode_messages, encode_messages
 from sluice.plans.readings import prepare_readings, temp_daily_full, temp_daily_incremental, temp_extremes
+from sluice.plans.refresh import add_sessions, add_tickets, read_activity, read_efficiency
 from sluice.plans.support import (
     load_users,
     replicate_sessions,
@@ -185,6 +186,15 @@ def q_user_activity(spark, d):
     return mart.withColumn("avg_session_min", F.round("avg_session_min", 6))
 
 
+def q_user_activity_refreshed(spark, d):
+    """X8, K5 by delta: sessions arrive in three loads, of which the last repeats rows."""
+    sessions, paths = _sessions(spark, d), (scratch_path(spark, "sessions"), scratch_path(spark, "activity"))
+    parts = (F.col("start_time") < "2024-01-12", F.col("start_time") >= "2024-01-11", F.col("start_time") >= "2024-01-20")
+    for part in parts:
+        add_sessions(spark, sessions.where(part), *paths)
+    return read_activity(spark, paths[1]).withColumn("avg_session_min", F.round("avg_session_min", 6))
+
+
 def q_user_activity_unpadded(spark, d):
     mart = user_activity_mart(_sessions(spark, d), ignore_padding=True)
     return mart.withColumn("avg_session_min", F.round("avg_session_min", 6))
@@ -199,6 +209,14 @@ def q_support_efficiency(spark, d):
     return mart.withColumn("avg_resolution_hours", F.round("avg_resolution_hours", 6))
 
 
+def q_support_efficiency_refreshed(spark, d):
+    """X9, K5 by counters: tickets arrive in two loads."""
+    tickets, path = _tickets(spark, d), scratch_path(spark, "efficiency")
+    for part in (F.col("created_at") < DAILY_TARGET_END, F.col("created_at") >= DAILY_TARGET_END):
+        add_tickets(spark, tickets.where(part), path)
+    return read_efficiency(spark, path).withColumn("avg_resolution_hours", F.round("avg_resolution_hours", 6))
+
+
 def q_sessions_dedupe(spark, d):
     docs = D.session_documents_from_lines(table(spark, d, "lineitem"))
     s = replicate_sessions(docs, order_by=["start_time", "end_time", "user_id", "device", "pages_visited", "actions"])
@@ -554,8 +572,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "temp_daily_incremental_7": _incremental(7),
     "temp_daily_incremental_15": _incremental(15),
     "user_activity": q_user_activity,
+    "user_activity_refreshed": q_user_activity_refreshed,
     "user_activity_unpadded": q_user_activity_unpadded,
     "support_efficiency": q_support_efficiency,
+    "support_efficiency_refreshed": q_support_efficiency_refreshed,
     "sessions_dedupe": q_sessions_dedupe,
     "sessions_collection": q_sessions_collection,
     "tickets_dedupe": q_tickets_dedupe,

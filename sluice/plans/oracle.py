@@ -394,3 +394,5 @@ SELECT l_orderkey, l_linenumber, reasons, count(*) AS n,
   (SELECT count(*) FROM judged WHERE reasons = '') AS n_loaded
 FROM judged GROUP BY ALL
 """
+ORACLE_SQL["user_activity_refreshed"] = ORACLE_SQL["user_activity"]
+ORACLE_SQL["support_efficiency_refreshed"] = ORACLE_SQL["support_efficiency"]
