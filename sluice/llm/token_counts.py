@@ -1,13 +1,17 @@
 """Token counts with overlap resynchronisation (operator 9).
 
-A short text is one chunk.  A text longer than ``chunk_chars`` is cut into chunks
-that overlap; every chunk is encoded by itself, with the offsets of its tokens.
-Two neighbours are spliced at a word that both hold whole, with white space
-before and after it inside both chunks, and that both gave the same tokens at the
-same offsets.  Such a boundary is proven stable for tokenizers that never let a
-token reach over white space: what stands before it cannot change what comes
-after.  Where the overlap holds no such word it is doubled and the left chunk
-encoded again, up to the end of the text.
+A text longer than ``chunk_chars`` is cut into chunks that overlap; every chunk is
+encoded by itself, with the offsets of its tokens, and the count is that of the chunks'
+tokens between the places where neighbours are spliced.  Two neighbours are spliced at a
+word that both hold whole, with white space before and after it inside both chunks,
+and that both gave the same tokens at the same offsets.  Such a boundary is proven stable
+for tokenizers that never let a token reach over white space: what stands before it
+cannot change what comes after.  Where the overlap holds no such word it is doubled; once
+it would hold the whole left chunk, that one is encoded again with twice its length.
+
+Texts of one chunk need no splice; they are counted by their words, with what the
+library gave for a word remembered (encoding them whole takes the library more than
+twice the time: 1.5 s per MB against 0.7).
 
 Results for edge cases: null and empty texts have 0 bytes and 0 tokens; repeated
 rows give repeated rows; an empty table gives an empty table; ids may be null;
@@ -17,6 +21,7 @@ other columns are not read, so their names cannot clash.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from functools import cache
 
 import pyarrow as pa
@@ -26,7 +31,6 @@ from pyspark.sql.types import BooleanType, LongType, StructField
 from sluice.llm.common import Memo, map_texts
 
 _WORD = re.compile(r"[^\t-\r ]+")
-_BLANKS = "\t\n\v\f\r "
 # Letters whose lower case is one letter of the same block, then plain punctuation:
 # these two parts of a word are encoded independently of each other and of case.
 _PLAIN = re.compile(rb"((?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf])+)([.,!?;:*#%$&]+)")
@@ -71,41 +75,48 @@ class ChunkEncoder:
             return self.cores[m[1]] + self.cores[m[2]]
         return self.cores[low if self.split_cores and low.isalpha() else word]
 
-    def _tokens(self, text: str, lo: int, hi: int) -> dict[int, tuple[int, int]]:
-        """start -> (end, id) of the tokens of ``text[lo:hi]``, offsets in the text."""
+    def _tokens(self, text: str, lo: int, hi: int) -> tuple[list[int], list[int], list[int]]:
+        """Starts, ends and ids of the tokens of ``text[lo:hi]``, offsets in the text."""
         e = self.lib.encode(text[lo:hi], add_special_tokens=False)
-        out: dict[int, tuple] = {}
-        for (a, b), i in zip(e.offsets, e.ids):
-            out[lo + a] = (*out.get(lo + a, ()), lo + b, i)
-        return out
-
-    def splice_point(self, text: str, start: int, lo: int, hi: int, right_end: int) -> int | None:
-        """The first position in the overlap ``(lo, hi)`` where the left chunk (from
-        ``start`` to ``hi``) and the right one (from ``lo``) provably agree."""
-        back = max(text.rfind(c, start, lo) for c in _BLANKS) + 1
-        left = right = None
+        starts, ends = zip(*e.offsets) if e.ids else ((), ())
+        return [lo + a for a in starts], [lo + b for b in ends], e.ids
+
+    @staticmethod
+    def splice_point(text: str, left: tuple, right: tuple, lo: int, hi: int) -> int | None:
+        """The first word in the overlap ``(lo, hi)`` that the left chunk (which ends at
+        ``hi``) and the right one (which starts at ``lo``) hold whole and encode alike."""
         for m in _WORD.finditer(text, lo, hi):
             if m.start() == lo or m.end() == hi:
                 continue  # cut by one of the chunks
-            if left is None:
-                left, right = self._tokens(text, max(start, back), hi), self._tokens(text, lo, right_end)
-            span = range(m.start(), m.end())
-            if [left.get(p) for p in span] == [right.get(p) for p in span]:
+            parts = []
+            for starts, ends, ids in (left, right):
+                a, b = bisect_left(starts, m.start()), bisect_left(starts, m.end())
+                parts.append((starts[a:b], ends[a:b], ids[a:b]))
+            if parts[0] == parts[1]:
                 return m.start()
         return None
 
     def count(self, text: str, chunk_chars: int, overlap_chars: int) -> int:
-        words, size = self.words, len(text)
-        total, start, hi, overlap = 0, 0, min(size, chunk_chars), overlap_chars
+        size = len(text)
+        if size <= chunk_chars:
+            return sum(map(self.words.__getitem__, text.encode().split()))
+        first, hi, overlap = 0, chunk_chars, overlap_chars  # the left chunk, and its overlap
+        left, total, counted = self._tokens(text, first, hi), 0, 0
         while hi < size:
-            lo = max(start, hi - overlap)
-            cut = self.splice_point(text, start, lo, hi, min(size, hi + overlap_chars))
-            if cut is None or cut <= start:  # no stable boundary: widen the overlap
-                hi, overlap = min(size, hi + overlap), 2 * overlap
+            lo = hi - overlap
+            if lo <= first:  # the overlap would hold the whole left chunk
+                hi, overlap = min(size, hi + (hi - first)), overlap_chars
+                left = self._tokens(text, first, hi)
+                continue
+            end = min(size, max(lo + chunk_chars, hi + overlap_chars))
+            right = self._tokens(text, lo, end)
+            cut = self.splice_point(text, left, right, lo, hi)
+            if cut is None or cut < counted:  # no stable boundary: widen the overlap
+                overlap *= 2
                 continue
-            total += sum(map(words.__getitem__, text[start:cut].encode().split()))
-            start, hi, overlap = cut, min(size, cut + chunk_chars), overlap_chars
-        return total + sum(map(words.__getitem__, text[start:].encode().split()))
+            total += bisect_left(left[0], cut) - bisect_left(left[0], counted)
+            first, hi, overlap, left, counted = lo, end, overlap_chars, right, cut
+        return total + len(left[0]) - bisect_left(left[0], counted)
 
 
 @cache

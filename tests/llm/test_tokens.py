@@ -128,6 +128,18 @@ def test_chunked_counts_equal_library():
     assert e.count("x" * 5000, 100, 10) == len(e.lib.encode("x" * 5000, add_special_tokens=False).ids)
 
 
+def test_long_texts_are_counted_from_their_chunks(monkeypatch):
+    e = ChunkEncoder(WORD_BPE)
+    e.words = None  # no word is looked up by itself
+    encoded, whole = [], e._tokens
+    monkeypatch.setattr(e, "_tokens", lambda text, lo, hi: encoded.append((lo, hi)) or whole(text, lo, hi))
+    for text in (prose(4, 9000), "x" * 3000 + " " + prose(5, 500), "\n".join(prose(k, 40) for k in range(90)), " " * 4000 + "end"):
+        encoded.clear()
+        assert e.count(text, 1000, 50) == len(e.lib.encode(text, add_special_tokens=False).ids)
+        assert len(encoded) > 2 and sum(hi - lo for lo, hi in encoded) >= len(text)
+        assert set(range(len(text))) == {p for lo, hi in encoded for p in range(lo, hi)}
+
+
 def test_count_rows(spark):
     e = ChunkEncoder(WORD_BPE)
     df = docs(spark, [*AWKWARD, prose(2, 3000)])
