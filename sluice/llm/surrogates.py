@@ -46,6 +46,11 @@ TYPES = ("email", "phone", "ipv4", "card", "ssn", "iban", "secret", "person")
 # ------------------------------------------------------------------ permutations
 
 
+def hash_key(key: bytes) -> bytes:
+    """The key as the hash takes it: of more than 64 bytes, their digest."""
+    return key if len(key) <= 64 else hashlib.blake2b(key).digest()
+
+
 class Cycle:
     """A keyed permutation of 0..n-1 that is one cycle: it never maps a value to itself."""
 
@@ -53,7 +58,7 @@ class Cycle:
         self.n = n
         self.a = max(1, int(n**0.5) if n < 1 << 52 else 1 << (n.bit_length() // 2))
         self.b = -(-n // self.a)
-        self.key = hashlib.blake2b(f"{tweak}|{n}".encode(), key=key[:64], digest_size=32).digest()
+        self.key = hashlib.blake2b(f"{tweak}|{n}".encode(), key=hash_key(key), digest_size=32).digest()
 
     def _round(self, i: int, value: int, modulus: int) -> int:
         data = i.to_bytes(1, "big") + value.to_bytes((value.bit_length() + 7) // 8 or 1, "big")
@@ -228,7 +233,7 @@ def _titlecase(word: str) -> bool:
 
 # ------------------------------------------------------------------ finders
 _EMAIL = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9._%+\-]*[A-Za-z0-9_%+\-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24}")
-_LOCAL_END = re.compile(r"[A-Za-z0-9._%+\-]*\Z")
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _IPV4 = re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)")
 _NUMBERS = re.compile(r"(?<![\d.+])\d+(?:[ \-]\d+)*")
 _GROUP = re.compile(r"\d+")
@@ -275,18 +280,19 @@ def find_entities(text: str) -> list[tuple[int, int, str, str]]:
     def take(kind: str, start: int, end: int, note: str = "") -> None:
         spans.append((start, end, kind, note))
 
-    at = text.find("@")
+    at, floor = text.find("@"), 0
     while at >= 0:
-        local = _LOCAL_END.search(text, max(0, at - 64), at)
-        m = None
-        for start in range(local.start(), at):
-            m = _EMAIL.match(text, start)
-            if m and m.start() < at < m.end():
-                break
-            m = None
+        start = at
+        while start > floor and text[start - 1] in _LOCAL:
+            start -= 1
+        while start < at and text[start] in "._%+-":
+            start += 1
+        # what follows the start does not depend on it: one try at the run's first letter
+        m = _EMAIL.match(text, start) if start < at else None
         if m:
             take("email", *m.span())
-        at = text.find("@", max(at + 1, m.end() if m else 0))
+        floor = m.end() if m else at + 1
+        at = text.find("@", floor)
     if "=" in text or ":" in text:
         for m in _ASSIGNED.finditer(text):
             if any(c in DIGITS for c in m[1]) or "pass" in m[0].lower() or "pwd" in m[0].lower():
@@ -565,7 +571,7 @@ def entity_fingerprints(docs: DataFrame, key: bytes, text_col: str = "text") ->
     """(kind, original, surrogate) of every entity as keyed digests: no value in clear."""
 
     def mark(kind: str, value: str) -> bytes:
-        return hashlib.blake2b(f"{kind}|{canonical(kind, value)}".encode(), key=key[:64], digest_size=16).digest()
+        return hashlib.blake2b(f"{kind}|{canonical(kind, value)}".encode(), key=hash_key(key), digest_size=16).digest()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         r = replacer(key)

@@ -185,3 +185,15 @@ def test_cards_of_all_forms():
     assert cards("4417744280351547 4845168114407329") == ["4417744280351547", "4845168114407329"]
     assert cards("4111 1111 1111 1111 5500 0000 0000 0004") == ["4111 1111 1111 1111", "5500 0000 0000 0004"]
     assert cards("credit card no. 4111 1111 1111 1112") == ["4111 1111 1111 1112"]
+
+
+def test_mail_names_and_keys_of_any_length():
+    from sluice.llm.surrogates import Cycle, find_entities
+
+    for name in ("a" * 80 + ".x", "b" * 5000, "x.y-" * 40 + "z", "q"):
+        text = f"write to {name}@corp.com or ..{name}@corp.org"
+        spans = [text[a:b] for a, b, kind, _ in find_entities(text) if kind == "email"]
+        assert spans == [f"{name}@corp.com", f"{name}@corp.org"]
+    assert [k for *_, k, _ in find_entities("a" * 20_000 + "@" * 50 + "x.@corp.com")] == []
+    one, two = b"k" * 64 + b"1", b"k" * 64 + b"2"
+    assert [Cycle(one, "t", 10**6)._forth(i) for i in range(9)] != [Cycle(two, "t", 10**6)._forth(i) for i in range(9)]
