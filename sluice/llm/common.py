@@ -189,7 +189,16 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     delete_at_exit(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def unstage(spark: SparkSession, df: DataFrame) -> None:
+    """Removes the files of a frame that ``staged`` returned, once what was made of it is
+    written itself."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.staged_path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
 def power_of_two(n: int) -> int:

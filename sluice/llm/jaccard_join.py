@@ -4,10 +4,10 @@ A document's set is that of its distinct word n-grams, as 64-bit hashes.  Docume
 with the same words in the same order form a class at once, named by their smallest
 id; the rest works on classes:
 
-1. *Shared n-grams.*  Classes send their n-grams, packed by hash range, to buckets of
-   a bounded number of n-grams; a bucket keeps those that two classes have.  A class
-   whose shared n-grams are fewer than its smallest possible overlap cannot link and
-   leaves; this repeats once over those that stay.
+1. *Shared n-grams.*  Blocks of classes ask hash ranges which of their n-grams others
+   have (``shared_tokens``).  A class whose shared n-grams are fewer than its smallest
+   possible overlap cannot link and leaves.  Equal documents in several blocks count as
+   several here, so some n-grams of one class only stay; step 3 asks again, by component.
 2. *Prefixes.*  Of ``s`` shared n-grams of which a link needs at least ``a``, two linked
    classes must both hold one of each other's first ``s - a + 1`` under any order.
    Candidates meet on a prefix token of the first order (rarest first) and must
@@ -36,13 +36,12 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.common import arrow_map, id_field, mix64, ngram_hashes, power_of_two, staged, text_input, word_hashes
-
-U64, U32 = np.dtype("<u8"), np.dtype("<u4")
-SIG = np.dtype("V16")
+from sluice.llm.common import arrow_map, mix64, ngram_hashes, power_of_two, staged, text_input, unstage, word_hashes
+from sluice.llm.shared_tokens import I64, U32, U64, Sets, answers, expand, holders_of, rarest_first, squeeze
 
 
 def shingle_set(h: np.ndarray, n: int) -> np.ndarray:
@@ -65,200 +64,176 @@ def least_overlap(n, num: int, den: int):
     return -(-n * num // den)
 
 
-# ------------------------------------------------------------------ packed rows
-def _pack(bucket: np.ndarray, owner: np.ndarray, sigs: np.ndarray, sizes: np.ndarray, *columns: np.ndarray) -> Iterator[dict]:
-    """One row per bucket: the owners in it (signature, set size, number of values)
-    and their values, in the order of the owners."""
-    order = np.lexsort((owner, bucket))
-    bucket, owner = bucket[order], owner[order]
-    columns = tuple(c[order] for c in columns)
-    edges = np.flatnonzero(np.diff(bucket)) + 1
-    for lo, hi in zip([0, *edges], [*edges, len(bucket)]):
-        if lo == hi:
-            continue
-        who, count = np.unique(owner[lo:hi], return_counts=True)
-        yield {
-            "bucket": int(bucket[lo]),
-            "sigs": sigs[who].tobytes(),
-            "sizes": sizes[who].astype(U32).tobytes(),
-            "counts": count.astype(U32).tobytes(),
-            **{f"v{k}": c[lo:hi].tobytes() for k, c in enumerate(columns)},
-        }
-
-
-def _unpack(table: pa.Table, *types: np.dtype) -> tuple[np.ndarray, ...]:
-    """Signatures, sizes and counts of all owners of a bucket's rows, and the values."""
-    def joined(name: str, dtype: np.dtype) -> np.ndarray:
-        return np.frombuffer(b"".join(table.column(name).to_pylist()), dtype)
-
-    return (
-        joined("sigs", SIG), joined("sizes", U32), joined("counts", U32),
-        *(joined(f"v{k}", t) for k, t in enumerate(types)),
-    )
-
-
-PACKED = "bucket int, sigs binary, sizes binary, counts binary, v0 binary"
-PACKED_DF = PACKED + ", v1 binary"
-_ARROW = {"bucket": pa.int32()}
-
-
-def _batch(rows: list[dict], names: list[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array([r[n] for r in rows], _ARROW.get(n, pa.binary())) for n in names], names=names
-    )
-
-
-def _names(schema: str) -> list[str]:
-    return [c.split()[0] for c in schema.split(",")]
-
-
-def _top_bits(keys: np.ndarray, buckets: int) -> np.ndarray:
-    bits = buckets.bit_length() - 1
-    return (keys >> np.uint64(64 - bits)).astype(np.int32) if bits else np.zeros(len(keys), np.int32)
-
+# ------------------------------------------------------------------ blocks of texts
+def _text_blocks(limit: int, id_type: pa.DataType):
+    """Texts gathered to blocks of about ``limit`` words (at most as many documents): the documents' ids and classes,
+    and the words of each class as numbers into the block's distinct words."""
 
-def _sig_bucket(sigs: np.ndarray, buckets: int) -> np.ndarray:
-    return _top_bits(mix64(np.frombuffer(sigs.tobytes(), U64)[::2].copy()), buckets)
-
-
-class _Sender:
-    """Gathers sets of classes and gives packed rows whenever enough are there."""
-
-    def __init__(self, buckets: int, tell_sizes: bool = False, flush_keys: int = 1_000_000):
-        self.buckets, self.tell_sizes, self.flush_keys = buckets, tell_sizes, flush_keys
-        self.clear()
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        ids, cls, sigs, words, total = [], [], {}, [], 0
 
-    def clear(self) -> None:
-        self.sigs: dict[bytes, tuple[int, np.ndarray]] = {}
-        self.size = 0
+        def block() -> pa.RecordBatch:
+            lens = np.array([len(h) for h in words], U32)
+            distinct, index, counts = np.unique(
+                np.concatenate([np.empty(0, U64), *words]), return_inverse=True, return_counts=True
+            )
+            order = np.argsort(-counts, kind="stable")  # frequent words get small numbers
+            place = np.empty(len(order), U32)
+            place[order] = np.arange(len(order), dtype=U32)
+            return pa.RecordBatch.from_arrays([
+                pa.array([number], pa.int64()),
+                pa.array([ids], pa.list_(id_type)),
+                pa.array([np.array(cls, np.int32).tobytes()], pa.binary()),
+                pa.array([b"".join(sigs)], pa.binary()),
+                pa.array([squeeze(lens)], pa.binary()),
+                pa.array([distinct[order].tobytes()], pa.binary()),
+                pa.array([squeeze(place[index.reshape(-1)])], pa.binary()),
+                pa.array([total], pa.int64()),
+            ], names=[c.split()[0] for c in TEXT_BLOCK.split(", ")])
 
-    def add(self, sig: bytes, n: int, keys: np.ndarray) -> None:
-        if sig not in self.sigs:
-            self.sigs[sig] = (n, keys)
-            self.size += len(keys)
+        for batch in batches:
+            for ident, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
+                h = word_hashes(text or b"")
+                ids.append(ident)
+                if not len(h):
+                    cls.append(-1)
+                else:
+                    sig = signature(h)
+                    if sig not in sigs:
+                        sigs[sig] = len(sigs)
+                        words.append(h)
+                        total += len(h)
+                    cls.append(sigs[sig])
+                if total >= limit or len(ids) >= limit:
+                    yield block()
+                    number += 1
+                    ids, cls, sigs, words, total = [], [], {}, [], 0
+        if ids:
+            yield block()
 
-    def rows(self, end: bool = False) -> Iterator[pa.RecordBatch]:
-        if not self.sigs or not (end or self.size >= self.flush_keys):
-            return
-        keys = np.concatenate([k for _, k in self.sigs.values()])
-        owner = np.repeat(np.arange(len(self.sigs)), [len(k) for _, k in self.sigs.values()])
-        sigs = np.frombuffer(b"".join(self.sigs), SIG)
-        sizes = np.array([n for n, _ in self.sigs.values()])
-        names = _names(PACKED)
-        for row in _pack(_top_bits(keys, self.buckets), owner, sigs, sizes, keys):
-            yield _batch([row], names)
-        if self.tell_sizes:  # buckets below 0 carry the sizes of all classes
-            one, none = np.arange(len(sigs)), np.empty(len(sigs), U64)
-            for row in _pack(-1 - _sig_bucket(sigs, self.buckets), one, sigs, sizes, none):
-                yield _batch([row | {"v0": b""}], names)
-        self.clear()
+    return run
 
 
-def _send_texts(n: int, buckets: int):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sender = _Sender(buckets, tell_sizes=True)
-        for batch in batches:
-            for data in batch.column("text").to_pylist():
-                h = word_hashes(data or b"")
-                if len(h) and (sig := signature(h)) not in sender.sigs:
-                    keys = shingle_set(h, n)
-                    sender.add(sig, len(keys), keys)
-                    yield from sender.rows()
-        yield from sender.rows(end=True)
+TEXT_BLOCK = "block bigint, ids array<bigint>, cls binary, sigs binary, lens binary, words binary, places binary, n_words bigint"
 
-    return run
 
+def _text_sets(n: int):
+    """The sets of a block's classes, from their words."""
 
-def _send_sets(buckets: int):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sender = _Sender(buckets)
-        for batch in batches:
-            for sig, n, keys in zip(*(batch.column(c).to_pylist() for c in ("sig", "n", "keys"))):
-                sender.add(sig, n, np.frombuffer(keys, U64))
-                yield from sender.rows()
-        yield from sender.rows(end=True)
+    def sets_of(row: dict) -> Sets:
+        h = np.frombuffer(row["words"], U64)[expand(row["places"], U32)]
+        lens = expand(row["lens"], U32).astype(np.int64)
+        grams = ngram_hashes(h, n)
+        ends = np.cumsum(lens)
+        sets = [
+            np.unique(grams[e - m : e - n + 1]) if m >= n else shingle_set(h[e - m : e], n)
+            for m, e in zip(lens.tolist(), ends.tolist())
+        ]
+        return Sets(np.concatenate([np.empty(0, U64), *sets]), np.array([len(s) for s in sets], np.int64))
 
-    return run
+    return sets_of
 
 
-def _shared(buckets: int, of_components: bool = False):
-    """In a bucket of n-grams: those of at least two classes (or of classes from two
-    components, which the signatures' second half then names), sent on to their owners."""
-
-    def run(table: pa.Table) -> pa.Table:
-        names = _names(PACKED_DF)
-        sigs, sizes, counts, keys = _unpack(table, U64)
-        first = np.unique(sigs, return_index=True)[1]
-        own = np.zeros(len(sigs), bool)
-        own[first] = True  # a class sent by several tasks counts once
-        if table.column("bucket")[0].as_py() < 0:
-            row = {"bucket": table.column("bucket")[0].as_py(), "sigs": sigs[own].tobytes(), "sizes": sizes[own].tobytes()}
-            return pa.Table.from_batches([_batch([row | {"counts": b"", "v0": b"", "v1": b""}], names)])
-        keep = np.repeat(own, counts)
-        owner = np.repeat(np.arange(len(sigs)), counts)[keep]
-        keys = keys[keep]
-        order = np.argsort(keys, kind="stable")
-        keys, owner = keys[order], owner[order]
-        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, int)
-        runs = np.diff(np.append(starts, len(keys)))
-        df = np.repeat(runs, runs)
-        keep = df > 1
-        if of_components and len(keys):
-            comp = np.frombuffer(sigs.tobytes(), np.int64)[1::2][owner]
-            mixed = np.minimum.reduceat(comp, starts) != np.maximum.reduceat(comp, starts)
-            keep = np.repeat(mixed, runs)
-        keys, owner, df = keys[keep], owner[keep], df[keep].astype(U32)
-        rows = list(_pack(_sig_bucket(sigs, buckets)[owner], owner, sigs, sizes, keys, df)) if len(keys) else []
-        return pa.Table.from_batches([_batch(rows, names)])
+def _members(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, sig, block, pos) of every document of the blocks; sig is null without words."""
+    for batch in batches:
+        for block, ids, cls, sigs in zip(*(batch.column(c).to_pylist() for c in ("block", "ids", "cls", "sigs"))):
+            at = np.frombuffer(cls, np.int32).tolist()
+            yield pa.RecordBatch.from_arrays([
+                pa.array(ids, pa.int64()),
+                pa.array([sigs[16 * p : 16 * p + 16] if p >= 0 else None for p in at], pa.binary()),
+                pa.array([block] * len(at), pa.int64()),
+                pa.array(at, pa.int32()),
+            ], names=["id", "sig", "block", "pos"])
+
+
+CLASS_SETS = "sig binary, rep bigint, n int, keys binary"
+
+
+def _class_sets(n: int, buckets: int, num: int, den: int):
+    """The classes that a block stands for, with their shared n-grams if these are enough
+    for a link, else null."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = {"sig": [], "rep": [], "n": [], "keys": []}
+        told = [r for r in right.to_pylist() if r["codes"] is not None]
+        reps = {r["pos"]: r["rep"] for r in right.select(["pos", "rep"]).to_pylist() if r["pos"] is not None}
+        for row in left.to_pylist():
+            sets = _text_sets(n)(row)
+            holders = holders_of(sets, [(r["bucket"], r["codes"]) for r in told], buckets)
+            good, found = rarest_first(sets, holders, least_overlap(sets.lens, num, den))
+            found = dict(zip(np.flatnonzero(good).tolist(), found))
+            for pos, rep in reps.items():
+                out["sig"].append(row["sigs"][16 * pos : 16 * pos + 16])
+                out["rep"].append(rep)
+                out["n"].append(int(sets.lens[pos]))
+                out["keys"].append(found.get(pos))
+        types = (pa.binary(), pa.int64(), pa.int32(), pa.binary())
+        return pa.table({c: pa.array(v, t) for (c, v), t in zip(out.items(), types)})
 
     return run
 
 
-SETS = "sig binary, n int, keys binary"
+# ------------------------------------------------------------------ blocks of sets
+SET_BLOCK = "block bigint, reps binary, comps binary, ns binary, lens binary, keys binary, n_keys bigint"
+LABELLED = "rep bigint, comp bigint, n int, keys binary"
 
 
-def _survivors(num: int, den: int):
-    """Classes with enough shared n-grams, these sorted rarest first."""
+def _set_blocks(limit: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        reps, comps, ns, sets, total = [], [], [], [], 0
+
+        def block() -> pa.RecordBatch:
+            lens = np.array([len(k) // 8 for k in sets], U32)
+            data = [np.array(x, t).tobytes() for x, t in ((reps, I64), (comps, I64), (ns, U32))]
+            return pa.RecordBatch.from_arrays([
+                pa.array([number], pa.int64()),
+                *(pa.array([x], pa.binary()) for x in (*data, lens.tobytes(), b"".join(sets))),
+                pa.array([total], pa.int64()),
+            ], names=[c.split()[0] for c in SET_BLOCK.split(", ")])
 
-    def run(table: pa.Table) -> pa.Table:
-        sigs, sizes, counts, keys, df = _unpack(table, U64, U32)
-        names, first, which = np.unique(sigs, return_index=True, return_inverse=True)
-        owner = np.repeat(which.reshape(-1), counts)
-        shared = np.bincount(owner, minlength=len(names))
-        n = sizes[first].astype(np.int64)
-        good = shared >= least_overlap(n, num, den)
-        keep = good[owner]
-        owner, keys, df = owner[keep], keys[keep], df[keep]
-        order = np.lexsort((mix64(keys.copy()), df, owner))
-        keys, ends = keys[order], np.cumsum(shared[good])
-        sets = [keys[a:b].tobytes() for a, b in zip([0, *ends[:-1]], ends)] if len(ends) else []
-        return pa.table({
-            "sig": pa.array([names[i].tobytes() for i in np.flatnonzero(good)], pa.binary()),
-            "n": pa.array(n[good], pa.int32()),
-            "keys": pa.array(sets, pa.binary()),
-        })
+        for batch in batches:
+            for rep, comp, n, keys in zip(*(batch.column(c).to_pylist() for c in ("rep", "comp", "n", "keys"))):
+                reps.append(rep)
+                comps.append(comp)
+                ns.append(n)
+                sets.append(keys)
+                total += len(keys) // 8
+                if total >= limit:
+                    yield block()
+                    number += 1
+                    reps, comps, ns, sets, total = [], [], [], [], 0
+        if reps:
+            yield block()
 
     return run
 
 
-def _classes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(sig, n) of the rows that carry sizes."""
-    for batch in batches:
-        for sigs, sizes in zip(batch.column("sigs").to_pylist(), batch.column("sizes").to_pylist()):
-            names = [sigs[i : i + 16] for i in range(0, len(sigs), 16)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.binary()), pa.array(np.frombuffer(sizes, U32).astype(np.int32))], names=["sig", "n"]
-            )
+def _labelled_sets(row: dict) -> Sets:
+    return Sets(
+        np.frombuffer(row["keys"], U64),
+        np.frombuffer(row["lens"], U32).astype(np.int64),
+        np.frombuffer(row["comps"], I64),
+    )
 
 
-def _send_docs(id_type: pa.DataType):
-    """(id, sig) of every document; sig is null without words."""
+def _open_sets(buckets: int, num: int, den: int):
+    """Classes with enough n-grams that another component holds too."""
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h = (word_hashes(data or b"") for data in batch.column("text").to_pylist())
-            sigs = [signature(x) if len(x) else None for x in h]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sigs, pa.binary())], names=["id", "sig"])
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = {"rep": [], "comp": [], "n": [], "keys": []}
+        told = [(r["bucket"], r["codes"]) for r in right.to_pylist()]
+        for row in left.to_pylist():
+            sets, n = _labelled_sets(row), np.frombuffer(row["ns"], U32).astype(np.int64)
+            good, found = rarest_first(sets, holders_of(sets, told, buckets), least_overlap(n, num, den))
+            out["rep"] += np.frombuffer(row["reps"], I64)[good].tolist()
+            out["comp"] += sets.comps[good].tolist()
+            out["n"] += n[good].tolist()
+            out["keys"] += found
+        types = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
+        return pa.table({c: pa.array(v, t) for (c, v), t in zip(out.items(), types)})
 
     return run
 
@@ -400,7 +375,7 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         ),
         "near-edges",
     )
-    labels = staged(spark, edges.groupBy(F.col("u").alias("node")).agg(F.least("u", F.min("v")).alias("comp")), "near-labels")
+    before = labels = staged(spark, edges.groupBy(F.col("u").alias("node")).agg(F.least("u", F.min("v")).alias("comp")), "near-labels")
     while True:
         near = edges.join(labels, edges["v"] == labels["node"]).groupBy("u").agg(F.min("comp").alias("near"))
         lower = labels.join(near, labels["node"] == near["u"]).select("node", "comp", F.least("comp", "near").alias("low"))
@@ -408,8 +383,10 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         moved = staged(
             spark, lower.join(up, "low").select("node", F.col("comp").alias("old"), F.least("low", "higher").alias("comp")), "near-labels"
         )
-        labels = moved.select("node", "comp")
+        unstage(spark, before)
+        before, labels = moved, moved.select("node", "comp")
         if moved.where(F.col("old") != F.col("comp")).isEmpty():
+            unstage(spark, edges)
             return labels
 
 
@@ -419,47 +396,31 @@ def _star_pairs(tokens: DataFrame) -> DataFrame:
     return tokens.join(hubs, "token").where("a < rep").select("a", F.col("rep").alias("b")).distinct()
 
 
-def _send_labelled(buckets: int):
-    """Sets of classes whose signature is the class and its component."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sender = _Sender(buckets)
-        for batch in batches:
-            for rep, comp, n, keys in zip(*(batch.column(c).to_pylist() for c in ("rep", "comp", "n", "keys"))):
-                sender.add(np.array([rep, comp], np.int64).tobytes(), n, np.frombuffer(keys, U64))
-                yield from sender.rows()
-        yield from sender.rows(end=True)
-
-    return run
-
-
-def _labelled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        both = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(both[::2]), pa.array(both[1::2]), batch.column("n"), batch.column("keys")],
-            names=["rep", "comp", "n", "keys"],
-        )
-
-
-def _between_components(spark: SparkSession, sets: DataFrame, comps: DataFrame, buckets: int, num: int, den: int) -> DataFrame:
+def _between_components(spark: SparkSession, sets: DataFrame, comps: DataFrame, bucket_keys: int, num: int, den: int) -> DataFrame:
     """(rep, comp, n, keys) of the classes that may still link to another component: only
     n-grams that two components have count, and those must be enough for a link."""
     own = sets.join(comps, sets["rep"] == comps["node"], "left").select("rep", F.coalesce("comp", "rep").alias("comp"), "n", "keys")
-    sent = own.transform(arrow_map, _send_labelled(buckets), PACKED)
-    found = sent.groupBy("bucket").applyInArrow(_shared(buckets, of_components=True), PACKED_DF)
-    left = _enough(found, num, den).transform(arrow_map, _labelled, "rep bigint, comp bigint, n int, keys binary")
-    return staged(spark, left, "near-open")
+    blocks = staged(spark, own.transform(arrow_map, _set_blocks(bucket_keys), SET_BLOCK), "near-blocks")
+    buckets = _buckets(blocks, "n_keys", bucket_keys)
+    told = answers(blocks.select("block", "comps", "lens", "keys"), _labelled_sets, buckets)
+    left = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_open_sets(buckets, num, den), LABELLED)
+    found = staged(spark, left, "near-open")
+    unstage(spark, blocks)
+    return found
 
 
-def linked_components(spark: SparkSession, sets: DataFrame, num: int, den: int, buckets: int = 1) -> DataFrame:
+def _buckets(blocks: DataFrame, size: str, bucket_keys: int) -> int:
+    return power_of_two((blocks.agg(F.sum(size)).first()[0] or 0) // bucket_keys + 1)
+
+
+def linked_components(spark: SparkSession, sets: DataFrame, num: int, den: int, bucket_keys: int = 2_000_000) -> DataFrame:
     """(node, comp) over the classes of ``sets`` (rep, n, keys) that have links."""
     tokens = sets.transform(arrow_map, _meeting_tokens, "token bigint, rep bigint")
     links = staged(spark, verified(_star_pairs(tokens), sets, num, den), "near-links")
     comps = components(spark, links)
 
     for last in (False, True):
-        rest = _between_components(spark, sets, comps, buckets, num, den)
+        rest = _between_components(spark, sets, comps, bucket_keys, num, den)
         if rest.isEmpty():
             return comps
         held = staged(spark, rest.transform(arrow_map, _held_tokens(num, den), HELD), "near-held")
@@ -468,6 +429,8 @@ def linked_components(spark: SparkSession, sets: DataFrame, num: int, den: int,
         else:  # all pairs between components that may link
             pairs = _pairs_between(held, num, den)
         more = staged(spark, verified(pairs, rest, num, den), "near-links")
+        unstage(spark, held)
+        unstage(spark, rest)
         if not more.isEmpty():
             links = links.unionByName(more)
             comps = components(spark, links)
@@ -484,29 +447,34 @@ def near_duplicates(
 ) -> DataFrame:
     """``id, n_shingles, component_id`` for every row of ``docs``; ids are integers.
 
-    ``bucket_keys`` bounds the n-grams one task holds (on average; hash ranges are
-    even, and each class counts once)."""
+    ``bucket_keys`` bounds the n-grams one task holds: those of a block, and on average
+    those of a hash range."""
     num, den = similarity
     spark = docs.sparkSession
     texts = text_input(docs, id_col, text_col).withColumn("id", F.col("id").cast("long"))
-    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    buckets = power_of_two(max(1, chars // 6 // bucket_keys + 1))
-
-    members = staged(spark, texts.transform(arrow_map, _send_docs(pa.int64()), "id bigint, sig binary"), "near-members")
-    sent = texts.transform(arrow_map, _send_texts(n, buckets), PACKED)
-    found = staged(spark, sent.groupBy("bucket").applyInArrow(_shared(buckets), PACKED_DF), "near-shared")
-    classes = found.where("bucket < 0").transform(arrow_map, _classes, "sig binary, n int")
-    survivors = _enough(found.where("bucket >= 0"), num, den)
-    again = staged(spark, survivors, "near-sets").transform(arrow_map, _send_sets(buckets), PACKED)
-    survivors = _enough(again.groupBy("bucket").applyInArrow(_shared(buckets), PACKED_DF), num, den)
-
-    named = members.where("sig is not null").groupBy("sig").agg(F.min("id").alias("rep"))
-    named = staged(spark, classes.join(named, "sig"), "near-classes")
-    sets = staged(
-        spark, survivors.join(named.where("rep is not null").select("sig", "rep"), "sig").select("rep", "n", "keys"), "near-sets"
+    blocks = staged(spark, texts.transform(arrow_map, _text_blocks(bucket_keys, pa.int64()), TEXT_BLOCK), "near-blocks")
+    buckets = _buckets(blocks, "n_words", bucket_keys)
+    found = blocks.select("block", "ids", "cls", "sigs").transform(arrow_map, _members, "id bigint, sig binary, block bigint, pos int")
+    members = staged(spark, found, "near-members")
+
+    # each class is named by its smallest id, and one block stands for it
+    first = F.struct(F.col("id").isNull(), "id", "block", "pos")
+    named = members.where("sig is not null").groupBy("sig").agg(F.min(first).alias("own"))
+    owned = named.select(
+        "own.block", F.lit(-1).alias("bucket"), F.lit(None).cast("binary").alias("codes"), "own.pos", F.col("own.id").alias("rep")
+    )
+    none = [F.lit(None).cast("int").alias("pos"), F.lit(None).cast("long").alias("rep")]
+    told = answers(blocks.select("block", "lens", "words", "places"), _text_sets(n), buckets).select("*", *none)
+    sent = blocks.select("block", "sigs", "lens", "words", "places").groupBy("block")
+    classes = staged(
+        spark,
+        sent.cogroup(told.unionByName(owned).groupBy("block")).applyInArrow(_class_sets(n, buckets, num, den), CLASS_SETS),
+        "near-classes",
     )
-    comps = linked_components(spark, sets, num, den, buckets)
-    of_class = named.join(comps, named["rep"] == comps["node"], "left").select(
+    unstage(spark, blocks)
+    sets = classes.where("rep is not null and keys is not null").select("rep", "n", "keys")
+    comps = linked_components(spark, sets, num, den, bucket_keys)
+    of_class = classes.select("sig", "rep", "n").join(comps, classes["rep"] == comps["node"], "left").select(
         "sig", F.col("n").cast("long").alias("n_shingles"), F.coalesce("comp", "rep").alias("component_id")
     )
     return members.join(of_class, "sig", "left").select(
@@ -516,10 +484,6 @@ def near_duplicates(
     )
 
 
-def _enough(found: DataFrame, num: int, den: int) -> DataFrame:
-    return found.groupBy("bucket").applyInArrow(_survivors(num, den), SETS)
-
-
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """The rows of ``docs`` whose id names their component, all columns as they are; rows
     that repeat such an id are reduced to one.  Rows with a null id stay."""
