@@ -12,12 +12,14 @@ executor loss) and that copy is removed afterwards.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from functools import reduce
 from operator import and_
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
@@ -292,6 +294,22 @@ def write_csv(df: DataFrame, path: str, header: bool = True, compression: str |
     w.csv(path)
 
 
+def write_json_documents(df: DataFrame, path: str, key: str) -> None:
+    """Overwrites a folder with JSON documents ``{"<key>": [record, ...]}``, one a
+    partition; NULL fields are left out.  ``read_json_records`` reads them by ranges."""
+
+    def run(batches):
+        before = "{" + json.dumps(key) + ": ["
+        for batch in batches:
+            lines = [sep + text for sep, text in zip([before, *[","] * (batch.num_rows - 1)], batch.column("value").to_pylist())]
+            before = "," if lines else before
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+        end = "]}" if before == "," else before + "]}"
+        yield pa.RecordBatch.from_arrays([pa.array([end])], names=["value"])
+
+    df.select(F.to_json(F.struct("*")).alias("value")).mapInArrow(run, "value string").write.mode("overwrite").text(path)
+
+
 def snapshot_copy(df: DataFrame, path: str) -> None:
     """Full snapshot to uncompressed CSV with header (no CDC).
 

@@ -39,6 +39,7 @@ from sluice.operators.loads import (
     upsert,
     upsert_to_path,
     write_csv,
+    write_json_documents,
 )
 from sluice.operators.versioned import VersionedTable
 from sluice.plans import derived as D
@@ -85,6 +86,7 @@ from sluice.sources.files import (
     read_xml_records,
     with_read_order,
 )
+from sluice.sources.json_records import read_json_records
 from sluice.streaming.messages import decode_stream, run_available_now
 
 # Fixed parameters of the registered queries.
@@ -138,6 +140,14 @@ def q_documents_csv(spark, d):
     return read_csv(spark, path, docs.schema, missing=(NULL_TEXT,), quoted_breaks=True)
 
 
+def q_documents_json(spark, d):
+    """Free text in JSON documents of one array each, read by several tasks a file."""
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    path = scratch_path(spark, "documents-json")
+    write_json_documents(docs, path, "documents")
+    return read_json_records(spark, path, "documents", docs.schema, mode="FAILFAST")
+
+
 # =================================================================== readings
 def _prepared(spark, d):
     return prepare_readings(D.readings_from_events(table(spark, d, "events")), flag_value="view")
@@ -566,6 +576,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "loan_region_order": q_loan_region_order,
     "loans_csv": q_loans_csv,
     "documents_csv": q_documents_csv,
+    "documents_json": q_documents_json,
     "readings_csv": q_readings_csv,
     "temp_daily_full": q_temp_daily_full,
     "temp_extremes": q_temp_extremes,

@@ -14,8 +14,12 @@ def pets_flat(documents: DataFrame, doc_col: str | None = None) -> DataFrame:
     """S1 -> P1 -> F3 -> P2.  ``documents`` holds a ``pets`` array column
     (from ``read_json_documents``) or, with ``doc_col``, a parsed struct."""
     src = documents.select(F.col(f"{doc_col}.pets").alias("pets")) if doc_col else documents.select("pets")
-    rows = explode_records(src, "pets")
-    return rows.select(
+    return pet_rows(explode_records(src, "pets"))
+
+
+def pet_rows(records: DataFrame) -> DataFrame:
+    """The flat rows of single records (from ``read_json_records``)."""
+    return records.select(
         "name",
         "species",
         F.col("birthYear").alias("birth_year"),

@@ -23,7 +23,7 @@ from sluice.operators.loads import (
     write_messages,
     written_once,
 )
-from sluice.plans.documents import nutrition_flat, pets_flat
+from sluice.plans.documents import nutrition_flat, pet_rows
 from sluice.plans.loans import loan_details, loan_region_stats, read_loans
 from sluice.plans.messages import decode_messages, encode_messages
 from sluice.plans.readings import incremental_batch, prepare_readings, temp_daily_full, temp_extremes
@@ -40,13 +40,15 @@ from sluice.schemas import (
     USER_SESSIONS_RAW,
     USERS,
 )
-from sluice.sources.files import read_csv, read_json_documents, read_table, read_xml_records, with_read_order
+from sluice.sources.files import read_csv, read_table, read_xml_records, with_read_order
+from sluice.sources.json_records import read_json_records
 from sluice.streaming.messages import decode_stream, run_available_now
 
 
 # X1, X2 — documents appended to flat tables (K1: a rerun appends again)
 def load_pets(spark: SparkSession, json_path: str, table_path: str) -> int:
-    rows, n = counted(pets_flat(read_json_documents(spark, json_path, PETS_DOCUMENT)))
+    records = read_json_records(spark, json_path, "pets", PETS_DOCUMENT["pets"].dataType.elementType)
+    rows, n = counted(pet_rows(records))
     append_load(rows, table_path)
     return n()
 

@@ -45,14 +45,14 @@ def ends_inside(line: str, inside: bool) -> bool:
     return _OPENS.search(_WHOLE.sub("x", line)) is not None
 
 
-def quoted_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Lines with the file and the start of the range they belong to, in order."""
-    return spark.read.option("lineSep", "\n").text(path).select(
+def quoted_lines(spark: SparkSession, path: str | Sequence[str], sep: str = "\n") -> DataFrame:
+    """Lines (what ``sep`` ends) with the file and the start of the range they belong to, in order."""
+    return spark.read.option("lineSep", sep).text(path).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
     )
 
 
-def _ranges(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, int, pa.Array]]:
+def ranges_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, int, pa.Array]]:
     """Lines of one range at a time (a range may come in several pieces)."""
     for batch in batches:
         if not batch.num_rows:
@@ -74,7 +74,7 @@ def _outcomes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     reaches into the range ends in it."""
     at, state = None, (False, True, False)
     rows = []
-    for file, start, lines in _ranges(batches):
+    for file, start, lines in ranges_of(batches):
         if (file, start) != at:
             if at is not None:
                 rows.append((*at, *state))
@@ -127,7 +127,7 @@ def quoted_records(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
                 owner = owners[at] if head else at[1]
                 yield _rows(["\n".join(part)], [first], [at[0]], [owner], [at[1]])
 
-        for file, start, lines in _ranges(batches):
+        for file, start, lines in ranges_of(batches):
             if (file, start) != at:
                 yield from flush()
                 at, part = (file, start), []
