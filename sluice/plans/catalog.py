@@ -87,6 +87,7 @@ from sluice.sources.files import (
     with_read_order,
 )
 from sluice.sources.json_records import read_json_records
+from sluice.sources.xml_records import read_root_records
 from sluice.streaming.messages import decode_stream, run_available_now
 
 # Fixed parameters of the registered queries.
@@ -483,6 +484,14 @@ def q_nutrition_xml_files(spark, d):
     return nutrition_flat(read_xml_records(spark, path, "food", FOOD_XML))
 
 
+def q_nutrition_xml_document(spark, d):
+    """Children of each document's root only, read by several tasks a file."""
+    path = scratch_path(spark, "food-document")
+    foods = D.food_xml_from_parts(table(spark, d, "part")).select(F.from_xml("xml", FOOD_XML).alias("f")).select("f.*")
+    foods.write.format("xml").option("rootTag", "nutrition").option("rowTag", "food").save(path)
+    return nutrition_flat(read_root_records(spark, path, "food", FOOD_XML))
+
+
 def _orders_docs(spark, d, items=True):
     return D.delivery_documents_from_orders(table(spark, d, "orders"), table(spark, d, "lineitem"), items)
 
@@ -618,6 +627,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pets_flat": q_pets_flat,
     "pets_json_files": q_pets_json_files,
     "nutrition_xml_files": q_nutrition_xml_files,
+    "nutrition_xml_document": q_nutrition_xml_document,
     "nutrition_flat": q_nutrition_flat,
     "order_headers": q_order_headers,
     "orders_json_files": q_orders_json_files,

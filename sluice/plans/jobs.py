@@ -40,8 +40,9 @@ from sluice.schemas import (
     USER_SESSIONS_RAW,
     USERS,
 )
-from sluice.sources.files import read_csv, read_table, read_xml_records, with_read_order
+from sluice.sources.files import read_csv, read_table, with_read_order
 from sluice.sources.json_records import read_json_records
+from sluice.sources.xml_records import read_root_records
 from sluice.streaming.messages import decode_stream, run_available_now
 
 
@@ -54,7 +55,7 @@ def load_pets(spark: SparkSession, json_path: str, table_path: str) -> int:
 
 
 def load_nutrition(spark: SparkSession, xml_path: str, table_path: str) -> int:
-    rows, n = counted(nutrition_flat(read_xml_records(spark, xml_path, "food", FOOD_XML)))
+    rows, n = counted(nutrition_flat(read_root_records(spark, xml_path, "food", FOOD_XML)))
     append_load(rows, table_path)
     return n()
 

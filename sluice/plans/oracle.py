@@ -357,6 +357,7 @@ ORACLE_SQL["message_encode"] = """SELECT '{"c_custkey":' || c_custkey || ',"c_na
 ORACLE_SQL["stream_csv_restart"] = _MESSAGES
 ORACLE_SQL["pets_json_files"] = ORACLE_SQL["pets_flat"]
 ORACLE_SQL["nutrition_xml_files"] = ORACLE_SQL["nutrition_flat"]
+ORACLE_SQL["nutrition_xml_document"] = ORACLE_SQL["nutrition_flat"]
 ORACLE_SQL["upsert_daily_versioned"] = ORACLE_SQL["upsert_daily"]
 ORACLE_SQL["strict_insert_indexed"] = ORACLE_SQL["strict_insert"]
 ORACLE_SQL["users_two_feeds_indexed"] = ORACLE_SQL["users_two_feeds_path"]

@@ -169,7 +169,7 @@ def _records(path: list[str], known: dict[tuple[str, int], tuple]):
 
         def left_open() -> Iterator[pa.RecordBatch]:
             if at is not None and part is not None:
-                yield _rows(["".join(part)], at, opens, False)
+                yield piece_rows(["".join(part)], at, opens, False)
 
         for file, start, pieces in ranges_of(batches):
             if (file, start) != at:
@@ -192,10 +192,10 @@ def _records(path: list[str], known: dict[tuple[str, int], tuple]):
                     if opens:
                         done.append("".join(part))
                     else:
-                        yield _rows(["".join(part)], at, False, True)
+                        yield piece_rows(["".join(part)], at, False, True)
                     part = None
             if done:
-                yield _rows(done, None, True, True)
+                yield piece_rows(done, None, True, True)
         yield from left_open()
 
     return run
@@ -204,7 +204,7 @@ def _records(path: list[str], known: dict[tuple[str, int], tuple]):
 PIECES = "text string, opens boolean, ends boolean, file string, start long"
 
 
-def _rows(texts: list[str], at: tuple[str, int] | None, opens: bool, ends: bool) -> pa.RecordBatch:
+def piece_rows(texts: list[str], at: tuple[str, int] | None, opens: bool, ends: bool) -> pa.RecordBatch:
     file, start = at or (None, None)
     n = len(texts)
     return pa.RecordBatch.from_arrays([
@@ -213,7 +213,7 @@ def _rows(texts: list[str], at: tuple[str, int] | None, opens: bool, ends: bool)
     ], names=["text", "opens", "ends", "file", "start"])
 
 
-def _joined(table: pa.Table) -> pa.Table:
+def joined_pieces(table: pa.Table) -> pa.Table:
     """Records from a file's pieces, in the order of their ranges."""
     out, part = [], []
     for r in sorted(table.to_pylist(), key=lambda r: (r["start"], r["opens"])):
@@ -234,7 +234,7 @@ def json_record_texts(spark: SparkSession, path: str | Sequence[str], record_pat
     known = {(r.file, r.start): (r.inside, r.depth, r["kinds"], r["keys"]) for r in range_starts(pieces).collect()}
     found = pieces.mapInArrow(_records(keys, known), PIECES)
     whole = found.where("file IS NULL").select("text")
-    return whole.unionByName(found.where("file IS NOT NULL").groupBy("file").applyInArrow(_joined, "text string"))
+    return whole.unionByName(found.where("file IS NOT NULL").groupBy("file").applyInArrow(joined_pieces, "text string"))
 
 
 def read_json_records(
