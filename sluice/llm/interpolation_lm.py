@@ -154,21 +154,21 @@ REPLY = "block bigint, bucket int, w_all binary, w_kept binary, p_all binary, p_
 def _requests(buckets: int):
     bits = buckets.bit_length() - 1
 
-    def cuts(keys: np.ndarray) -> np.ndarray:
-        edges = np.arange(1, buckets, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.empty(0, U64)
-        return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
+    def pieces(keys: np.ndarray) -> dict[int, slice]:
+        """The buckets that sorted keys fall into, and their place there."""
+        bucket = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+        starts = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
+        return {int(bucket[lo]): slice(lo, hi) for lo, hi in zip(starts, [*starts[1:], len(keys)])}
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 t = _Tokens(row)
                 wc, pc = (c.astype(U32) for c in t.counts())
-                wcut, pcut = cuts(t.words), cuts(t.pair_keys)
+                words, pairs = pieces(t.words), pieces(t.pair_keys)
                 out = {n.split()[0]: [] for n in REQUEST.split(", ")}
-                for b in range(buckets):
-                    w, p = slice(wcut[b], wcut[b + 1]), slice(pcut[b], pcut[b + 1])
-                    if w.start == w.stop and p.start == p.stop:
-                        continue
+                for b in sorted(words.keys() | pairs.keys()):
+                    w, p = words.get(b, slice(0)), pairs.get(b, slice(0))
                     out["bucket"].append(b)
                     out["wk"].append(_planes(t.words[w]))
                     out["wc"].append(wc[w].tobytes())
