@@ -156,9 +156,14 @@ def _requests(buckets: int):
 
     def pieces(keys: np.ndarray) -> dict[int, slice]:
         """The buckets that sorted keys fall into, and their place there."""
-        bucket = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
-        starts = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
-        return {int(bucket[lo]): slice(lo, hi) for lo, hi in zip(starts, [*starts[1:], len(keys)])}
+        found, at = {}, 0
+        while at < len(keys):
+            b = int(keys[at]) >> (64 - bits)
+            last = np.uint64(((b + 1) << (64 - bits)) - 1)
+            end = int(np.searchsorted(keys, last, "right"))
+            found[b] = slice(at, end)
+            at = end
+        return found
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,6 +179,7 @@ def _requests(buckets: int):
                     out["wc"].append(wc[w].tobytes())
                     out["pk"].append(_planes(t.pair_keys[p]))
                     out["pc"].append(pc[p].tobytes())
+                del t, wc, pc  # before the next block's are made
                 m = len(out["bucket"])
                 yield pa.RecordBatch.from_arrays([
                     pa.array(out["bucket"], pa.int32()),
