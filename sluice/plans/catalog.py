@@ -77,6 +77,7 @@ from sluice.schemas import (
     USER_SESSION_DOC,
 )
 from sluice.session import scratch_path
+from sluice.sources.document_dump import read_document_dump, write_document_dump
 from sluice.sources.files import (
     read_csv,
     read_json_documents,
@@ -246,6 +247,27 @@ def q_sessions_collection(spark, d):
     return s.select("session_id", "user_id", "start_time", "end_time", "device", "duration")
 
 
+def q_sessions_dump(spark, d):
+    """The same collection as binary dumps, read by several tasks a file; places
+    of documents tell which of equal keys was read first."""
+    path = scratch_path(spark, "sessions-dump")
+    docs = D.session_documents_from_lines(table(spark, d, "lineitem"))
+    ordered = docs.orderBy("start_time", "end_time", "user_id", "device", "pages_visited", "actions")
+    write_document_dump(ordered.withColumn("_id", F.left(F.md5("session_id"), F.lit(24))), path, object_ids=["_id"])
+    schema = StructType([*USER_SESSION_DOC.fields, StructField("_id", StringType())])
+    s = replicate_sessions(read_document_dump(spark, path, schema, mode="FAILFAST", position="_position", split_bytes=16 << 20))
+    return s.select("session_id", "user_id", "start_time", "end_time", "device", "duration")
+
+
+def q_documents_dump(spark, d):
+    """Free text, numbers and NULLs through binary dumps; of each document only the
+    wanted fields are decoded."""
+    path = scratch_path(spark, "documents-dump")
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    write_document_dump(docs, path)
+    return read_document_dump(spark, path, docs.select("doc_id", "text", "n_chars").schema, mode="FAILFAST", split_bytes=16 << 20)
+
+
 def q_tickets_dedupe(spark, d):
     docs = D.ticket_documents_from_lines(table(spark, d, "lineitem"), table(spark, d, "orders"))
     return replicate_tickets(docs, order_by=["created_at", "updated_at", "status", "issue_type", "user_id"])
@@ -598,6 +620,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "support_efficiency_refreshed": q_support_efficiency_refreshed,
     "sessions_dedupe": q_sessions_dedupe,
     "sessions_collection": q_sessions_collection,
+    "sessions_dump": q_sessions_dump,
+    "documents_dump": q_documents_dump,
     "tickets_dedupe": q_tickets_dedupe,
     "users_insert_absent": q_users_insert_absent,
     "tickets_insert_absent": q_tickets_insert_absent,

@@ -375,6 +375,8 @@ SELECT version, c_nationkey, count(*) AS n, min(c_name) AS first_name, max(c_nam
 ORACLE_SQL["documents_csv"] = "SELECT doc_id, text, lang, source, n_chars FROM documents"
 ORACLE_SQL["documents_json"] = ORACLE_SQL["documents_csv"]
 ORACLE_SQL["sessions_collection"] = ORACLE_SQL["sessions_dedupe"]
+ORACLE_SQL["sessions_dump"] = ORACLE_SQL["sessions_dedupe"]
+ORACLE_SQL["documents_dump"] = "SELECT doc_id, text, n_chars FROM documents"
 ORACLE_SQL["orders_json_files"] = ORACLE_SQL["order_headers"]
 ORACLE_SQL["message_publish"] = """SELECT CAST(c_custkey AS INTEGER) AS loan_id, c_name AS borrower,
   CAST(floor(c_acctbal) AS BIGINT) AS amount, c_mktsegment AS status FROM customer"""
