@@ -75,7 +75,15 @@ BOILER_WORDS = frozenset(
 )
 BOILER_STARTS = ("advert", "sponsor", "cookie", "comment", "breadcrumb", "sidebar", "footer", "subscri", "newsletter", "promo", "navig")
 CONTENT_WORDS = frozenset("article content post entry story main text body prose".split())
-LAYOUT_WORDS = frozenset("has with without".split())  # what follows tells the layout of the element, not its role
+LAYOUT_WORDS = frozenset("has with without no".split())  # what follows tells the layout of the element, not its role
+# parts that say nothing about what an element holds, so that the part before them names it
+FRAME_WORDS = frozenset(
+    "area bar block box btn button buttons col column container desktop group head header heading icon icons inner item items left link "
+    "links list main mobile outer page pages panel posts region right row section site slot stories title top unit wrap wrapper zone".split()
+)
+STYLE_WORDS = frozenset("text bg border color font".split())  # what follows is a look: "text-warning"
+# words that name a place or a topic as often as furniture of the page
+HINT_WORDS = frozenset("more side bottom foot legal popular".split())
 # containers that hold articles of others beside the page's own
 OTHERS = frozenset("comment comments commentlist reply replies respond disqus discussion related recommended recommendation recommendations "
                    "trending popular teaser".split())
@@ -84,7 +92,7 @@ OTHERS = frozenset("comment comments commentlist reply replies respond disqus di
 class Node:
     """An open element: what its place says about the text in it."""
 
-    __slots__ = ("tag", "up", "depth", "boiler", "content", "silent", "number", "wraps", "mark", "lead", "off", "others")
+    __slots__ = ("tag", "up", "depth", "boiler", "content", "silent", "number", "wraps", "mark", "lead", "off", "others", "hint", "hinted", "story")
 
     def __init__(self, tag: str, up: Node | None, number: int):
         self.tag, self.up, self.number = tag, up, number
@@ -97,37 +105,64 @@ class Node:
         self.lead = 0  # 2: main, 1: article, -1: content by class, -2: h1
         self.off = False  # a class mark that does not count, as the element wraps the page's content
         self.others = False
+        self.hint = False  # a class that may name boilerplate or a topic
+        self.hinted = up.hinted if up else False
+        self.story = up.story if up else False  # within an article element
+
+
+def _is_boiler(word: str) -> bool:
+    return word in BOILER_WORDS or word.startswith(BOILER_STARTS)
+
+
+def _named(parts: list[str]) -> str:
+    """What one class name tells by its parts: "firm" if the part that names the element
+    is a word for boilerplate, "hint" if another part is, else nothing."""
+    if not any(map(_is_boiler, parts)):
+        return ""
+    parts = [w.rstrip("0123456789") or w for w in parts]
+    if parts[0] in STYLE_WORDS and len(parts) > 1:
+        return "hint"
+    named = [w for w in parts if w not in CONTENT_WORDS and (w not in FRAME_WORDS or _is_boiler(w)) and len(w) > 1 and not w.isdigit()]
+    last = named[-1] if named else parts[-1]
+    return "firm" if _is_boiler(last) and last not in HINT_WORDS else "hint"
 
 
-def _names(attributes: str) -> tuple[set[str], str, bool]:
-    """Parts of class and id, the role, and whether the element is hidden."""
-    words, role, hidden = set(), "", False
+def _names(attributes: str) -> tuple[set[str], str, bool, str]:
+    """Parts of class and id, the role, whether the element is hidden, and what its names
+    tell of boilerplate."""
+    words, role, hidden, told = set(), "", False, ""
     for m in _ATTRIBUTE.finditer(attributes):
         name = m[1].lower()
         value = m[2] if m[2] is not None else m[3] if m[3] is not None else m[4] or ""
         if name in ("class", "id"):
             for part in _CAMEL.sub("-", value).lower().split():
+                parts = []
                 for word in _NOT_WORD.split(part):
                     if word in LAYOUT_WORDS:
                         break
-                    words.add(word)
+                    if word:
+                        parts.append(word)
+                words.update(parts)
+                if parts and told != "firm":
+                    told = _named(parts) or told
         elif name == "role":
             role = value.strip().lower()
         elif name == "hidden" or (name == "aria-hidden" and value == "true") or (
             name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)
         ):
             hidden = True
-    return words, role, hidden
+    return words, role, hidden, told
 
 
 def _place(node: Node, attributes: str) -> None:
     tag = node.tag
-    words, role, hidden = _names(attributes) if attributes.strip(" /\n\t\r") else (set(), "", False)
+    words, role, hidden, told = _names(attributes) if attributes.strip(" /\n\t\r") else (set(), "", False, "")
     if tag in SILENT or hidden:
         node.silent = True
     if tag in CONTENT_TAGS or role in ("main", "article"):
         node.content = True
         node.lead = 2 if "main" in (tag, role) else 1
+        node.story = node.story or "article" in (tag, role)
         return
     if tag == "h1":
         node.lead = -2
@@ -137,13 +172,14 @@ def _place(node: Node, attributes: str) -> None:
         pass  # the heading of an article
     elif tag in BOILER_TAGS or role in BOILER_ROLES:
         node.boiler, node.mark = True, "tag"
-    if words & BOILER_WORDS or any(w.startswith(BOILER_STARTS) for w in words):
-        if not words & CONTENT_WORDS or words & BOILER_WORDS - {"side", "more", "body"}:
-            node.boiler, node.mark = True, node.mark or "class"
-            node.others = bool(words & OTHERS)
-    elif words & CONTENT_WORDS:
+    if told == "firm":
+        node.boiler, node.mark = True, node.mark or "class"
+        node.others = bool(words & OTHERS)
+    elif words & CONTENT_WORDS and not words & BOILER_WORDS - HINT_WORDS:
         node.content = True
         node.lead = node.lead or -1
+    elif told:
+        node.hint = node.hinted = True
 
 
 class Block:
@@ -261,6 +297,7 @@ def text_blocks(page: str) -> list[Block]:
             at = end.start() if end else size
     flush()
     _take_marks_off(out, leads)
+    _take_hints_off(out, leads)
     return out
 
 
@@ -322,6 +359,25 @@ def _take_marks_off(blocks: list[Block], leads: list[Node]) -> None:
             live.add(lead)
 
 
+def _take_hints_off(blocks: list[Block], leads: list[Node]) -> None:
+    """A hint tells nothing of an element around the page's article, main element or
+    heading, or around half of its text."""
+    if not any(b.node.hinted for b in blocks):
+        return
+    around = {n for lead in leads for n in _path(lead.up)}
+    size: dict[Node, int] = {}
+    total = 0
+    for b in blocks:
+        if not _in_boilerplate(b.node):
+            total += len(b.text)
+            for n in _path(b.node):
+                if n.hint:
+                    size[n] = size.get(n, 0) + len(b.text)
+    for n, own in size.items():
+        if n in around or 2 * own >= total:
+            n.hint = False
+
+
 def _is_open(node: Node, tag: str) -> bool:
     """Whether a ``tag`` is open within the nearest container that bounds it."""
     n = node
@@ -346,8 +402,10 @@ def _in_boilerplate(node: Node) -> bool:
 
 
 def content_score(block: Block, any_content: bool) -> float:
-    """Log odds that a block is main text.  ``any_content``: the page marks some
-    container as its main content."""
+    """Log odds that a block is main text, from its place, tag, length, last character,
+    link share and wording.  ``any_content``: the page marks some container as its main
+    content.  Only places that name boilerplate firmly decide alone; what a hint, a link
+    or a short line says, neighbouring blocks can overrule in the cut."""
     words = block.text.count(" ") + 1
     score = -0.5 if any_content else 1.0
     if _in_boilerplate(block.node):
@@ -358,6 +416,9 @@ def content_score(block: Block, any_content: bool) -> float:
         score -= 3.0
     if block.node.boiler and any(n.off for n in _path(block.node)):
         score -= 0.5
+    hinted = block.node.hinted and any(n.hint for n in _path(block.node))
+    if hinted:
+        score -= 2.5
     if block.node.tag in ("p", "blockquote", "pre"):
         score += 1.0
     if block.heading:
@@ -365,7 +426,8 @@ def content_score(block: Block, any_content: bool) -> float:
     score += min(2.0, 0.5 * math.log1p(words) - 0.8)
     if block.text[-1] in ".!?…:;\"'”»)。！？":
         score += 0.5
-    score -= 4.0 * block.link_share * (words < 40)
+    # lists of links are usual in an article, and menus outside of one
+    score -= (2.5 if block.node.story and not hinted else 4.0) * block.link_share * (words < 40)
     if block.text[0] in "©" or "all rights reserved" in block.text[:200].lower():
         score -= 4.0
     return score
@@ -444,7 +506,7 @@ class FlowGraph:
         return [x >= 0 for x in self.levels(source)]
 
 
-SMOOTH = 1.5  # capacity between neighbouring blocks of the same container
+SMOOTH = 3.0  # capacity between neighbouring blocks of the same container
 
 
 def main_blocks(blocks: list[Block]) -> list[bool]:
@@ -452,7 +514,8 @@ def main_blocks(blocks: list[Block]) -> list[bool]:
     n = len(blocks)
     if not n:
         return []
-    marked = any(b.node.content and not _in_boilerplate(b.node) for b in blocks)
+    firm = [_in_boilerplate(b.node) for b in blocks]
+    marked = any(b.node.content and not f for b, f in zip(blocks, firm))
     graph = FlowGraph(n + 2)
     source, sink = n, n + 1
     last: dict[int, int] = {}
@@ -460,12 +523,13 @@ def main_blocks(blocks: list[Block]) -> list[bool]:
         s = max(-30.0, min(30.0, content_score(b, marked)))
         graph.add(source, i, math.log1p(math.exp(s)))  # paid if it is called boilerplate
         graph.add(i, sink, math.log1p(math.exp(-s)))  # paid if it is called content
-        if i:
+        # a place that names boilerplate firmly is a border: nothing is smooth across it
+        if i and firm[i - 1] == firm[i]:
             w = SMOOTH / (1 + dom_distance(blocks[i - 1].node, b.node))
             graph.add(i - 1, i, w, w)
         parent = b.node.up.number if b.node.up else 0
         j = last.get(parent)
-        if j is not None and j != i - 1:
+        if j is not None and j != i - 1 and firm[j] == firm[i]:
             w = SMOOTH / (2 + dom_distance(blocks[j].node, b.node))
             graph.add(j, i, w, w)
         last[parent] = i

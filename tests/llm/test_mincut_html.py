@@ -3,7 +3,7 @@
 import itertools
 import random
 
-from sluice.llm.mincut_html import FlowGraph, extract_main_text, main_text
+from sluice.llm.mincut_html import FlowGraph, content_score, extract_main_text, main_blocks, main_text, text_blocks
 
 SITE = """<html><head><title>x</title><style>p{}</style></head><body class="home has-sidebar">
 <div id="cookie-notice">We use cookies. <button>OK</button></div><header><h2>Site Name</h2><a href=/>Home</a></header>
@@ -97,3 +97,34 @@ def test_articles_beside_the_own_one_stay_out():
             assert got == "Title\nThe text of it is here, as it should be.", (name, own)
     nav = '<form id="aspnet"><nav><p>Home and all the other sections of it.</p></nav><article><h1>Title</h1><p>The text of it.</p></article></form>'
     assert main_text(f"<body>{nav}</body>") == "Title\nThe text of it."
+
+
+def test_words_that_are_topics_or_looks_do_not_decide():
+    long = "A paragraph of the article with some words in it."
+    for mark in ('class="more"', 'class="text-warning"', 'class="alert-level-info"', 'class="popular-science"', 'class="search-results-study"',
+                 'id="legal-history"', 'id="toast-recipe"', 'class="cookie-recipe"', 'class="ad-hoc"', 'id="bottom"'):
+        for outer in ("article", "main"):
+            page = f"<body><nav><a href=1>Home</a></nav><{outer}><h1>Title</h1><p>{long}</p><p {mark}>{long}</p><p>{long}</p></{outer}><footer>x</footer></body>"
+            assert main_text(page) == "\n".join(["Title", long, long, long]), (mark, outer)
+    for mark in ('class="wp-sidebar"', 'class="share-buttons"', 'class="mailchimp-newsletter"', 'class="td-footer-wrap"', 'class="comment-list"',
+                 'class="article__share"', 'class="post-comments"', 'id="comments"', 'class="cookie-notice"', 'class="ad"', 'class="adBox2"',
+                 'class="related-posts"', 'class="advertisement-2"'):
+        page = f"<body><article><h1>Title</h1><p>{long}</p><div {mark}><p>{long}</p></div><p>{long}</p></article></body>"
+        assert main_text(page) == "\n".join(["Title", long, long]), mark
+
+
+def test_list_of_links_in_an_article():
+    links = "".join(f"<li><a href={i}>Source number {i}</a></li>" for i in range(5))
+    page = f"<body><ul>{links}</ul><article><h1>Title</h1><p>The text of it is here.</p><ul>{links}</ul></article></body>"
+    assert main_text(page) == "Title\nThe text of it is here.\n" + "\n".join(f"Source number {i}" for i in range(5))
+
+
+def test_the_cut_overrules_single_blocks():
+    """Neighbours change labels that a block's own score would give, both ways of a list."""
+    text = "A paragraph of running text that goes on for a while, as they do."
+    page = f"<body><div><p>{text}</p><p>{text}</p><p><a href=x>A whole line that is a link.</a></p><p>{text}</p></div></body>"
+    blocks = text_blocks(page)
+    own = [content_score(b, False) > 0 for b in blocks]
+    assert own == [True, True, False, True] and main_blocks(blocks) == [True] * 4
+    menu = "<ul>" + "<li><a href=x>Menu</a></li>" * 3 + "<li>Plain</li>" + "<li><a href=x>Menu</a></li>" * 3 + "</ul>"
+    assert main_text(f"<body>{menu}<div><p>{text}</p><p>{text}</p></div></body>") == f"{text}\n{text}"
