@@ -77,3 +77,14 @@ def test_sample_is_drawn_over_the_whole_table(spark):
     (_, share, _), = measured_order(df, [Rule("hot", F.col("text") == "hot")], sample_rows=400)
     assert 0.35 < share < 0.65
     assert drawn(df, 400).count() == 400 and drawn(df.limit(30), 400).count() == 30 and drawn(df.limit(0), 400).count() == 0
+
+
+def test_order_counts_what_earlier_rules_leave(spark):
+    df = docs(spark, [str(k) for k in range(100)])
+    n = F.col("text").cast("int")
+    dear = F.size(F.filter(F.sequence(F.lit(1), F.lit(20_000)), lambda x: F.sha2(x.cast("string"), 256) == "")) > 0
+    # the second rejects nearly what the first does, the third other rows
+    rules = [Rule("most", n < 80), Rule("same", (n < 79) | dear), Rule("others", (n >= 85) | dear)]
+    got = {r.name: (place, share) for place, (r, share, _) in enumerate(measured_order(df, rules))}
+    assert got["most"] == (0, 0.8) and got["others"] == (1, 0.75) and got["same"] == (2, 0.0)
+    assert [share for _, share, _ in measured_order(df.limit(0), rules)] == [0.0] * 3
