@@ -1,6 +1,6 @@
 """Personal data replaced by keyed surrogates (operator 2).
 
-Found entities (mail addresses, phone numbers, IPv4 addresses, payment cards, social
+Found entities (mail addresses, phone numbers, IP addresses, payment cards, social
 security numbers, IBANs, secrets, personal names) get a replacement of the same type
 and format: lengths, separators, letter case and script stay, card and IBAN check
 digits stay right or wrong as they were, country codes stay, and given names keep
@@ -41,7 +41,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from sluice.llm.common import arrow_map, id_field, Memo, staged
 
-TYPES = ("email", "phone", "ipv4", "card", "ssn", "iban", "secret", "person")
+TYPES = ("email", "phone", "ipv4", "card", "ssn", "iban", "secret", "person", "ipv6")
 
 # ------------------------------------------------------------------ permutations
 
@@ -110,6 +110,7 @@ ALPHABETS = (
     "áéíóúàèìòùâêîôûäëïöü", "ñçšžčćřłń",
     "аеиоуыэюя", "бвгджзйклмнпрстфхцчшщ",
     "αεηιουω", "βγδζθκλμνξπρστφχψ",
+    "åæøãõāēīōūąęėįųőűœý", "ðþşğťďňľĺŕżźśķļņģșțħ", "ёіїєў", "ґђјљњћџ", "άέήίόύώ",
 )
 # Scripts without case: whole ranges of code points.
 RANGES = ((0x4E00, 0x9FA5), (0xAC00, 0xD7A3), (0x3041, 0x3094), (0x30A1, 0x30F4), (0x05D0, 0x05EA), (0x0621, 0x063A), (0x0641, 0x064A))
@@ -235,6 +236,7 @@ def _titlecase(word: str) -> bool:
 _EMAIL = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9._%+\-]*[A-Za-z0-9_%+\-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24}")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _IPV4 = re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)")
+_IPV6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:])(?!\.\d)")
 _NUMBERS = re.compile(r"(?<![\d.+])\d+(?:[ \-]\d+)*")
 _GROUP = re.compile(r"\d+")
 _CARD_GROUPS = frozenset(((4, 4, 4, 4), (4, 4, 4, 4, 3), (4, 6, 5), (4, 6, 4), (4, 5, 6), (4, 3, 3, 3)))
@@ -256,9 +258,11 @@ _PHONE = re.compile(
     rf"(?<![\d+])\+\d{{1,3}}(?:{_GAP})?\(\d{{2,4}}\)(?:{_GAP})?\d{{3,4}}[ .\-]?\d{{3,4}}(?!\d)"
     r"|(?<![\d+])\+\d{1,3}(?:[ .\-]?\d{2,4}){2,5}(?!\d)"
     rf"|(?<![\d+])\(\d{{3}}\)(?:{_GAP})?\d{{3}}[ .\-]\d{{4}}(?!\d)"
-    r"|(?<![\d.\-+])\d{3}[.\-]\d{3}[.\-]\d{4}(?![\d\-])"
+    r"|(?<![\d.\-+])(?:1[.\-])?\d{3}[.\-]\d{3}[.\-]\d{4}(?![\d\-])"
 )
 _IBAN = re.compile(r"(?<![A-Z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+_SMALL_IBAN = re.compile(r"(?<![A-Za-z0-9])[a-z]{2}\d{2}(?: ?[a-z0-9]{4}){2,7}(?: ?[a-z0-9]{1,3})?(?![A-Za-z0-9])")
+_PASSWORD = re.compile(r"(?i)\b(?:password|passwd|pwd)[\"']?\s*[:=]\s*[\"']?([^\s\"',;<>]{6,})")
 _HEX = re.compile(r"(?<![0-9A-Za-z])(?=[0-9a-fA-F]*[0-9])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![0-9A-Za-z])")
 _ASSIGNED = re.compile(
     r"(?i)\b(?:token|secret|api[_\-]?key|password|passwd|pwd|access[_\-]?key|secret[_\-]?key|private[_\-]?key|auth)"
@@ -294,6 +298,10 @@ def find_entities(text: str) -> list[tuple[int, int, str, str]]:
         floor = m.end() if m else at + 1
         at = text.find("@", floor)
     if "=" in text or ":" in text:
+        for m in _PASSWORD.finditer(text):
+            value = m[1].rstrip(".:)]}")
+            if len(value) >= 6 and any(c in DIGITS for c in value):
+                take("secret", m.start(1), m.start(1) + len(value))
         for m in _ASSIGNED.finditer(text):
             if any(c in DIGITS for c in m[1]) or "pass" in m[0].lower() or "pwd" in m[0].lower():
                 take("secret", *m.span(1))
@@ -302,10 +310,14 @@ def find_entities(text: str) -> list[tuple[int, int, str, str]]:
             take("secret", *m.span())
         for m in _HEX.finditer(text):
             take("secret", *m.span())
-        for m in _IBAN.finditer(text):
-            plain = m[0].replace(" ", "")
-            if iban_check(plain[:2], plain[4:]) == int(plain[2:4]):
-                take("iban", *m.span())
+        for pattern, least in ((_IBAN, 0), (_SMALL_IBAN, 10)):
+            for m in pattern.finditer(text):
+                plain = m[0].replace(" ", "").upper()
+                if iban_check(plain[:2], plain[4:]) == int(plain[2:4]) and sum(c in DIGITS for c in plain) >= least:
+                    take("iban", *m.span())
+        for m in _IPV6.finditer(text) if ":" in text else ():
+            if _is_ipv6(m[0]):
+                take("ipv6", *m.span())
         for kind, pattern in (("ipv4", _IPV4), ("ssn", _SSN), ("phone", _PHONE)):
             for m in pattern.finditer(text):
                 take(kind, *m.span())
@@ -320,6 +332,16 @@ def find_entities(text: str) -> list[tuple[int, int, str, str]]:
     return taken
 
 
+def _is_ipv6(value: str) -> bool:
+    """A whole address; with a gap, one of three groups or more and a digit, as shorter
+    ones are words of programs ("Ab::Cd") or no one's address ("::1")."""
+    try:
+        ipaddress.IPv6Address(value)
+    except ValueError:
+        return False
+    return "::" not in value or (sum(map(bool, value.split(":"))) >= 3 and any(c in DIGITS for c in value))
+
+
 def issued(digits: str) -> bool:
     """Whether a card of this prefix and length is issued."""
     return any(len(digits) in sizes and lo <= digits[: len(lo)] <= hi for lo, hi, sizes in _ISSUERS)
@@ -401,7 +423,7 @@ def phone_parts(value: str) -> tuple[str, str]:
     """(country code with its plus sign or empty, national digits), however the number is spaced."""
     digits = digits_of(value)
     if not value.startswith("+"):
-        return "", digits
+        return ("+1", digits[1:]) if len(digits) == 11 and digits[0] == "1" else ("", digits)
     n = 1 if digits[0] in "017" else 2 if digits[:2] in _CODES_2 else 3
     return "+" + digits[:n], digits[n:]
 
@@ -427,6 +449,51 @@ def _ipv4(key: bytes, value: str) -> str:
     return str(ipaddress.IPv4Address(next_allowed(_cycle(key, "ip", 1 << 32), x, public)))
 
 
+def _scope(first: int) -> tuple[int, int]:
+    """The least and largest first group of the addresses of one kind: public, local to a
+    site, a link or many receivers, and others."""
+    for lo, hi in ((0x2000, 0x3FFF), (0xFC00, 0xFDFF), (0xFE80, 0xFEBF), (0xFF00, 0xFFFF)):
+        if lo <= first <= hi:
+            return lo, hi
+    return 1, 0xFFFF
+
+
+def _ipv6(key: bytes, value: str) -> str:
+    """Groups of zero stay, the others change and stay others, so every spelling of an
+    address keeps its form."""
+    groups = [int(g, 16) for g in ipaddress.IPv6Address(value).exploded.split(":")]
+    used = [i for i, g in enumerate(groups) if g]
+    spans = [_scope(groups[0]) if i == 0 else (1, 0xFFFF) for i in used]
+    n, x = 1, 0
+    for i, (lo, hi) in zip(used, spans):
+        n, x = n * (hi - lo + 1), x * (hi - lo + 1) + groups[i] - lo
+    cycle = _cycle(key, "ipv6|" + "".join("x" if g else "0" for g in groups) + (f"|{spans[0][0]}" if groups[0] else ""), n)
+
+    def spell(y: int) -> list[int]:
+        out = [0] * 8
+        for i, (lo, hi) in zip(reversed(used), reversed(spans)):
+            y, r = divmod(y, hi - lo + 1)
+            out[i] = lo + r
+        return out
+
+    # an address of no special kind stays one
+    other = bool(groups[0]) and spans[0] == (1, 0xFFFF)
+    new = spell(next_allowed(cycle, x, lambda y: _scope(spell(y)[0]) == (1, 0xFFFF)) if other else cycle.next(x))
+    pieces = value.split(":")
+    # groups before the gap count from the left, those after it from the right
+    gap = value.split("::")[0].count(":") + 1 if "::" in value and not value.startswith("::") else 0 if "::" in value else len(pieces)
+    upper = value.isupper()
+    out = []
+    for i, piece in enumerate(pieces):
+        if piece:
+            g = new[i] if i < gap else new[8 - len(pieces) + i]
+            word = f"{g:0{len(piece)}x}" if piece[0] == "0" or not int(piece, 16) else f"{g:x}"
+            out.append(word.upper() if upper else word)
+        else:
+            out.append("")
+    return ":".join(out)
+
+
 def _card(key: bytes, value: str) -> str:
     digits = digits_of(value)
     off = (int(digits[-1]) - luhn_digit(digits[:-1])) % 10
@@ -439,9 +506,10 @@ def _ssn(key: bytes, value: str) -> str:
 
 
 def _iban(key: bytes, value: str) -> str:
-    plain = value.replace(" ", "")
+    plain = value.replace(" ", "").upper()
     rest = permuted(key, "iban" + plain[:2], plain[4:].lower()).upper()
-    it = iter(plain[:2] + f"{iban_check(plain[:2], rest):02d}" + rest)
+    new = plain[:2] + f"{iban_check(plain[:2], rest):02d}" + rest
+    it = iter(new.lower() if value.islower() else new)
     return "".join(" " if c == " " else next(it) for c in value)
 
 
@@ -471,6 +539,7 @@ def _person(key: bytes, value: str) -> str:
 
 _MAKE = {
     "email": _email, "phone": _phone, "ipv4": _ipv4, "card": _card, "ssn": _ssn, "iban": _iban, "secret": _secret, "person": _person,
+    "ipv6": _ipv6,
 }
 
 
@@ -487,7 +556,9 @@ def canonical(kind: str, value: str) -> str:
     if kind in ("card", "ssn"):
         return digits_of(value)
     if kind == "iban":
-        return value.replace(" ", "")
+        return value.replace(" ", "").upper()
+    if kind == "ipv6":
+        return ipaddress.IPv6Address(value).exploded
     if kind == "ipv4":
         return ".".join(str(int(p)) for p in value.split("."))
     if kind == "secret" and not re.fullmatch(r"[0-9a-fA-F]{16,}", value):

@@ -197,3 +197,41 @@ def test_mail_names_and_keys_of_any_length():
     assert [k for *_, k, _ in find_entities("a" * 20_000 + "@" * 50 + "x.@corp.com")] == []
     one, two = b"k" * 64 + b"1", b"k" * 64 + b"2"
     assert [Cycle(one, "t", 10**6)._forth(i) for i in range(9)] != [Cycle(two, "t", 10**6)._forth(i) for i in range(9)]
+
+
+def test_ipv6_other_phones_passwords_and_small_ibans():
+    import ipaddress
+
+    from sluice.llm.surrogates import ALPHABETS, _is_ipv6, canonical, find_entities, surrogate
+
+    key = b"k" * 16
+    spellings = ["2001:db8::8a2e:370:7334", "2001:0DB8:0000:0000:0000:8A2E:0370:7334", "2001:db8:0:0:0:8a2e:370:7334", "2001:db8::8a2e:0370:7334"]
+    assert all(_is_ipv6(v) for v in spellings)
+    new = [surrogate(key, "ipv6", v) for v in spellings]
+    assert len({ipaddress.IPv6Address(n) for n in new}) == 1 and canonical("ipv6", new[0]) != canonical("ipv6", spellings[0])
+    assert ipaddress.IPv6Address(new[0]) in ipaddress.IPv6Network("2000::/3") and "::" in new[0] and new[1].isupper() and len(new[1]) == len(spellings[1])
+    many = {surrogate(key, "ipv6", f"fe80::{i:x}:{j:x}:1") for i in range(1, 30) for j in range(1, 30)}
+    assert len(many) == 841 and all(ipaddress.IPv6Address(m).is_link_local for m in many)
+    for a in ("1:2:3:4:5:6:7:8", "::5:6:7", "5:6:7::", "a1:0:0:1::2", "fd00:1:2::", "4000::1:2"):
+        b = surrogate(key, "ipv6", a)
+        assert _is_ipv6(b) and b != a and [g for g in ipaddress.IPv6Address(a).exploded.split(":") if g == "0000"] == [
+            g for g in ipaddress.IPv6Address(b).exploded.split(":") if g == "0000"
+        ], (a, b)
+
+    def found(text):
+        return [(kind, text[a:b]) for a, b, kind, _ in find_entities(text)]
+
+    assert found(f"from {spellings[0]}, and [{spellings[1]}]:80.") == [("ipv6", spellings[0]), ("ipv6", spellings[1])]
+    for clean in ("at 12:30:45 and 1:2:3", "aa:bb:cc:dd:ee:ff", "std::vector Ab::Cd dead::beef ::1 a::b", "ratio 3::4", "1:2:3:4:5:6:7:8:9"):
+        assert found(clean) == [], clean
+    assert found("call 1-800-555-1234 now") == [("phone", "1-800-555-1234")]
+    assert surrogate(key, "phone", "1-800-555-1234").replace("-", "") == surrogate(key, "phone", "+1 800 555 1234").replace(" ", "")[1:]
+    assert canonical("phone", "1.800.555.1234") == canonical("phone", "+18005551234")
+    assert found("password: P@ssw0rd!23.") == [("secret", "P@ssw0rd!23")] and found("The password: unbelievable!") == found("The password: unbelievable!")
+    small, large = "de89 3704 0044 0532 0130 00", "DE89370400440532013000"
+    assert found(f"to {small} or {large}.") == [("iban", small), ("iban", large)]
+    assert surrogate(key, "iban", small).replace(" ", "").upper() == surrogate(key, "iban", large)
+    assert all(len(c.upper()) == len(c) == 1 and c.upper().lower() == c for a in ALPHABETS for c in a)
+    assert len("".join(ALPHABETS)) == len(set("".join(ALPHABETS)))
+    for name in ("Øåæ", "Þęş", "Ёі", "Άέ"):
+        assert surrogate(key, "person", name) != name
