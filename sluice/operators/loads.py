@@ -28,6 +28,9 @@ from sluice.operators.dedupe import dedupe_first
 from sluice.session import scratch_path
 
 
+ROWS_PER_FILE = 250_000  # of compressed files
+
+
 # ---------------------------------------------------------------- pure forms
 def keyed_once(batch: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
     """``batch`` with its key rules enforced inside the plan: the job fails on a key
@@ -310,6 +313,13 @@ def write_json_documents(df: DataFrame, path: str, key: str) -> None:
     df.select(F.to_json(F.struct("*")).alias("value")).mapInArrow(run, "value string").write.mode("overwrite").text(path)
 
 
+def write_json_lines(df: DataFrame, path: str) -> None:
+    """Writes rows as JSON objects, one a line, in compressed files that follow one another
+    in the rows' order.  A compressed file is read by one task, so that it holds at most
+    ``ROWS_PER_FILE`` rows however many its partition has."""
+    df.write.option("compression", "gzip").option("maxRecordsPerFile", ROWS_PER_FILE).json(path)
+
+
 def snapshot_copy(df: DataFrame, path: str) -> None:
     """Full snapshot to uncompressed CSV with header (no CDC).
 

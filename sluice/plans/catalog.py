@@ -40,6 +40,7 @@ from sluice.operators.loads import (
     upsert_to_path,
     write_csv,
     write_json_documents,
+    write_json_lines,
 )
 from sluice.operators.versioned import VersionedTable
 from sluice.plans import derived as D
@@ -241,7 +242,7 @@ def q_sessions_collection(spark, d):
     path = scratch_path(spark, "sessions-collection")
     docs = D.session_documents_from_lines(table(spark, d, "lineitem"))
     ordered = docs.orderBy("start_time", "end_time", "user_id", "device", "pages_visited", "actions")
-    ordered.withColumn("_id", F.md5("session_id")).write.json(path)
+    write_json_lines(ordered.withColumn("_id", F.md5("session_id")), path)
     schema = StructType([*USER_SESSION_DOC.fields, StructField("_id", StringType())])
     s = replicate_sessions(with_read_order(read_table(spark, "json", path, schema)))
     return s.select("session_id", "user_id", "start_time", "end_time", "device", "duration")

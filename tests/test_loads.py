@@ -138,3 +138,22 @@ def test_strict_insert_of_few_rows_moves_no_target_keys(spark, tmp_dir):
     assert out.count() == 100_001
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LeftSemi") == 1 and "Union" in plan
+
+
+def test_json_lines_are_compressed_and_bounded(spark, tmp_dir, monkeypatch):
+    import os
+
+    from sluice.operators import loads
+    from sluice.operators.dedupe import first_read
+    from sluice.sources.files import with_read_order
+
+    monkeypatch.setattr(loads, "ROWS_PER_FILE", 30)
+    rows = spark.range(0, 100, 1, 1).select((F.col("id") % 40).alias("k"), F.col("id").alias("n"), F.lit("repeated " * 40).alias("t"))
+    path = f"{tmp_dir}/lines"
+    loads.write_json_lines(rows, path)
+    files = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert len(files) == 4 and all(f.endswith(".json.gz") for f in files)
+    assert sum(os.path.getsize(f"{path}/{f}") for f in files) < 100 * 360 / 5
+    placed = with_read_order(spark.read.schema(rows.schema).json(path))
+    assert [r.n for r in placed.orderBy("_position").collect()] == list(range(100))
+    assert sorted(r.n for r in first_read(placed, ["k"]).collect()) == list(range(40))
