@@ -526,7 +526,7 @@ def q_order_headers(spark, d):
 def q_orders_json_files(spark, d):
     """Order documents as JSON files; only the header's sections are parsed."""
     path = scratch_path(spark, "orders-json")
-    _orders_docs(spark, d).select("doc.*").write.json(path)
+    write_json_lines(_orders_docs(spark, d).select("doc.*"), path)
     return order_headers(read_json_documents(spark, path, DELIVERY_ORDER_DOC, multi_line=False), doc_col=None)
 
 
