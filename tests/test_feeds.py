@@ -24,3 +24,18 @@ def test_order_documents_are_compressed(spark, tmp_dir):
     got = catalog.q_orders_json_files(spark, tmp_dir)
     assert got.inputFiles() and all(f.endswith(".json.gz") for f in got.inputFiles())
     assert sorted(map(str, got.collect())) == sorted(map(str, catalog.q_order_headers(spark, tmp_dir).collect()))
+
+
+def test_sessions_are_deduplicated_once_for_all_loads(spark, tmp_dir, monkeypatch):
+    _events(spark, tmp_dir)
+    sources = []
+    add = catalog.add_sessions
+
+    def spied(spark, batch, *paths):
+        sources.append(batch.inputFiles())
+        return add(spark, batch, *paths)
+
+    monkeypatch.setattr(catalog, "add_sessions", spied)
+    got = catalog.q_user_activity_refreshed(spark, tmp_dir)
+    assert len(sources) == 3 and all(files and not any("events.parquet" in f for f in files) for files in sources)
+    assert sorted(map(str, got.collect())) == sorted(map(str, catalog.q_user_activity(spark, tmp_dir).collect()))
