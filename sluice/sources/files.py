@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from sluice.sources.quoted_csv import read_quoted_text
+from sluice.sources.xml_records import xml_record_texts
 
 
 # S1 / S13 — JSON documents
@@ -24,16 +25,12 @@ def read_json_documents(spark: SparkSession, path: str, schema: StructType, mult
 def read_xml_records(
     spark: SparkSession, path: str, row_tag: str, schema: StructType, mode: str = "FAILFAST"
 ) -> DataFrame:
-    """Records are the ``row_tag`` elements; attributes become ``_name`` fields,
-    text next to attributes ``_VALUE``.  ``FAILFAST`` matches a reader that
-    raises on malformed input."""
-    return (
-        spark.read.format("xml")
-        .option("rowTag", row_tag)
-        .option("mode", mode)
-        .schema(schema)
-        .load(path)
-    )
+    """Records are the outermost ``row_tag`` elements at any depth; attributes become
+    ``_name`` fields, text next to attributes ``_VALUE``.  ``FAILFAST`` matches a reader
+    that raises on malformed input.  Spark's reader takes a file as one task, so that
+    files are cut into records by ranges (``xml_records``) and Spark parses these."""
+    parsed = F.from_xml("text", schema, {"mode": mode})
+    return xml_record_texts(spark, path, row_tag, any_depth=True).select(parsed.alias("r")).select("r.*")
 
 
 # S3 / S4 — CSV

@@ -1,14 +1,16 @@
 """Records of XML documents of any size, read in parallel and by depth.
 
-Records are the elements of one name that are children of the document's root; elements
-of that name further down, in comments or in CDATA sections are none.  Files are cut at
+Records are the elements of one name: those that are children of the document's root
+(``read_root_records``), or the outermost ones at any depth, as Spark's own reader takes them
+(``files.read_xml_records``).  Elements in comments or in CDATA sections are none.  Files are cut at
 ``>``, and as in ``json_records`` every range first answers what it leads to from each
 state it may start in (text, comment, CDATA, instruction, quoted attribute, document type),
 the answers of a file are put together in order, and each range then cuts out its records.
 
 Records are parsed by Spark's ``from_xml``: attributes become ``_name`` fields, text next
 to attributes ``_VALUE``.  One document a file, UTF-8.  A record in which the file breaks
-off is not returned.  An empty file has no records; compressed files are one range each.
+off is not returned, unless records are taken at any depth: then it is parsed as far as it
+goes, which is an error with ``FAILFAST``.  An empty file has no records; compressed files are one range each.
 """
 
 from __future__ import annotations
@@ -139,9 +141,9 @@ def range_starts(pieces: DataFrame) -> DataFrame:
     )
 
 
-def _records(row_tag: str, known: dict[tuple[str, int], tuple]):
+def _records(row_tag: str, known: dict[tuple[str, int], tuple], any_depth: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, walk, part, opens = None, Walk(), None, True
+        at, walk, part, opens, level = None, Walk(), None, True, 1
 
         def left_open() -> Iterator[pa.RecordBatch]:
             if at is not None and part is not None:
@@ -151,16 +153,17 @@ def _records(row_tag: str, known: dict[tuple[str, int], tuple]):
             if (file, start) != at:
                 yield from left_open()
                 at, walk = (file, start), Walk(*known.get((file, start), ()))
-                part, opens = ([], False) if walk.names.get(1) == row_tag else (None, True)
+                around = [d for d, name in walk.names.items() if name == row_tag and (any_depth or d == 1)]
+                part, opens, level = ([], False, min(around)) if around else (None, True, 1)
             done = []
             for text in pieces.to_pylist():
                 before = walk.depth
                 place = walk.piece(text)
                 if part is not None:
                     part += (text, ">")
-                elif place is not None and before == 1 and _NAME.match(text, place + 1) and _NAME.match(text, place + 1)[0] == row_tag:
-                    part, opens = [text[place:], ">"], True
-                if part is not None and walk.depth == 1 and 1 not in walk.names:
+                elif place is not None and (any_depth or before == 1) and _NAME.match(text, place + 1) and _NAME.match(text, place + 1)[0] == row_tag:
+                    part, opens, level = [text[place:], ">"], True, before
+                if part is not None and walk.depth == level and level not in walk.names:
                     if opens:
                         done.append("".join(part))
                     else:
@@ -173,14 +176,28 @@ def _records(row_tag: str, known: dict[tuple[str, int], tuple]):
     return run
 
 
-def xml_record_texts(spark: SparkSession, path: str | Sequence[str], row_tag: str) -> DataFrame:
-    """``text`` of every ``row_tag`` element that is a child of its document's root."""
+def _joined_or_broken(table: pa.Table) -> pa.Table:
+    """Records from a file's pieces, and the one in which the file breaks off."""
+    last = max(table.to_pylist(), key=lambda r: (r["start"], r["opens"]))
+    whole = joined_pieces(table)
+    if last["ends"]:
+        return whole
+    pieces = sorted(table.to_pylist(), key=lambda r: (r["start"], r["opens"]))
+    first = max(i for i, r in enumerate(pieces) if r["opens"])
+    broken = "".join(r["text"] for r in pieces[first:])
+    return pa.table({"text": pa.concat_arrays([*whole.column("text").chunks, pa.array([broken], pa.string())])})
+
+
+def xml_record_texts(spark: SparkSession, path: str | Sequence[str], row_tag: str, any_depth: bool = False) -> DataFrame:
+    """``text`` of every ``row_tag`` element that is a child of its document's root; with
+    ``any_depth``, of every one that is in no other."""
     pieces = quoted_lines(spark, path, ">")
     # one row per range after a file's first: a range is 128 MB of file
     known = {(r.file, r.start): (r.mode, r.depth, r.names) for r in range_starts(pieces).collect()}
-    found = pieces.mapInArrow(_records(row_tag, known), PIECES)
+    found = pieces.mapInArrow(_records(row_tag, known, any_depth), PIECES)
     whole = found.where("file IS NULL").select("text")
-    return whole.unionByName(found.where("file IS NOT NULL").groupBy("file").applyInArrow(joined_pieces, "text string"))
+    join = _joined_or_broken if any_depth else joined_pieces
+    return whole.unionByName(found.where("file IS NOT NULL").groupBy("file").applyInArrow(join, "text string"))
 
 
 def read_root_records(

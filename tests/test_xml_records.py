@@ -71,3 +71,32 @@ def test_typed_rows_and_files_without_records(spark, tmp_dir):
     set_range(spark, 20)
     got = read_root_records(spark, tmp_dir, "food", spark.createDataFrame([], "name string, v struct<_VALUE:string,_u:string>").schema)
     assert [(r.name, r.v["_VALUE"], r.v["_u"]) for r in got.collect()] == [("x", "1", "g")]
+
+
+@pytest.mark.parametrize("size", [40, 150, 10**6])
+def test_outermost_records_as_sparks_reader(spark, tmp_dir, size):
+    from sluice.sources import read_xml_records
+
+    foods = "".join(f"<food id='{i}'><name>n{i} &lt;</name>\n<food><name>inner</name></food></food>" for i in range(20))
+    with open(os.path.join(tmp_dir, "a.xml"), "w") as f:
+        f.write(f"<?xml version='1.0'?>\n<r><!-- <food> --><deep>{foods}<more><food id='x'/></more></deep>\n<food id='y'><name>z</name></food></r>")
+    with open(os.path.join(tmp_dir, "b.xml"), "w") as f:
+        f.write("<food id='root'><name>alone</name></food>")
+    schema = "_id string, name string"
+    wanted = spark.read.format("xml").option("rowTag", "food").schema(schema).load(tmp_dir).collect()
+    set_range(spark, size)
+    got = read_xml_records(spark, tmp_dir, "food", schema)
+    assert sorted(map(str, got.collect())) == sorted(map(str, wanted)) and len(wanted) == 23
+    if size == 150:
+        assert got.rdd.getNumPartitions() > 5
+
+
+@pytest.mark.parametrize("size", [40, 10**6])
+def test_a_record_that_breaks_off_is_an_error(spark, tmp_dir, size):
+    from sluice.sources import read_xml_records
+
+    with open(os.path.join(tmp_dir, "a.xml"), "w") as f:
+        f.write("<r>" + "<food><name>n</name></food>" * 5 + "<food><name>broken off, far from the end of its")
+    set_range(spark, size)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_xml_records(spark, tmp_dir, "food", "name string").collect()
