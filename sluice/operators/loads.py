@@ -304,9 +304,11 @@ def write_json_documents(df: DataFrame, path: str, key: str) -> None:
     def run(batches):
         before = "{" + json.dumps(key) + ": ["
         for batch in batches:
-            lines = [sep + text for sep, text in zip([before, *[","] * (batch.num_rows - 1)], batch.column("value").to_pylist())]
-            before = "," if lines else before
-            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+            for at in range(0, batch.num_rows, 256):  # texts may be long: few of them at a time
+                texts = batch.column("value").slice(at, 256).to_pylist()
+                lines = [sep + text for sep, text in zip([before, *[","] * (len(texts) - 1)], texts)]
+                before = ","
+                yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
         end = "]}" if before == "," else before + "]}"
         yield pa.RecordBatch.from_arrays([pa.array([end])], names=["value"])
 

@@ -34,6 +34,8 @@ _WHOLE = re.compile(r'(?:(?<=,)|\A)"(?:[^"]|"")*+"')
 _OPENS = re.compile(r'(?:(?<=,)|\A)"')
 _CLOSES = re.compile(r'(?:[^"]|"")*+"')
 
+PIECE_BYTES = 1 << 20
+
 
 def ends_inside(line: str, inside: bool) -> bool:
     """Whether a line that starts inside (or outside) a quoted field ends inside one."""
@@ -53,15 +55,22 @@ def quoted_lines(spark: SparkSession, path: str | Sequence[str], sep: str = "\n"
 
 
 def ranges_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, int, pa.Array]]:
-    """Lines of one range at a time (a range may come in several pieces)."""
+    """Lines of one range at a time (a range comes in several pieces of about ``PIECE_BYTES``, so
+    that what Python makes of them stays small however long the lines of a batch are)."""
     for batch in batches:
         if not batch.num_rows:
             continue
         start, file = batch.column("start").to_numpy(), batch.column("file")
         other = pc.not_equal(file.slice(1), file.slice(0, len(file) - 1)).to_numpy(zero_copy_only=False)
         cuts = [0, *(np.flatnonzero((np.diff(start) != 0) | other) + 1).tolist(), len(start)]
+        values = batch.column("value")
+        sizes = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False), dtype=np.int64)])
         for a, b in zip(cuts, cuts[1:]):
-            yield file[a].as_py(), int(start[a]), batch.column("value").slice(a, b - a)
+            name, at = file[a].as_py(), int(start[a])
+            while a < b:
+                c = min(b, max(a + 1, int(np.searchsorted(sizes, sizes[a] + PIECE_BYTES, "right")) - 1))
+                yield name, at, values.slice(a, c - a)
+                a = c
 
 
 def _quoted(lines: pa.Array) -> list[int]:

@@ -110,3 +110,16 @@ def test_empty_files(spark, tmp_dir):
     with open(f"{tmp_dir}/e.csv", "w") as f:
         f.write("id,text,more\n")
     assert rows(spark, f"{tmp_dir}/e.csv") == []
+
+
+def test_ranges_come_in_small_pieces():
+    import pyarrow as pa
+
+    from sluice.sources.quoted_csv import PIECE_BYTES, ranges_of
+
+    texts = ["x" * 3000, None, "é" * PIECE_BYTES, ""] * 800
+    batch = pa.RecordBatch.from_pydict({"value": texts, "file": ["f"] * 3200, "start": [0] * 1601 + [9] * 1599}).slice(2)
+    found = list(ranges_of([batch]))
+    assert [x for _, _, v in found for x in v.to_pylist()] == texts[2:]
+    assert {s for _, s, _ in found} == {0, 9} and sum(len(v) for _, s, v in found if s == 0) == 1599
+    assert all(len(v) == 1 or sum(len((x or "").encode()) for x in v.to_pylist()) <= PIECE_BYTES for _, _, v in found)
