@@ -30,7 +30,9 @@ import struct
 from collections.abc import Iterable, Iterator, Sequence
 from decimal import Context, Decimal
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +62,36 @@ def _length(buf: bytes, at: int) -> int:
     return _INT32.unpack_from(buf, at)[0]
 
 
+def _end(buf: bytes, kind: int, at: int, end: int) -> int:
+    """The end of a value of type ``kind`` at ``at``, within a document whose zero is at ``end``."""
+    size = SIZES.get(kind)
+    if size is None:
+        if kind == 0x0B:  # two texts that end with zero
+            size = buf.find(b"\0", buf.find(b"\0", at, end) + 1, end) + 1 - at
+            if size < 2:
+                raise Damaged("a pattern does not end")
+        elif at + 4 > end:
+            raise Damaged("a value has no length")
+        elif kind in TEXTS or kind == 0x0C:
+            size = 4 + _length(buf, at)
+            if size < 5 or at + size > end or buf[at + size - 1]:
+                raise Damaged("a text does not end with zero")
+            size += 12 * (kind == 0x0C)
+        elif kind in (0x03, 0x04, 0x0F):
+            size = _length(buf, at)
+            if size < 5 or at + size > end or (kind != 0x0F and buf[at + size - 1]):
+                raise Damaged("a nested document does not end")
+        elif kind == 0x05:
+            if _length(buf, at) < 0:
+                raise Damaged("negative length")
+            size = 5 + _length(buf, at)
+        else:
+            raise Damaged(f"unknown type {kind}")
+    if at + size > end:
+        raise Damaged("a value reaches over its document")
+    return at + size
+
+
 def elements(buf: bytes, at: int, end: int) -> Iterator[tuple[int, bytes, int, int]]:
     """(type, name, first byte, end) of a document's values; ``buf[at:end]`` is the document."""
     if buf[end - 1]:
@@ -72,33 +104,9 @@ def elements(buf: bytes, at: int, end: int) -> Iterator[tuple[int, bytes, int, i
         if stop < 0:
             raise Damaged("a name does not end")
         name, at = buf[at + 1 : stop], stop + 1
-        size = SIZES.get(kind)
-        if size is None:
-            if kind == 0x0B:  # two texts that end with zero
-                size = buf.find(b"\0", buf.find(b"\0", at, end) + 1, end) + 1 - at
-                if size < 2:
-                    raise Damaged("a pattern does not end")
-            elif at + 4 > end:
-                raise Damaged("a value has no length")
-            elif kind in TEXTS or kind == 0x0C:
-                size = 4 + _length(buf, at)
-                if size < 5 or at + size > end or buf[at + size - 1]:
-                    raise Damaged("a text does not end with zero")
-                size += 12 * (kind == 0x0C)
-            elif kind in (0x03, 0x04, 0x0F):
-                size = _length(buf, at)
-                if size < 5 or at + size > end or (kind != 0x0F and buf[at + size - 1]):
-                    raise Damaged("a nested document does not end")
-            elif kind == 0x05:
-                if _length(buf, at) < 0:
-                    raise Damaged("negative length")
-                size = 5 + _length(buf, at)
-            else:
-                raise Damaged(f"unknown type {kind}")
-        if at + size > end:
-            raise Damaged("a value reaches over its document")
-        yield kind, name, at, at + size
-        at += size
+        stop = _end(buf, kind, at, end)
+        yield kind, name, at, stop
+        at = stop
 
 
 # ------------------------------------------------------------------ borders of documents
@@ -326,7 +334,12 @@ def value_of(kind: int, buf: bytes, a: int, b: int, want: T.DataType, strict: bo
             return fields_of(buf, a, b, {f.name.encode(): f for f in want.fields}, strict)
     elif isinstance(want, T.ArrayType):
         if kind == 0x04:
-            return [_fit(k, buf, x, y, want.elementType, strict) for k, _, x, y in elements(buf, a, b)]
+            errors = "strict" if strict else "replace"
+            text = 0x02 if type(want.elementType) is T.StringType else -1
+            return [
+                buf[x + 4 : y - 1].decode("utf-8", errors) if k == text else _fit(k, buf, x, y, want.elementType, strict)
+                for k, _, x, y in elements(buf, a, b)
+            ]
     elif isinstance(want, T.MapType):
         if kind == 0x03:
             return list({n.decode(): _fit(k, buf, x, y, want.valueType, strict) for k, n, x, y in elements(buf, a, b)}.items())
@@ -343,11 +356,42 @@ def _fit(kind: int, buf: bytes, a: int, b: int, want: T.DataType, strict: bool):
 
 
 def fields_of(buf: bytes, a: int, b: int, wanted: dict[bytes, T.StructField], strict: bool) -> dict:
-    out = dict.fromkeys(f.name for f in wanted.values())
-    for kind, name, x, y in elements(buf, a, b):
-        f = wanted.get(name)
-        if f is not None:
-            out[f.name] = _fit(kind, buf, x, y, f.dataType, strict)
+    out = {f.name: None for f in wanted.values()}
+    errors = "strict" if strict else "replace"
+    texts = {n: f.name for n, f in wanted.items() if type(f.dataType) is T.StringType}
+    return _fields(buf, a, b, wanted, texts, out, errors)
+
+
+def _fields(buf: bytes, a: int, b: int, wanted: dict[bytes, T.StructField], texts: dict[bytes, str], out: dict, errors: str) -> dict:
+    """``out`` filled with a document's values; texts, the most frequent type, are taken here."""
+    at, end = a + 4, b - 1
+    if buf[end]:
+        raise Damaged("a document does not end with zero")
+    find, length = buf.find, _INT32.unpack_from
+    while at < end:
+        stop = find(b"\0", at + 1, end)
+        kind = buf[at]
+        if stop < 0:
+            raise Damaged("a name does not end")
+        name, x = buf[at + 1 : stop], stop + 1
+        if kind == 0x02:
+            if x + 4 > end:
+                raise Damaged("a value has no length")
+            y = x + 4 + length(buf, x)[0]
+            if y < x + 5 or y > end or buf[y - 1]:
+                raise Damaged("a text does not end with zero")
+            key = texts.get(name)
+            if key is not None:
+                out[key] = buf[x + 4 : y - 1].decode("utf-8", errors)
+            elif name in wanted:
+                f = wanted[name]
+                out[f.name] = _fit(kind, buf, x, y, f.dataType, errors == "strict")
+        else:
+            y = _end(buf, kind, x, end)
+            f = wanted.get(name)
+            if f is not None:
+                out[f.name] = _fit(kind, buf, x, y, f.dataType, errors == "strict")
+        at = y
     return out
 
 
@@ -390,6 +434,8 @@ class DumpReader(DataSourceReader):
             return
         kinds = to_arrow_schema(self.columns)
         wanted = {f.name.encode(): f for f in self.columns.fields if f.name != self.position}
+        texts = {n: f.name for n, f in wanted.items() if type(f.dataType) is T.StringType}
+        none, errors = {f.name: None for f in wanted.values()}, "strict" if self.strict else "replace"
         rows: list[dict] = []
 
         def batch() -> pa.RecordBatch:
@@ -401,7 +447,7 @@ class DumpReader(DataSourceReader):
             while at < partition.stop:
                 end = w.document(at)
                 i = w.get(at, end - at)
-                row = fields_of(w.buf, i, i + end - at, wanted, self.strict)
+                row = _fields(w.buf, i, i + end - at, wanted, texts, none.copy(), errors)
                 if self.position:
                     row[self.position] = (partition.number << 44) + at
                 rows.append(row)
@@ -512,6 +558,76 @@ def document(fields: Iterable[tuple[str, object, T.DataType, bool]]) -> bytes:
     return _INT32.pack(len(body) + 5) + body + b"\0"
 
 
+_BYTES = pa.large_binary()
+
+
+def _packed(values: np.ndarray, kind: str) -> pa.Array:
+    """Numbers as little-endian bytes, one binary value each."""
+    raw = np.ascontiguousarray(values).astype(kind)
+    buffer = pa.py_buffer(raw.tobytes())
+    ends = pa.py_buffer(np.arange(len(raw) + 1, dtype=np.int64) * raw.itemsize)
+    return pa.Array.from_buffers(_BYTES, len(raw), [None, ends, buffer])
+
+
+def _joined(*parts: pa.Array | bytes) -> pa.Array:
+    return pc.binary_join_element_wise(*[pa.scalar(p, _BYTES) if isinstance(p, bytes) else p for p in parts], pa.scalar(b"", _BYTES))
+
+
+def _documents(body: pa.Array) -> pa.Array:
+    """Documents from their elements, without the zero that ends them."""
+    sizes = pc.binary_length(body).to_numpy(zero_copy_only=False) + 5
+    if len(sizes) and sizes.max() > MOST_BYTES:
+        raise ValueError(f"a document of {sizes.max()} bytes")
+    return _joined(_packed(sizes, "<i4"), body)
+
+
+def _numbers(values: pa.Array, kind: str) -> pa.Array:
+    return _packed(pc.fill_null(values, 0).to_numpy(zero_copy_only=False), kind)
+
+
+def _payload(values: pa.Array, want: T.DataType) -> tuple[int, pa.Array] | None:
+    """Type code and bytes of a column's values (any bytes where NULL); None for types that
+    are encoded value by value."""
+    if isinstance(want, T.StringType):
+        raw = pc.fill_null(values.cast(pa.large_string()).cast(_BYTES), b"")
+        return 0x02, _joined(_packed(pc.binary_length(raw).to_numpy(zero_copy_only=False) + 1, "<i4"), raw, b"\0")
+    if isinstance(want, T.BooleanType):
+        return 0x08, _numbers(values.cast(pa.int8()), "<i1")
+    if isinstance(want, (T.ByteType, T.ShortType, T.IntegerType)):
+        return 0x10, _numbers(values.cast(pa.int32()), "<i4")
+    if isinstance(want, T.LongType):
+        return 0x12, _numbers(values, "<i8")
+    if isinstance(want, (T.DoubleType, T.FloatType)):
+        return 0x01, _packed(pc.fill_null(values, 0.0).to_numpy(zero_copy_only=False), "<f8")
+    if isinstance(want, (T.TimestampType, T.TimestampNTZType)):
+        micros = pc.fill_null(values.cast(pa.timestamp("us", values.type.tz)).cast(pa.int64()), 0).to_numpy(zero_copy_only=False)
+        return 0x09, _packed(micros // 1000, "<i8")
+    if isinstance(want, T.DateType):
+        days = pc.fill_null(values.cast(pa.int32()), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        return 0x09, _packed(days * 86_400_000, "<i8")
+    if isinstance(want, T.ArrayType):
+        counts = pc.fill_null(pc.list_value_length(values), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        places = pa.array(np.arange(ends[-1]) - np.repeat(ends[:-1], counts), pa.int64())
+        names = places.cast(pa.large_string()).cast(_BYTES)
+        lists = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), _elements(names, pc.list_flatten(values), want.elementType))
+        return 0x04, _joined(_documents(pc.binary_join(lists, pa.scalar(b"", _BYTES))), b"\0")
+    return None
+
+
+def _elements(names: pa.Array | bytes, values: pa.Array, want: T.DataType, object_id: bool = False) -> pa.Array:
+    """A column's values as elements, as ``encoded`` makes them one by one."""
+    found = None if object_id else _payload(values, want)
+    if found is None:
+        heads = [names.decode()] * len(values) if isinstance(names, bytes) else [n.decode() for n in names.to_pylist()]
+        return pa.array([encoded(n, v, want, object_id) for n, v in zip(heads, values.to_pylist())], _BYTES)
+    kind, raw = found
+    whole = _joined(bytes([kind]), names, b"\0", raw)
+    if not values.null_count:
+        return whole
+    return pc.if_else(values.is_valid(), whole, pc.fill_null(_joined(b"\x0a", names, b"\0", pa.array([b""] * len(values), _BYTES)), b""))
+
+
 def write_document_dump(df: DataFrame, path: str, object_ids: Sequence[str] = ()) -> None:
     """Writes rows as documents, a file a partition, in the partitions' order; the text
     columns ``object_ids`` (24 hexadecimal digits) become object ids.  Times are kept to the
@@ -519,12 +635,16 @@ def write_document_dump(df: DataFrame, path: str, object_ids: Sequence[str] = ()
     the sink's line end, so that the rest of it is the line."""
     schema = df.schema
 
+    if any("\0" in f.name for f in schema.fields):
+        raise ValueError("a field name with a zero")
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [
-                document([(f.name, row[f.name], f.dataType, f.name in object_ids) for f in schema.fields])[:-1] for row in batch.to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.large_binary())], names=["line"])
+            for at in range(0, batch.num_rows, BATCH_ROWS):
+                rows = batch.slice(at, BATCH_ROWS)
+                columns = [_elements(f.name.encode(), rows.column(k), f.dataType, f.name in object_ids) for k, f in enumerate(schema.fields)]
+                body = _joined(*columns) if columns else pa.array([b""] * rows.num_rows, _BYTES)
+                yield pa.RecordBatch.from_arrays([_documents(body)], names=["line"])
 
     lines = df.mapInArrow(run, "line binary").select(F.col("line").cast("string").alias("value"))
     lines.write.option("lineSep", "\0").text(path)

@@ -125,3 +125,28 @@ def test_known_bytes():
     assert [e[:2] for e in elements(nested, 0, len(nested))] == [(4, b"BSON")]
     want = T.StructField("BSON", T.ArrayType(T.DoubleType()))
     assert fields_of(nested, 0, len(nested), {b"BSON": want}, False) == {"BSON": [None, 5.05, 1986.0]}
+
+
+def test_columns_are_encoded_as_single_values(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    from sluice.sources.document_dump import _documents, _elements, _joined, document
+
+    schema = T._parse_datatype_string(
+        "_id string, s string, b boolean, y byte, i int, l long, f float, d double, t timestamp_ntz, z timestamp, day date, n decimal(9,2), "
+        "raw binary, a array<string>, aa array<array<int>>, st struct<x:int,y:array<string>>, m map<string,long>, as array<struct<x:int>>"
+    )
+    t = dt.datetime(1969, 12, 31, 23, 59, 59, 999_501)
+    full = ("0123456789abcdef01234567", "tëxt\n", True, -3, 1 << 30, -(1 << 60), 0.5, -1e300, t, t.replace(tzinfo=dt.timezone.utc), dt.date(1950, 2, 3),
+            Decimal("-12.30"), b"\0\1", ["a", None, ""], [[1, None], None, []], {"x": 1, "y": ["q"]}, [("k", 1), ("j", None)], [{"x": 2}, None])
+    rows = [full, (None,) * len(full), full[:1] + ("",) + (None,) * 11 + ([], []) + (None,) * 3, full]
+    kinds = to_arrow_schema(schema)
+    whole = pa.RecordBatch.from_pylist([dict(zip(kinds.names, r)) for r in [full, *rows]], schema=kinds)
+    for batch in (whole.slice(1), whole.slice(2, 1)):  # slices have offsets
+        columns = [_elements(f.name.encode(), batch.column(k), f.dataType, f.name == "_id") for k, f in enumerate(schema.fields)]
+        want = [document([(f.name, r[f.name], f.dataType, f.name == "_id") for f in schema.fields])[:-1] for r in batch.to_pylist()]
+        assert _documents(_joined(*columns)).to_pylist() == want
