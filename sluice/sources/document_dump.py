@@ -10,7 +10,10 @@ bytes; nothing else marks where one begins.  Files are cut into ranges all the s
    range with a wrong guess is walked again from the proven place, until all are proven: the
    borders are exact, whatever texts or bytes look like documents.
 3. ``document_dump``, a Python data source, reads the ranges as Arrow batches.  Only the fields
-   of the given schema are decoded, the others are skipped by their lengths.
+   of the given schema are decoded, the others are skipped by their lengths.  Thousands of
+   documents are walked side by side, an element of all that have it in one step, and columns
+   are made from the values' places; a document that is damaged, repeats a field or has
+   elements that few others have is decoded alone.
 
 Results for edge cases: a missing field, null and undefined are NULL; of a field that a document
 repeats, the last counts; a value that is not of its column's type is NULL (``PERMISSIVE``) or
@@ -44,8 +47,9 @@ from sluice.session import delete_at_exit, scratch_path
 
 MOST_BYTES = (16 << 20) + (16 << 10)  # of one document, as the stores allow
 CHUNK = 4 << 20
-BATCH_ROWS, BATCH_BYTES = 4096, 8 << 20
+BATCH_ROWS, READ_ROWS, LINE_BYTES = 4096, 16384, 1 << 20
 CHAIN = 4  # documents that must follow one another for a guess
+LEAST, SHARE = 32, 16  # documents walked in one step: as many at least, and one in so many
 
 # type codes of the format (fixed values): values of one size, and those led by a length
 SIZES = {0x01: 8, 0x06: 0, 0x07: 12, 0x08: 1, 0x09: 8, 0x0A: 0, 0x10: 4, 0x11: 8, 0x12: 8, 0x13: 16, 0x7F: 0, 0xFF: 0}
@@ -162,6 +166,38 @@ class Window:
             raise Damaged(f"a document of {n} bytes at {at}")
         return at + n
 
+    def after(self, at: int, stop: int) -> int:
+        """The first place from ``stop`` on that the lengths lead to from the document at ``at``."""
+        length = _INT32.unpack_from
+        while at < stop:
+            at = self.document(at)
+            buf, i = self.buf, at - self.start
+            last, most = min(stop - self.start, len(buf) - 3), self.size - self.start
+            while i < last:
+                n = length(buf, i)[0]
+                if not 5 <= n <= MOST_BYTES or i + n > most:
+                    break  # told by the next ``document``
+                i += n
+            at = self.start + i
+        return at
+
+    def documents(self, at: int, stop: int, most: int) -> list[int]:
+        """Places in ``buf`` of the documents from ``at`` on that lie whole in it, one at least,
+        up to ``stop`` and ``most`` of them; the last place is the end of the last."""
+        length = _INT32.unpack_from
+        end = self.document(at)
+        i = self.get(at, end - at)
+        out = [i, i + end - at]
+        buf, i = self.buf, out[-1]
+        last, size = min(stop - self.start, len(buf) - 3), len(buf)
+        while i < last and len(out) <= most:
+            n = length(buf, i)[0]
+            if not 5 <= n <= MOST_BYTES or i + n > size:
+                break  # read or told by the next call
+            i += n
+            out.append(i)
+        return out
+
 
 # the zero that ends a document, a length below 32 MB, and a known type
 _PLACE = re.compile(rb"\0(?=..[\0-\xff][\0\x01][\x01-\x13\x7f\xff])|\0(?=\x05\0\0\0\0)", re.S)
@@ -217,8 +253,8 @@ def _walks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = entry = guessed_start(w, r["start"], r["stop"]) if r["entry"] is None else r["entry"]
                 fault = None
                 try:
-                    while at is not None and at < r["stop"]:
-                        at = w.document(at)
+                    if at is not None:
+                        at = w.after(at, r["stop"])
                 except Damaged as e:
                     at, fault = None, str(e)
                 out.append((r["file"], r["start"], entry, at, fault))
@@ -395,6 +431,220 @@ def _fields(buf: bytes, a: int, b: int, wanted: dict[bytes, T.StructField], text
     return out
 
 
+# ------------------------------------------------------------------ values of many documents
+# size by type: those led by a length as the length and so many bytes more, others that are
+# found one by one; types whose last byte is zero
+_SIZE, _MORE, _LED, _ZERO = np.full(256, -1), np.zeros(256, np.int64), np.zeros(256, bool), np.zeros(256, bool)
+for _kind, _size in SIZES.items():
+    _SIZE[_kind] = _size
+_LED[[*TEXTS, 0x03, 0x04, 0x0F, 0x05]] = _ZERO[[*TEXTS, 0x03, 0x04]] = True
+_MORE[[*TEXTS, 0x05]] = [4] * len(TEXTS) + [5]
+_DIGITS = np.frombuffer(b"0123456789abcdef", np.uint8)
+
+
+class Block:
+    """Bytes in which many documents are walked side by side."""
+
+    def __init__(self, raw: bytes):
+        self.buf = buf = raw + bytes(8)  # so that a number may be taken at any byte
+        self.bytes = np.frombuffer(buf, np.uint8)
+        self.words, self.longs, self.ints, self.doubles = (
+            np.ndarray((len(raw) + 1,), kind, buf, 0, (1,)) for kind in ("<u8", "<i8", "<i4", "<f8")
+        )
+        self.last = len(raw)
+
+    def begins(self, at: np.ndarray, stop: np.ndarray, text: bytes) -> np.ndarray:
+        """Where ``text`` lies at ``at``, before ``stop``."""
+        same = at + len(text) <= stop
+        for k in range(0, len(text), 8):
+            part = text[k : k + 8]
+            words = self.words[np.minimum(at + k, self.last)]
+            if len(part) < 8:
+                words = words & np.uint64((1 << 8 * len(part)) - 1)
+            same &= words == np.uint64(int.from_bytes(part, "little"))
+        return same
+
+    def ends(self, kind: np.ndarray, at: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ends of the values at ``at`` and whether they are proven as ``_end`` proves them."""
+        if len(kind) and (kind == kind[0]).all():
+            kind = kind[:1]  # most often all have the same type
+        size, led = _SIZE[kind], _LED[kind]
+        if led.any():
+            length = self.ints[np.minimum(at, self.last)] + _MORE[kind]
+            size = np.where(led, np.where((at + 4 <= stop) & (length >= 5), length, -1), size)
+        end = at + size
+        good = (size >= 0) & (end <= stop)
+        zero = _ZERO[kind]
+        if zero.any():
+            good &= ~zero | (self.bytes[np.where(good, end - 1, 0)] == 0)
+        return end, good
+
+
+Places = tuple[np.ndarray, np.ndarray, np.ndarray]  # types, first bytes and ends of values; type 0: there is none
+
+
+def places_of(block: Block, at: np.ndarray, end: np.ndarray, names: Iterable[bytes]) -> tuple[dict[bytes, Places], np.ndarray]:
+    """Where the documents between ``at`` and ``end`` have their values of ``names``, and which
+    documents are to be decoded alone."""
+    n = len(at)
+    found = {name: (np.zeros(n, np.uint8), np.zeros(n, np.int64), np.zeros(n, np.int64)) for name in names}
+    alone = block.bytes[end - 1] != 0
+    rows = np.flatnonzero(~alone)
+    pos, stop = at[rows] + 4, end[rows] - 1
+    while True:
+        open_ = pos < stop
+        if not open_.all():
+            rows, pos, stop = rows[open_], pos[open_], stop[open_]
+        if not len(rows):
+            return found, alone
+        # the element that the first document has next, in all documents that have it next
+        first = int(pos[0])
+        zero = block.buf.find(b"\0", first + 1, int(stop[0]))
+        same = block.begins(pos + 1, stop, block.buf[first + 1 : zero + 1]) if zero >= 0 else np.arange(len(rows)) == 0
+        pick = np.flatnonzero(same)
+        if zero < 0 or len(pick) < max(LEAST, len(rows) // SHARE):
+            alone[rows[pick]] = True
+            pos[pick] = stop[pick]
+            continue
+        name = block.buf[first + 1 : zero]
+        r, p, s = (rows, pos, stop) if len(pick) == len(rows) else (rows[pick], pos[pick], stop[pick])
+        kind, value = block.bytes[p], p + (zero + 1 - first)
+        after, good = block.ends(kind, value, s)
+        if name in found:
+            kinds, starts, stops = found[name]
+            good &= kinds[r] == 0
+            kinds[r], starts[r], stops[r] = kind, value, after
+        if not good.all():
+            alone[r[~good]] = True
+            after = np.where(good, after, s)
+        pos[pick] = after
+
+
+def _merged(parts: list[tuple[np.ndarray, pa.Array]], n: int, kind: pa.DataType) -> pa.Array:
+    """A column of ``n`` rows from parts, each with the numbers of its rows; NULL elsewhere."""
+    if len(parts) == 1 and len(parts[0][0]) == n:
+        return parts[0][1]
+    if not parts:
+        return pa.nulls(n, kind)
+    place, k = np.zeros(n, np.int64), 0
+    none = np.ones(n, bool)
+    for rows, values in parts:
+        place[rows], none[rows] = np.arange(k, k + len(rows)), False
+        k += len(rows)
+    return pa.concat_arrays([values for _, values in parts]).take(pa.array(place, mask=none))
+
+
+def values_of(block: Block, places: Places, want: T.DataType, arrow: pa.DataType, strict: bool) -> pa.Array:
+    """A column of the values at rising places, as ``value_of`` takes them one by one."""
+    kinds, starts, stops = places
+    parts = []
+    for kind in np.flatnonzero(np.bincount(kinds, minlength=256)).tolist():
+        if kind in (0, 0x0A, 0x06):
+            continue
+        rows = np.flatnonzero(kinds == kind)
+        a, b = (starts, stops) if len(rows) == len(kinds) else (starts[rows], stops[rows])
+        made = _made(block, kind, a, b, want, arrow, strict)
+        if made is None:
+            one_by_one = zip(a.tolist(), b.tolist())
+            made = pa.array([_fit(kind, block.buf, x, y, want, strict) for x, y in one_by_one], arrow)
+        parts.append((rows, made))
+    return _merged(parts, len(kinds), arrow)
+
+
+def _made(block: Block, kind: int, a: np.ndarray, b: np.ndarray, want: T.DataType, arrow: pa.DataType, strict: bool) -> pa.Array | None:
+    """A column of values of one type in one step; None where they are taken one by one."""
+    if isinstance(want, T.StringType):
+        if kind in TEXTS:
+            return _texts(block, a + 4, b - 1, arrow)
+        if kind == 0x07:
+            raw = block.bytes[a[:, None] + np.arange(12)]
+            digits = np.stack([_DIGITS[raw >> 4], _DIGITS[raw & 15]], axis=2)
+            ends = pa.py_buffer(np.arange(len(a) + 1, dtype=np.int32) * 24)
+            return pa.Array.from_buffers(pa.string(), len(a), [None, ends, pa.py_buffer(digits.tobytes())]).cast(arrow)
+    elif isinstance(want, T.BooleanType) and kind == 0x08:
+        return pa.array(block.bytes[a] != 0)
+    elif type(want) in _WHOLE and kind in (0x10, 0x12):
+        x = block.ints[a].astype(np.int64) if kind == 0x10 else block.longs[a]
+        most = (1 << _WHOLE[type(want)]) - 1
+        if ((x <= most) & (x >= -most - 1)).all():
+            return pa.array(x, pa.int64()).cast(arrow)
+    elif isinstance(want, T.DoubleType) and kind in (0x01, 0x10, 0x12):
+        x = block.doubles[a] if kind == 0x01 else (block.ints if kind == 0x10 else block.longs)[a]
+        return pa.array(x.astype(np.float64), arrow)
+    elif isinstance(want, (T.TimestampType, T.TimestampNTZType, T.DateType)) and kind == 0x09:
+        ms, day = block.longs[a], isinstance(want, T.DateType)
+        most = 86_400_000 << 31 if day else (1 << 63) // 1000
+        if ((ms < most) & (ms > -most)).all():
+            return pa.array((ms // 86_400_000).astype(np.int32) if day else ms * 1000).cast(arrow)
+    elif isinstance(want, T.ArrayType) and kind == 0x04 and pa.types.is_list(arrow):
+        return _lists(block, a, b, want, arrow, strict)
+    return None
+
+
+def _texts(block: Block, a: np.ndarray, b: np.ndarray, arrow: pa.DataType) -> pa.Array | None:
+    """The bytes from ``a`` to ``b`` as texts, None if some are no UTF-8."""
+    ends = np.empty(2 * len(a), np.int32)
+    ends[::2], ends[1::2] = a, b
+    # by turns a text and what lies between it and the next
+    both = pa.Array.from_buffers(pa.binary(), max(0, len(ends) - 1), [None, pa.py_buffer(ends), pa.py_buffer(block.buf)])
+    try:
+        return both.take(pa.array(np.arange(0, len(ends), 2))).cast(pa.string()).cast(arrow)
+    except pa.ArrowInvalid:
+        return None
+
+
+def _lists(block: Block, a: np.ndarray, b: np.ndarray, want: T.ArrayType, arrow: pa.DataType, strict: bool) -> pa.Array:
+    """A column of the arrays from ``a`` to ``b``: the elements of one place are walked in one
+    step.  Damaged arrays, those whose elements are not named by their places, and what remains
+    of a few that are longer than the others are taken one by one."""
+    alone = block.bytes[b - 1] != 0
+    rows = np.flatnonzero(~alone)
+    pos, stop, seen = a[rows] + 4, b[rows] - 1, []
+    while True:
+        open_ = pos < stop
+        if not open_.all():
+            rows, pos, stop = rows[open_], pos[open_], stop[open_]
+        if len(rows) < LEAST:
+            alone[rows] = True
+            break
+        head = str(len(seen)).encode() + b"\0"
+        kind, value = block.bytes[pos], pos + 1 + len(head)
+        after, good = block.ends(kind, value, stop)
+        good &= block.begins(pos + 1, stop, head)
+        if not good.all():
+            alone[rows[~good]] = True
+            rows, stop, kind, value, after = rows[good], stop[good], kind[good], value[good], after[good]
+        seen.append((rows, kind, value, after))
+        pos = after
+    row, kind, value, after = (np.concatenate(x) for x in zip(*seen)) if seen else (np.zeros(0, np.int64),) * 4
+    order = np.argsort(row, kind="stable")
+    order = order[~alone[row[order]]]
+    whole = np.flatnonzero(~alone)
+    ends = np.concatenate([[0], np.cumsum(np.bincount(row[order], minlength=len(a))[whole])])
+    inner = values_of(block, (kind[order].astype(np.uint8), value[order], after[order]), want.elementType, arrow.value_type, strict)
+    parts = [(whole, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), inner, type=arrow))]
+    if len(whole) < len(a):
+        rest = np.flatnonzero(alone)
+        lists = [_fit(0x04, block.buf, x, y, want, strict) for x, y in zip(a[rest].tolist(), b[rest].tolist())]
+        parts.append((rest, pa.array(lists, arrow)))
+    return _merged(parts, len(a), arrow)
+
+
+def columns_of(block: Block, at: np.ndarray, end: np.ndarray, wanted: dict[bytes, T.StructField], kinds: dict[str, pa.DataType], strict: bool) -> dict[str, pa.Array]:
+    """The fields ``wanted`` of the documents between ``at`` and ``end`` as columns."""
+    places, alone = places_of(block, at, end, wanted)
+    whole, rest = np.flatnonzero(~alone), np.flatnonzero(alone)
+    out = {}
+    singles = [fields_of(block.buf, x, y, wanted, strict) for x, y in zip(at[rest].tolist(), end[rest].tolist())]
+    for name, f in wanted.items():
+        own = places[name] if not singles else tuple(x[whole] for x in places[name])
+        parts = [(whole, values_of(block, own, f.dataType, kinds[f.name], strict))]
+        if singles:
+            parts.append((rest, pa.array([r[f.name] for r in singles], kinds[f.name])))
+        out[f.name] = _merged(parts, len(at), kinds[f.name])
+    return out
+
+
 # ------------------------------------------------------------------ the data source
 class Range(InputPartition):
     def __init__(self, number: int, file: str, size: int, start: int, stop: int):
@@ -434,30 +684,18 @@ class DumpReader(DataSourceReader):
             return
         kinds = to_arrow_schema(self.columns)
         wanted = {f.name.encode(): f for f in self.columns.fields if f.name != self.position}
-        texts = {n: f.name for n, f in wanted.items() if type(f.dataType) is T.StringType}
-        none, errors = {f.name: None for f in wanted.values()}, "strict" if self.strict else "replace"
-        rows: list[dict] = []
-
-        def batch() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([r[f.name] for r in rows], f.type) for f in kinds], schema=kinds)
-
+        types = {f.name: f.type for f in kinds}
         fs, inner = file_system(partition.file)
         with fs.open_input_file(inner) as f:
-            w, at, held = Window(f, partition.size), partition.start, 0
+            w, at = Window(f, partition.size), partition.start
             while at < partition.stop:
-                end = w.document(at)
-                i = w.get(at, end - at)
-                row = _fields(w.buf, i, i + end - at, wanted, texts, none.copy(), errors)
+                places = np.array(w.documents(at, partition.stop, READ_ROWS), np.int64)
+                block, borders = Block(w.buf[places[0] : places[-1]]), places - places[0]
+                columns = columns_of(block, borders[:-1], borders[1:], wanted, types, self.strict)
                 if self.position:
-                    row[self.position] = (partition.number << 44) + at
-                rows.append(row)
-                held += end - at
-                at = end
-                if len(rows) >= BATCH_ROWS or held >= BATCH_BYTES:
-                    yield batch()
-                    rows, held = [], 0
-        if rows:
-            yield batch()
+                    columns[self.position] = pa.array((partition.number << 44) + at + borders[:-1])
+                yield pa.RecordBatch.from_arrays([columns[f.name] for f in kinds], schema=kinds)
+                at += int(borders[-1])
 
 
 def read_document_dump(
@@ -573,12 +811,29 @@ def _joined(*parts: pa.Array | bytes) -> pa.Array:
     return pc.binary_join_element_wise(*[pa.scalar(p, _BYTES) if isinstance(p, bytes) else p for p in parts], pa.scalar(b"", _BYTES))
 
 
-def _documents(body: pa.Array) -> pa.Array:
+def _documents(*columns: pa.Array) -> pa.Array:
     """Documents from their elements, without the zero that ends them."""
-    sizes = pc.binary_length(body).to_numpy(zero_copy_only=False) + 5
+    sizes = sum(pc.binary_length(c).to_numpy(zero_copy_only=False) for c in columns) + 5
     if len(sizes) and sizes.max() > MOST_BYTES:
         raise ValueError(f"a document of {sizes.max()} bytes")
-    return _joined(_packed(sizes, "<i4"), body)
+    return _joined(_packed(sizes, "<i4"), *columns)
+
+
+_NIBBLES = np.full(256, 16, np.uint8)
+_NIBBLES[np.frombuffer(b"0123456789abcdefABCDEF", np.uint8)] = [*range(16), *range(10, 16)]
+
+
+def _object_ids(values: pa.Array) -> pa.Array | None:
+    """Bytes of hexadecimal digits (any bytes where NULL); None if a text is not 24 of them."""
+    raw = pc.fill_null(values.cast(pa.large_string()), "0" * 24)
+    _, ends, data = raw.buffers()
+    ends = np.frombuffer(ends, np.int64)[raw.offset : raw.offset + len(raw) + 1] if len(raw) else np.zeros(1, np.int64)
+    if len(raw) == 0 or (np.diff(ends) != 24).any():
+        return None
+    digits = _NIBBLES[np.frombuffer(data, np.uint8)[ends[0] : ends[-1]]]
+    if (digits > 15).any():
+        return None
+    return _packed((digits[::2] << 4 | digits[1::2]).view("V12"), "V12")
 
 
 def _numbers(values: pa.Array, kind: str) -> pa.Array:
@@ -617,22 +872,43 @@ def _payload(values: pa.Array, want: T.DataType) -> tuple[int, pa.Array] | None:
 
 def _elements(names: pa.Array | bytes, values: pa.Array, want: T.DataType, object_id: bool = False) -> pa.Array:
     """A column's values as elements, as ``encoded`` makes them one by one."""
-    found = None if object_id else _payload(values, want)
+    if object_id:
+        raw = _object_ids(values)
+        found = None if raw is None else (0x07, raw)
+    else:
+        found = _payload(values, want)
     if found is None:
         heads = [names.decode()] * len(values) if isinstance(names, bytes) else [n.decode() for n in names.to_pylist()]
         return pa.array([encoded(n, v, want, object_id) for n, v in zip(heads, values.to_pylist())], _BYTES)
     kind, raw = found
-    whole = _joined(bytes([kind]), names, b"\0", raw)
+
+    def head(kind: bytes) -> list:
+        return [kind + names + b"\0"] if isinstance(names, bytes) else [kind, names, b"\0"]
+
+    whole = _joined(*head(bytes([kind])), raw)
     if not values.null_count:
         return whole
-    return pc.if_else(values.is_valid(), whole, pc.fill_null(_joined(b"\x0a", names, b"\0", pa.array([b""] * len(values), _BYTES)), b""))
+    return pc.if_else(values.is_valid(), whole, pc.fill_null(_joined(*head(b"\x0a"), pa.array([b""] * len(values), _BYTES)), b""))
+
+
+def _lines(documents: pa.Array) -> pa.Array:
+    """Documents, without the zero that ends the last of a line, as lines of about ``LINE_BYTES``."""
+    whole = _joined(documents, b"\0")
+    _, ends, data = whole.buffers()
+    ends = np.frombuffer(ends, np.int64)[whole.offset : whole.offset + len(whole) + 1]
+    lines, k = [], 0
+    while k < len(whole):
+        after = max(k + 1, int(np.searchsorted(ends, ends[k] + LINE_BYTES, "right")) - 1)
+        lines.append(data[int(ends[k]) : int(ends[after]) - 1].to_pybytes())
+        k = after
+    return pa.array(lines, _BYTES)
 
 
 def write_document_dump(df: DataFrame, path: str, object_ids: Sequence[str] = ()) -> None:
     """Writes rows as documents, a file a partition, in the partitions' order; the text
     columns ``object_ids`` (24 hexadecimal digits) become object ids.  Times are kept to the
     millisecond.  Files are committed by Spark's own sink: a document ends with a zero, which is
-    the sink's line end, so that the rest of it is the line."""
+    the sink's line end, so that some documents without the last one's zero are a line."""
     schema = df.schema
 
     if any("\0" in f.name for f in schema.fields):
@@ -643,8 +919,8 @@ def write_document_dump(df: DataFrame, path: str, object_ids: Sequence[str] = ()
             for at in range(0, batch.num_rows, BATCH_ROWS):
                 rows = batch.slice(at, BATCH_ROWS)
                 columns = [_elements(f.name.encode(), rows.column(k), f.dataType, f.name in object_ids) for k, f in enumerate(schema.fields)]
-                body = _joined(*columns) if columns else pa.array([b""] * rows.num_rows, _BYTES)
-                yield pa.RecordBatch.from_arrays([_documents(body)], names=["line"])
+                body = columns or [pa.array([b""] * rows.num_rows, _BYTES)]
+                yield pa.RecordBatch.from_arrays([_lines(_documents(*body))], names=["line"])
 
     lines = df.mapInArrow(run, "line binary").select(F.col("line").cast("string").alias("value"))
     lines.write.option("lineSep", "\0").text(path)

@@ -150,3 +150,147 @@ def test_columns_are_encoded_as_single_values(spark):
         columns = [_elements(f.name.encode(), batch.column(k), f.dataType, f.name == "_id") for k, f in enumerate(schema.fields)]
         want = [document([(f.name, r[f.name], f.dataType, f.name == "_id") for f in schema.fields])[:-1] for r in batch.to_pylist()]
         assert _documents(_joined(*columns)).to_pylist() == want
+
+
+TEXTS, POINT = T.ArrayType(T.StringType()), T.StructType([T.StructField("x", T.IntegerType())])
+ODD = T.StructType([T.StructField(name, kind) for name, kind in {
+    "_id": T.StringType(), "t": T.StringType(), "b": T.BooleanType(), "i": T.IntegerType(), "y": T.ByteType(), "l": T.LongType(),
+    "x": T.DoubleType(), "f": T.FloatType(), "at": T.TimestampType(), "n": T.TimestampNTZType(), "day": T.DateType(), "d": T.DecimalType(9, 2),
+    "raw": T.BinaryType(), "a": TEXTS, "aa": T.ArrayType(T.ArrayType(T.IntegerType())), "st": POINT, "ax": T.ArrayType(T.DoubleType()),
+    "m": T.MapType(T.StringType(), T.LongType()),
+}.items()])
+
+
+def odd_documents(n, seed):
+    """Documents with fields in any order, missing, of other types and repeated; with texts that are no UTF-8."""
+    r = random.Random(seed)
+    text = lambda: r.choice([b"", b"plain", "é€😀".encode(), b"\0" * 9, b"\xff\xed\xa0\x80", bytes([r.randrange(32, 127)]) * r.randrange(300)])
+    long = lambda x: struct.pack("<i", len(x) + 1) + x + b"\0"
+    nest = lambda x: struct.pack("<i", len(x) + 5) + x + b"\0"
+
+    def value(kind):
+        if kind in (2, 13, 14):
+            return long(text() if r.random() < 0.05 else text().decode("utf-8", "ignore").encode())
+        if kind == 4:
+            inner = r.choice([2, 2, 16, 10, 4]) if r.random() < 0.9 else 7
+            names = [str(k) if r.random() < 0.99 else "q" for k in range(r.choice([0, 1, 2, 40]))]
+            return nest(b"".join(bytes([k]) + name.encode() + b"\0" + (value(k) if k != 4 else nest(b"\x10" + b"0\0" + value(16))) for name in names for k in [inner if r.random() < 0.9 else 10]))
+        if kind == 3:
+            return nest(b"\x10x\0" + value(16))
+        if kind == 5:
+            x = text()
+            return struct.pack("<i", len(x)) + b"\0" + x
+        if kind == 11:
+            return b"ab\0i\0"
+        if kind == 12:
+            return long(b"db") + bytes(12)
+        if kind == 15:
+            return nest(b"code")
+        if kind == 1:
+            return struct.pack("<d", r.choice([0.5, -3.0, 1e30, float("nan")]))
+        if kind == 16:
+            return struct.pack("<i", r.choice([0, -1, 200, -(1 << 31)]))
+        if kind in (9, 18):
+            return struct.pack("<q", r.choice([0, -1, 77, 86_400_000 * 9 + 1, -(1 << 41)] + [-(1 << 63), (1 << 63) - 1] * (r.random() < 0.01)))
+        if kind == 8:
+            return r.choice([b"\0", b"\1", b"\2"])
+        if kind == 19:
+            return struct.pack("<QQ", r.randrange(9), (6176 << 49))
+        return bytes(r.randrange(256) for _ in range({7: 12, 17: 8}.get(kind, 0)))
+
+    usual = {"_id": 7, "t": 2, "b": 8, "i": 16, "y": 16, "l": 18, "x": 1, "f": 1, "at": 9, "n": 9, "day": 9, "d": 19, "raw": 5, "a": 4, "aa": 4, "st": 3, "ax": 4, "m": 3, "other": 2}
+    kinds = [1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16, 17, 18, 19, 127, 255]
+    out = []
+    for _ in range(n):
+        fields = [(name, kind) for name, kind in usual.items() if r.random() < 0.97]
+        if r.random() < 0.05:
+            r.shuffle(fields)
+        if r.random() < 0.05:
+            fields += r.choices(fields, k=2) if fields else []
+        out.append(nest(b"".join(bytes([k]) + name.encode() + b"\0" + value(k) for name, kind in fields for k in [kind if r.random() < 0.98 else r.choice([10, r.choice(kinds)])])))
+    return out
+
+
+@pytest.mark.parametrize("n", [0, 1, 31, 40, 900])
+@pytest.mark.parametrize("strict", [False, True])
+def test_many_documents_are_decoded_as_single_ones(n, strict):
+    import numpy as np
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    from sluice.sources.document_dump import Block, columns_of
+
+    wanted, kinds = {f.name.encode(): f for f in ODD.fields}, {f.name: f.type for f in to_arrow_schema(ODD)}
+    docs = odd_documents(n, n)
+
+    def single(d):
+        try:
+            return fields_of(d, 0, len(d), wanted, strict)
+        except ValueError:
+            return None
+
+    if strict:  # those that are no error
+        if docs and not all(map(single, docs)):
+            ends = np.cumsum([0, *map(len, docs)])
+            with pytest.raises(ValueError):
+                columns_of(Block(b"".join(docs)), ends[:-1], ends[1:], wanted, kinds, strict)
+        docs = [d for d in docs if single(d)]
+    ends = np.cumsum([0, *map(len, docs)]).astype(np.int64)
+    got = columns_of(Block(b"".join(docs)), ends[:-1], ends[1:], wanted, kinds, strict)
+    one_by_one = [single(d) for d in docs]
+    for name, kind in kinds.items():
+        want = pa.array([x[name] for x in one_by_one], kind)
+        assert got[name].type == kind and got[name].null_count == want.null_count
+        assert repr(got[name].to_pylist()) == repr(want.to_pylist()), name
+    if n > 32 and not strict:  # a damaged one is found among the others
+        for bad in (docs[5][:-1] + b"\1", struct.pack("<i", 12) + b"\x10i\0\1\0\0\0", struct.pack("<i", 14) + b"\x02t\0\xff\xff\xff\x7fa\0\0", struct.pack("<i", 8) + b"\x10i\0\0"):
+            some = [*docs[:20], bad, *docs[20:]]
+            ends = np.cumsum([0, *map(len, some)])
+            with pytest.raises(ValueError, match="document|value|text|name"):
+                columns_of(Block(b"".join(some)), ends[:-1], ends[1:], wanted, kinds, strict)
+
+
+def test_documents_of_one_shape_are_decoded_together(tmp_dir, monkeypatch):
+    from sluice.sources import document_dump as dump
+
+    schema = T.StructType([T.StructField("s", T.StringType()), T.StructField("a", TEXTS), T.StructField("n", T.LongType()), T.StructField("_p", T.LongType())])
+    docs = [document([("s", f"text {k}" if k % 3 else None, T.StringType(), False), ("a", ["x"] * (k % 4), TEXTS, False), ("n", k, T.IntegerType(), False)]) for k in range(500)]
+    path = os.path.join(tmp_dir, "x.bson")
+    with open(path, "wb") as f:
+        f.write(b"".join(docs))
+
+    def alone(*_):
+        raise AssertionError("a document is decoded alone")
+
+    for name in ("_fields", "value_of", "_end"):
+        monkeypatch.setattr(dump, name, alone)
+    size = sum(map(len, docs))
+    reader = dump.DumpReader({"mode": "FAILFAST", "position": "_p"}, schema)
+    rows = [r for b in reader.read(dump.Range(1, path, size, 0, size)) for r in b.to_pylist()]
+    places = [(1 << 44) + sum(map(len, docs[:k])) for k in range(500)]
+    assert [tuple(r.values()) for r in rows] == [(f"text {k}" if k % 3 else None, ["x"] * (k % 4), k, places[k]) for k in range(500)]
+
+
+def test_lines_hold_many_documents(monkeypatch):
+    import pyarrow as pa
+
+    from sluice.sources import document_dump as dump
+
+    monkeypatch.setattr(dump, "LINE_BYTES", 1000)
+    docs = [document([("t", "x" * n, T.StringType(), False)]) for n in (0, 10, 3000, 900, 80, 5)] + [b"\5\0\0\0\0"] * 300
+    lines = dump._lines(pa.array([b"left out", *[d[:-1] for d in docs]], pa.large_binary()).slice(1)).to_pylist()
+    assert b"".join(x + b"\0" for x in lines) == b"".join(docs)
+    assert len(lines) == 5 and all(len(x) < 1000 for x in lines if x + b"\0" not in docs)
+    assert dump._lines(pa.array([], pa.large_binary())).to_pylist() == []
+
+
+def test_object_ids_in_one_step():
+    import pyarrow as pa
+
+    from sluice.sources.document_dump import _object_ids
+
+    ids = ["0123456789abcdefABCDEF00", None, "ff" * 12, "00" * 12]
+    got = _object_ids(pa.array(["skipped", *ids]).slice(1)).to_pylist()
+    assert [g for g, i in zip(got, ids) if i] == [bytes.fromhex(i) for i in ids if i]
+    for other in ("0" * 23, "0" * 26, "g" * 24, " " + "0" * 23, "é" + "0" * 22):  # told, or taken, one by one
+        assert _object_ids(pa.array([ids[0], other])) is None
