@@ -272,7 +272,8 @@ def dump_ranges(spark: SparkSession, files: list[tuple[str, int]], split_bytes:
     led: dict[tuple[str, int], tuple] = {}
     open_files, out = set(cuts), {}
     while todo:
-        tasks = min(len(todo), 100_000)
+        # a range is walked in less time than its task takes to begin
+        tasks = min(max(min(len(todo), 4 * spark.sparkContext.defaultParallelism), -(-len(todo) // 8)), 100_000)
         rows = spark.createDataFrame(todo, RANGE).repartition(tasks)
         answers = rows.mapInArrow(_walks, "file string, start long, entry long, exit long, fault string")
         for r in answers.collect():  # one small row a range
